@@ -86,7 +86,9 @@ LANDING_COLS = """business_date, order_guid, opened_date, closed_date, source, d
 
 
 def with_flat(select: str) -> str:
-    return "WITH " + FLAT + "\n" + select
+    """Prefix a statement with the bridge CTEs; a statement that starts with
+    ',' contributes further CTEs."""
+    return "WITH " + FLAT + ("" if select.lstrip().startswith(",") else "\n") + select
 
 
 SQL: dict[str, str] = {}
@@ -122,3 +124,51 @@ SQL["local_business_day"] = with_flat(
 
 def all_sql() -> dict[str, str]:
     return dict(SQL)
+
+# -- M2 load ------------------------------------------------------------------
+STALE = """,
+stale AS (
+  SELECT * FROM bronze
+  WHERE NOT (business_date % 7 = 0 AND CAST(order_guid AS BIGINT) % 13 = 0)
+    AND business_date % 11 <> 0
+),
+disk_n AS (SELECT business_date, count(*) AS n FROM landing GROUP BY business_date),
+bronze_n AS (SELECT business_date, count(*) AS n FROM stale GROUP BY business_date)"""
+
+
+def with_stale(select: str) -> str:
+    return "WITH " + FLAT + STALE + "\n" + select
+
+
+SQL["cast_projection"] = with_flat("SELECT * FROM bronze")
+SQL["day_counts"] = with_flat("SELECT business_date, count(*) AS n FROM bronze GROUP BY business_date")
+SQL["landing_day_counts"] = with_flat("SELECT business_date, count(*) AS n FROM landing GROUP BY business_date")
+SQL["scan_raw_orders"] = with_flat(f"SELECT {LANDING_COLS} FROM landing")
+SQL["read_nested_orders"] = SQL["scan_raw_orders"]
+SQL["days_needing_load"] = with_stale(
+    """SELECT d.business_date FROM disk_n d LEFT JOIN bronze_n b USING (business_date)
+  WHERE b.n IS NULL OR b.n <> d.n
+  UNION
+  SELECT business_date FROM (SELECT business_date FROM disk_n ORDER BY business_date DESC LIMIT 3)"""
+)
+SQL["missing_days"] = with_stale(
+    "SELECT business_date FROM disk_n WHERE business_date NOT IN (SELECT business_date FROM bronze_n)"
+)
+SQL["recent_days"] = with_stale("SELECT business_date FROM disk_n ORDER BY business_date DESC LIMIT 3")
+SQL["trailing_window"] = with_flat(
+    f"""SELECT {LANDING_COLS} FROM landing
+  WHERE business_date BETWEEN
+    CAST(strftime(CAST(strptime(CAST((SELECT max(business_date) FROM landing) AS VARCHAR), '%Y%m%d') AS DATE) - 7, '%Y%m%d') AS BIGINT)
+    AND CAST(strftime(CAST(strptime(CAST((SELECT max(business_date) FROM landing) AS VARCHAR), '%Y%m%d') AS DATE) - 1, '%Y%m%d') AS BIGINT)"""
+)
+SQL["history_bounds"] = with_flat(
+    """, b AS (
+  SELECT DISTINCT business_date FROM landing
+  WHERE business_date >= CAST(strftime(CAST(strptime(CAST((SELECT max(business_date) FROM landing) AS VARCHAR), '%Y%m%d') AS DATE) - 900, '%Y%m%d') AS BIGINT)
+)
+SELECT min(business_date) AS first_day, max(business_date) AS last_day, count(*) AS days_with_data,
+  CAST(date_diff('day', CAST(strptime(CAST(min(business_date) AS VARCHAR), '%Y%m%d') AS DATE),
+                 CAST(strptime(CAST(max(business_date) AS VARCHAR), '%Y%m%d') AS DATE)) + 1 AS BIGINT) AS calendar_days
+FROM b"""
+)
+SQL["replace_days"] = with_flat("SELECT * FROM bronze")

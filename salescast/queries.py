@@ -119,3 +119,106 @@ def q_local_business_day(spark, sf):
         utc_to_local(opened).alias("opened_at_local"),
         local_business_day(opened).alias("local_business_date"),
     )
+
+
+# ------------------------------------------------------------------ M2 load
+from salescast.operators import load as ld  # noqa: E402
+from salescast.plans.load import ensure_bronze, run_load  # noqa: E402
+from salescast.schemas import LANDING_ORDERS  # noqa: E402
+from salescast.sources import readers, sinks  # noqa: E402
+
+# The partially loaded bronze fixture used by the load queries --
+# on days with business_date % 7 = 0 every 13th order is missing, and days with
+# business_date % 11 = 0 were never loaded.
+STALE_DAY_EVERY = 7
+STALE_ORDER_EVERY = 13
+UNLOADED_DAY_EVERY = 11
+LOAD_WINDOW = 3
+TRAILING_DAYS = 7
+LOOKBACK_DAYS = 900
+
+
+def stale_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    b = bronze(spark, sf)
+    dropped = (F.col("business_date") % STALE_DAY_EVERY == 0) & (F.col("order_guid").cast("bigint") % STALE_ORDER_EVERY == 0)
+    return b.where(~dropped & (F.col("business_date") % UNLOADED_DAY_EVERY != 0))
+
+
+def landed(spark: SparkSession, sf: str) -> str:
+    """A5: write landing rows partitioned by day into a fresh stage folder."""
+    root = sinks.stage_dir(spark, "landing")
+    sinks.write_partitions(bridge.landing_orders(spark, sf), root, LANDING_ORDERS)
+    return root
+
+
+def today_key(df: DataFrame):
+    """'Today' derived from the data: the latest business day (scalar subquery)."""
+    return df.select(F.max("business_date")).scalar()
+
+
+@register("cast_projection")
+def q_cast_projection(spark, sf):
+    return bronze(spark, sf)
+
+
+@register("day_counts")
+def q_day_counts(spark, sf):
+    return ld.day_counts(bronze(spark, sf))
+
+
+@register("landing_day_counts")
+def q_landing_day_counts(spark, sf):
+    return ld.landing_day_counts(readers.scan_raw_orders(spark, landed(spark, sf)))
+
+
+@register("scan_raw_orders")
+def q_scan_raw_orders(spark, sf):
+    return readers.scan_raw_orders(spark, landed(spark, sf))
+
+
+@register("read_nested_orders")
+def q_read_nested_orders(spark, sf):
+    path = sinks.stage_dir(spark, "orders-json")
+    bridge.nested_orders(spark, sf).write.mode("overwrite").json(path)
+    return fl.flatten_orders(readers.read_nested_orders(spark, path))
+
+
+@register("days_needing_load")
+def q_days_needing_load(spark, sf):
+    disk = ld.day_counts(bridge.landing_orders(spark, sf))
+    return ld.days_needing_load(disk, ld.day_counts(stale_bronze(spark, sf)), LOAD_WINDOW)
+
+
+@register("missing_days")
+def q_missing_days(spark, sf):
+    return ld.missing_days(ld.day_counts(bridge.landing_orders(spark, sf)), ld.day_counts(stale_bronze(spark, sf)))
+
+
+@register("recent_days")
+def q_recent_days(spark, sf):
+    return ld.recent_days(ld.day_counts(bridge.landing_orders(spark, sf)), LOAD_WINDOW)
+
+
+@register("trailing_window")
+def q_trailing_window(spark, sf):
+    landing = bridge.landing_orders(spark, sf)
+    end = date_to_yyyymmdd(F.date_sub(yyyymmdd_to_date(today_key(landing)), 1))  # window ends yesterday
+    return ld.trailing_window_expr(landing, end, TRAILING_DAYS)
+
+
+@register("history_bounds")
+def q_history_bounds(spark, sf):
+    days = ld.day_counts(bridge.landing_orders(spark, sf))
+    return ld.history_bounds(days, today_key(days), LOOKBACK_DAYS)
+
+
+@register("replace_days")
+def q_replace_days(spark, sf):
+    root = landed(spark, sf)
+    import uuid
+
+    table = f"bronze_{uuid.uuid4().hex[:12]}"
+    ensure_bronze(spark, table, sinks.stage_dir(spark, "bronze"))
+    sinks.replace_days(stale_bronze(spark, sf), table)
+    run_load(spark, root, table, window=LOAD_WINDOW)
+    return spark.table(table)
