@@ -10,10 +10,11 @@ from salescast.functions.money import money_sum, rounded
 from salescast.schemas import BRONZE_ORDERS
 
 
-def cast_projection(df: DataFrame, schema=BRONZE_ORDERS) -> DataFrame:
+def cast_projection(df: DataFrame, schema=BRONZE_ORDERS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Select every table column BY NAME and cast it to the table type, so
-    column-order or width drift in a source cannot shift values."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    column-order or width drift in a source cannot shift values. ``keep``
+    columns (series keys) pass through in front."""
+    return df.select(*keep, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def live_orders(df: DataFrame) -> DataFrame:

@@ -172,3 +172,147 @@ SELECT min(business_date) AS first_day, max(business_date) AS last_day, count(*)
 FROM b"""
 )
 SQL["replace_days"] = with_flat("SELECT * FROM bronze")
+
+# -- M3 forecasting -------------------------------------------------------------
+K = "c_mktsegment, n_regionkey"
+
+
+def _kj(a: str, b: str) -> str:
+    return f"{a}.c_mktsegment = {b}.c_mktsegment AND {a}.n_regionkey = {b}.n_regionkey"
+
+
+SERIES = FLAT + f""",
+okeys AS (
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS order_guid, c.c_mktsegment, n.n_regionkey
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+),
+kstg AS (SELECT k.c_mktsegment, k.n_regionkey, s.* FROM stg s JOIN okeys k USING (order_guid)),
+kdaily AS (
+  SELECT {K}, business_date,
+         CAST(round(sum(CAST(net_amount AS DECIMAL(18,4))) - sum(CAST(deferred_amount AS DECIMAL(18,4))), 2) AS DOUBLE) AS net_sales
+  FROM kstg
+  WHERE isodow(CAST(strptime(CAST(business_date AS VARCHAR), '%Y%m%d') AS DATE)) <> 1
+  GROUP BY {K}, business_date
+),
+ser AS (SELECT {K}, CAST(strptime(CAST(business_date AS VARCHAR), '%Y%m%d') AS DATE) AS ds, CAST(net_sales AS DOUBLE) AS y FROM kdaily),
+bounds AS (SELECT {K}, min(ds) AS ds0, max(ds) AS ds1 FROM ser GROUP BY {K}),
+cal AS (SELECT {K}, ds0, CAST(unnest(generate_series(ds0, ds1, INTERVAL 1 DAY)) AS DATE) AS ds FROM bounds),
+dense AS (
+  SELECT c.c_mktsegment, c.n_regionkey, c.ds, coalesce(s.y, 0.0) AS y, c.ds0,
+         row_number() OVER (PARTITION BY c.c_mktsegment, c.n_regionkey ORDER BY c.ds) AS rn,
+         count(*) OVER (PARTITION BY c.c_mktsegment, c.n_regionkey) AS n
+  FROM cal c LEFT JOIN ser s ON {_kj('c', 's')} AND c.ds = s.ds
+),
+heads AS (SELECT DISTINCT {K}, n, ds0 FROM dense),
+origins AS (
+  SELECT {K}, CAST(k AS INTEGER) AS fold, n - 14 - (7 - k) * 14 AS cutoff, ds0
+  FROM heads, range(0, 8) r(k) WHERE n - 14 - (7 - k) * 14 >= 60
+),
+allorigins AS (SELECT * FROM origins UNION ALL SELECT {K}, -1 AS fold, n AS cutoff, ds0 FROM heads),
+tg AS (
+  SELECT o.c_mktsegment, o.n_regionkey, o.fold, o.cutoff, h, o.cutoff + h AS rn,
+         CAST(o.ds0 + CAST(o.cutoff + h - 1 AS INTEGER) AS DATE) AS ds
+  FROM allorigins o, range(1, 15) t(h)
+),
+naive AS (
+  SELECT tg.c_mktsegment, tg.n_regionkey, tg.fold, tg.ds, d.y AS yhat,
+         CAST(NULL AS DOUBLE) AS yhat_lower, CAST(NULL AS DOUBLE) AS yhat_upper, 'baseline' AS model
+  FROM tg LEFT JOIN dense d ON {_kj('tg', 'd')}
+   AND d.rn = CASE WHEN tg.cutoff >= 7 THEN tg.cutoff - 7 + 1 + (tg.h - 1) % 7 ELSE 1 + ((tg.h - 1) % 7) % tg.cutoff END
+),
+train AS (
+  SELECT o.c_mktsegment, o.n_regionkey, o.fold, o.cutoff, d.rn, d.y, isodow(d.ds) - 1 AS wd
+  FROM allorigins o JOIN dense d ON {_kj('o', 'd')} AND d.rn <= o.cutoff
+),
+fit0 AS (
+  SELECT {K}, fold, cutoff, coalesce(regr_slope(y, rn), 0.0) AS b, avg(y) AS my, avg(rn) AS mt
+  FROM train GROUP BY {K}, fold, cutoff
+),
+fit AS (SELECT *, my - b * mt AS a FROM fit0),
+sse AS (
+  SELECT t.c_mktsegment, t.n_regionkey, t.fold,
+         sqrt(greatest(0.0, sum((t.y - f.a - f.b * t.rn) * (t.y - f.a - f.b * t.rn)) / f.cutoff)) AS sigma
+  FROM train t JOIN fit f ON {_kj('t', 'f')} AND t.fold = f.fold
+  GROUP BY t.c_mktsegment, t.n_regionkey, t.fold, f.cutoff
+),
+wdst AS (SELECT {K}, fold, wd, count(*) AS n_w, sum(rn) AS st_w, sum(y) AS sy_w FROM train GROUP BY {K}, fold, wd),
+trend AS (
+  SELECT tg.c_mktsegment, tg.n_regionkey, tg.fold, tg.ds, s.sigma,
+         (f.a + f.b * tg.rn) * CASE WHEN f.a * w.n_w + f.b * w.st_w > 0 THEN w.sy_w / (f.a * w.n_w + f.b * w.st_w) ELSE 1.0 END AS raw
+  FROM tg JOIN fit f ON {_kj('tg', 'f')} AND tg.fold = f.fold
+  JOIN sse s ON {_kj('tg', 's')} AND tg.fold = s.fold
+  LEFT JOIN wdst w ON {_kj('tg', 'w')} AND tg.fold = w.fold AND w.wd = isodow(tg.ds) - 1
+),
+tw AS (
+  SELECT {K}, fold, ds, greatest(0.0, raw) AS yhat,
+         greatest(0.0, raw - 1.2815515655446004 * sigma) AS yhat_lower,
+         greatest(0.0, raw + 1.2815515655446004 * sigma) AS yhat_upper, 'trend_weekday' AS model
+  FROM trend
+),
+preds AS (SELECT * FROM naive UNION ALL SELECT * FROM tw),
+bt AS (
+  SELECT p.c_mktsegment, p.n_regionkey, p.model, p.fold, p.ds, d.y, p.yhat, p.yhat_lower, p.yhat_upper
+  FROM preds p JOIN dense d ON {_kj('p', 'd')} AND d.ds = p.ds WHERE p.fold >= 0
+),
+metrics AS (
+  SELECT {K}, model,
+         round(avg(abs(y - yhat)), 4) AS mae,
+         round(sqrt(avg((y - yhat) * (y - yhat))), 4) AS rmse,
+         round(avg(CASE WHEN y <> 0 THEN abs((y - yhat) / y) END) * 100, 4) AS mape,
+         round(CASE WHEN sum(abs(y)) <> 0 THEN sum(abs(y - yhat)) / sum(abs(y)) * 100 END, 4) AS wape,
+         CAST(14 AS INTEGER) AS horizon, CAST(8 AS INTEGER) AS n_folds,
+         TIMESTAMP '2001-08-02 06:00:00' AS run_ts
+  FROM bt GROUP BY {K}, model
+),
+ranked AS (
+  SELECT m.*, b.wape AS base_wape,
+         row_number() OVER (PARTITION BY m.c_mktsegment, m.n_regionkey
+           ORDER BY CASE WHEN b.wape IS NULL AND m.model <> 'baseline' THEN 1 ELSE 0 END,
+                    CASE WHEN m.wape IS NULL THEN 1 ELSE 0 END, coalesce(m.wape, 0.0),
+                    CASE m.model WHEN 'baseline' THEN 0 WHEN 'trend_weekday' THEN 1 ELSE 99 END) AS r
+  FROM metrics m LEFT JOIN (SELECT {K}, wape FROM metrics WHERE model = 'baseline') b ON {_kj('m', 'b')}
+),
+champ AS (SELECT {K}, model FROM ranked WHERE r = 1),
+cfc AS (
+  SELECT p.c_mktsegment, p.n_regionkey, p.ds, round(p.yhat, 2) AS yhat, round(p.yhat_lower, 2) AS yhat_lower,
+         round(p.yhat_upper, 2) AS yhat_upper, p.model
+  FROM preds p JOIN champ c ON {_kj('p', 'c')} AND p.model = c.model WHERE p.fold = -1
+)"""
+
+
+def with_series(select: str) -> str:
+    return "WITH " + SERIES + ("" if select.lstrip().startswith(",") else "\n") + select
+
+
+SQL["densify_daily"] = with_series(f"SELECT {K}, ds, y FROM dense")
+SQL["last_season"] = with_series(f"SELECT {K}, ds, y FROM dense WHERE rn > n - 7")
+SQL["seasonal_naive"] = with_series(f"SELECT {K}, ds, yhat FROM naive WHERE fold = -1")
+SQL["backtest_naive"] = with_series(f"SELECT {K}, model, fold, ds, y, yhat FROM bt WHERE model = 'baseline'")
+for _m in ("mae", "rmse", "mape", "wape"):
+    SQL[f"metric_{_m}"] = with_series(f"SELECT {K}, model, {_m} FROM metrics WHERE model = 'baseline'")
+SQL["model_metrics"] = with_series("SELECT * FROM metrics")
+SQL["champion"] = with_series("SELECT * FROM champ")
+SQL["champion_forecast"] = with_series("SELECT * FROM cfc")
+SQL["forecast_rows"] = with_series(
+    f"""SELECT {K}, CAST(strftime(ds, '%Y%m%d') AS BIGINT) AS forecast_date, yhat, yhat_lower, yhat_upper, model,
+  TIMESTAMP '2001-08-02 06:00:00' AS run_ts FROM cfc"""
+)
+SQL["backtest_rows"] = with_series(
+    f"""SELECT {K}, CAST(strftime(ds, '%Y%m%d') AS BIGINT) AS forecast_date, round(yhat, 2) AS yhat, model, fold,
+  TIMESTAMP '2001-08-02 06:00:00' AS run_ts FROM bt"""
+)
+SQL["history_plus_forecast"] = with_series(
+    f"""SELECT d.c_mktsegment, d.n_regionkey, d.ds AS date, d.y AS net_sales_actual, CAST(NULL AS DOUBLE) AS yhat,
+  CAST(NULL AS DOUBLE) AS yhat_lower, CAST(NULL AS DOUBLE) AS yhat_upper, c.model, false AS is_forecast
+FROM dense d LEFT JOIN champ c ON {_kj('d', 'c')}
+UNION ALL
+SELECT {K}, ds AS date, CAST(NULL AS DOUBLE) AS net_sales_actual, yhat, yhat_lower, yhat_upper, model, true AS is_forecast FROM cfc"""
+)
+SQL["plugin_forecaster"] = SQL["backtest_naive"]
+SQL["trend_weekday_forecast"] = with_series(
+    f"SELECT {K}, fold, ds, round(yhat, 2) AS yhat, round(yhat_lower, 2) AS yhat_lower, round(yhat_upper, 2) AS yhat_upper FROM tw WHERE fold = -1"
+)
+SQL["backtest_trend_weekday"] = with_series(
+    f"""SELECT {K}, model, fold, ds, y, round(yhat, 2) AS yhat, round(yhat_lower, 2) AS yhat_lower,
+  round(yhat_upper, 2) AS yhat_upper FROM bt WHERE model = 'trend_weekday'"""
+)

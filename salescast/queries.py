@@ -222,3 +222,144 @@ def q_replace_days(spark, sf):
     sinks.replace_days(stale_bronze(spark, sf), table)
     run_load(spark, root, table, window=LOAD_WINDOW)
     return spark.table(table)
+
+
+# ------------------------------------------------------------------ M3 forecasting
+import datetime as _dt  # noqa: E402
+
+from salescast.operators import backtest as bt  # noqa: E402
+from salescast.operators import forecasters as fc  # noqa: E402
+from salescast.operators import series as ser  # noqa: E402
+
+KEYS = list(bridge.SERIES_KEYS)
+KEY_TYPES = [("c_mktsegment", "string"), ("n_regionkey", "int")]
+HORIZON, N_FOLDS, MIN_TRAIN = 14, 8, 60
+# The run stamp written on forecast tables by registered queries.
+RUN_TS = _dt.datetime(2001, 8, 2, 6, 0, 0)
+CLOSED_WEEKDAY = 0  # weekday(): Monday = 0 -- the restaurant is closed on Mondays
+
+
+def keyed_stg(spark: SparkSession, sf: str) -> DataFrame:
+    keyed = marts.cast_projection(bridge.keyed_landing_orders(spark, sf), keep=tuple(KEYS))
+    return marts.stg_orders(keyed, KEYS)
+
+
+def daily_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily mart per (segment, region) with Mondays closed (no orders)."""
+    s = keyed_stg(spark, sf)
+    s = s.where(F.weekday(yyyymmdd_to_date("business_date")) != CLOSED_WEEKDAY)
+    return marts.fct_daily_sales(s, KEYS)
+
+
+def numbered(spark: SparkSession, sf: str) -> DataFrame:
+    return ser.numbered_series(ser.to_series(daily_by_key(spark, sf), KEYS), KEYS)
+
+
+def sql_models() -> dict:
+    return {bt.BASELINE: fc.seasonal_naive, "trend_weekday": fc.trend_weekday}
+
+
+def _r(df: DataFrame) -> DataFrame:
+    return fc.round_forecast(df)
+
+
+@register("densify_daily")
+def q_densify_daily(spark, sf):
+    return ser.densify_daily(ser.to_series(daily_by_key(spark, sf), KEYS), KEYS)
+
+
+@register("last_season")
+def q_last_season(spark, sf):
+    return ser.last_n(ser.densify_daily(ser.to_series(daily_by_key(spark, sf), KEYS), KEYS), KEYS, fc.SEASON)
+
+
+@register("seasonal_naive")
+def q_seasonal_naive(spark, sf):
+    ns = numbered(spark, sf)
+    return fc.seasonal_naive(ns, ser.future_origins(ns, KEYS), KEYS, HORIZON).select(*KEYS, "ds", "yhat")
+
+
+def _backtest(spark, sf, models=None):
+    ns = numbered(spark, sf)
+    return bt.run_backtest(ns, KEYS, models or sql_models(), HORIZON, N_FOLDS, HORIZON, MIN_TRAIN)
+
+
+@register("backtest_naive")
+def q_backtest_naive(spark, sf):
+    b = _backtest(spark, sf, {bt.BASELINE: fc.seasonal_naive})
+    return b.select(*KEYS, "model", "fold", "ds", "y", "yhat")
+
+
+def _metrics(spark, sf):
+    return bt.model_metrics(_backtest(spark, sf), KEYS, HORIZON, N_FOLDS, RUN_TS)
+
+
+def _one_metric(name):
+    def q(spark, sf):
+        b = _backtest(spark, sf, {bt.BASELINE: fc.seasonal_naive})
+        return bt.model_metrics(b, KEYS, HORIZON, N_FOLDS, RUN_TS).select(*KEYS, "model", name)
+
+    return q
+
+
+for _m in ("mae", "rmse", "mape", "wape"):
+    register(f"metric_{_m}")(_one_metric(_m))
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf):
+    return _metrics(spark, sf)
+
+
+@register("champion")
+def q_champion(spark, sf):
+    return bt.champion(_metrics(spark, sf), KEYS)
+
+
+def _champion_fc(spark, sf):
+    ns = numbered(spark, sf)
+    b = bt.run_backtest(ns, KEYS, sql_models(), HORIZON, N_FOLDS, HORIZON, MIN_TRAIN)
+    winners = bt.champion(bt.model_metrics(b, KEYS, HORIZON, N_FOLDS, RUN_TS), KEYS)
+    return ns, b, winners, _r(bt.champion_forecast(ns, KEYS, sql_models(), winners, HORIZON))
+
+
+@register("champion_forecast")
+def q_champion_forecast(spark, sf):
+    return _champion_fc(spark, sf)[3]
+
+
+@register("forecast_rows")
+def q_forecast_rows(spark, sf):
+    return bt.forecast_rows(_champion_fc(spark, sf)[3], KEYS, RUN_TS)
+
+
+@register("backtest_rows")
+def q_backtest_rows(spark, sf):
+    return bt.backtest_rows(_r(_backtest(spark, sf)), KEYS, RUN_TS)
+
+
+@register("history_plus_forecast")
+def q_history_plus_forecast(spark, sf):
+    ns, _, _, f = _champion_fc(spark, sf)
+    return bt.history_plus_forecast(ns, f, KEYS)
+
+
+@register("plugin_forecaster")
+def q_plugin_forecaster(spark, sf):
+    from pyspark.sql import types as T
+
+    kt = [("c_mktsegment", T.StringType()), ("n_regionkey", T.IntegerType())]
+    plug = bt.pandas_model(bt.pandas_seasonal_naive, kt)
+    b = _backtest(spark, sf, {bt.BASELINE: plug})
+    return b.select(*KEYS, "model", "fold", "ds", "y", "yhat")
+
+
+@register("trend_weekday_forecast")
+def q_trend_weekday_forecast(spark, sf):
+    ns = numbered(spark, sf)
+    return _r(fc.trend_weekday(ns, ser.future_origins(ns, KEYS), KEYS, HORIZON))
+
+
+@register("backtest_trend_weekday")
+def q_backtest_trend_weekday(spark, sf):
+    return _r(_backtest(spark, sf, {"trend_weekday": fc.trend_weekday}))

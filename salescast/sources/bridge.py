@@ -67,7 +67,7 @@ def check_lines(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def order_header(orders: DataFrame) -> DataFrame:
+def order_header(orders: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Order-level fields of the document, in source naming."""
     opened = F.col("o_orderdate") + F.make_interval(
         hours=(F.lit(OPEN_HOUR_BASE) + F.col("o_orderkey") % OPEN_HOUR_SPREAD).cast("int")
@@ -96,6 +96,7 @@ def order_header(orders: DataFrame) -> DataFrame:
             F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0").alias("zipCode"),
         ).alias("deliveryInfo"),
         F.col("o_custkey"),
+        *extra,
     )
 
 
@@ -171,8 +172,9 @@ def _acc(c: Column) -> Column:
     return F.coalesce(F.sum(c), F.lit(0)).cast(ACC)
 
 
-def landing_orders_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Flat landing rows by mergeable aggregation over line items (see module doc)."""
+def landing_orders_from(orders: DataFrame, lineitem: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Flat landing rows by mergeable aggregation over line items (see module
+    doc). ``extra`` order columns (e.g. series keys) are carried through."""
     lines = check_lines(lineitem)
     live = ~F.col("check_voided") & ~F.col("check_deleted")
     deferred = live & F.col("sel_deferred") & ~F.col("sel_voided")
@@ -184,7 +186,7 @@ def landing_orders_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         _acc(F.when(live, F.col("tip"))).alias("tip"),
         _acc(F.when(deferred, F.lit(DEFERRED_PRICE).cast(MONEY))).alias("deferred"),
     )
-    head = order_header(orders)
+    head = order_header(orders, extra)
     j = head.join(per_order, head["o_orderkey"] == per_order["l_orderkey"], "left")
     z = F.lit(0).cast(ACC)
     return j.select(
@@ -203,23 +205,28 @@ def landing_orders_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         rounded(F.coalesce(F.col("deferred"), z), 4).alias("deferred_amount"),
         F.col("voided"),
         F.col("deleted"),
-    ).select(*ORDER_COLUMNS)
+        *extra,
+    ).select(*extra, *ORDER_COLUMNS)
 
 
 def landing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing_orders_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
 
 
-def order_series_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """order_guid -> (c_mktsegment, n_regionkey): the multi-series key of an order.
+# The multi-series key of an order (market segment x region).
+SERIES_KEYS = ("c_mktsegment", "n_regionkey")
+
 
-    customer and nation are joined by key; the planner (with AQE) picks
-    broadcast or sort-merge on measured size, so no hint is forced here."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+def keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders + (c_mktsegment, n_regionkey). customer and nation are joined by
+    key; the planner (with AQE) picks broadcast or sort-merge on measured
+    size, so no hint is forced on a table that grows with the data."""
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    return (
-        o.join(c, o["o_custkey"] == c["c_custkey"])
-        .join(n, F.col("c_nationkey") == n["n_nationkey"])
-        .select(F.col("o_orderkey").cast("string").alias("order_guid"), "c_mktsegment", "n_regionkey")
-    )
+    return o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, F.col("c_nationkey") == n["n_nationkey"])
+
+
+def keyed_landing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing rows with the series key columns in front."""
+    return landing_orders_from(keyed_orders(spark, sf_dir), table(spark, sf_dir, "lineitem"), SERIES_KEYS)
