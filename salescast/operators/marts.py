@@ -63,12 +63,15 @@ def fct_daily_sales(stg: DataFrame, keys: list[str] | None = None) -> DataFrame:
     )
 
 
-def today_orders(raw: DataFrame, today: int, tz: str = BUSINESS_TZ) -> DataFrame:
-    """Today-so-far aggregate over one landing day. ``today`` is a
-    literal, so the day filter prunes partitions statically."""
+def today_orders(raw: DataFrame, today, tz: str = BUSINESS_TZ, keys: list[str] | None = None) -> DataFrame:
+    """Today-so-far aggregate over one landing day. With an int
+    ``today`` the day filter is a literal, so a partitioned landing scan
+    prunes statically; a Column (scalar subquery) is also accepted."""
+    keys = keys or []
+    day = F.lit(today) if isinstance(today, int) else today
     return (
-        live_orders(raw.where(F.col("business_date") == F.lit(today)))
-        .groupBy(F.col("business_date").cast("bigint").alias("business_date"))
+        live_orders(raw.where(F.col("business_date") == day))
+        .groupBy(*keys, F.col("business_date").cast("bigint").alias("business_date"))
         .agg(
             F.count(F.lit(1)).alias("order_count"),
             F.sum("num_guests").cast("bigint").alias("guest_count"),
@@ -78,20 +81,28 @@ def today_orders(raw: DataFrame, today: int, tz: str = BUSINESS_TZ) -> DataFrame
     )
 
 
-def intraday_today(raw: DataFrame, forecast: DataFrame, today: int, tz: str = BUSINESS_TZ) -> DataFrame:
-    """C4: exactly one row for ``today`` -- a one-row anchor left-joined to
-    today's aggregate and to the forecast row for the day."""
-    spark = raw.sparkSession
-    anchor = spark.range(1).select(F.lit(today).cast("bigint").alias("business_date"))
-    o = today_orders(raw, today, tz)
-    f = forecast.where(F.col("forecast_date") == F.lit(today)).select(
-        F.col("forecast_date").alias("f_date"), "yhat", "yhat_lower", "yhat_upper"
+def intraday_today(raw: DataFrame, forecast: DataFrame, today, tz: str = BUSINESS_TZ, keys: list[str] | None = None,
+                   anchor_keys: DataFrame | None = None) -> DataFrame:
+    """C4: exactly one row for ``today`` (per key of ``anchor_keys`` when
+    keyed) -- an anchor left-joined to today's aggregate and to the forecast
+    row for the day. Zeros/NULLs, never an empty result."""
+    keys = keys or []
+    day = F.lit(today) if isinstance(today, int) else today
+    if keys:
+        anchor = anchor_keys.select(*keys).distinct().withColumn("business_date", day.cast("bigint"))
+    else:
+        anchor = raw.sparkSession.range(1).select(day.cast("bigint").alias("business_date"))
+    on = [*keys, "business_date"]
+    o = today_orders(raw, today, tz, keys)
+    f = forecast.where(F.col("forecast_date") == day).select(
+        *keys, F.col("forecast_date").alias("business_date"), "yhat", "yhat_lower", "yhat_upper"
     )
     so_far = F.coalesce(F.col("net_sales_so_far"), F.lit(0.0))
     return (
-        anchor.join(o, "business_date", "left")
-        .join(f, F.col("business_date") == F.col("f_date"), "left")
+        anchor.join(o, on, "left")
+        .join(f, on, "left")
         .select(
+            *keys,
             "business_date",
             F.coalesce("order_count", F.lit(0)).cast("bigint").alias("order_count"),
             F.coalesce("guest_count", F.lit(0)).cast("bigint").alias("guest_count"),

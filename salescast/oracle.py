@@ -191,7 +191,7 @@ kdaily AS (
   SELECT {K}, business_date,
          CAST(round(sum(CAST(net_amount AS DECIMAL(18,4))) - sum(CAST(deferred_amount AS DECIMAL(18,4))), 2) AS DOUBLE) AS net_sales
   FROM kstg
-  WHERE isodow(CAST(strptime(CAST(business_date AS VARCHAR), '%Y%m%d') AS DATE)) <> 1
+  WHERE isodow(CAST(strptime(CAST(business_date AS VARCHAR), '%Y%m%d') AS DATE)) <> 1 /*HIST*/
   GROUP BY {K}, business_date
 ),
 ser AS (SELECT {K}, CAST(strptime(CAST(business_date AS VARCHAR), '%Y%m%d') AS DATE) AS ds, CAST(net_sales AS DOUBLE) AS y FROM kdaily),
@@ -280,8 +280,13 @@ cfc AS (
 )"""
 
 
-def with_series(select: str) -> str:
-    return "WITH " + SERIES + ("" if select.lstrip().startswith(",") else "\n") + select
+def with_series(select: str, history_before_today: bool = False) -> str:
+    """Bridge + keyed series CTEs; optionally only history before 'today'
+    (the latest landed business day), as a nightly forecast would see it."""
+    body = SERIES
+    if history_before_today:
+        body = body.replace("/*HIST*/", "AND business_date < (SELECT max(business_date) FROM landing)")
+    return "WITH " + body + ("" if select.lstrip().startswith(",") else "\n") + select
 
 
 SQL["densify_daily"] = with_series(f"SELECT {K}, ds, y FROM dense")
@@ -316,3 +321,136 @@ SQL["backtest_trend_weekday"] = with_series(
     f"""SELECT {K}, model, fold, ds, y, round(yhat, 2) AS yhat, round(yhat_lower, 2) AS yhat_lower,
   round(yhat_upper, 2) AS yhat_upper FROM bt WHERE model = 'trend_weekday'"""
 )
+
+# -- M4 serving + quality ---------------------------------------------------------
+SERVING = f""",
+fcr AS (SELECT {K}, CAST(strftime(ds, '%Y%m%d') AS BIGINT) AS forecast_date, yhat, yhat_lower, yhat_upper, model,
+               TIMESTAMP '2001-08-02 06:00:00' AS run_ts FROM cfc),
+btr AS (SELECT {K}, CAST(strftime(ds, '%Y%m%d') AS BIGINT) AS forecast_date, round(yhat, 2) AS yhat, model, fold FROM bt),
+win AS (SELECT {K}, max(model) AS model FROM fcr GROUP BY {K}),
+cbt AS (SELECT b.c_mktsegment, b.n_regionkey, b.forecast_date AS business_date, b.yhat FROM btr b JOIN win w ON {_kj('b', 'w')} AND b.model = w.model),
+act AS (SELECT {K}, CAST(business_date AS BIGINT) AS business_date, net_sales FROM kdaily),
+fj AS (
+  SELECT coalesce(a.c_mktsegment, f.c_mktsegment) AS c_mktsegment, coalesce(a.n_regionkey, f.n_regionkey) AS n_regionkey,
+         coalesce(a.business_date, f.forecast_date) AS business_date, a.net_sales, a.business_date AS a_bd,
+         f.forecast_date AS f_bd, f.yhat AS fy, f.yhat_lower, f.yhat_upper, f.model, f.run_ts
+  FROM act a FULL OUTER JOIN fcr f ON {_kj('a', 'f')} AND a.business_date = f.forecast_date
+),
+fva AS (
+  SELECT fj.c_mktsegment, fj.n_regionkey, fj.business_date,
+         CAST(strptime(CAST(fj.business_date AS VARCHAR), '%Y%m%d') AS DATE) AS date_day,
+         fj.net_sales AS net_sales_actual, coalesce(fj.fy, b.yhat) AS yhat, fj.yhat_lower, fj.yhat_upper, fj.model, fj.run_ts,
+         (fj.a_bd IS NULL AND fj.f_bd IS NOT NULL) AS is_forecast,
+         CASE WHEN fj.fy IS NOT NULL THEN 'forecast' WHEN b.yhat IS NOT NULL THEN 'backtest' END AS yhat_source
+  FROM fj LEFT JOIN cbt b ON {_kj('fj', 'b')} AND fj.business_date = b.business_date
+)"""
+
+INTRADAY = f""",
+today AS (SELECT max(business_date) AS d FROM landing),
+tko AS (
+  SELECT k.c_mktsegment, k.n_regionkey, count(*) AS order_count, CAST(sum(b.num_guests) AS BIGINT) AS guest_count,
+         CAST(round(sum(CAST(b.net_amount AS DECIMAL(18,4))) - sum(CAST(b.deferred_amount AS DECIMAL(18,4))), 2) AS DOUBLE) AS net_sales_so_far,
+         max(CAST(b.opened_date AS TIMESTAMPTZ) AT TIME ZONE 'America/Chicago') AS last_order_opened_at
+  FROM bronze b JOIN okeys k USING (order_guid)
+  WHERE b.business_date = (SELECT d FROM today) AND NOT b.voided AND NOT b.deleted
+  GROUP BY k.c_mktsegment, k.n_regionkey
+),
+anchor AS (SELECT DISTINCT {K}, (SELECT d FROM today) AS business_date FROM heads),
+fct_today AS (SELECT * FROM cfc WHERE CAST(strftime(ds, '%Y%m%d') AS BIGINT) = (SELECT d FROM today)),
+intraday AS (
+  SELECT a.c_mktsegment, a.n_regionkey, a.business_date, coalesce(o.order_count, 0) AS order_count,
+         coalesce(o.guest_count, 0) AS guest_count, coalesce(o.net_sales_so_far, 0.0) AS net_sales_so_far,
+         o.last_order_opened_at, f.yhat AS forecast_total, f.yhat_lower, f.yhat_upper,
+         CASE WHEN f.yhat > 0 THEN round(coalesce(o.net_sales_so_far, 0.0) / f.yhat * 100, 1) END AS pct_of_forecast
+  FROM anchor a LEFT JOIN tko o ON {_kj('a', 'o')} LEFT JOIN fct_today f ON {_kj('a', 'f')}
+)"""
+
+SQL["forecast_vs_actuals"] = with_series(SERVING + "\nSELECT * FROM fva")
+SQL["champion_backtest"] = with_series(SERVING + "\nSELECT * FROM cbt")
+SQL["intraday_today"] = with_series(INTRADAY + "\nSELECT * FROM intraday", history_before_today=True)
+SQL["hourly_net_sales"] = with_flat(
+    """, hourly AS (
+  SELECT business_date, hour(CAST(opened_at AS TIMESTAMPTZ) AT TIME ZONE 'America/Chicago') AS hr, count(*) AS order_count,
+         sum(CAST(net_amount AS DECIMAL(18,4))) - sum(CAST(deferred_amount AS DECIMAL(18,4))) AS net
+  FROM (SELECT business_date, opened_at AT TIME ZONE 'UTC' AS opened_at, net_amount, deferred_amount FROM stg) s
+  GROUP BY 1, 2
+)
+SELECT business_date, hr, order_count, CAST(round(net, 2) AS DOUBLE) AS net_sales,
+       CAST(round(sum(net) OVER (PARTITION BY business_date ORDER BY hr ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS DOUBLE)
+         AS cumulative_net_sales
+FROM hourly"""
+)
+SQL["reconcile"] = with_flat(
+    """, src AS (
+  SELECT business_date,
+         CAST(round(sum(CAST(net_amount AS DECIMAL(18,4))) - sum(CAST(deferred_amount AS DECIMAL(18,4))), 2) AS DOUBLE) AS net_sales
+  FROM landing WHERE NOT voided GROUP BY business_date
+)
+SELECT CAST(f.business_date AS BIGINT) AS business_date, f.net_sales AS mart_net_sales, s.net_sales AS source_net_sales,
+       round(f.net_sales - s.net_sales, 2) AS diff
+FROM fct f JOIN src s ON CAST(f.business_date AS BIGINT) = s.business_date
+WHERE abs(f.net_sales - s.net_sales) > 0.01"""
+)
+
+
+def _cell_num(c: str) -> str:
+    return f"coalesce(CAST(CAST(round({c}, 4) AS DECIMAL(38,4)) AS VARCHAR), '')"
+
+
+SQL["publish_serving"] = with_series(
+    SERVING + f"""
+SELECT coalesce(CAST(c_mktsegment AS VARCHAR), '') AS c_mktsegment, coalesce(CAST(n_regionkey AS VARCHAR), '') AS n_regionkey,
+       coalesce(CAST(business_date AS VARCHAR), '') AS business_date, coalesce(strftime(date_day, '%Y-%m-%d'), '') AS date_day,
+       {_cell_num('net_sales_actual')} AS net_sales_actual, {_cell_num('yhat')} AS yhat,
+       {_cell_num('yhat_lower')} AS yhat_lower, {_cell_num('yhat_upper')} AS yhat_upper,
+       coalesce(model, '') AS model, coalesce(strftime(run_ts, '%Y-%m-%d %H:%M:%S'), '') AS run_ts,
+       CASE WHEN is_forecast THEN 'True' WHEN NOT is_forecast THEN 'False' ELSE '' END AS is_forecast,
+       coalesce(yhat_source, '') AS yhat_source
+FROM fva"""
+)
+_DQ_SERIES = SERVING + INTRADAY.replace("today AS", "today0 AS", 1)
+SQL["dq_not_null"] = with_series(
+    SERVING + """
+SELECT 'stg_orders' AS model, 'order_guid' AS "column", CAST(count(*) FILTER (WHERE order_guid IS NULL) AS BIGINT) AS failures FROM stg
+UNION ALL SELECT 'stg_orders', 'business_date', CAST(count(*) FILTER (WHERE business_date IS NULL) AS BIGINT) FROM stg
+UNION ALL SELECT 'fct_daily_sales', 'business_date', CAST(count(*) FILTER (WHERE business_date IS NULL) AS BIGINT) FROM fct
+UNION ALL SELECT 'fct_daily_sales', 'order_count', CAST(count(*) FILTER (WHERE order_count IS NULL) AS BIGINT) FROM fct
+UNION ALL SELECT 'forecast_vs_actuals', 'business_date', CAST(count(*) FILTER (WHERE business_date IS NULL) AS BIGINT) FROM fva
+UNION ALL SELECT 'intraday_today', 'business_date', CAST(0 AS BIGINT)"""
+)
+SQL["dq_unique"] = with_series(
+    SERVING + """
+SELECT 'stg_orders' AS model, 'order_guid' AS "column", count(*) AS failures FROM (SELECT order_guid FROM stg GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'fct_daily_sales', 'business_date', count(*) FROM (SELECT business_date FROM fct GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'forecast_vs_actuals', 'c_mktsegment,n_regionkey,business_date', count(*)
+  FROM (SELECT c_mktsegment, n_regionkey, business_date FROM fva GROUP BY 1, 2, 3 HAVING count(*) > 1)
+UNION ALL SELECT 'intraday_today', 'c_mktsegment,n_regionkey,business_date', CAST(0 AS BIGINT)"""
+)
+SQL["dq_non_negative"] = with_series(f"SELECT {K}, business_date, net_sales FROM kdaily WHERE net_sales < 0")
+SQL["dq_no_fanout"] = with_series(
+    SERVING + f"""
+, s AS (SELECT {K}, count(*) AS serving_rows FROM fva GROUP BY {K}),
+m AS (SELECT {K}, count(*) AS mart_rows FROM kdaily GROUP BY {K})
+SELECT coalesce(s.c_mktsegment, m.c_mktsegment) AS c_mktsegment, coalesce(s.n_regionkey, m.n_regionkey) AS n_regionkey,
+       coalesce(s.serving_rows, 0) AS serving_rows, coalesce(m.mart_rows, 0) AS mart_rows,
+       coalesce(s.serving_rows, 0) = coalesce(m.mart_rows, 0) + 14 AS ok
+FROM s FULL OUTER JOIN m ON {_kj('s', 'm')}"""
+)
+SQL["drift_audit"] = with_flat(
+    """SELECT count(*) AS "rows", count(DISTINCT business_date) AS days, CAST(0 AS BIGINT) AS bad_business_date,
+  CAST(0 AS BIGINT) AS bad_num_guests, CAST(0 AS BIGINT) AS bad_voided, CAST(0 AS BIGINT) AS bad_deleted FROM landing"""
+)
+SQL["parity_by_day"] = with_stale(
+    """, ln AS (
+  SELECT business_date, CAST(round(sum(CAST(net_amount AS DECIMAL(18,4))) - sum(CAST(deferred_amount AS DECIMAL(18,4))), 2) AS DOUBLE) AS v
+  FROM landing WHERE NOT voided AND NOT deleted GROUP BY 1
+),
+bn AS (
+  SELECT business_date, CAST(round(sum(CAST(net_amount AS DECIMAL(18,4))) - sum(CAST(deferred_amount AS DECIMAL(18,4))), 2) AS DOUBLE) AS v
+  FROM stale WHERE NOT voided AND NOT deleted GROUP BY 1
+)
+SELECT coalesce(l.business_date, b.business_date) AS business_date, l.v AS left_value, b.v AS right_value,
+       round(coalesce(l.v, 0.0) - coalesce(b.v, 0.0), 2) AS diff
+FROM ln l FULL OUTER JOIN bn b ON l.business_date = b.business_date
+WHERE l.v IS NULL OR b.v IS NULL OR round(coalesce(l.v, 0.0) - coalesce(b.v, 0.0), 2) <> 0"""
+)

@@ -244,15 +244,18 @@ def keyed_stg(spark: SparkSession, sf: str) -> DataFrame:
     return marts.stg_orders(keyed, KEYS)
 
 
-def daily_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily mart per (segment, region) with Mondays closed (no orders)."""
+def daily_by_key(spark: SparkSession, sf: str, before=None) -> DataFrame:
+    """Daily mart per (segment, region) with Mondays closed (no orders);
+    ``before`` (a day key or Column) keeps only earlier days."""
     s = keyed_stg(spark, sf)
     s = s.where(F.weekday(yyyymmdd_to_date("business_date")) != CLOSED_WEEKDAY)
+    if before is not None:
+        s = s.where(F.col("business_date") < before)
     return marts.fct_daily_sales(s, KEYS)
 
 
-def numbered(spark: SparkSession, sf: str) -> DataFrame:
-    return ser.numbered_series(ser.to_series(daily_by_key(spark, sf), KEYS), KEYS)
+def numbered(spark: SparkSession, sf: str, before=None) -> DataFrame:
+    return ser.numbered_series(ser.to_series(daily_by_key(spark, sf, before), KEYS), KEYS)
 
 
 def sql_models() -> dict:
@@ -363,3 +366,125 @@ def q_trend_weekday_forecast(spark, sf):
 @register("backtest_trend_weekday")
 def q_backtest_trend_weekday(spark, sf):
     return _r(_backtest(spark, sf, {"trend_weekday": fc.trend_weekday}))
+
+
+# ------------------------------------------------------------------ M4 serving + quality
+from salescast.operators import quality as dq  # noqa: E402
+from salescast.operators import serve  # noqa: E402
+from salescast.operators.series import future_origins, series_heads  # noqa: E402
+
+
+def _serving(spark, sf):
+    """forecast_daily_sales + backtest_predictions rows and the actuals."""
+    ns, b, winners, f = _champion_fc(spark, sf)
+    fct_rows = bt.forecast_rows(f, KEYS, RUN_TS)
+    bt_rows = bt.backtest_rows(_r(b), KEYS, RUN_TS)
+    return daily_by_key(spark, sf), fct_rows, bt_rows
+
+
+def fva(spark, sf):
+    actuals, fct_rows, bt_rows = _serving(spark, sf)
+    return serve.forecast_vs_actuals(actuals, fct_rows, bt_rows, KEYS)
+
+
+@register("forecast_vs_actuals")
+def q_forecast_vs_actuals(spark, sf):
+    return fva(spark, sf)
+
+
+@register("champion_backtest")
+def q_champion_backtest(spark, sf):
+    _, fct_rows, bt_rows = _serving(spark, sf)
+    return serve.champion_backtest(bt_rows, fct_rows, KEYS)
+
+
+def intraday(spark, sf):
+    """P5 per key: today's so-far vs the nightly champion forecast made from
+    history before today ('today' = the latest landed business day)."""
+    raw = marts.cast_projection(bridge.keyed_landing_orders(spark, sf), keep=tuple(KEYS))
+    today = today_key(raw)
+    ns = numbered(spark, sf, before=today)
+    b = bt.run_backtest(ns, KEYS, sql_models(), HORIZON, N_FOLDS, HORIZON, MIN_TRAIN)
+    winners = bt.champion(bt.model_metrics(b, KEYS, HORIZON, N_FOLDS, RUN_TS), KEYS)
+    f = bt.forecast_rows(_r(bt.champion_forecast(ns, KEYS, sql_models(), winners, HORIZON)), KEYS, RUN_TS)
+    return marts.intraday_today(raw, f, today, keys=KEYS, anchor_keys=series_heads(ns, KEYS))
+
+
+@register("intraday_today")
+def q_intraday_today(spark, sf):
+    return intraday(spark, sf)
+
+
+@register("hourly_net_sales")
+def q_hourly_net_sales(spark, sf):
+    return marts.hourly_net_sales(stg(spark, sf))
+
+
+def source_report(spark, sf):
+    """The POS system's own daily net-sales report (fixture): it drops voided
+    orders but does not know about deleted ones."""
+    land = bridge.landing_orders(spark, sf).where(~F.col("voided"))
+    from salescast.functions.money import money_sum, rounded
+
+    return land.groupBy(F.col("business_date").cast("bigint").alias("business_date")).agg(
+        rounded(money_sum("net_amount") - money_sum("deferred_amount"), 2).alias("net_sales"))
+
+
+@register("reconcile")
+def q_reconcile(spark, sf):
+    path = sinks.stage_dir(spark, "seed")
+    source_report(spark, sf).write.mode("overwrite").option("header", True).csv(path)
+    return marts.reconcile(fct(spark, sf), readers.read_seed(spark, path))
+
+
+@register("publish_serving")
+def q_publish_serving(spark, sf):
+    return sinks.serving_cells(fva(spark, sf))
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf):
+    return dq.not_null_summary([
+        ("stg_orders", stg(spark, sf), ["order_guid", "business_date"]),
+        ("fct_daily_sales", fct(spark, sf), ["business_date", "order_count"]),
+        ("forecast_vs_actuals", fva(spark, sf), ["business_date"]),
+        ("intraday_today", intraday(spark, sf), ["business_date"]),
+    ])
+
+
+@register("dq_unique")
+def q_dq_unique(spark, sf):
+    return dq.unique_summary([
+        ("stg_orders", stg(spark, sf), ["order_guid"]),
+        ("fct_daily_sales", fct(spark, sf), ["business_date"]),
+        ("forecast_vs_actuals", fva(spark, sf), [*KEYS, "business_date"]),
+        ("intraday_today", intraday(spark, sf), [*KEYS, "business_date"]),
+    ])
+
+
+@register("dq_non_negative")
+def q_dq_non_negative(spark, sf):
+    return dq.non_negative(daily_by_key(spark, sf), keys=KEYS)
+
+
+@register("dq_no_fanout")
+def q_dq_no_fanout(spark, sf):
+    return dq.no_fanout(fva(spark, sf), daily_by_key(spark, sf), HORIZON, KEYS)
+
+
+@register("drift_audit")
+def q_drift_audit(spark, sf):
+    from pyspark.sql import types as T
+
+    raw = bridge.nested_orders(spark, sf).select(F.to_json(F.struct("*")).alias("doc"))
+    text = raw.select(*[F.get_json_object("doc", f"$.{src}").alias(dst) for src, dst in
+                        (("businessDate", "business_date"), ("numberOfGuests", "num_guests"), ("voided", "voided"),
+                         ("deleted", "deleted"))])
+    schema = T.StructType([T.StructField("business_date", T.LongType()), T.StructField("num_guests", T.LongType()),
+                           T.StructField("voided", T.BooleanType()), T.StructField("deleted", T.BooleanType())])
+    return dq.drift_audit(text, schema)
+
+
+@register("parity_by_day")
+def q_parity_by_day(spark, sf):
+    return dq.parity_by_day(dq.live_net_by_day(bridge.landing_orders(spark, sf)), dq.live_net_by_day(stale_bronze(spark, sf)))
