@@ -10,8 +10,9 @@ from salescast.schemas import LANDING_ORDERS, NESTED_ORDER, SEED_SUMMARY
 def scan_raw_orders(spark: SparkSession, root: str) -> DataFrame:
     """A1: every ``business_date=*`` directory under ``root`` with the pinned
     landing schema. The directory value is authoritative and comes back as
-    BIGINT because the pinned schema says so (inference would give INT)."""
-    return spark.read.schema(LANDING_ORDERS).parquet(root)
+    BIGINT because the pinned schema says so (inference would give INT).
+    Spark moves partition columns last; the pinned column order is restored."""
+    return spark.read.schema(LANDING_ORDERS).parquet(root).select(*LANDING_ORDERS.fieldNames())
 
 
 def read_nested_orders(spark: SparkSession, path: str) -> DataFrame:
