@@ -40,10 +40,12 @@ def deferred(lc: Column) -> Column:
     )
 
 
-def flatten_orders(docs: DataFrame) -> DataFrame:
-    """Flatten nested documents to the 15-column landing row (int64 counts)."""
+def flatten_orders(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Flatten nested documents to the 15-column landing row (int64 counts).
+    ``carry`` names non-PII document columns kept in front (e.g. a version)."""
     lc = live_checks(F.col("checks"))
     out = docs.select(
+        *carry,
         F.col("businessDate").cast("bigint").alias("business_date"),
         F.col("guid").alias("order_guid"),
         F.col("openedDate").alias("opened_date"),
@@ -60,7 +62,7 @@ def flatten_orders(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("voided"), F.lit(False)).alias("voided"),
         F.coalesce(F.col("deleted"), F.lit(False)).alias("deleted"),
     )
-    assert_no_pii(out)
+    assert_no_pii(out.drop(*carry))
     return out
 
 

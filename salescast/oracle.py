@@ -454,3 +454,80 @@ SELECT coalesce(l.business_date, b.business_date) AS business_date, l.v AS left_
 FROM ln l FULL OUTER JOIN bn b ON l.business_date = b.business_date
 WHERE l.v IS NULL OR b.v IS NULL OR round(coalesce(l.v, 0.0) - coalesce(b.v, 0.0), 2) <> 0"""
 )
+
+# -- M5 regression family -------------------------------------------------------
+SQL["fourier_features"] = with_series(
+    "SELECT DISTINCT ds, "
+    + ", ".join(
+        f"round({fn}(2 * pi() * {k} / 365.25 * CAST(date_diff('day', DATE '1970-01-01', ds) AS DOUBLE)), 9) AS {fn}{k}"
+        for k in (1, 2, 3) for fn in ("sin", "cos")
+    )
+    + " FROM dense"
+)
+_YEARS = "SELECT unnest(range(CAST(year((SELECT min(ds) FROM dense)) AS BIGINT), CAST(year((SELECT max(ds) FROM dense) + 14) AS BIGINT) + 1)) AS y"
+
+
+def _obs(d: str) -> str:
+    return f"CASE isodow({d}) WHEN 6 THEN {d} - 1 WHEN 7 THEN {d} + 1 ELSE {d} END"
+
+
+def _nth(m: int, wd_iso: int, n: int) -> str:
+    first = f"make_date(CAST(y AS INTEGER), {m}, 1)"
+    if n > 0:
+        return f"CAST({first} + CAST((({wd_iso} - isodow({first}) + 7) % 7) + 7 * {n - 1} AS INTEGER) AS DATE)"
+    last = f"CAST(last_day({first}) AS DATE)"
+    return f"CAST({last} - CAST(((isodow({last}) - {wd_iso} + 7) % 7) AS INTEGER) AS DATE)"
+
+
+_HOL = [
+    f"SELECT CAST({_obs('make_date(CAST(y AS INTEGER), 1, 1)')} AS DATE) AS ds, 'New Year''s Day' AS holiday FROM yrs",
+    f"SELECT CAST({_obs('make_date(CAST(y AS INTEGER), 6, 19)')} AS DATE), 'Juneteenth National Independence Day' FROM yrs WHERE y >= 2021",
+    f"SELECT CAST({_obs('make_date(CAST(y AS INTEGER), 7, 4)')} AS DATE), 'Independence Day' FROM yrs",
+    f"SELECT CAST({_obs('make_date(CAST(y AS INTEGER), 11, 11)')} AS DATE), 'Veterans Day' FROM yrs WHERE y >= 1938",
+    f"SELECT CAST({_obs('make_date(CAST(y AS INTEGER), 12, 25)')} AS DATE), 'Christmas Day' FROM yrs",
+    f"SELECT {_nth(1, 1, 3)}, 'Martin Luther King Jr. Day' FROM yrs",
+    f"SELECT {_nth(2, 1, 3)}, 'Washington''s Birthday' FROM yrs",
+    f"SELECT {_nth(5, 1, -1)}, 'Memorial Day' FROM yrs",
+    f"SELECT {_nth(9, 1, 1)}, 'Labor Day' FROM yrs",
+    f"SELECT {_nth(10, 1, 2)}, 'Columbus Day' FROM yrs",
+    f"SELECT {_nth(11, 4, 4)}, 'Thanksgiving' FROM yrs",
+]
+SQL["holiday_calendar"] = with_series(f", yrs AS ({_YEARS})\n" + "\nUNION ALL\n".join(_HOL))
+SQL["trend_fit"] = with_series(
+    f"SELECT {K}, round(regr_slope(y, rn), 6) AS slope, round(regr_intercept(y, rn), 4) AS intercept, count(*) AS n FROM dense GROUP BY {K}"
+)
+SQL["weekday_index"] = with_series(
+    f""", tf AS (SELECT {K}, regr_slope(y, rn) AS slope, regr_intercept(y, rn) AS intercept FROM dense GROUP BY {K})
+SELECT d.c_mktsegment, d.n_regionkey, CAST(isodow(d.ds) - 1 AS INTEGER) AS wd,
+       round(avg(d.y) / avg(t.intercept + t.slope * d.rn), 6) AS "index"
+FROM dense d JOIN tf t ON {_kj('d', 't')}
+GROUP BY d.c_mktsegment, d.n_regionkey, isodow(d.ds)"""
+)
+
+# -- M6 edits, conform, streaming ------------------------------------------------------
+SQL["late_edits"] = with_flat(
+    """SELECT business_date, order_guid, opened_date, closed_date, source, dining_option_guid, num_guests, num_checks,
+  net_amount, total_amount, tax_amount,
+  CASE WHEN CAST(order_guid AS BIGINT) % 11 = 0 THEN round(tip_amount + 1.0, 4) ELSE tip_amount END AS tip_amount,
+  deferred_amount, voided, deleted,
+  CAST(CASE WHEN CAST(order_guid AS BIGINT) % 11 = 0 THEN 2 ELSE 1 END AS BIGINT) AS version
+FROM landing"""
+)
+SQL["safe_cast"] = SQL["scan_raw_orders"]
+SQL["conform_archive"] = SQL["scan_raw_orders"]
+SQL["drift_report"] = with_flat("SELECT DISTINCT business_date, 'num_guests,num_checks' AS drifted FROM landing WHERE business_date % 10 = 3")
+SQL["stream_bronze"] = with_flat(
+    """SELECT business_date, order_guid, opened_date, closed_date, source, dining_option_guid, num_guests, num_checks,
+  net_amount, total_amount, tax_amount,
+  CASE WHEN CAST(order_guid AS BIGINT) % 11 = 0 AND n_live > 0 THEN CAST(round(CAST(tip_amount AS DECIMAL(18,4)) + 1.0, 4) AS DOUBLE)
+       ELSE tip_amount END AS tip_amount,
+  deferred_amount, voided, deleted,
+  CAST(CASE WHEN CAST(order_guid AS BIGINT) % 11 = 0 THEN 2 ELSE 1 END AS BIGINT) AS version
+FROM (SELECT b.*, l.n_live FROM bronze b JOIN landing l USING (order_guid))"""
+)
+SQL["stream_today"] = with_flat(
+    """SELECT business_date, count(*) AS order_count, CAST(sum(num_guests) AS BIGINT) AS guest_count,
+  CAST(round(sum(CAST(net_amount AS DECIMAL(18,4))) - sum(CAST(deferred_amount AS DECIMAL(18,4))), 2) AS DOUBLE) AS net_sales_so_far,
+  max(CAST(opened_date AS TIMESTAMPTZ) AT TIME ZONE 'America/Chicago') AS last_order_opened_at
+FROM landing WHERE NOT voided AND NOT deleted GROUP BY business_date"""
+)

@@ -488,3 +488,181 @@ def q_drift_audit(spark, sf):
 @register("parity_by_day")
 def q_parity_by_day(spark, sf):
     return dq.parity_by_day(dq.live_net_by_day(bridge.landing_orders(spark, sf)), dq.live_net_by_day(stale_bronze(spark, sf)))
+
+
+# ------------------------------------------------------------------ M5 regression family
+from salescast.operators import regression as rg  # noqa: E402
+
+
+def _span(ns: DataFrame):
+    """First series day and last forecast day, as scalar subqueries."""
+    return ns.select(F.min("ds")).scalar(), ns.select(F.date_add(F.max("ds"), HORIZON)).scalar()
+
+
+@register("fourier_features")
+def q_fourier_features(spark, sf):
+    d = ser.densify_daily(ser.to_series(daily_by_key(spark, sf), KEYS), KEYS).select("ds").distinct()
+    feats = d.select("ds", *rg.fourier_terms("ds"))
+    return feats.select("ds", *[F.round(c, 9).alias(c) for c in feats.columns if c != "ds"])
+
+
+@register("holiday_calendar")
+def q_holiday_calendar(spark, sf):
+    ns = numbered(spark, sf)
+    lo, hi = _span(ns)
+    return rg.holiday_calendar(spark, lo, hi)
+
+
+@register("trend_fit")
+def q_trend_fit(spark, sf):
+    f = rg.trend_fit(numbered(spark, sf), KEYS)
+    return f.select(*KEYS, F.round("slope", 6).alias("slope"), F.round("intercept", 4).alias("intercept"), "n")
+
+
+@register("weekday_index")
+def q_weekday_index(spark, sf):
+    w = rg.weekday_index(numbered(spark, sf), KEYS)
+    return w.select(*KEYS, "wd", F.round("index", 6).alias("index"))
+
+
+def regression_model(spark, sf, ns):
+    from pyspark.sql import types as T
+
+    lo, hi = _span(ns)
+    kt = [("c_mktsegment", T.StringType()), ("n_regionkey", T.IntegerType())]
+    return rg.seasonal_regression_model(kt, rg.holiday_calendar(spark, lo, hi))
+
+
+@register("seasonal_regression")
+def q_seasonal_regression(spark, sf):
+    """E5 back-test + live forecast per series (pytest-checked, no SQL oracle)."""
+    ns = numbered(spark, sf)
+    model = regression_model(spark, sf, ns)
+    origins = ser.backtest_origins(ns, KEYS, HORIZON, N_FOLDS, HORIZON, MIN_TRAIN).unionByName(ser.future_origins(ns, KEYS))
+    return _r(model(ns, origins, KEYS, HORIZON))
+
+
+# ------------------------------------------------------------------ M6 edits, conform, profile, streaming
+from salescast.operators import conform as cf  # noqa: E402
+from salescast.operators.edits import latest_per_key  # noqa: E402
+from salescast.operators.profile import json_profile  # noqa: E402
+
+# Late-edit fixture -- orders with o_orderkey % 11 = 0 get a
+# second version with the tip raised by 1.00 (a post-close tip adjustment);
+# legacy-writer fixture -- days with business_date % 10 = 3 stored the two
+# counts as DOUBLE (int + NULL promotion).
+EDIT_EVERY = 11
+TIP_ADJUSTMENT = 1.0
+LEGACY_DAY_EVERY, LEGACY_DAY_REM = 10, 3
+LEGACY_COLS = ("num_guests", "num_checks")
+
+
+def versions(spark, sf):
+    land = bridge.landing_orders(spark, sf)
+    v1 = land.withColumn("version", F.lit(1).cast("bigint"))
+    v2 = (land.where(F.col("order_guid").cast("bigint") % EDIT_EVERY == 0)
+          .withColumn("tip_amount", F.round(F.col("tip_amount") + TIP_ADJUSTMENT, 4))
+          .withColumn("version", F.lit(2).cast("bigint")))
+    return v1, v2
+
+
+@register("late_edits")
+def q_late_edits(spark, sf):
+    v1, v2 = versions(spark, sf)
+    return latest_per_key(v1.unionByName(v2), "order_guid", "version")
+
+
+def _legacy(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) if c in LEGACY_COLS else F.col(c) for c in df.columns])
+
+
+@register("safe_cast")
+def q_safe_cast(spark, sf):
+    return cf.conform_frame(_legacy(bridge.landing_orders(spark, sf)), LANDING_ORDERS)
+
+
+def drifted_archive(spark, sf) -> str:
+    """Landing root where legacy days were written by the drifting writer."""
+    land = bridge.landing_orders(spark, sf)
+    legacy_day = F.col("business_date") % LEGACY_DAY_EVERY == LEGACY_DAY_REM
+    root = sinks.stage_dir(spark, "archive")
+    sinks.write_partitions(land.where(~legacy_day), root, LANDING_ORDERS)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    _legacy(land.where(legacy_day)).hint("rebalance", "business_date").write.mode("overwrite").partitionBy("business_date").parquet(root)
+    return root
+
+
+@register("drift_report")
+def q_drift_report(spark, sf):
+    rep = cf.footer_report(spark, drifted_archive(spark, sf))
+    return rep.where(F.col("drifted") != "").select("business_date", "drifted").distinct()
+
+
+@register("conform_archive")
+def q_conform_archive(spark, sf):
+    root = drifted_archive(spark, sf)
+    cf.conform_archive(spark, root)
+    return readers.scan_raw_orders(spark, root)
+
+
+@register("json_profile")
+def q_json_profile(spark, sf):
+    docs = bridge.nested_orders(spark, sf).select(F.to_json(F.struct("*")).alias("doc"))
+    return json_profile(docs, "doc")
+
+
+@register("stream_bronze")
+def q_stream_bronze(spark, sf):
+    """ST1+ST2: two landings of order documents (all orders, then the edited
+    versions) streamed into a versioned bronze table; returns the table."""
+    import uuid
+
+    from salescast.streaming import bronze as sb
+
+    docs_dir = sinks.stage_dir(spark, "docs")
+    nested = bridge.nested_orders(spark, sf)
+    nested.withColumn("version", F.lit(1).cast("bigint")).write.json(f"{docs_dir}/v1")
+    table = f"vbronze_{uuid.uuid4().hex[:12]}"
+    sb.ensure_versioned_bronze(spark, table, sinks.stage_dir(spark, "vbronze"))
+    ck = sinks.stage_dir(spark, "ckpt")
+    q = sb.start_bronze_stream(spark, f"{docs_dir}/v1", table, ck)
+    q.awaitTermination()
+    # second landing: only the edited orders, one tip raised on the first live check
+    edits = nested.where(F.col("guid").cast("bigint") % EDIT_EVERY == 0)
+    edits = edits.withColumn("checks", _edit_first_live_tip(F.col("checks")))
+    edits.withColumn("version", F.lit(2).cast("bigint")).write.json(f"{docs_dir}/v2")
+    q = sb.start_bronze_stream(spark, f"{docs_dir}/v2", table, sinks.stage_dir(spark, "ckpt"))
+    q.awaitTermination()
+    return spark.table(table)
+
+
+def _edit_first_live_tip(checks):
+    """Raise the tip of the first payment of the first live check by the adjustment."""
+    from salescast.functions.arrays import is_live
+
+    first_live = F.array_position(F.transform(checks, lambda c: is_live(c)), True)
+    return F.transform(checks, lambda c, i: F.when(
+        i + 1 == first_live,
+        c.withField("payments", F.transform(c["payments"], lambda p, j: F.when(
+            j == 0, p.withField("tipAmount", F.coalesce(p["tipAmount"], F.lit(0.0)) + TIP_ADJUSTMENT)).otherwise(p)))
+    ).otherwise(c))
+
+
+@register("stream_today")
+def q_stream_today(spark, sf):
+    """ST3: landing files replayed as a stream; per-day today-so-far state in
+    update mode, upserted by day into a table; returns the table."""
+    from salescast.streaming import bronze as sb
+
+    root = landed(spark, sf)
+    out = sinks.stage_dir(spark, "today")
+    stream = spark.readStream.schema(LANDING_ORDERS).parquet(root)
+
+    def upsert(batch, _epoch):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        batch.write.mode("overwrite").partitionBy("business_date").parquet(out)
+
+    q = (sb.today_so_far(stream).writeStream.outputMode("update").foreachBatch(upsert)
+         .option("checkpointLocation", sinks.stage_dir(spark, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select("business_date", "order_count", "guest_count", "net_sales_so_far", "last_order_opened_at")
