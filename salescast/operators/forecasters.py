@@ -45,7 +45,7 @@ def _running(keys: list[str], extra: list[str] | None = None):
     return w.orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def trend_weekday(ns: DataFrame, origins: DataFrame, keys: list[str], horizon: int, z: float = Z80) -> DataFrame:
+def trend_weekday(ns: DataFrame, origins: DataFrame, keys: list[str], horizon: int, z: float = Z80, clip: bool = True) -> DataFrame:
     """Linear trend x weekday index, with an 80 % band and E6 clip.
 
     Per origin (cutoff c), over rows rn <= c with t = rn:
@@ -90,7 +90,7 @@ def trend_weekday(ns: DataFrame, origins: DataFrame, keys: list[str], horizon: i
         *keys, "fold", "ds", yhat.alias("yhat"),
         (yhat - z * F.col("sigma")).alias("yhat_lower"), (yhat + z * F.col("sigma")).alias("yhat_upper"),
     )
-    return clip_nonnegative(out)
+    return clip_nonnegative(out) if clip else out
 
 
 def round_forecast(df: DataFrame, dp: int = 2) -> DataFrame:

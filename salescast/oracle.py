@@ -531,3 +531,10 @@ SQL["stream_today"] = with_flat(
   max(CAST(opened_date AS TIMESTAMPTZ) AT TIME ZONE 'America/Chicago') AS last_order_opened_at
 FROM landing WHERE NOT voided AND NOT deleted GROUP BY business_date"""
 )
+
+# -- E6 and table writers -------------------------------------------------------------
+SQL["clip_nonnegative"] = SQL["trend_weekday_forecast"]
+SQL["write_latest"] = SQL["forecast_rows"]
+SQL["write_backtest"] = SQL["backtest_rows"]
+SQL["append_history"] = with_series("SELECT * FROM metrics UNION ALL SELECT * FROM metrics")
+SQL["export_csv"] = with_series("SELECT * FROM metrics")

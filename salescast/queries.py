@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from salescast.functions.dates import local_business_day, parse_iso_utc, utc_to_local, yyyymmdd_to_date, date_to_yyyymmdd
 from salescast.operators import flatten as fl
 from salescast.operators import marts
+from salescast.session import cut_lineage
 from salescast.sources import bridge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,11 +252,15 @@ def daily_by_key(spark: SparkSession, sf: str, before=None) -> DataFrame:
     s = s.where(F.weekday(yyyymmdd_to_date("business_date")) != CLOSED_WEEKDAY)
     if before is not None:
         s = s.where(F.col("business_date") < before)
-    return marts.fct_daily_sales(s, KEYS)
+    # The keyed mart is (#keys x #days) rows and feeds every model, fold and
+    # view below: checkpoint it once (shared checkpoint dir) instead of
+    # re-deriving it from the fact tables in every branch of the plan.
+    return cut_lineage(marts.fct_daily_sales(s, KEYS))
 
 
-def numbered(spark: SparkSession, sf: str, before=None) -> DataFrame:
-    return ser.numbered_series(ser.to_series(daily_by_key(spark, sf, before), KEYS), KEYS)
+def numbered(spark: SparkSession, sf: str, before=None, daily: DataFrame | None = None) -> DataFrame:
+    daily = daily_by_key(spark, sf, before) if daily is None else daily
+    return cut_lineage(ser.numbered_series(ser.to_series(daily, KEYS), KEYS))
 
 
 def sql_models() -> dict:
@@ -319,9 +324,9 @@ def q_champion(spark, sf):
     return bt.champion(_metrics(spark, sf), KEYS)
 
 
-def _champion_fc(spark, sf):
-    ns = numbered(spark, sf)
-    b = bt.run_backtest(ns, KEYS, sql_models(), HORIZON, N_FOLDS, HORIZON, MIN_TRAIN)
+def _champion_fc(spark, sf, daily: DataFrame | None = None):
+    ns = numbered(spark, sf, daily=daily)
+    b = cut_lineage(bt.run_backtest(ns, KEYS, sql_models(), HORIZON, N_FOLDS, HORIZON, MIN_TRAIN))
     winners = bt.champion(bt.model_metrics(b, KEYS, HORIZON, N_FOLDS, RUN_TS), KEYS)
     return ns, b, winners, _r(bt.champion_forecast(ns, KEYS, sql_models(), winners, HORIZON))
 
@@ -376,10 +381,11 @@ from salescast.operators.series import future_origins, series_heads  # noqa: E40
 
 def _serving(spark, sf):
     """forecast_daily_sales + backtest_predictions rows and the actuals."""
-    ns, b, winners, f = _champion_fc(spark, sf)
+    daily = daily_by_key(spark, sf)
+    ns, b, winners, f = _champion_fc(spark, sf, daily)
     fct_rows = bt.forecast_rows(f, KEYS, RUN_TS)
     bt_rows = bt.backtest_rows(_r(b), KEYS, RUN_TS)
-    return daily_by_key(spark, sf), fct_rows, bt_rows
+    return daily, fct_rows, bt_rows
 
 
 def fva(spark, sf):
@@ -404,7 +410,7 @@ def intraday(spark, sf):
     raw = marts.cast_projection(bridge.keyed_landing_orders(spark, sf), keep=tuple(KEYS))
     today = today_key(raw)
     ns = numbered(spark, sf, before=today)
-    b = bt.run_backtest(ns, KEYS, sql_models(), HORIZON, N_FOLDS, HORIZON, MIN_TRAIN)
+    b = cut_lineage(bt.run_backtest(ns, KEYS, sql_models(), HORIZON, N_FOLDS, HORIZON, MIN_TRAIN))
     winners = bt.champion(bt.model_metrics(b, KEYS, HORIZON, N_FOLDS, RUN_TS), KEYS)
     f = bt.forecast_rows(_r(bt.champion_forecast(ns, KEYS, sql_models(), winners, HORIZON)), KEYS, RUN_TS)
     return marts.intraday_today(raw, f, today, keys=KEYS, anchor_keys=series_heads(ns, KEYS))
@@ -469,7 +475,8 @@ def q_dq_non_negative(spark, sf):
 
 @register("dq_no_fanout")
 def q_dq_no_fanout(spark, sf):
-    return dq.no_fanout(fva(spark, sf), daily_by_key(spark, sf), HORIZON, KEYS)
+    daily, fct_rows, bt_rows = _serving(spark, sf)
+    return dq.no_fanout(serve.forecast_vs_actuals(daily, fct_rows, bt_rows, KEYS), daily, HORIZON, KEYS)
 
 
 @register("drift_audit")
@@ -666,3 +673,66 @@ def q_stream_today(spark, sf):
          .option("checkpointLocation", sinks.stage_dir(spark, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out).select("business_date", "order_count", "guest_count", "net_sales_so_far", "last_order_opened_at")
+
+
+# ------------------------------------------------------------------ E6 and table writers
+import uuid as _uuid  # noqa: E402
+
+from salescast import schemas as _sc  # noqa: E402
+from pyspark.sql import types as _T  # noqa: E402
+
+KEY_FIELDS = [("c_mktsegment", _T.StringType()), ("n_regionkey", _T.IntegerType())]
+
+
+def _table(prefix: str) -> str:
+    return f"{prefix}_{_uuid.uuid4().hex[:12]}"
+
+
+@register("clip_nonnegative")
+def q_clip_nonnegative(spark, sf):
+    """E6 over the unclipped trend x weekday projection and its band."""
+    ns = numbered(spark, sf)
+    raw = fc.trend_weekday(ns, ser.future_origins(ns, KEYS), KEYS, HORIZON, clip=False)
+    return _r(fc.clip_nonnegative(raw))
+
+
+@register("write_latest")
+def q_write_latest(spark, sf):
+    """The champion forecast written latest-only (twice: still one run's rows)."""
+    rows = bt.forecast_rows(_champion_fc(spark, sf)[3], KEYS, RUN_TS)
+    t = _table("forecast_daily_sales")
+    schema = _sc.with_keys(_sc.FORECAST, KEY_FIELDS)
+    sinks.write_latest(rows, t, schema)
+    sinks.write_latest(rows, t, schema)
+    return spark.table(t)
+
+
+@register("write_backtest")
+def q_write_backtest(spark, sf):
+    """Both models' back-test rows unioned and overwritten once."""
+    b = _r(_backtest(spark, sf))
+    frames = [bt.backtest_rows(b.where(F.col("model") == m), KEYS, RUN_TS) for m in sql_models()]
+    t = _table("backtest_predictions")
+    sinks.write_overwrite_once(frames, t, _sc.with_keys(_sc.BACKTEST, KEY_FIELDS))
+    return spark.table(t)
+
+
+@register("append_history")
+def q_append_history(spark, sf):
+    """Metrics appended by two runs (append-only archive)."""
+    m = _metrics(spark, sf)
+    t = _table("model_metrics")
+    schema = _sc.with_keys(_sc.METRICS, KEY_FIELDS)
+    sinks.append_history(m, t, schema)
+    sinks.append_history(m, t, schema)
+    return spark.table(t)
+
+
+@register("export_csv")
+def q_export_csv(spark, sf):
+    """Header CSV export of the model metrics, read back with its schema."""
+    m = _metrics(spark, sf)
+    path = sinks.stage_dir(spark, "csv")
+    sinks.export_csv(m, path, [*KEYS, "model"])
+    schema = _sc.with_keys(_sc.METRICS, KEY_FIELDS)
+    return spark.read.schema(schema).option("header", True).csv(path)
