@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from salescast.operators import load as ld
 from salescast.operators.marts import cast_projection
 from salescast.schemas import BRONZE_ORDERS
-from salescast.session import cut_lineage
+from salescast.session import broadcast_bounded, cut_lineage
+
+# A day list is bounded by the calendar, not by data volume: 100 years of days.
+MAX_DAYS = 36_600
 from salescast.sources import sinks
 from salescast.sources.readers import scan_raw_orders
 
@@ -40,5 +42,5 @@ def run_load(spark: SparkSession, root: str, table: str = "bronze_orders", full_
         return 0
     # Semi join on the partition column: dynamic partition pruning reads only
     # the chosen day directories.
-    chosen = landing.join(F.broadcast(todo), "business_date", "left_semi")
+    chosen = landing.join(broadcast_bounded(todo, MAX_DAYS), "business_date", "left_semi")
     return sinks.replace_days(cast_projection(chosen), table)
