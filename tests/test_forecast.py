@@ -148,3 +148,26 @@ def test_trend_weekday_recovers_exact_pattern(spark):
     for r in out:
         assert math.isclose(r.yhat, 100.0 * w[r.ds.weekday()], rel_tol=0.05)
         assert r.yhat_lower <= r.yhat <= r.yhat_upper
+
+
+def test_seasonal_regression_recovers_trend_times_weekday(spark):
+    """y = (100 + t) * w(weekday): the multiplicative regression tracks it and
+    emits one row per origin x horizon day, with ordered, non-negative bands."""
+    from pyspark.sql import types as T
+
+    from salescast.operators import regression as rg
+
+    w = [1.0, 1.5, 1.2, 0.8, 0.9, 1.1, 0.5]
+    start = dt.date(2026, 1, 5)
+    rows = [("k", start + dt.timedelta(days=i), (100.0 + i) * w[(start + dt.timedelta(days=i)).weekday()]) for i in range(200)]
+    s = spark.createDataFrame(rows, "k string, ds date, y double")
+    ns = ser.numbered_series(s, ["k"])
+    hol = rg.holiday_calendar(spark, "2026-01-01", "2026-12-31").where(F.lit(False))  # no holidays in play
+    model = rg.seasonal_regression_model([("k", T.StringType())], hol)
+    origins = ser.backtest_origins(ns, ["k"], 14, 3, 14, 60).unionByName(ser.future_origins(ns, ["k"]))
+    out = model(ns, origins, ["k"], 14).collect()
+    assert len(out) == 4 * 14
+    truth = {start + dt.timedelta(days=i): (100.0 + i) * w[(start + dt.timedelta(days=i)).weekday()] for i in range(214)}
+    for r in out:
+        assert 0.0 <= r.yhat_lower <= r.yhat <= r.yhat_upper
+        assert math.isclose(r.yhat, truth[r.ds], rel_tol=0.02)
