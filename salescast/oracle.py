@@ -370,7 +370,7 @@ SQL["champion_backtest"] = with_series(SERVING + "\nSELECT * FROM cbt")
 SQL["intraday_today"] = with_series(INTRADAY + "\nSELECT * FROM intraday", history_before_today=True)
 SQL["hourly_net_sales"] = with_flat(
     """, hourly AS (
-  SELECT business_date, hour(CAST(opened_at AS TIMESTAMPTZ) AT TIME ZONE 'America/Chicago') AS hr, count(*) AS order_count,
+  SELECT business_date, CAST(hour(CAST(opened_at AS TIMESTAMPTZ) AT TIME ZONE 'America/Chicago') AS INTEGER) AS hr, count(*) AS order_count,
          sum(CAST(net_amount AS DECIMAL(18,4))) - sum(CAST(deferred_amount AS DECIMAL(18,4))) AS net
   FROM (SELECT business_date, opened_at AT TIME ZONE 'UTC' AS opened_at, net_amount, deferred_amount FROM stg) s
   GROUP BY 1, 2

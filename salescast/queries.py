@@ -672,7 +672,9 @@ def q_stream_today(spark, sf):
     q = (sb.today_so_far(stream).writeStream.outputMode("update").foreachBatch(upsert)
          .option("checkpointLocation", sinks.stage_dir(spark, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out).select("business_date", "order_count", "guest_count", "net_sales_so_far", "last_order_opened_at")
+    # partition discovery would type the day key INT; keep the pinned BIGINT
+    return spark.read.parquet(out).select(F.col("business_date").cast("bigint").alias("business_date"), "order_count",
+                                          "guest_count", "net_sales_so_far", "last_order_opened_at")
 
 
 # ------------------------------------------------------------------ E6 and table writers
