@@ -27,6 +27,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         # Coalesced partitions may be small so tiny inputs still spread over
         # all cores (AQE targets total size / default parallelism).
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # Directory listing of day-partitioned tables runs as a Spark job; one
+        # task per directory (default cap 10000) is pure scheduling overhead
+        # for thousands of small day folders, so group directories per task.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(max(16, shuffle_partitions * 4)))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
