@@ -42,6 +42,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+# Runtime SQL settings the library relies on: UTC session zone (timestamps are
+# parsed as UTC instants), coalesced partitions that still spread small inputs
+# over all cores, and directory listing grouped into fewer tasks.
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+}
+
+
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Apply RUNTIME_CONF to an existing session (e.g. one the caller built)."""
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
     (local tests) fall back to a fresh scratch folder."""
