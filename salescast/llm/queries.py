@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import bpe, decontam, pii, token_store
+from salescast.llm import bpe, decontam, pii, secrets, token_store, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pii": lambda s, d: pii.pii_query(docs(s, d)),
         "op2_bpe": lambda s, d: bpe.bpe_query(docs(s, d)),
         "op3_token_store": lambda s, d: token_store.token_query(docs(s, d)),
+        "op5_secrets": lambda s, d: secrets.secrets_query(docs(s, d)),
+        "op6_toxicity": lambda s, d: toxicity.toxicity_query(docs(s, d), table(s, d, "labels")),
         "op10_decontamination": lambda s, d: decontam.decontam_query(docs(s, d), table(s, d, "benchmark")),
     }
 
