@@ -44,6 +44,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few short columns that may be broadcast: some 40 MB.
+BROADCAST_ROWS = 500_000
+
+
+def small_side(staged: DataFrame) -> DataFrame:
+    """A staged narrow table, marked for broadcast if its counted rows are within the bound; else the planner decides."""
+    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id (long), text (null: empty) and the named columns; nothing else of the table is read."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import bpe, decontam, pii, secrets, token_store, toxicity
+from salescast.llm import bpe, decontam, jaccard, licenses, pii, quotes, secrets, token_store, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,11 +19,15 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pii": lambda s, d: pii.pii_query(docs(s, d)),
         "op2_bpe": lambda s, d: bpe.bpe_query(docs(s, d)),
         "op3_token_store": lambda s, d: token_store.token_query(docs(s, d)),
+        "op4_chat_quotes": lambda s, d: quotes.link_quotes(table(s, d, "conversations")),
         "op5_secrets": lambda s, d: secrets.secrets_query(docs(s, d)),
         "op6_toxicity": lambda s, d: toxicity.toxicity_query(docs(s, d), table(s, d, "labels")),
+        "op7_licenses": lambda s, d: licenses.find_licenses(docs(s, d)),
+        "op8_topk": lambda s, d: topk.topk_query(table(s, d, "embeddings")),
+        "op9_jaccard": lambda s, d: jaccard.jaccard_groups(docs(s, d)),
         "op10_decontamination": lambda s, d: decontam.decontam_query(docs(s, d), table(s, d, "benchmark")),
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op7_licenses": licenses.SQL, "op8_topk": topk.SQL}

@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Positives are confirmed toxic documents of the training side, the unlabelled text is any document of that side. A linear
-model of word presence minimises the class-prior-corrected risk  pi R_p(+1) + max(0, R_u(-1) - pi R_p(-1)).  The model
+model of the presence of words and word beginnings minimises the class-prior-corrected risk  pi R_p(+1) + max(0, R_u(-1) - pi R_p(-1)).  The model
 is fitted on a bounded sample (parameters of Sample); every whole text is scored. Cases: a null or empty text scores the
 model's bias; a null doc_id is never held out and has no label; a doc_id that is labelled twice is toxic if any label
 says so; repeated rows are scored alike; without positives every score is 0; an empty table gives no rows. Ties of the
@@ -44,7 +44,7 @@ class Sample:
 
 @dataclass(frozen=True)
 class Model:
-    weights: dict[int, float]  # by bucket of a word
+    weights: dict[int, float]  # by bucket of a word or prefix
     bias: float
     buckets: int
 
@@ -53,8 +53,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def bucket(word: str, buckets: int) -> int:
-    return zlib.crc32(word.encode()) % buckets
+def parts(words: set[str]) -> set[str]:
+    """The words, and their first four to six letters for those that are longer."""
+    return words | {w[:n] + "*" for w in words for n in (4, 5, 6) if len(w) > n}
+
+
+def bucket(part: str, buckets: int) -> int:
+    return zlib.crc32(part.encode()) % buckets
 
 
 def nnpu_fit(x: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float, sample: Sample) -> tuple[np.ndarray, float]:
@@ -112,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample | None = None) -> Mod
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(np.fromiter((bucket(w, buckets) for w in set(WORD.findall(t.lower()))), np.int32)).tobytes() for t in batch.column(2).to_pylist()]
+            found = [np.unique(np.fromiter((bucket(w, buckets) for w in parts(set(WORD.findall(t.lower())))), np.int32)).tobytes() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["p", "u", "f"])
 
     # copies of a text count once
@@ -147,7 +152,7 @@ def score(docs: DataFrame, model: Model, to: str = "score", text: str = "text")
             for t in batch.column(batch.num_columns - 1).to_pylist():
                 pieces = set(t.lower().split())
                 for piece in pieces - seen:
-                    hit = tuple({b for w in WORD.findall(piece) if (b := bucket(w, model.buckets)) in weights})
+                    hit = tuple({b for w in parts(set(WORD.findall(piece))) if (b := bucket(w, model.buckets)) in weights})
                     if hit:
                         useful[piece] = hit
                 seen |= pieces
