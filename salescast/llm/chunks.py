@@ -9,20 +9,27 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
-UNCLEAN = re.compile(r"^ |\s |  ?\s| $")
 #: Entries after which a task's dictionary starts anew; results don't depend on it.
-DICTIONARY_ENTRIES = 1_500_000
+DICTIONARY_ENTRIES = 1_000_000
 #: Text characters that are worked on at a time.
 SLICE_CHARS = 4_000_000
 
 
-def split(text: str) -> list[str]:
-    """Chunks of a text; all but the first had one space before them, which is dropped."""
-    return CUT.split(text) if UNCLEAN.search(text) else text.split(" ")
+class Codes(dict):
+    """Numbers strings as they are first looked up, and lists those of the last look-ups."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        code = self[key] = len(self)
+        self.new.append(key)
+        return code
 
 
 def slices(lengths: list[int], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
@@ -51,29 +58,41 @@ class ChunkCoder:
         self.clear()
 
     def clear(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.codes = Codes()
         self.starts, self.lens, self.flat = array("q"), array("q"), array("i")
+        self.unclean = bytearray()  # by code: the space next to such a chunk may not be a cut
 
-    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, number of ids of each text)."""
-        if len(self.codes) > DICTIONARY_ENTRIES:
-            self.clear()
-        pieces = [split(t) for t in texts]
+    def _look_up(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(codes of all chunks in a row, number of chunks of each text); new chunks are encoded."""
         for p in pieces:
             p[0] = "\0" + p[0]  # a first chunk has no space before it; the mark keeps it apart from a spaced one
-        codes = self.codes
-        new = list(dict.fromkeys(x for p in pieces for x in p if x not in codes))
+        counts = np.array([len(p) for p in pieces], dtype=np.int64)
+        found = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(pieces)), dtype=np.int64, count=int(counts.sum()))
+        new, self.codes.new = self.codes.new, []
         for a in range(0, len(new), 20_000):
             part = new[a : a + 20_000]
             for x, ids in zip(part, self.encode([x[1:] if x[:1] == "\0" else " " + x for x in part]), strict=True):
-                codes[x] = len(self.starts)
                 self.starts.append(len(self.flat))
                 self.lens.append(len(ids))
                 self.flat.extend(ids)
-        counts = np.array([len(p) for p in pieces], dtype=np.int64)
-        found = np.fromiter((codes[x] for p in pieces for x in p), dtype=np.int64, count=int(counts.sum()))
-        lens = np.frombuffer(self.lens, dtype=np.int64)[found] if len(self.lens) else np.zeros(0, np.int64)
-        starts = np.frombuffer(self.starts, dtype=np.int64)[found] if len(self.starts) else lens
+                self.unclean.append(x in ("", "\0") or x[-1].isspace() or x[0].isspace())
+        return found, counts
+
+    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each text)."""
+        if len(self.codes) > DICTIONARY_ENTRIES:
+            self.clear()
+        found, counts = self._look_up([t.split(" ") for t in texts])
+        bad = np.frombuffer(self.unclean, dtype=np.uint8)[found] if len(found) else found
+        if bad.any():  # these texts have other white space next to a space
+            again = np.unique(np.repeat(np.arange(len(texts)), counts)[bad > 0])
+            codes, sizes = self._look_up([CUT.split(texts[i]) for i in again])
+            parts = np.split(found, np.cumsum(counts)[:-1])
+            for i, part in zip(again, np.split(codes, np.cumsum(sizes)[:-1]), strict=True):
+                parts[i] = part
+            found, counts[again] = np.concatenate(parts), sizes
+        lens = np.frombuffer(self.lens, dtype=np.int64)[found] if len(found) else np.zeros(0, np.int64)
+        starts = np.frombuffer(self.starts, dtype=np.int64)[found] if len(found) else lens
         ids = gather(np.frombuffer(self.flat, dtype=np.int32) if len(self.flat) else np.zeros(0, np.int32), starts, lens)
         sums = np.concatenate(([0], np.cumsum(lens)))
         ends = np.cumsum(counts)
