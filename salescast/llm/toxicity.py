@@ -72,7 +72,7 @@ def nnpu_fit(x: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior:
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     m = v = np.zeros_like(w)
     for t in range(1, sample.steps + 1):
-        zp, zu = xp @ w, xu @ w
+        zp, zu = xp @ w.astype(xp.dtype), xu @ w.astype(xu.dtype)
         # logistic loss: l(+1) = log(1 + exp(-z)), l(-1) = log(1 + exp(z))
         g_pos = xp.T @ (sig(zp) - 1) / len(xp)
         g_neg = xu.T @ sig(zu) / len(xu) - prior * (xp.T @ sig(zp)) / len(xp)
