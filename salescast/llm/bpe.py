@@ -25,6 +25,8 @@ from salescast.llm.chunks import ChunkCoder, gather, slices
 from salescast.llm.common import fresh
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
+#: Sizes at which a worker's caches start anew; results don't depend on them.
+CHUNK_ENTRIES, WORD_ENTRIES, PAIR_ENTRIES = 300_000, 150_000, 300_000
 
 
 def ranks_path() -> str:
@@ -40,9 +42,9 @@ class MergeReplay:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
-        self.pair: dict[tuple[int, int], int] = {}
+        self.pair: dict[int, int] = {}
         self.words: dict[str, list[int]] = {}
-        self.coder = ChunkCoder(self.chunks)
+        self.coder = ChunkCoder(self.chunks, CHUNK_ENTRIES)
         flat = b"".join(self.bytes_of[r] for r in sorted(self.bytes_of))
         size = max(self.bytes_of) + 1
         self.token_lens = np.array([len(self.bytes_of.get(r, b"")) for r in range(size)], dtype=np.int64)
@@ -51,9 +53,12 @@ class MergeReplay:
 
     def rank(self, a: int, b: int) -> int:
         """Rank of the pair's merged token, or -1."""
-        got = self.pair.get((a, b))
+        key = a << 32 | b
+        got = self.pair.get(key)
         if got is None:
-            got = self.pair[a, b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
+            if len(self.pair) > PAIR_ENTRIES:
+                self.pair.clear()
+            got = self.pair[key] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
         return got
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
@@ -111,7 +116,7 @@ class MergeReplay:
         """Token ids of each string, each match of the pattern apart."""
         found = [self.pattern.findall(c) for c in chunks]
         words = self.words
-        if len(words) > 1_000_000:
+        if len(words) > WORD_ENTRIES:
             words.clear()
         new = list(dict.fromkeys(w for f in found for w in f if w not in words))
         raw = [w.encode() for w in new]
@@ -161,6 +166,8 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
                 flat, counts = replay.coder.texts(texts[a:b])
                 kept = [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(_offsets(counts), pa.array(flat))], names=schema.names)
+        replay.coder.clear()  # the worker lives on and serves other stages
+        replay.words.clear()
 
     return src.mapInArrow(run, schema)
 

@@ -17,7 +17,7 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Entries after which a task's dictionary starts anew; results don't depend on it.
 DICTIONARY_ENTRIES = 1_000_000
 #: Text characters that are worked on at a time.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
 class Codes(dict):
@@ -53,8 +53,8 @@ def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray
 class ChunkCoder:
     """Encodes texts; `encode(list of distinct strings)` gives the ids of each new chunk."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], entries: int = DICTIONARY_ENTRIES):
+        self.encode, self.entries = encode, entries
         self.clear()
 
     def clear(self) -> None:
@@ -80,7 +80,7 @@ class ChunkCoder:
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each text)."""
-        if len(self.codes) > DICTIONARY_ENTRIES:
+        if len(self.codes) > self.entries:
             self.clear()
         found, counts = self._look_up([t.split(" ") for t in texts])
         bad = np.frombuffer(self.unclean, dtype=np.uint8)[found] if len(found) else found

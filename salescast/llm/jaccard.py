@@ -117,7 +117,7 @@ class Shingler:
         if len(words) < self.n:
             return np.array([xxhash.xxh3_64_intdigest(b"%d " % len(words) + b" ".join(words))], np.uint64)
         known = self.words
-        if len(known) > 500_000:
+        if len(known) > 300_000:
             known.clear()
         for w in set(words).difference(known):
             known[w] = xxhash.xxh3_64_intdigest(w)
@@ -265,7 +265,7 @@ def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
         shingler, sent = Shingler(params), set()
         for batch in batches:
             words = batch.column(1).to_pylist()
-            for a, b in slices([len(t) for t in words], 12_000_000):
+            for a, b in slices([len(t) for t in words], 8_000_000):
                 nodes, keys = [], []
                 for t in words[a:b]:
                     s = shingler.set_of(t)
@@ -274,7 +274,7 @@ def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
                         sent.add(node)
                         nodes.append(node)
                         keys.append(params.keys(s))
-                if len(sent) > 2_000_000:
+                if len(sent) > 400_000:
                     sent.clear()
                 if not nodes:
                     continue

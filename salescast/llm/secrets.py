@@ -35,7 +35,7 @@ REACH = 2
 STATES = 3  # O, B, I
 
 #: Bounds of the training sample: documents with a base secret, and documents without one.
-POSITIVE_DOCS, OTHER_DOCS, TRAIN_STEPS = 1500, 1500, 120
+POSITIVE_DOCS, OTHER_DOCS, TRAIN_STEPS = 800, 800, 80
 
 
 def base_spans(text: Column) -> Column:
@@ -184,8 +184,8 @@ def fit_field(seqs: list[tuple[list[tuple[str, ...]], list[int]]], steps: int =
             beta[:, j] = np.where(mask[:, j + 1, None], new, 0)
         z = lse(alpha[:, -1], 1)
         node = np.exp(alpha + beta - z[:, None, None]) * mask[..., None]
-        gw = np.zeros_like(w)
-        np.add.at(gw, feat.reshape(-1, width), ((hot - node).reshape(-1, 1, STATES)))
+        flat, off = feat.ravel(), (hot - node).reshape(-1, STATES)
+        gw = np.stack([np.bincount(flat, np.repeat(off[:, s], width), len(w)) for s in range(STATES)], axis=1)
         gt = np.zeros_like(tr)
         for j in range(length):
             before = np.broadcast_to(np.eye(STATES)[0], (n, STATES)) if j == 0 else hot[:, j - 1]
@@ -271,7 +271,7 @@ def find_secrets(docs: DataFrame, field: Field, text: str = "text", to: str = "s
                             elif tag == 2:
                                 found[-1]["e"] = tokens[i][1]
                 out.append(found)
-                if len(seen) > 1_000_000:
+                if len(seen) > 300_000:
                     seen, odd = set(), set()
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(out, kind)], names=schema.names)
 

@@ -158,7 +158,7 @@ def score(docs: DataFrame, model: Model, to: str = "score", text: str = "text")
                 seen |= pieces
                 hits = {b for piece in pieces & useful.keys() for b in useful[piece]}
                 out.append(1 / (1 + np.exp(-np.clip(model.bias + sum(weights[b] for b in sorted(hits)), -30, 30))))
-                if len(seen) > 1_000_000:
+                if len(seen) > 300_000:
                     seen, useful = set(), {}
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(out, pa.float64())], names=schema.names)
 
