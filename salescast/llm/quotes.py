@@ -65,7 +65,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     own = F.array_join(F.transform(F.filter("runs", lambda x: x["level"] == 0), lambda x: x["line"]), "\n")
     quoted = F.transform(F.filter("runs", lambda x: x["level"] > 0), lambda x: F.struct(x["level"].alias("level"), normalised(x["line"]).alias("norm")))
     quoted = F.transform(F.filter(quoted, lambda x: x["norm"] != ""), lambda x: F.struct(x["level"].alias("level"), F.md5(x["norm"]).alias("hash")))
-    rows = stage(base.select("rid", "conv_id", "turn", "role", F.trim(own).alias("body"), quoted.alias("quotes")), "quotes-rows")
+    rows = stage(base.select("rid", "conv_id", "turn", "role", F.regexp_replace(own, r"^\s+|\s+$", "").alias("body"), quoted.alias("quotes")), "quotes-rows")
     units = F.concat(F.array("body"), F.split("body", r"\n[ \t]*\n"), F.split("body", "\n"))
     hashes = F.array_distinct(F.transform(F.filter(F.transform(units, normalised), lambda x: x != ""), F.md5))
     asked = rows.where("size(quotes) > 0").select("rid", "conv_id", "turn", F.explode("quotes").alias("q")).select("rid", "conv_id", "turn", "q.level", "q.hash")

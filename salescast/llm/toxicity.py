@@ -81,7 +81,11 @@ def nnpu_fit(x: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior:
         g[:-1] += sample.decay * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w - sample.rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-    return w[:-1], float(w[-1])
+    z, low, high = xu[:, :-1] @ w[:-1].astype(xu.dtype), -30.0, 30.0
+    for _ in range(60):  # the bias that makes the mean score of the unlabelled text the class prior
+        mid = (low + high) / 2
+        low, high = (mid, high) if sig(z + mid).mean() < prior else (low, mid)
+    return w[:-1], low
 
 
 def _select(rows: list[np.ndarray], positive: np.ndarray, unlabelled: np.ndarray, sample: Sample) -> np.ndarray:
