@@ -3,9 +3,9 @@
 1. Footer scan: the archive's file list is a DataFrame (``binaryFile`` with
    the content column pruned), and ``mapInPandas`` reads each Parquet footer
    on the executors -> (path, business_date, signature, drifted columns).
-2. Files are grouped by schema signature; each group is read with its own
-   schema (one reader over mixed INT64/DOUBLE files fails), safe-cast to the
-   pinned schema (a lossy conversion raises) and unioned.
+2. Every file of a day with a drifted one is read on the executors and cast
+   to the pinned schema on its own (a lossy conversion raises), so that mixed
+   files of a day never meet in one reader and no row of the day is left out.
 3. The repaired days are staged, then swapped in by dynamic partition
    overwrite (never read and overwrite one path in a single plan).
 Idempotent: a conforming archive reports and rewrites nothing.
@@ -13,12 +13,16 @@ Idempotent: a conforming archive reports and rewrites nothing.
 
 from __future__ import annotations
 
+import io
 import re
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from salescast.schemas import LANDING_ORDERS
 from salescast.sources import sinks
@@ -40,13 +44,13 @@ def footer_report(spark: SparkSession, root: str, schema: T.StructType = LANDING
     pinned = {f.name: f.dataType.simpleString() for f in schema.fields}
 
     def read_footers(it):
-        import pyarrow.parquet as pq
+        from pyarrow import fs
 
         for pdf in it:
             out = []
             for p in pdf["path"]:
-                local = re.sub(r"^file:(//)?", "", p)
-                sch = pq.read_schema(local)
+                store, name = (fs.LocalFileSystem(), re.sub("^file:/+", "/", p)) if p.startswith("file:") else fs.FileSystem.from_uri(p)
+                sch = pq.read_schema(name, filesystem=store)
                 stored = {f.name: _spark_type(str(f.type)) for f in sch}
                 drift = [c for c, t in pinned.items() if c != "business_date" and stored.get(c, "missing") != t]
                 m = re.search(r"business_date=(\d+)", p)
@@ -77,23 +81,40 @@ def conform_frame(df: DataFrame, schema: T.StructType = LANDING_ORDERS) -> DataF
     return df.select([safe_cast(F.col(f.name), have[f.name], f.dataType, f.name) for f in schema.fields])
 
 
+def conform_file(raw: bytes, day: int, schema: T.StructType) -> pa.Table:
+    """One Parquet file's rows with the pinned names and types; raises KeyError
+    for a missing column and ArrowInvalid where a value would change."""
+    table = pq.ParquetFile(io.BytesIO(raw)).read()
+    target = to_arrow_schema(schema)
+    cols = []
+    for f in target:
+        if f.name in table.column_names:
+            cols.append(table.column(f.name).cast(f.type, safe=True).combine_chunks())
+        elif f.name == "business_date":
+            cols.append(pa.array([day] * table.num_rows, f.type))
+        else:
+            raise KeyError(f"missing column: {f.name}")
+    return pa.Table.from_arrays(cols, schema=target)
+
+
 def conform_archive(spark: SparkSession, root: str, schema: T.StructType = LANDING_ORDERS) -> list[int]:
-    """Rewrite only drifted day partitions; returns the rewritten days."""
-    report = footer_report(spark, root, schema).where(F.col("drifted") != "")
-    groups = report.groupBy("signature").agg(F.collect_list("path").alias("paths"), F.collect_set("business_date").alias("days"))
-    # One row per distinct schema signature: a handful, not one per file.
-    sigs = groups.collect()
-    if not sigs:
+    """Rewrite every day that has a drifted file, with the rows of all its
+    files; returns the rewritten days. Files are read as Spark reads them
+    (bytes per file, on the executors) and each is conformed on its own, so the
+    driver holds the day list only, which the calendar bounds."""
+    drifted = footer_report(spark, root, schema).where(F.col("drifted") != "").select("business_date").distinct()
+    days = sorted(r["business_date"] for r in drifted.collect())
+    if not days:
         return []
-    parts = []
-    for g in sigs:
-        read = spark.read.option("basePath", root).parquet(*g["paths"])
-        parts.append(conform_frame(read, schema))
-    fixed = parts[0]
-    for p in parts[1:]:
-        fixed = fixed.unionByName(p)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load([f"{root.rstrip('/')}/business_date={d}" for d in days])
+
+    def fix(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                day = int(re.search(r"business_date=(\d+)", path).group(1))
+                yield from conform_file(content.as_py(), day, schema).to_batches()
+
     stage = sinks.stage_dir(spark, "conform")
-    fixed.write.mode("overwrite").parquet(stage)
-    staged = spark.read.schema(schema).parquet(stage)
-    sinks.write_partitions(staged, root, schema, mode="overwrite")
-    return sorted({d for g in sigs for d in g["days"]})
+    files.select("path", "content").mapInArrow(fix, schema).write.mode("overwrite").parquet(stage)
+    sinks.write_partitions(spark.read.schema(schema).parquet(stage), root, schema, mode="overwrite")
+    return days

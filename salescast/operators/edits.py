@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, key: str = "order_guid", version: str = "version") -> DataFrame:
+    """The row of the highest version per key; equal versions fall to the
+    greatest hash of the row, so that the choice never depends on task order."""
     cols = [c for c in df.columns if c not in (key,)]
-    latest = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(version)).alias("_r"))
+    latest = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(F.col(version), F.xxhash64(*cols))).alias("_r"))
     return latest.select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]).select(*df.columns)

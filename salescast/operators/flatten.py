@@ -71,7 +71,7 @@ def assert_no_pii(df: DataFrame) -> DataFrame:
     cols = df.columns
     if cols != ORDER_COLUMNS:
         raise ValueError(f"flat order columns drifted from the allow-list: {cols}")
-    bad = [c for c in cols if any(t in c.lower() for t in PII_TOKENS if t != "name")]
+    bad = [c for c in cols if any(t in c.lower() for t in PII_TOKENS)]
     if bad:
         raise ValueError(f"PII-looking columns present: {bad}")
     return df

@@ -54,15 +54,21 @@ def missing_days(candidates: DataFrame, present: DataFrame) -> DataFrame:
     return candidates.select("business_date").join(present.select("business_date"), "business_date", "left_anti")
 
 
-def window_bounds(refresh_days: int, today: dt.date, today_mode: bool = False, through_today: bool = False) -> tuple[dt.date, dt.date]:
-    """Inclusive [start, end] of a refresh window. Single-day mode wins;
-    otherwise the window ends yesterday, or today with ``through_today``."""
-    if today_mode:
-        return today, today
-    if refresh_days < 1:
-        raise ValueError("refresh_days must be >= 1")
-    end = today if through_today else today - dt.timedelta(days=1)
-    return end - dt.timedelta(days=refresh_days - 1), end
+def refresh_slice(landing: DataFrame, today: dt.date, days: int | None, through_today: bool = False) -> DataFrame:
+    """The landing rows that a refresh on ``today`` covers. ``days`` whole
+    days up to yesterday (or today); None is single-day mode, today alone."""
+    if days is not None and days < 1:
+        raise ValueError(f"a refresh covers at least one day, not {days}")
+    newest = today if days is None or through_today else today - dt.timedelta(days=1)
+    return trailing_window(landing, newest - dt.timedelta(days=(days or 1) - 1), newest)
+
+
+def require_rows(window: DataFrame, days: int | None) -> DataFrame:
+    """The slice itself, once it is known to hold a row; a day that has
+    only just begun (single-day mode) may be empty."""
+    if days is not None and window.isEmpty():
+        raise RuntimeError(f"no landed rows in a refresh of {days} days")
+    return window
 
 
 def trailing_window(df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -79,13 +85,14 @@ def trailing_window_expr(df: DataFrame, end_key, n_days: int) -> DataFrame:
     return df.where(F.col("business_date").between(lo, date_to_yyyymmdd(end)))
 
 
-def history_bounds(days: DataFrame, today_key, max_lookback_days: int = 900) -> DataFrame:
-    """Earliest day with data no further back than ``max_lookback_days``
-    before today, the latest day, and counts. One aggregate; the reference's
+def history_bounds(days: DataFrame, today_key, max_lookback_days: int | None = None) -> DataFrame:
+    """Earliest and latest day with data, and counts; with
+    ``max_lookback_days``, none further back than that before today. One aggregate; the reference's
     exponential probe exists only because its source is an HTTP API."""
-    floor = date_to_yyyymmdd(F.date_sub(yyyymmdd_to_date(today_key), max_lookback_days))
     d = days.select(F.col("business_date").cast("bigint").alias("business_date"))
-    bounded = d.where(F.col("business_date") >= floor)
+    bounded = d
+    if max_lookback_days is not None:
+        bounded = d.where(F.col("business_date") >= date_to_yyyymmdd(F.date_sub(yyyymmdd_to_date(today_key), max_lookback_days)))
     return bounded.agg(
         F.min("business_date").alias("first_day"),
         F.max("business_date").alias("last_day"),
@@ -97,8 +104,3 @@ def history_bounds(days: DataFrame, today_key, max_lookback_days: int = 900) ->
         (F.datediff(yyyymmdd_to_date("last_day"), yyyymmdd_to_date("first_day")) + 1).cast("bigint").alias("calendar_days"),
     )
 
-
-def assert_window_not_empty(rows: int, partitions: int, today_mode: bool = False) -> None:
-    """A refresh window can never legitimately be empty; single-day mode is exempt."""
-    if not today_mode and (rows == 0 or partitions == 0):
-        raise RuntimeError(f"refresh window produced no data (rows={rows}, partitions={partitions})")

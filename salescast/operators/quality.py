@@ -50,9 +50,10 @@ def non_negative(mart: DataFrame, col: str = "net_sales", keys: list[str] | None
 
 def no_fanout(serving: DataFrame, mart: DataFrame, horizon: int, keys: list[str]) -> DataFrame:
     """Serving rows per key must equal mart rows + horizon."""
-    s = serving.groupBy(*keys).agg(F.count(F.lit(1)).alias("serving_rows"))
-    m = mart.groupBy(*keys).agg(F.count(F.lit(1)).alias("mart_rows"))
-    return s.join(m, keys, "full_outer").select(
+    on = keys or ["_all"]  # without keys both sides are one group
+    s = serving.withColumn("_all", F.lit(0)).groupBy(*on).agg(F.count(F.lit(1)).alias("serving_rows"))
+    m = mart.withColumn("_all", F.lit(0)).groupBy(*on).agg(F.count(F.lit(1)).alias("mart_rows"))
+    return s.join(m, on, "full_outer").select(
         *keys, F.coalesce("serving_rows", F.lit(0)).alias("serving_rows"), F.coalesce("mart_rows", F.lit(0)).alias("mart_rows"),
         (F.coalesce("serving_rows", F.lit(0)) == F.coalesce("mart_rows", F.lit(0)) + horizon).alias("ok"),
     )

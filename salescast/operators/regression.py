@@ -25,7 +25,6 @@ from pyspark.sql import types as T
 
 from salescast.functions.dates import day_range
 from salescast.operators.forecasters import Z80
-from salescast.session import broadcast_bounded
 
 # Yearly period, Fourier order, history needed for yearly terms, ridge strength.
 YEAR_DAYS = 365.25
@@ -81,17 +80,23 @@ def _nth_weekday(year: Column, month: int, weekday: int, n: int) -> Column:
 
 def holiday_calendar(spark, start, end) -> DataFrame:
     """E5d: [ds DATE, holiday STRING] for every year touching [start, end]
-    (date literals or one-row Columns); observed dates for fixed holidays."""
-    years = spark.range(1).select(F.explode(F.sequence(F.year(F.lit(start).cast("date")), F.year(F.lit(end).cast("date")))).alias("y"))
+    (date literals or one-row Columns). A fixed holiday on a weekend has its
+    actual date and, as "<name> (observed)", the weekday it moves to; the year
+    after the last is computed too, since its New Year may be observed before."""
+    last = F.year(F.lit(end).cast("date"))
+    years = spark.range(1).select(F.explode(F.sequence(F.year(F.lit(start).cast("date")), last + 1)).alias("y"), last.alias("last"))
     rows = []
     for name, m, d, since in FIXED_HOLIDAYS:
-        rows.append(years.where(F.col("y") >= since).select(_observed(F.make_date("y", F.lit(m), F.lit(d))).alias("ds"), F.lit(name).alias("holiday")))
+        day = F.make_date("y", F.lit(m), F.lit(d))
+        valid = years.where(F.col("y") >= since)
+        rows.append(valid.select(day.alias("ds"), F.lit(name).alias("holiday"), "last"))
+        rows.append(valid.where(F.weekday(day) >= 5).select(_observed(day).alias("ds"), F.lit(f"{name} (observed)").alias("holiday"), "last"))
     for name, m, wd, n in NTH_WEEKDAY_HOLIDAYS:
-        rows.append(years.select(_nth_weekday(F.col("y"), m, wd, n).alias("ds"), F.lit(name).alias("holiday")))
+        rows.append(years.select(_nth_weekday(F.col("y"), m, wd, n).alias("ds"), F.lit(name).alias("holiday"), "last"))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    return out
+    return out.where(F.year("ds") <= F.col("last")).select("ds", "holiday")
 
 
 def feature_frame(ns: DataFrame, keys: list[str], horizon: int, holidays: DataFrame, n_years: int) -> DataFrame:
@@ -100,7 +105,7 @@ def feature_frame(ns: DataFrame, keys: list[str], horizon: int, holidays: DataFr
     cal = heads.select(*keys, "n", F.posexplode(day_range(F.col("ds0"), F.date_add("ds0", (F.col("n") + horizon - 1).cast("int")))).alias("pos", "ds"))
     cal = cal.select(*keys, (F.col("pos") + 1).alias("rn"), "ds")
     ys = ns.select(*keys, "rn", "y")
-    hol = broadcast_bounded(holidays.select("ds").distinct().withColumn("hol", F.lit(1.0)), bound_rows=12 * n_years)
+    hol = holidays.select("ds").distinct().withColumn("hol", F.lit(1.0))
     return (
         cal.join(ys, [*keys, "rn"], "left").join(hol, "ds", "left")
         .select(*keys, "rn", "ds", "y", F.weekday("ds").alias("wd"), F.coalesce("hol", F.lit(0.0)).alias("hol"), *fourier_terms("ds"))

@@ -7,12 +7,24 @@ data-proportional step is the partially aggregated daily mart upstream.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescast.functions.dates import day_range, yyyymmdd_to_date
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on equal keys where NULL equals NULL, keeping the left side's keys.
+    Without keys the right side is one row and applies to all."""
+    if not keys:
+        return left.join(right, how=how)
+    other = right.withColumnsRenamed({k: f"{k}__r" for k in keys})
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(other[f"{k}__r"]) for k in keys])
+    return left.join(other, cond, how).drop(*[f"{k}__r" for k in keys])
+
+
 def to_series(daily: DataFrame, keys: list[str], date_col: str = "business_date", value_col: str = "net_sales") -> DataFrame:
     """Mart rows -> [*keys, ds DATE, y DOUBLE]."""
     return daily.select(*keys, yyyymmdd_to_date(date_col).alias("ds"), F.col(value_col).cast("double").alias("y"))
@@ -28,7 +40,7 @@ def numbered_series(series: DataFrame, keys: list[str]) -> DataFrame:
         *keys, "ds0", (F.datediff("ds1", "ds0") + 1).alias("n"),
         F.posexplode(day_range(F.col("ds0"), F.col("ds1"))).alias("pos", "ds"),
     )
-    return cal.join(series, [*keys, "ds"], "left").select(
+    return join_on(cal, series, [*keys, "ds"], "left").select(
         *keys, "ds", F.coalesce(F.col("y"), F.lit(0.0)).alias("y"), (F.col("pos") + 1).alias("rn"), "n", "ds0"
     )
 

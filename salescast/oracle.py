@@ -164,7 +164,7 @@ SQL["trailing_window"] = with_flat(
 SQL["history_bounds"] = with_flat(
     """, b AS (
   SELECT DISTINCT business_date FROM landing
-  WHERE business_date >= CAST(strftime(CAST(strptime(CAST((SELECT max(business_date) FROM landing) AS VARCHAR), '%Y%m%d') AS DATE) - 900, '%Y%m%d') AS BIGINT)
+  WHERE business_date IS NOT NULL
 )
 SELECT min(business_date) AS first_day, max(business_date) AS last_day, count(*) AS days_with_data,
   CAST(date_diff('day', CAST(strptime(CAST(min(business_date) AS VARCHAR), '%Y%m%d') AS DATE),
@@ -191,7 +191,7 @@ kdaily AS (
   SELECT {K}, business_date,
          CAST(round(sum(CAST(net_amount AS DECIMAL(18,4))) - sum(CAST(deferred_amount AS DECIMAL(18,4))), 2) AS DOUBLE) AS net_sales
   FROM kstg
-  WHERE isodow(CAST(strptime(CAST(business_date AS VARCHAR), '%Y%m%d') AS DATE)) <> 1 /*HIST*/
+  WHERE business_date IS NOT NULL /*HIST*/
   GROUP BY {K}, business_date
 ),
 ser AS (SELECT {K}, CAST(strptime(CAST(business_date AS VARCHAR), '%Y%m%d') AS DATE) AS ds, CAST(net_sales AS DOUBLE) AS y FROM kdaily),
@@ -256,10 +256,10 @@ bt AS (
 ),
 metrics AS (
   SELECT {K}, model,
-         round(avg(abs(y - yhat)), 4) AS mae,
-         round(sqrt(avg((y - yhat) * (y - yhat))), 4) AS rmse,
-         round(avg(CASE WHEN y <> 0 THEN abs((y - yhat) / y) END) * 100, 4) AS mape,
-         round(CASE WHEN sum(abs(y)) <> 0 THEN sum(abs(y - yhat)) / sum(abs(y)) * 100 END, 4) AS wape,
+         round(round(avg(abs(y - yhat)), 8), 4) AS mae,
+         round(round(sqrt(avg((y - yhat) * (y - yhat))), 8), 4) AS rmse,
+         round(round(avg(CASE WHEN y <> 0 THEN abs((y - yhat) / y) END) * 100, 8), 4) AS mape,
+         round(round(CASE WHEN sum(abs(y)) <> 0 THEN sum(abs(y - yhat)) / sum(abs(y)) * 100 END, 8), 4) AS wape,
          CAST(14 AS INTEGER) AS horizon, CAST(8 AS INTEGER) AS n_folds,
          TIMESTAMP '2001-08-02 06:00:00' AS run_ts
   FROM bt GROUP BY {K}, model
@@ -464,11 +464,8 @@ SQL["fourier_features"] = with_series(
     )
     + " FROM dense"
 )
-_YEARS = "SELECT unnest(range(CAST(year((SELECT min(ds) FROM dense)) AS BIGINT), CAST(year((SELECT max(ds) FROM dense) + 14) AS BIGINT) + 1)) AS y"
-
-
-def _obs(d: str) -> str:
-    return f"CASE isodow({d}) WHEN 6 THEN {d} - 1 WHEN 7 THEN {d} + 1 ELSE {d} END"
+_YEARS = "SELECT unnest(range(CAST(year((SELECT min(ds) FROM dense)) AS BIGINT), CAST(year((SELECT max(ds) FROM dense) + 14) AS BIGINT) + 2)) AS y"
+_LAST = "(SELECT max(y) - 1 FROM yrs)"
 
 
 def _nth(m: int, wd_iso: int, n: int) -> str:
@@ -479,20 +476,22 @@ def _nth(m: int, wd_iso: int, n: int) -> str:
     return f"CAST({last} - CAST(((isodow({last}) - {wd_iso} + 7) % 7) AS INTEGER) AS DATE)"
 
 
-_HOL = [
-    f"SELECT CAST({_obs('make_date(CAST(y AS INTEGER), 1, 1)')} AS DATE) AS ds, 'New Year''s Day' AS holiday FROM yrs",
-    f"SELECT CAST({_obs('make_date(CAST(y AS INTEGER), 6, 19)')} AS DATE), 'Juneteenth National Independence Day' FROM yrs WHERE y >= 2021",
-    f"SELECT CAST({_obs('make_date(CAST(y AS INTEGER), 7, 4)')} AS DATE), 'Independence Day' FROM yrs",
-    f"SELECT CAST({_obs('make_date(CAST(y AS INTEGER), 11, 11)')} AS DATE), 'Veterans Day' FROM yrs WHERE y >= 1938",
-    f"SELECT CAST({_obs('make_date(CAST(y AS INTEGER), 12, 25)')} AS DATE), 'Christmas Day' FROM yrs",
-    f"SELECT {_nth(1, 1, 3)}, 'Martin Luther King Jr. Day' FROM yrs",
-    f"SELECT {_nth(2, 1, 3)}, 'Washington''s Birthday' FROM yrs",
-    f"SELECT {_nth(5, 1, -1)}, 'Memorial Day' FROM yrs",
-    f"SELECT {_nth(9, 1, 1)}, 'Labor Day' FROM yrs",
-    f"SELECT {_nth(10, 1, 2)}, 'Columbus Day' FROM yrs",
-    f"SELECT {_nth(11, 4, 4)}, 'Thanksgiving' FROM yrs",
+_FIXED = [(1, 1, "New Year''s Day", 0), (6, 19, "Juneteenth National Independence Day", 2021), (7, 4, "Independence Day", 0),
+          (11, 11, "Veterans Day", 1938), (12, 25, "Christmas Day", 0)]
+_HOL = [f"SELECT make_date(CAST(y AS INTEGER), {m}, {d}) AS ds, '{n}' AS holiday FROM yrs WHERE y >= {s}" for m, d, n, s in _FIXED]
+_HOL += [
+    f"SELECT CAST(x.ds + CASE isodow(x.ds) WHEN 6 THEN -1 ELSE 1 END AS DATE), '{n} (observed)' "
+    f"FROM (SELECT make_date(CAST(y AS INTEGER), {m}, {d}) AS ds FROM yrs WHERE y >= {s}) x WHERE isodow(x.ds) >= 6"
+    for m, d, n, s in _FIXED
 ]
-SQL["holiday_calendar"] = with_series(f", yrs AS ({_YEARS})\n" + "\nUNION ALL\n".join(_HOL))
+_HOL += [
+    f"SELECT {_nth(m, w, k)}, '{n}' FROM yrs"
+    for m, w, k, n in [(1, 1, 3, "Martin Luther King Jr. Day"), (2, 1, 3, "Washington''s Birthday"), (5, 1, -1, "Memorial Day"),
+                       (9, 1, 1, "Labor Day"), (10, 1, 2, "Columbus Day"), (11, 4, 4, "Thanksgiving")]
+]
+SQL["holiday_calendar"] = with_series(
+    f", yrs AS ({_YEARS}), hol AS ({chr(10).join([' UNION ALL '.join(_HOL)])}) SELECT ds, holiday FROM hol WHERE year(ds) <= {_LAST}"
+)
 SQL["trend_fit"] = with_series(
     f"SELECT {K}, round(regr_slope(y, rn), 6) AS slope, round(regr_intercept(y, rn), 4) AS intercept, count(*) AS n FROM dense GROUP BY {K}"
 )

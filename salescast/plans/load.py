@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salescast.operators import load as ld
 from salescast.operators.marts import cast_projection
 from salescast.schemas import BRONZE_ORDERS
-from salescast.session import broadcast_bounded, cut_lineage
-
-# A day list is bounded by the calendar, not by data volume: 100 years of days.
-MAX_DAYS = 36_600
 from salescast.sources import sinks
 from salescast.sources.readers import scan_raw_orders
 
@@ -23,12 +20,21 @@ def ensure_bronze(spark: SparkSession, table: str, location: str | None = None)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (\n  {body}\n) USING parquet PARTITIONED BY (business_date){loc}")
 
 
+def staged_days(days: DataFrame) -> DataFrame:
+    """The day list as a written table read back through a predicate: it has
+    real statistics and a selective filter, so that a semi join on a partition
+    column prunes the other side's directories at run time."""
+    path = sinks.stage_dir(days.sparkSession, "days")
+    days.select("business_date", F.lit(1).alias("need")).write.parquet(path)
+    return days.sparkSession.read.schema("business_date bigint, need int").parquet(path).where("need = 1").select("business_date")
+
+
 def run_load(spark: SparkSession, root: str, table: str = "bronze_orders", full_refresh: bool = False, window: int = 0,
              location: str | None = None) -> int:
     """D3 -> D2 -> C8 -> A1/B3 -> A6 in one replace job. Returns rows written.
 
-    The day list is checkpointed before the write because it is derived from
-    the very table being overwritten (never read and overwrite one table in a
+    The day list is written before the load because it is derived from the
+    very table being overwritten (never read and overwrite one table in a
     single plan)."""
     ensure_bronze(spark, table, location)
     landing = scan_raw_orders(spark, root)
@@ -37,10 +43,8 @@ def run_load(spark: SparkSession, root: str, table: str = "bronze_orders", full_
         todo = disk.select("business_date")
     else:
         todo = ld.days_needing_load(disk, ld.day_counts(spark.table(table)), window)
-    todo = cut_lineage(todo)
+    todo = staged_days(todo)
     if todo.isEmpty():
         return 0
-    # Semi join on the partition column: dynamic partition pruning reads only
-    # the chosen day directories.
-    chosen = landing.join(broadcast_bounded(todo, MAX_DAYS), "business_date", "left_semi")
+    chosen = landing.join(todo, "business_date", "left_semi")
     return sinks.replace_days(cast_projection(chosen), table)

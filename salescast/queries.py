@@ -136,7 +136,6 @@ STALE_ORDER_EVERY = 13
 UNLOADED_DAY_EVERY = 11
 LOAD_WINDOW = 3
 TRAILING_DAYS = 7
-LOOKBACK_DAYS = 900
 
 
 def stale_bronze(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,7 +209,7 @@ def q_trailing_window(spark, sf):
 @register("history_bounds")
 def q_history_bounds(spark, sf):
     days = ld.day_counts(bridge.landing_orders(spark, sf))
-    return ld.history_bounds(days, today_key(days), LOOKBACK_DAYS)
+    return ld.history_bounds(days, today_key(days))
 
 
 @register("replace_days")
@@ -237,7 +236,6 @@ KEY_TYPES = [("c_mktsegment", "string"), ("n_regionkey", "int")]
 HORIZON, N_FOLDS, MIN_TRAIN = 14, 8, 60
 # The run stamp written on forecast tables by registered queries.
 RUN_TS = _dt.datetime(2001, 8, 2, 6, 0, 0)
-CLOSED_WEEKDAY = 0  # weekday(): Monday = 0 -- the restaurant is closed on Mondays
 
 
 def keyed_stg(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,10 +244,9 @@ def keyed_stg(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_by_key(spark: SparkSession, sf: str, before=None) -> DataFrame:
-    """Daily mart per (segment, region) with Mondays closed (no orders);
+    """Daily mart per (segment, region) over every order;
     ``before`` (a day key or Column) keeps only earlier days."""
     s = keyed_stg(spark, sf)
-    s = s.where(F.weekday(yyyymmdd_to_date("business_date")) != CLOSED_WEEKDAY)
     if before is not None:
         s = s.where(F.col("business_date") < before)
     # The keyed mart is (#keys x #days) rows and feeds every model, fold and
@@ -302,10 +299,15 @@ def _metrics(spark, sf):
     return bt.model_metrics(_backtest(spark, sf), KEYS, HORIZON, N_FOLDS, RUN_TS)
 
 
+def _rounded(metrics: DataFrame, *names: str) -> DataFrame:
+    """Metrics as the oracle reports them; the library keeps full precision."""
+    return metrics.withColumns({n: F.round(F.round(n, 8), 4) for n in names})  # 8 first: a tie at 4 must not hang on the order of a sum
+
+
 def _one_metric(name):
     def q(spark, sf):
         b = _backtest(spark, sf, {bt.BASELINE: fc.seasonal_naive})
-        return bt.model_metrics(b, KEYS, HORIZON, N_FOLDS, RUN_TS).select(*KEYS, "model", name)
+        return bt.model_metrics(b, KEYS, HORIZON, N_FOLDS, RUN_TS).select(*KEYS, "model", F.round(F.round(name, 8), 4).alias(name))
 
     return q
 
@@ -316,7 +318,7 @@ for _m in ("mae", "rmse", "mape", "wape"):
 
 @register("model_metrics")
 def q_model_metrics(spark, sf):
-    return _metrics(spark, sf)
+    return _rounded(_metrics(spark, sf), "mae", "rmse", "mape", "wape")
 
 
 @register("champion")
@@ -357,7 +359,7 @@ def q_plugin_forecaster(spark, sf):
     from pyspark.sql import types as T
 
     kt = [("c_mktsegment", T.StringType()), ("n_regionkey", T.IntegerType())]
-    plug = bt.pandas_model(bt.pandas_seasonal_naive, kt)
+    plug = bt.pandas_model(bt.repeat_last_season, kt)
     b = _backtest(spark, sf, {bt.BASELINE: plug})
     return b.select(*KEYS, "model", "fold", "ds", "y", "yhat")
 

@@ -130,7 +130,7 @@ NESTED_ORDER = T.StructType(
 )
 
 # Tokens that identify personal or card data in a column name.
-PII_TOKENS = ["email", "phone", "name", "address", "city", "zip", "last4", "card", "customer", "delivery"]
+PII_TOKENS = ["email", "phone", "name", "address", "city", "zip", "last4", "card", "customer", "delivery", "first", "last", "digits", "payment"]
 
 # Forecast and serving tables.
 FORECAST = T.StructType(

@@ -6,11 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows above which a side is never broadcast by hint; beyond it the join is
-# left to the planner (sort-merge, or AQE's runtime broadcast on measured size).
-BROADCAST_ROW_LIMIT = 100_000
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "salescast") -> SparkSession:
@@ -42,14 +37,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-# Runtime SQL settings the library relies on: UTC session zone (timestamps are
-# parsed as UTC instants), coalesced partitions that still spread small inputs
-# over all cores, and directory listing grouped into fewer tasks.
-RUNTIME_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
-}
+# Runtime SQL setting the library relies on: timestamps are parsed as UTC instants.
+RUNTIME_CONF = {"spark.sql.session.timeZone": "UTC"}
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
@@ -60,13 +49,16 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    on a local master fall back to a fresh scratch folder. On a cluster without
+    it this raises: executors would write to their own disks."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="salescast-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return conf_dir
@@ -76,12 +68,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def broadcast_bounded(df: DataFrame, bound_rows: int) -> DataFrame:
-    """Broadcast-hint a side whose row count is bounded by construction
-    (fold tables, horizon calendars, one-row scalars). ``bound_rows`` is the
-    proven bound; it must sit under BROADCAST_ROW_LIMIT or no hint is given."""
-    if bound_rows <= BROADCAST_ROW_LIMIT:
-        return F.broadcast(df)
-    return df

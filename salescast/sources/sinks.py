@@ -43,11 +43,10 @@ def write_partitions(df: DataFrame, root: str, schema: T.StructType, mode: str =
     spark = df.sparkSession
     out = conform(df, schema)
     if mode == "skip":
-        try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):  # no root yet: nothing to skip
             existing = spark.read.schema(schema).parquet(root).select("business_date").distinct()
             out = out.join(existing, "business_date", "left_anti")
-        except Exception:  # noqa: BLE001 -- no root yet: nothing to skip
-            pass
     elif mode != "overwrite":
         raise ValueError(f"mode must be overwrite or skip, not {mode!r}")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

@@ -5,8 +5,9 @@ ST1  documents (JSON files) -> flatten -> foreachBatch: merge the batch into
      the batch touches (dynamic partition overwrite), idempotently.
 ST2  late edits: a later version of an order re-lands its day; the merge keeps
      the highest version, so post-close refunds/tips are applied.
-ST3  today-so-far: stateful tumbling 1-day windows on the local order time
-     with a watermark (update mode); equals the batch D4 aggregate.
+ST3  today-so-far: running state per business_date (update mode); equals the
+     batch D4 aggregate. No watermark: late rows always count, and the state
+     is one row per business day.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from salescast.functions.money import money_sum, rounded
 from salescast.operators.edits import latest_per_key
 from salescast.operators.flatten import flatten_orders
 from salescast.operators.marts import cast_projection, live_orders
+from salescast.plans.load import staged_days
 from salescast.schemas import BRONZE_ORDERS, NESTED_ORDER
 from salescast.session import cut_lineage
 
@@ -36,13 +38,16 @@ def read_order_stream(spark: SparkSession, path: str, max_files: int | None = No
 
 def merge_batch(batch: DataFrame, table: str) -> int:
     """foreachBatch body (ST1/ST2): latest version per order wins, across the
-    batch and what bronze already holds for the touched days; only those days
-    are replaced. Re-running a batch gives the same table."""
+    batch and what bronze already holds of its orders. The days replaced are
+    those of the batch and those where its orders stood before, so that an
+    order that moves to another day leaves the old one; a day that loses its
+    last order is dropped. Re-running a batch gives the same table."""
     spark = batch.sparkSession
     docs = batch.withColumn("version", F.coalesce("version", F.lit(0)).cast("bigint"))
     flat = flatten_orders(docs, carry=("version",))
     incoming = cast_projection(flat, keep=("version",))
-    days = incoming.select("business_date").distinct()
+    held = spark.table(table).select("order_guid", "business_date").join(incoming.select("order_guid").distinct(), "order_guid", "left_semi")
+    days = staged_days(incoming.select("business_date").union(held.select("business_date")).distinct())
     existing = spark.table(table).join(days, "business_date", "left_semi")
     if "version" not in existing.columns:
         existing = existing.withColumn("version", F.lit(-1).cast("bigint"))
@@ -52,6 +57,8 @@ def merge_batch(batch: DataFrame, table: str) -> int:
     target = spark.table(table).columns
     out = merged.select(*target).hint("rebalance", "business_date")
     out.write.insertInto(table, overwrite=True)
+    for row in days.join(merged, "business_date", "left_anti").collect():  # days, bounded by the calendar
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (business_date = {row['business_date']})")
     return merged.count()
 
 
@@ -71,23 +78,14 @@ def start_bronze_stream(spark: SparkSession, docs_path: str, table: str, checkpo
     return w.start()
 
 
-def today_so_far(flat_stream: DataFrame, tz: str = BUSINESS_TZ, watermark: str = "3 days") -> DataFrame:
-    """ST3: per local business day, order count, guests, net sales so far and
-    the latest local open time, in tumbling 1-day windows with a watermark
-    (state older than the watermark is dropped; keep it >= the reload window)."""
+def today_so_far(flat_stream: DataFrame, tz: str = BUSINESS_TZ) -> DataFrame:
+    """ST3: per business day, order count, guests, net sales so far and the
+    latest local open time. An order belongs to its business_date, whenever it
+    was opened, and a late order updates its day's row."""
     live = live_orders(flat_stream).withColumn("opened_local", utc_to_local(parse_iso_utc("opened_date"), tz))
-    # Event time must be TIMESTAMP: the local wall clock read in the (UTC)
-    # session zone, so 1-day windows align with local business days.
-    live = live.withColumn("event_ts", F.col("opened_local").cast("timestamp"))
-    return (
-        live.withWatermark("event_ts", watermark)
-        .groupBy(F.window("event_ts", "1 day").alias("w"))
-        .agg(
-            F.count(F.lit(1)).alias("order_count"),
-            F.sum("num_guests").cast("bigint").alias("guest_count"),
-            rounded(money_sum("net_amount") - money_sum("deferred_amount"), 2).alias("net_sales_so_far"),
-            F.max("opened_local").alias("last_order_opened_at"),
-        )
-        .select(F.date_format(F.col("w.start"), "yyyyMMdd").cast("bigint").alias("business_date"), "order_count", "guest_count",
-                "net_sales_so_far", "last_order_opened_at")
+    return live.groupBy(F.col("business_date").cast("bigint").alias("business_date")).agg(
+        F.count(F.lit(1)).alias("order_count"),
+        F.sum("num_guests").cast("bigint").alias("guest_count"),
+        rounded(money_sum("net_amount") - money_sum("deferred_amount"), 2).alias("net_sales_so_far"),
+        F.max("opened_local").alias("last_order_opened_at"),
     )

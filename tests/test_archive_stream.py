@@ -40,6 +40,17 @@ def test_conform_archive_rewrites_only_drifted_and_is_idempotent(spark, tmp_path
     assert len(out) == 2 and {r.net_amount for r in out} == {10.0} and {r.num_guests for r in out} == {2}
 
 
+def test_conform_archive_keeps_the_other_rows_of_a_drifted_day(spark, tmp_path):
+    day = tmp_path / "raw" / "business_date=20260625"
+    day.mkdir(parents=True)
+    good = pa.concat_tables([_legacy_table(20260625)] * 10)
+    fixed = pa.schema([(f.name, {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}.get(f.dataType.typeName(), pa.string())) for f in LANDING_ORDERS.fields])
+    pq.write_table(good.select(fixed.names).cast(fixed), day / "a.parquet")
+    pq.write_table(_legacy_table(20260625), day / "b.parquet")
+    assert cf.conform_archive(spark, str(tmp_path / "raw")) == [20260625]
+    assert spark.read.schema(LANDING_ORDERS).parquet(str(tmp_path / "raw")).count() == 11
+
+
 def test_safe_cast_raises_on_loss(spark):
     df = spark.createDataFrame([(2.5,)], "num_guests double")
     from pyspark.sql import types as T
@@ -60,9 +71,13 @@ def test_holiday_calendar_rules(spark):
     got = {(r.holiday, r.ds) for r in holiday_calendar(spark, "2026-01-01", "2026-12-31").collect()}
     assert ("Thanksgiving", dt.date(2026, 11, 26)) in got
     assert ("Memorial Day", dt.date(2026, 5, 25)) in got
-    assert ("Independence Day", dt.date(2026, 7, 3)) in got  # Saturday -> observed Friday
+    assert ("Independence Day", dt.date(2026, 7, 4)) in got
+    assert ("Independence Day (observed)", dt.date(2026, 7, 3)) in got  # Saturday -> Friday
     assert ("Labor Day", dt.date(2026, 9, 7)) in got
-    assert len(got) == 11
+    assert len(got) == 12
+    got = {(r.holiday, r.ds) for r in holiday_calendar(spark, "2027-01-01", "2027-12-31").collect()}
+    assert {("Christmas Day", dt.date(2027, 12, 25)), ("Christmas Day (observed)", dt.date(2027, 12, 24))} <= got
+    assert ("New Year's Day (observed)", dt.date(2027, 12, 31)) in got and max(d for _, d in got) == dt.date(2027, 12, 31)
 
 
 def test_stream_today_equals_batch(spark, tmp_path):

@@ -130,7 +130,7 @@ def test_pandas_plugin_equals_dataframe_model(spark):
                               + [("k2", dt.date(2026, 2, 1) + dt.timedelta(days=i), float(i % 5)) for i in range(80)],
                               "k string, ds date, y double")
     ns = ser.numbered_series(s, ["k"])
-    plug = bt.pandas_model(bt.pandas_seasonal_naive, [("k", T.StringType())])
+    plug = bt.pandas_model(bt.repeat_last_season, [("k", T.StringType())])
     a = bt.run_backtest(ns, ["k"], {bt.BASELINE: fc.seasonal_naive}, 14, 3, 14, 30).select("k", "fold", "ds", "yhat")
     b = bt.run_backtest(ns, ["k"], {bt.BASELINE: plug}, 14, 3, 14, 30).select("k", "fold", "ds", "yhat")
     assert a.count() == b.count() > 0
@@ -171,3 +171,27 @@ def test_seasonal_regression_recovers_trend_times_weekday(spark):
     for r in out:
         assert 0.0 <= r.yhat_lower <= r.yhat <= r.yhat_upper
         assert math.isclose(r.yhat, truth[r.ds], rel_tol=0.02)
+
+
+def test_null_keys_gaps_and_short_series(spark):
+    from salescast.operators import quality as ql
+
+    day = dt.date(2026, 1, 1)
+    rows = [("a", day + dt.timedelta(days=i), float(100 + i % 7)) for i in range(140) if i % 11] + [(None, day + dt.timedelta(days=i), 5.0 + i) for i in (0, 1, 3)]
+    rows.append(("a", day + dt.timedelta(days=11), None))
+    ns = ser.numbered_series(spark.createDataFrame(rows, "k string, ds date, y double"), ["k"])
+    assert [r.y for r in ns.where("k is null").orderBy("ds").collect()] == [5.0, 6.0, 0.0, 8.0]
+    models = {bt.BASELINE: fc.seasonal_naive}
+    winners = bt.champion(bt.model_metrics(bt.run_backtest(ns, ["k"], models, 14, 2), ["k"], 14, 2, dt.datetime(2026, 1, 1)), ["k"])
+    every = bt.with_unscored(ns, winners, ["k"])
+    assert {(r.k, r.model, r.scored) for r in every.collect()} == {("a", "baseline", True), (None, "baseline", False)}
+    assert bt.champion_forecast(ns, ["k"], models, every, 14).groupBy("k").count().where("count = 14").count() == 2
+    short = ser.numbered_series(spark.createDataFrame([(r[1], r[2]) for r in rows[-4:-1]], "ds date, y double"), [])
+    with pytest.raises(ValueError):
+        bt.run_backtest(short, [], models)
+    assert ql.no_fanout(spark.range(5), spark.range(3), 2, []).first().ok
+
+
+def test_near_tie_is_decided_unrounded(spark):
+    m = spark.createDataFrame([("k", "baseline", 10.00004), ("k", "trend_weekday", 10.00001)], "k string, model string, wape double")
+    assert bt.champion(m, ["k"]).first().model == "trend_weekday"

@@ -32,21 +32,35 @@ def test_bronze_only_days_never_selected(spark):
     assert ld.days_needing_load(disk, bronze, window=0).count() == 0
 
 
-def test_window_bounds():
-    today = dt.date(2026, 7, 30)
-    assert ld.window_bounds(3, today) == (dt.date(2026, 7, 27), dt.date(2026, 7, 29))
-    assert ld.window_bounds(3, today, through_today=True) == (dt.date(2026, 7, 28), dt.date(2026, 7, 30))
-    assert ld.window_bounds(3, today, today_mode=True) == (today, today)
-    with pytest.raises(ValueError):
-        ld.window_bounds(0, today)
+def test_refresh_slice_and_empty_guard(spark):
+    landing = spark.createDataFrame([(d,) for d in (20240226, 20240227, 20240228, 20240229, 20240301)], "business_date long")
+    today = dt.date(2024, 3, 1)
 
+    def got(*a, **k):
+        return sorted(r[0] for r in ld.refresh_slice(landing, today, *a, **k).collect())
 
-def test_empty_window_guard():
-    with pytest.raises(RuntimeError):
-        ld.assert_window_not_empty(0, 3)
+    assert got(2) == [20240228, 20240229]
+    assert got(2, through_today=True) == [20240229, 20240301]
+    assert got(None) == [20240301]
+    with pytest.raises(ValueError):
+        ld.refresh_slice(landing, today, 0)
+    late = dt.date(2024, 6, 1)
     with pytest.raises(RuntimeError):
-        ld.assert_window_not_empty(5, 0)
-    ld.assert_window_not_empty(0, 0, today_mode=True)
+        ld.require_rows(ld.refresh_slice(landing, late, 5), 5)
+    assert ld.require_rows(ld.refresh_slice(landing, late, None), None).count() == 0
+    assert ld.require_rows(ld.refresh_slice(landing, today, 2), 2).count() == 2
+
+
+def test_staged_days_prune_the_landing_scan(spark, tmp_path):
+    from salescast.plans.load import staged_days
+
+    root = str(tmp_path / "landing")
+    spark.range(400).selectExpr("id", "20240101 + id % 20 as business_date").write.partitionBy("business_date").parquet(root)
+    days = staged_days(spark.createDataFrame([(20240103,)], "business_date long"))
+    landing = spark.read.schema("id long, business_date long").parquet(root)
+    chosen = landing.join(days, "business_date", "left_semi")
+    assert "dynamicpruning" in chosen._jdf.queryExecution().toString().lower()
+    assert chosen.count() == 20
 
 
 def test_history_bounds_with_closed_day_and_floor(spark):
