@@ -26,7 +26,7 @@ from salescast.llm.common import fresh
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Sizes at which a worker's caches start anew; results don't depend on them.
-CHUNK_ENTRIES, WORD_ENTRIES, PAIR_ENTRIES = 300_000, 150_000, 300_000
+CHUNK_ENTRIES, WORD_ENTRIES, PAIR_ENTRIES = 500_000, 150_000, 400_000
 
 
 def ranks_path() -> str:
@@ -42,6 +42,7 @@ class MergeReplay:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+        self.byte_pairs = np.array([ranks.get(bytes([i, j]), -1) for i in range(256) for j in range(256)], dtype=np.int64)
         self.pair: dict[int, int] = {}
         self.words: dict[str, list[int]] = {}
         self.coder = ChunkCoder(self.chunks, CHUNK_ENTRIES)
@@ -63,18 +64,21 @@ class MergeReplay:
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of each word."""
-        sym: list[int] = []
-        begin = []
-        for w in words:
-            begin.append(len(sym))
-            sym.extend(self.byte_id[np.frombuffer(w, dtype=np.uint8)].tolist())
-            sym.append(-1)  # the word's end: no pair reaches over it
-        nxt, prv = list(range(1, len(sym) + 1)), list(range(-1, len(sym) - 1))
-        rank, index = self.rank, {}
-        for p in range(len(sym) - 1):
-            a, b = sym[p], sym[p + 1]
-            if a >= 0 and b >= 0 and (r := rank(a, b)) >= 0:
-                index.setdefault(r, []).append(p)
+        if not words:
+            return []
+        raw = np.frombuffer(b"\0".join(words) + b"\0", dtype=np.uint8)
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        begin = np.concatenate(([0], ends[:-1] + 1)).tolist()
+        ids, first = self.byte_id[raw], np.full(len(raw), -1, dtype=np.int64)
+        ids[ends] = -1  # a word's end: no pair reaches over it
+        first[:-1] = self.byte_pairs[raw[:-1].astype(np.int64) << 8 | raw[1:]]
+        first[ends] = first[ends - 1] = -1
+        at = np.flatnonzero(first >= 0)
+        at = at[np.argsort(first[at], kind="stable")]
+        ranks, cut = np.unique(first[at], return_index=True)
+        index = {r: p.tolist() for r, p in zip(ranks.tolist(), np.split(at, cut[1:]), strict=False)} if len(at) else {}
+        sym, nxt, prv = ids.tolist(), list(range(1, len(raw) + 1)), list(range(-1, len(raw) - 1))
+        rank, known = self.rank, self.pair.get
         heap = list(index)
         heapq.heapify(heap)
         while heap:
@@ -82,10 +86,15 @@ class MergeReplay:
             places = index.pop(r, None)
             if places is None:
                 continue
-            places.sort()
+            if len(places) > 1:
+                places.sort()
             for k, p in enumerate(places):
                 q = nxt[p]
-                if sym[p] < 0 or sym[q] < 0 or rank(sym[p], sym[q]) != r:
+                a, b = sym[p], sym[q]
+                if a < 0 or b < 0:
+                    continue
+                x = known(a << 32 | b)
+                if (rank(a, b) if x is None else x) != r:
                     continue  # a neighbour has been merged since
                 sym[p], sym[q] = r, -2
                 after = nxt[q]
@@ -93,12 +102,20 @@ class MergeReplay:
                 lower = False
                 before = prv[p]
                 for left, right in ((before, p), (p, after)):
-                    if left >= 0 and sym[left] >= 0 and sym[right] >= 0 and (x := rank(sym[left], sym[right])) >= 0:
-                        if x not in index:
-                            index[x] = []
+                    if left < 0 or (a := sym[left]) < 0 or (b := sym[right]) < 0:
+                        continue
+                    x = known(a << 32 | b)
+                    if x is None:
+                        x = rank(a, b)
+                    if x >= 0:
+                        got = index.get(x)
+                        if got is None:
+                            index[x] = [left]
                             heapq.heappush(heap, x)
-                        index[x].append(left)
-                        lower |= x < r
+                        else:
+                            got.append(left)
+                        if x < r:
+                            lower = True
                 if lower and k + 1 < len(places):  # a merge of lower rank comes first; this rank goes on after it
                     index.setdefault(r, []).extend(places[k + 1 :])
                     heapq.heappush(heap, r)
