@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salescast.llm.chunks import ChunkCoder, gather, slices
-from salescast.llm.common import fresh
+from salescast.llm.common import fresh, hand_back
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Sizes at which a worker's caches start anew; results don't depend on them.
-CHUNK_ENTRIES, WORD_ENTRIES, PAIR_ENTRIES = 500_000, 150_000, 400_000
+CHUNK_ENTRIES, WORD_ENTRIES, PAIR_ENTRIES = 400_000, 120_000, 300_000
 
 
 def ranks_path() -> str:
@@ -52,6 +52,12 @@ class MergeReplay:
         self.token_starts = np.concatenate(([0], np.cumsum(self.token_lens)[:-1]))
         self.token_bytes = np.frombuffer(flat, dtype=np.uint8)
 
+    def clear(self) -> None:
+        """Drop the caches: the worker lives on and serves other stages."""
+        self.coder.clear()
+        self.words.clear()
+        self.pair.clear()
+
     def rank(self, a: int, b: int) -> int:
         """Rank of the pair's merged token, or -1."""
         key = a << 32 | b
@@ -169,11 +175,22 @@ def _offsets(counts: np.ndarray) -> pa.Array:
     return pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32), type=pa.int32())
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None) -> DataFrame:
-    """docs with the array<int> column `ids` in place of the text."""
+def _binary(raw: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The stretches of `sizes` bytes that raw is made of."""
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, _offsets(sizes).buffers()[1], pa.py_buffer(raw.tobytes())])
+
+
+def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None, decoded: str | None = None) -> DataFrame:
+    """docs with the array<int> column `ids` in place of the text.
+
+    decoded: and the binary column of that name, what those ids decode to, in the same pass: a `decode` after it would
+    keep a second worker a task, with a vocabulary of its own.
+    """
     path, pattern, hold = path or ranks_path(), _pattern(), fresh(docs, "__text")
     src = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != text), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias(hold))
     schema = T.StructType([f for f in src.schema.fields if f.name != hold] + [T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
+    if decoded:
+        schema.add(decoded, T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay = load(path, pattern)
@@ -182,9 +199,10 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
             for a, b in slices([len(t) for t in texts]):
                 flat, counts = replay.coder.texts(texts[a:b])
                 kept = [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(_offsets(counts), pa.array(flat))], names=schema.names)
-        replay.coder.clear()  # the worker lives on and serves other stages
-        replay.words.clear()
+                back = [_binary(*replay.decode(flat, counts))] if decoded else []
+                yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(_offsets(counts), pa.array(flat)), *back], names=schema.names)
+        replay.clear()
+        hand_back()
 
     return src.mapInArrow(run, schema)
 
@@ -204,7 +222,7 @@ def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", path: str | Non
                 part = lists.slice(a, b - a)
                 counts = np.where(part.is_null().to_numpy(zero_copy_only=False), 0, lens[a:b])
                 raw, sizes = replay.decode(part.flatten().to_numpy(zero_copy_only=False).astype(np.int64), counts)
-                text = pa.Array.from_buffers(pa.binary(), b - a, [None, _offsets(sizes).buffers()[1], pa.py_buffer(raw.tobytes())])
+                text = _binary(raw, sizes)
                 if part.null_count:
                     text = pa.array([None if n else x for n, x in zip(part.is_null().to_pylist(), text.to_pylist(), strict=True)], type=pa.binary())
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(batch.num_columns)), text], names=schema.names)
@@ -213,7 +231,7 @@ def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", path: str | Non
 
 
 def bpe_query(docs: DataFrame) -> DataFrame:
-    """The contract's digest columns: ids by `encode`, bytes by `decode`."""
-    both = decode(encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))))
+    """The contract's digest columns: ids by `encode`, and the bytes that they decode to."""
+    both = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), decoded="decoded")
     listed = F.to_json("ids")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.substring(listed, F.lit(2), F.length(listed) - 2), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hand_back() -> None:
+    """Give a worker's freed memory back to the system at a task's end: workers idle on between stages and hold it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without this call keeps it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Rows of a few short columns that may be broadcast: some 40 MB.
 BROADCAST_ROWS = 500_000
 

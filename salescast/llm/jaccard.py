@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salescast.llm.chunks import slices
-from salescast.llm.common import connected, small_side, stage, texts
+from salescast.llm.common import connected, hand_back, small_side, stage, texts
 
 K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 #: Classes of one key in one task beyond which one stands for the others by unpruned edges.
@@ -254,6 +254,8 @@ def class_rows(docs: DataFrame, params: Params) -> DataFrame:
             nodes = [digest(s) if len(s) else None for s in sets]
             sigs = [signature(s, bits_for(len(s))).tobytes() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary()), pa.array([text_hash(t) for t in batch.column(1).to_pylist()], pa.int64())], names=["doc_id", "n_shingles", "node", "sig", "hash"])
+        del shingler
+        hand_back()
 
     return stage(texts(docs).mapInArrow(run, "doc_id long, n_shingles long, node binary, sig binary, hash long"), "jaccard-rows")
 
@@ -303,6 +305,8 @@ def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
                 kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
                 for c in range(0, len(rows), 2000):
                     yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows[c : c + 2000], strict=True), kinds, strict=True)], names=["bucket", "keys", "who", "nodes", "u", "v"])
+        del shingler, sent
+        hand_back()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(gid: np.ndarray, node: list[bytes], peer: list[bytes | None]) -> pa.RecordBatch:

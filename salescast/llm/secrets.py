@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescast.llm.common import fresh, guarded_spans, span_text
+from salescast.llm.common import fresh, guarded_spans, hand_back, span_text
 
 KINDS = ("assign", "access", "hex", "field")
 NAMES = "password|passwd|secret|token|api_?key"
@@ -274,6 +274,9 @@ def find_secrets(docs: DataFrame, field: Field, text: str = "text", to: str = "s
                 if len(seen) > 300_000:
                     seen, odd = set(), set()
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(out, kind)], names=schema.names)
+        seen.clear()
+        odd.clear()
+        hand_back()
 
     rows = src.mapInArrow(run, schema)
     free = F.filter(added, lambda x: ~F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescast.llm.common import fresh
+from salescast.llm.common import fresh, hand_back
 
 WORD = re.compile(r"[^\W\d_]+")
 THRESHOLD = 0.3
@@ -123,6 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample | None = None) -> Mod
         for batch in batches:
             found = [np.unique(np.fromiter((bucket(w, buckets) for w in parts(set(WORD.findall(t.lower())))), np.int32)).tobytes() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["p", "u", "f"])
+        hand_back()
 
     # copies of a text count once
     got = rows.mapInArrow(features, "p int, u int, f binary").groupBy("f").agg(F.max("p").alias("p"), F.max("u").alias("u")).toPandas().sort_values("f", ignore_index=True)
@@ -165,6 +166,9 @@ def score(docs: DataFrame, model: Model, to: str = "score", text: str = "text")
                 if len(seen) > 300_000:
                     seen, useful = set(), {}
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(out, pa.float64())], names=schema.names)
+        seen.clear()
+        useful.clear()
+        hand_back()
 
     return src.mapInArrow(run, schema)
 
