@@ -1,16 +1,20 @@
 """Whole-corpus JSON path/type profile.
 
 The reference walks the first document only; here every document is parsed
-to a VARIANT and walked level by level with ``variant_explode_outer``
-(objects add ``.key``, arrays add ``[]``), then one aggregation counts the
-documents seen per (path, type). ``max_depth`` bounds the walk.
+to a VARIANT and walked level by level with ``variant_explode``
+(objects add ``.key``, arrays add ``[]``) until no container is left, so any
+depth is covered; the values seen per (path, type) are counted level by level.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescast.session import cut_lineage
+
 _TYPE = """CASE
   WHEN v IS NULL OR schema_of_variant(v) = 'VOID' THEN 'NoneType'
   WHEN schema_of_variant(v) LIKE 'OBJECT%' THEN 'dict'
@@ -21,24 +25,21 @@ _TYPE = """CASE
   ELSE 'float' END"""
 
 
-def json_profile(df: DataFrame, col: str, max_depth: int = 8) -> DataFrame:
+def json_profile(df: DataFrame, col: str) -> DataFrame:
     """[path, type, n] over all documents in ``df[col]`` (JSON text)."""
-    spark = df.sparkSession
-    level = df.select(F.lit("").alias("path"), F.parse_json(F.col(col)).alias("v"))
-    levels = []
-    for depth in range(max_depth):
-        name = f"_jp_level_{id(df)}_{depth}"
-        level = level.selectExpr("path", "v", f"{_TYPE} AS type")
-        levels.append(level.select("path", "type"))
+    level = df.select(F.lit("").alias("path"), F.parse_json(F.col(col)).alias("v")).selectExpr("path", "v", f"{_TYPE} AS type")
+    counts = []
+    while True:
+        # each level is computed once: the next one and the counts read it back
+        level = cut_lineage(level)
+        counts.append(level.where(F.col("path") != "").groupBy("path", "type").agg(F.count(F.lit(1)).alias("n")))
         nested = level.where(F.col("type").isin("dict", "list"))
-        nested.createOrReplaceTempView(name)
-        level = spark.sql(
-            f"""SELECT CASE WHEN l.type = 'list' THEN concat(l.path, '[]')
-                            WHEN l.path = '' THEN e.key ELSE concat(l.path, '.', e.key) END AS path,
-                       e.value AS v
-                FROM {name} l, LATERAL variant_explode(l.v) e"""
-        )
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out.where(F.col("path") != "").groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
+        if nested.isEmpty():
+            break
+        inner = nested.alias("l").lateralJoin(df.sparkSession.tvf.variant_explode(F.col("l.v").outer()).alias("e"))
+        level = inner.selectExpr(
+            """CASE WHEN l.type = 'list' THEN concat(l.path, '[]')
+                    WHEN l.path = '' THEN e.key ELSE concat(l.path, '.', e.key) END AS path""",
+            "e.value AS v",
+        ).selectExpr("path", "v", f"{_TYPE} AS type")
+    return reduce(DataFrame.unionByName, counts).groupBy("path", "type").agg(F.sum("n").alias("n"))

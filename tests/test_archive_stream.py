@@ -67,6 +67,14 @@ def test_json_profile_whole_corpus(spark):
     assert got[("b[].c", "str")] == 1 and got[("b[].c", "NoneType")] == 1
 
 
+def test_json_profile_any_depth(spark):
+    text = "1"
+    for k in reversed(range(12)):
+        text = f'{{"k{k}": {text}}}'
+    got = {(r.path, r.type): r.n for r in json_profile(spark.createDataFrame([(text,)], "doc string"), "doc").collect()}
+    assert len(got) == 12 and got[(".".join(f"k{k}" for k in range(12)), "int")] == 1
+
+
 def test_holiday_calendar_rules(spark):
     got = {(r.holiday, r.ds) for r in holiday_calendar(spark, "2026-01-01", "2026-12-31").collect()}
     assert ("Thanksgiving", dt.date(2026, 11, 26)) in got
