@@ -67,6 +67,13 @@ def test_bpe_is_tiktoken_and_round_trips(make_docs):
     assert sorted((r["doc_id"] or 0, r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got) == want
 
 
+def test_decode_of_stored_ids(spark):
+    docs = spark.createDataFrame([(1, "a b\u00e9\n x"), (2, ""), (3, None)], "doc_id long, text string")
+    rows = bpe.decode(bpe.encode(docs, decoded="once"), to="again").collect()
+    assert {r["doc_id"]: bytes(r["again"]) for r in rows} == {1: "a b\u00e9\n x".encode(), 2: b"", 3: b""}
+    assert all(r["once"] == r["again"] for r in rows)
+
+
 def test_token_files(make_docs, spark):
     from tokenizers import Tokenizer
 
