@@ -25,11 +25,11 @@ from pyspark.sql import types as T
 
 from salescast.functions.dates import day_range
 from salescast.operators.forecasters import Z80
+from salescast.operators.series import join_on
 
-# Yearly period, Fourier order, history needed for yearly terms, ridge strength.
+# Yearly period, Fourier order, ridge strength.
 YEAR_DAYS = 365.25
 FOURIER_ORDER = 3
-YEARLY_MIN_DAYS = 730
 RIDGE = 1e-3
 
 
@@ -99,16 +99,22 @@ def holiday_calendar(spark, start, end) -> DataFrame:
     return out.where(F.year("ds") <= F.col("last")).select("ds", "holiday")
 
 
-def feature_frame(ns: DataFrame, keys: list[str], horizon: int, holidays: DataFrame, n_years: int) -> DataFrame:
-    """Series rows plus ``horizon`` future days per key, with feature columns."""
+#: Every name that holiday_calendar gives: one effect each.
+HOLIDAYS = [n for name, *_ in FIXED_HOLIDAYS for n in (name, f"{name} (observed)")] + [name for name, *_ in NTH_WEEKDAY_HOLIDAYS]
+
+
+def feature_frame(ns: DataFrame, keys: list[str], horizon: int, holidays: DataFrame) -> DataFrame:
+    """Series rows plus ``horizon`` future days per key, with feature columns;
+    ``hol`` lists the names of the holidays on the day."""
     heads = ns.groupBy(*keys).agg(F.first("n").alias("n"), F.first("ds0").alias("ds0")) if keys else ns.select("n", "ds0").limit(1)
     cal = heads.select(*keys, "n", F.posexplode(day_range(F.col("ds0"), F.date_add("ds0", (F.col("n") + horizon - 1).cast("int")))).alias("pos", "ds"))
     cal = cal.select(*keys, (F.col("pos") + 1).alias("rn"), "ds")
     ys = ns.select(*keys, "rn", "y")
-    hol = holidays.select("ds").distinct().withColumn("hol", F.lit(1.0))
+    hol = holidays.groupBy("ds").agg(F.collect_set("holiday").alias("hol"))
+    none = F.expr("cast(array() as array<string>)")
     return (
-        cal.join(ys, [*keys, "rn"], "left").join(hol, "ds", "left")
-        .select(*keys, "rn", "ds", "y", F.weekday("ds").alias("wd"), F.coalesce("hol", F.lit(0.0)).alias("hol"), *fourier_terms("ds"))
+        join_on(cal, ys, [*keys, "rn"], "left").join(hol, "ds", "left")
+        .select(*keys, "rn", "ds", "y", F.weekday("ds").alias("wd"), F.coalesce("hol", none).alias("hol"), *fourier_terms("ds"))
     )
 
 
@@ -116,18 +122,18 @@ def _design(pdf: pd.DataFrame, yearly: bool) -> np.ndarray:
     cols = [np.ones(len(pdf))] + [(pdf["wd"].to_numpy() == w).astype(float) for w in range(1, 7)]
     if yearly:
         cols += [pdf[f"{f}{k}"].to_numpy() for k in range(1, FOURIER_ORDER + 1) for f in ("sin", "cos")]
-    cols.append(pdf["hol"].to_numpy())
+    cols += [np.array([name in h for h in pdf["hol"]], dtype=float) for name in HOLIDAYS]
     return np.column_stack(cols)
 
 
-def fit_predict(train: pd.DataFrame, future: pd.DataFrame, z: float = Z80, ridge: float = RIDGE) -> pd.DataFrame:
-    """One origin: fit on ``train`` rows, predict ``future`` rows (numpy)."""
+def fit_predict(train: pd.DataFrame, future: pd.DataFrame, z: float = Z80, ridge: float = RIDGE, yearly: bool = True) -> pd.DataFrame:
+    """One origin: fit on ``train`` rows, predict ``future`` rows (numpy). A
+    holiday that the training rows never see has no effect (ridge)."""
     t, y = train["rn"].to_numpy(float), train["y"].to_numpy(float)
     if len(t) > 1 and np.ptp(t) > 0:
         b, a = np.polyfit(t, y, 1)
     else:
         a, b = (float(y.mean()) if len(y) else 0.0), 0.0
-    yearly = len(train) >= YEARLY_MIN_DAYS
     Xtr = _design(train, yearly) * (a + b * t)[:, None]
     p = Xtr.shape[1]
     gram = Xtr.T @ Xtr
@@ -145,41 +151,32 @@ def fit_predict(train: pd.DataFrame, future: pd.DataFrame, z: float = Z80, ridge
     })
 
 
-def seasonal_regression_model(keys_schema: list[tuple[str, T.DataType]], holidays: DataFrame, n_years: int = 50):
-    """E5 as a DataFrame model (same signature as operators.forecasters)."""
+def seasonal_regression_model(keys_schema: list[tuple[str, T.DataType]], holidays: DataFrame, yearly: bool = True):
+    """E5 as a DataFrame model (same signature as operators.forecasters): one
+    group per series and fold, so that folds of one series run side by side."""
+    knames = [k for k, _ in keys_schema]
+    cols = [*knames, "fold", "ds", "yhat", "yhat_lower", "yhat_upper"]
+    schema = T.StructType([T.StructField(k, t) for k, t in keys_schema] + [
+        T.StructField("fold", T.IntegerType()), T.StructField("ds", T.DateType()), T.StructField("yhat", T.DoubleType()),
+        T.StructField("yhat_lower", T.DoubleType()), T.StructField("yhat_upper", T.DoubleType())])
 
     def model(ns: DataFrame, origins: DataFrame, keys: list[str], horizon: int) -> DataFrame:
-        feats = feature_frame(ns, keys, horizon, holidays, n_years).withColumn("fold", F.lit(None).cast("int")).withColumn(
-            "cutoff", F.lit(None).cast("int"))
-        orig = origins.select(*keys, "fold", "cutoff")
-        both = feats.unionByName(orig, allowMissingColumns=True)
-        key_fields = [T.StructField(k, t) for k, t in keys_schema]
-        schema = T.StructType(key_fields + [
-            T.StructField("fold", T.IntegerType()), T.StructField("ds", T.DateType()), T.StructField("yhat", T.DoubleType()),
-            T.StructField("yhat_lower", T.DoubleType()), T.StructField("yhat_upper", T.DoubleType())])
-        knames = [k for k, _ in keys_schema]
-
-        def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-            is_origin = pdf["rn"].isna()
-            rows = pdf[~is_origin].sort_values("rn")
-            out = []
-            for _, o in pdf[is_origin].iterrows():
-                c = int(o["cutoff"])
-                train = rows[(rows["rn"] <= c)]
-                future = rows[(rows["rn"] > c) & (rows["rn"] <= c + horizon)]
-                if train.empty or future.empty:
-                    continue
-                res = fit_predict(train.assign(y=train["y"].fillna(0.0)), future)
-                for k in knames:
-                    res[k] = o[k]
-                res["fold"] = int(o["fold"])
-                out.append(res)
-            cols = knames + ["fold", "ds", "yhat", "yhat_lower", "yhat_upper"]
-            if not out:
+        feats = feature_frame(ns, keys, horizon, holidays).withColumn("_one", F.lit(1))
+        orig = origins.select(*keys, "fold", "cutoff", F.lit(1).alias("_one"))
+        rows = join_on(feats, orig, [*keys, "_one"], "inner").where(F.col("rn") <= F.col("cutoff") + horizon)
+
+        def per_fold(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("rn")
+            known = pdf["rn"] <= pdf["cutoff"]
+            train, future = pdf[known], pdf[~known]
+            if train.empty or future.empty:
                 return pd.DataFrame({c: pd.Series(dtype="object") for c in cols})
-            return pd.concat(out, ignore_index=True)[cols]
+            res = fit_predict(train.assign(y=train["y"].fillna(0.0)), future, yearly=yearly)
+            for k in [*knames, "fold"]:
+                res[k] = pdf[k].iloc[0]
+            return res[cols]
 
-        return both.groupBy(*keys).applyInPandas(per_series, schema)
+        return rows.groupBy(*keys, "fold").applyInPandas(per_fold, schema)
 
     return model
 

@@ -408,7 +408,6 @@ SELECT coalesce(CAST(c_mktsegment AS VARCHAR), '') AS c_mktsegment, coalesce(CAS
        coalesce(yhat_source, '') AS yhat_source
 FROM fva"""
 )
-_DQ_SERIES = SERVING + INTRADAY.replace("today AS", "today0 AS", 1)
 SQL["dq_not_null"] = with_series(
     SERVING + """
 SELECT 'stg_orders' AS model, 'order_guid' AS "column", CAST(count(*) FILTER (WHERE order_guid IS NULL) AS BIGINT) AS failures FROM stg
@@ -416,7 +415,10 @@ UNION ALL SELECT 'stg_orders', 'business_date', CAST(count(*) FILTER (WHERE busi
 UNION ALL SELECT 'fct_daily_sales', 'business_date', CAST(count(*) FILTER (WHERE business_date IS NULL) AS BIGINT) FROM fct
 UNION ALL SELECT 'fct_daily_sales', 'order_count', CAST(count(*) FILTER (WHERE order_count IS NULL) AS BIGINT) FROM fct
 UNION ALL SELECT 'forecast_vs_actuals', 'business_date', CAST(count(*) FILTER (WHERE business_date IS NULL) AS BIGINT) FROM fva
-UNION ALL SELECT 'intraday_today', 'business_date', CAST(0 AS BIGINT)"""
+UNION ALL SELECT 'forecast_vs_actuals', 'net_sales_actual', CAST(count(*) FILTER (WHERE net_sales_actual IS NULL) AS BIGINT) FROM fva
+UNION ALL SELECT 'forecast_vs_actuals', 'yhat', CAST(count(*) FILTER (WHERE yhat IS NULL) AS BIGINT) FROM fva
+UNION ALL SELECT 'intraday_today', 'business_date', CAST(count(*) FILTER (WHERE business_date IS NULL) AS BIGINT)
+  FROM (""" + SQL["intraday_today"] + ")"
 )
 SQL["dq_unique"] = with_series(
     SERVING + """
@@ -424,7 +426,11 @@ SELECT 'stg_orders' AS model, 'order_guid' AS "column", count(*) AS failures FRO
 UNION ALL SELECT 'fct_daily_sales', 'business_date', count(*) FROM (SELECT business_date FROM fct GROUP BY 1 HAVING count(*) > 1)
 UNION ALL SELECT 'forecast_vs_actuals', 'c_mktsegment,n_regionkey,business_date', count(*)
   FROM (SELECT c_mktsegment, n_regionkey, business_date FROM fva GROUP BY 1, 2, 3 HAVING count(*) > 1)
-UNION ALL SELECT 'intraday_today', 'c_mktsegment,n_regionkey,business_date', CAST(0 AS BIGINT)"""
+UNION ALL SELECT 'order_versions', 'order_guid', count(*) FROM (
+  SELECT order_guid FROM (SELECT order_guid FROM landing UNION ALL SELECT order_guid FROM landing WHERE CAST(order_guid AS BIGINT) % 11 = 0)
+  GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'intraday_today', 'c_mktsegment,n_regionkey,business_date', count(*)
+  FROM (SELECT c_mktsegment, n_regionkey, business_date FROM (""" + SQL["intraday_today"] + ") GROUP BY 1, 2, 3 HAVING count(*) > 1)"
 )
 SQL["dq_non_negative"] = with_series(f"SELECT {K}, business_date, net_sales FROM kdaily WHERE net_sales < 0")
 SQL["dq_no_fanout"] = with_series(
@@ -436,9 +442,22 @@ SELECT coalesce(s.c_mktsegment, m.c_mktsegment) AS c_mktsegment, coalesce(s.n_re
        coalesce(s.serving_rows, 0) = coalesce(m.mart_rows, 0) + 14 AS ok
 FROM s FULL OUTER JOIN m ON {_kj('s', 'm')}"""
 )
+
+
+def _bad(column: str, type_: str) -> str:
+    return f"count(*) FILTER (WHERE {column} IS NOT NULL AND TRY_CAST({column} AS {type_}) IS NULL) AS bad_{column}"
+
+
 SQL["drift_audit"] = with_flat(
-    """SELECT count(*) AS "rows", count(DISTINCT business_date) AS days, CAST(0 AS BIGINT) AS bad_business_date,
-  CAST(0 AS BIGINT) AS bad_num_guests, CAST(0 AS BIGINT) AS bad_voided, CAST(0 AS BIGINT) AS bad_deleted FROM landing"""
+    f""", texts AS (
+  SELECT CASE WHEN CAST(order_guid AS BIGINT) % 83 = 0 THEN 'unknown' ELSE CAST(business_date AS VARCHAR) END AS business_date,
+         CASE WHEN CAST(order_guid AS BIGINT) % 97 = 0 THEN 'two' ELSE CAST(num_guests AS VARCHAR) END AS num_guests,
+         CASE WHEN CAST(order_guid AS BIGINT) % 89 = 0 THEN 'maybe' ELSE CAST(voided AS VARCHAR) END AS voided,
+         CASE WHEN CAST(order_guid AS BIGINT) % 101 = 0 THEN '?' ELSE CAST(deleted AS VARCHAR) END AS deleted
+  FROM landing
+)
+SELECT count(*) AS "rows", count(DISTINCT business_date) AS days, {_bad('business_date', 'BIGINT')}, {_bad('num_guests', 'BIGINT')},
+  {_bad('voided', 'BOOLEAN')}, {_bad('deleted', 'BOOLEAN')} FROM texts"""
 )
 SQL["parity_by_day"] = with_stale(
     """, ln AS (

@@ -17,23 +17,33 @@ from pyspark.sql import types as T
 from salescast import schemas
 from salescast.operators import backtest as bt
 from salescast.operators import forecasters as fc
+from salescast.operators import regression as rg
 from salescast.operators import series as ser
 from salescast.session import cut_lineage
 from salescast.sources import sinks
 
 
-def default_models() -> dict:
+def sql_models() -> dict:
+    """The models that are DataFrame functions throughout."""
     return {bt.BASELINE: fc.seasonal_naive, "trend_weekday": fc.trend_weekday}
 
 
+def default_models(ns: DataFrame, keys: list[str], horizon: int, yearly: bool = True) -> dict:
+    """The baseline and both challengers; the holiday calendar spans the series and its horizon."""
+    lo, hi = ns.select(F.min("ds")).scalar(), ns.select(F.date_add(F.max("ds"), horizon)).scalar()
+    holidays = rg.holiday_calendar(ns.sparkSession, lo, hi)
+    key_types = [(k, ns.schema[k].dataType) for k in keys]
+    return sql_models() | {"seasonal_regression": rg.seasonal_regression_model(key_types, holidays, yearly)}
+
+
 def run_forecast(spark: SparkSession, daily: DataFrame, keys: list[str], key_types: list[tuple[str, T.DataType]] | None = None,
                  horizon: int = 14, n_folds: int = 8, min_train: int = 60, models: dict | None = None,
                  run_ts: dt.datetime | None = None, write: bool = True, table_prefix: str = "") -> dict[str, DataFrame]:
     """``daily``: [*keys, business_date, net_sales]. step is pinned to the
     horizon so each date has one back-test prediction per model."""
-    models = models or default_models()
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     ns = cut_lineage(ser.numbered_series(ser.to_series(daily, keys), keys))
+    models = models or default_models(ns, keys, horizon)
     b = bt.run_backtest(ns, keys, models, horizon, n_folds, horizon, min_train)
     b = cut_lineage(b)
     metrics = bt.model_metrics(b, keys, horizon, n_folds, run_ts)
@@ -41,7 +51,7 @@ def run_forecast(spark: SparkSession, daily: DataFrame, keys: list[str], key_typ
     forecast = bt.champion_forecast(ns, keys, models, winners, horizon)
     f_rows = bt.forecast_rows(forecast, keys, run_ts)
     b_rows = bt.backtest_rows(b, keys, run_ts)
-    out = {"series": ns, "backtest": b, "metrics": metrics, "champion": winners, "forecast": f_rows, "backtest_rows": b_rows}
+    out = {"series": ns, "backtest": b, "metrics": metrics, "champion": winners, "champion_forecast": forecast, "forecast": f_rows, "backtest_rows": b_rows}
     if write:
         kt = key_types or []
         p = table_prefix
@@ -51,5 +61,3 @@ def run_forecast(spark: SparkSession, daily: DataFrame, keys: list[str], key_typ
         sinks.write_overwrite_once([b_rows], p + schemas.BACKTEST_TABLE, schemas.with_keys(schemas.BACKTEST, kt))
     return out
 
-
-__all__ = ["run_forecast", "default_models", "F"]

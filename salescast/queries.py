@@ -230,6 +230,7 @@ import datetime as _dt  # noqa: E402
 from salescast.operators import backtest as bt  # noqa: E402
 from salescast.operators import forecasters as fc  # noqa: E402
 from salescast.operators import series as ser  # noqa: E402
+from salescast.plans.forecast import run_forecast, sql_models  # noqa: E402
 
 KEYS = list(bridge.SERIES_KEYS)
 KEY_TYPES = [("c_mktsegment", "string"), ("n_regionkey", "int")]
@@ -260,10 +261,6 @@ def numbered(spark: SparkSession, sf: str, before=None, daily: DataFrame | None
     return cut_lineage(ser.numbered_series(ser.to_series(daily, KEYS), KEYS))
 
 
-def sql_models() -> dict:
-    return {bt.BASELINE: fc.seasonal_naive, "trend_weekday": fc.trend_weekday}
-
-
 def _r(df: DataFrame) -> DataFrame:
     return fc.round_forecast(df)
 
@@ -326,11 +323,11 @@ def q_champion(spark, sf):
     return bt.champion(_metrics(spark, sf), KEYS)
 
 
-def _champion_fc(spark, sf, daily: DataFrame | None = None):
-    ns = numbered(spark, sf, daily=daily)
-    b = cut_lineage(bt.run_backtest(ns, KEYS, sql_models(), HORIZON, N_FOLDS, HORIZON, MIN_TRAIN))
-    winners = bt.champion(bt.model_metrics(b, KEYS, HORIZON, N_FOLDS, RUN_TS), KEYS)
-    return ns, b, winners, _r(bt.champion_forecast(ns, KEYS, sql_models(), winners, HORIZON))
+def _champion_fc(spark, sf, daily: DataFrame | None = None, before=None):
+    """P3 itself, with the models that SQL can express."""
+    daily = daily_by_key(spark, sf, before) if daily is None else daily
+    out = run_forecast(spark, daily, KEYS, horizon=HORIZON, n_folds=N_FOLDS, min_train=MIN_TRAIN, models=sql_models(), run_ts=RUN_TS, write=False)
+    return out["series"], out["backtest"], out["champion"], _r(out["champion_forecast"])
 
 
 @register("champion_forecast")
@@ -411,10 +408,8 @@ def intraday(spark, sf):
     history before today ('today' = the latest landed business day)."""
     raw = marts.cast_projection(bridge.keyed_landing_orders(spark, sf), keep=tuple(KEYS))
     today = today_key(raw)
-    ns = numbered(spark, sf, before=today)
-    b = cut_lineage(bt.run_backtest(ns, KEYS, sql_models(), HORIZON, N_FOLDS, HORIZON, MIN_TRAIN))
-    winners = bt.champion(bt.model_metrics(b, KEYS, HORIZON, N_FOLDS, RUN_TS), KEYS)
-    f = bt.forecast_rows(_r(bt.champion_forecast(ns, KEYS, sql_models(), winners, HORIZON)), KEYS, RUN_TS)
+    ns, _, _, fcst = _champion_fc(spark, sf, before=today)
+    f = bt.forecast_rows(fcst, KEYS, RUN_TS)
     return marts.intraday_today(raw, f, today, keys=KEYS, anchor_keys=series_heads(ns, KEYS))
 
 
@@ -455,7 +450,8 @@ def q_dq_not_null(spark, sf):
     return dq.not_null_summary([
         ("stg_orders", stg(spark, sf), ["order_guid", "business_date"]),
         ("fct_daily_sales", fct(spark, sf), ["business_date", "order_count"]),
-        ("forecast_vs_actuals", fva(spark, sf), ["business_date"]),
+        # future days have no actuals, days before the first fold no forecast: both must be counted
+        ("forecast_vs_actuals", fva(spark, sf), ["business_date", "net_sales_actual", "yhat"]),
         ("intraday_today", intraday(spark, sf), ["business_date"]),
     ])
 
@@ -467,6 +463,7 @@ def q_dq_unique(spark, sf):
         ("fct_daily_sales", fct(spark, sf), ["business_date"]),
         ("forecast_vs_actuals", fva(spark, sf), [*KEYS, "business_date"]),
         ("intraday_today", intraday(spark, sf), [*KEYS, "business_date"]),
+        ("order_versions", order_versions(spark, sf), ["order_guid"]),  # edited orders occur twice
     ])
 
 
@@ -481,14 +478,24 @@ def q_dq_no_fanout(spark, sf):
     return dq.no_fanout(serve.forecast_vs_actuals(daily, fct_rows, bt_rows, KEYS), daily, HORIZON, KEYS)
 
 
+# The audit's text landing -- source field, column, every how
+# manyth order holds a text that does not convert, and that text.
+BAD_TEXT = [
+    ("businessDate", "business_date", 83, "unknown"),
+    ("numberOfGuests", "num_guests", 97, "two"),
+    ("voided", "voided", 89, "maybe"),
+    ("deleted", "deleted", 101, "?"),
+]
+
+
 @register("drift_audit")
 def q_drift_audit(spark, sf):
     from pyspark.sql import types as T
 
     raw = bridge.nested_orders(spark, sf).select(F.to_json(F.struct("*")).alias("doc"))
-    text = raw.select(*[F.get_json_object("doc", f"$.{src}").alias(dst) for src, dst in
-                        (("businessDate", "business_date"), ("numberOfGuests", "num_guests"), ("voided", "voided"),
-                         ("deleted", "deleted"))])
+    guid = F.get_json_object("doc", "$.guid").cast("bigint")
+    text = raw.select(*[F.when(guid % every == 0, F.lit(bad)).otherwise(F.get_json_object("doc", f"$.{src}")).alias(dst)
+                        for src, dst, every, bad in BAD_TEXT])
     schema = T.StructType([T.StructField("business_date", T.LongType()), T.StructField("num_guests", T.LongType()),
                            T.StructField("voided", T.BooleanType()), T.StructField("deleted", T.BooleanType())])
     return dq.drift_audit(text, schema)
@@ -575,10 +582,14 @@ def versions(spark, sf):
     return v1, v2
 
 
+def order_versions(spark, sf):
+    v1, v2 = versions(spark, sf)
+    return v1.unionByName(v2)
+
+
 @register("late_edits")
 def q_late_edits(spark, sf):
-    v1, v2 = versions(spark, sf)
-    return latest_per_key(v1.unionByName(v2), "order_guid", "version")
+    return latest_per_key(order_versions(spark, sf), "order_guid", "version")
 
 
 def _legacy(df: DataFrame) -> DataFrame:
@@ -596,8 +607,7 @@ def drifted_archive(spark, sf) -> str:
     legacy_day = F.col("business_date") % LEGACY_DAY_EVERY == LEGACY_DAY_REM
     root = sinks.stage_dir(spark, "archive")
     sinks.write_partitions(land.where(~legacy_day), root, LANDING_ORDERS)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    _legacy(land.where(legacy_day)).hint("rebalance", "business_date").write.mode("overwrite").partitionBy("business_date").parquet(root)
+    _legacy(land.where(legacy_day)).hint("rebalance", "business_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("business_date").parquet(root)
     return root
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +66,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+@contextlib.contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Table inserts inside replace only the partitions they write; the
+    caller's own setting comes back afterwards."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescast.session import ensure_checkpoint_dir
+from salescast.session import dynamic_overwrite, ensure_checkpoint_dir
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -49,13 +49,12 @@ def write_partitions(df: DataFrame, root: str, schema: T.StructType, mode: str =
             out = out.join(existing, "business_date", "left_anti")
     elif mode != "overwrite":
         raise ValueError(f"mode must be overwrite or skip, not {mode!r}")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     # REBALANCE on the partition column: few files per day, while AQE splits a
     # hot day across tasks instead of sending it to one writer.
     out = out.hint("rebalance", "business_date")
     return _observed_write(
         out,
-        lambda d: d.write.mode("overwrite").partitionBy("business_date").parquet(root),
+        lambda d: d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("business_date").parquet(root),
     )
 
 
@@ -71,11 +70,11 @@ def replace_days(df: DataFrame, table: str) -> int:
     partitioned by business_date, in ONE job. insertInto is positional, so the
     frame is projected onto the table's own column order first."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     target_cols = spark.table(table).columns
     types = {f.name: f.dataType for f in spark.table(table).schema.fields}
     out = df.select([F.col(c).cast(types[c]).alias(c) for c in target_cols]).hint("rebalance", "business_date")
-    return _observed_write(out, lambda d: d.write.insertInto(table, overwrite=True))
+    with dynamic_overwrite(spark):
+        return _observed_write(out, lambda d: d.write.insertInto(table, overwrite=True))
 
 
 def write_latest(df: DataFrame, table: str, schema: T.StructType) -> int:

@@ -23,7 +23,7 @@ from salescast.operators.flatten import flatten_orders
 from salescast.operators.marts import cast_projection, live_orders
 from salescast.plans.load import staged_days
 from salescast.schemas import BRONZE_ORDERS, NESTED_ORDER
-from salescast.session import cut_lineage
+from salescast.session import cut_lineage, dynamic_overwrite
 
 # Documents carry a version (e.g. the source's modification counter).
 VERSIONED_ORDER = T.StructType(list(NESTED_ORDER.fields) + [T.StructField("version", T.LongType())])
@@ -53,10 +53,10 @@ def merge_batch(batch: DataFrame, table: str) -> int:
         existing = existing.withColumn("version", F.lit(-1).cast("bigint"))
     merged = latest_per_key(incoming.unionByName(existing.select(*incoming.columns)), "order_guid", "version")
     merged = cut_lineage(merged)  # bronze is read above and overwritten below
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     target = spark.table(table).columns
     out = merged.select(*target).hint("rebalance", "business_date")
-    out.write.insertInto(table, overwrite=True)
+    with dynamic_overwrite(spark):
+        out.write.insertInto(table, overwrite=True)
     for row in days.join(merged, "business_date", "left_anti").collect():  # days, bounded by the calendar
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (business_date = {row['business_date']})")
     return merged.count()

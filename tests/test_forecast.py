@@ -163,7 +163,7 @@ def test_seasonal_regression_recovers_trend_times_weekday(spark):
     s = spark.createDataFrame(rows, "k string, ds date, y double")
     ns = ser.numbered_series(s, ["k"])
     hol = rg.holiday_calendar(spark, "2026-01-01", "2026-12-31").where(F.lit(False))  # no holidays in play
-    model = rg.seasonal_regression_model([("k", T.StringType())], hol)
+    model = rg.seasonal_regression_model([("k", T.StringType())], hol, yearly=False)  # under a year of history
     origins = ser.backtest_origins(ns, ["k"], 14, 3, 14, 60).unionByName(ser.future_origins(ns, ["k"]))
     out = model(ns, origins, ["k"], 14).collect()
     assert len(out) == 4 * 14
@@ -173,6 +173,24 @@ def test_seasonal_regression_recovers_trend_times_weekday(spark):
         assert math.isclose(r.yhat, truth[r.ds], rel_tol=0.02)
 
 
+def test_seasonal_regression_gives_each_holiday_its_own_effect(spark):
+    """Three flat years in which Christmas is half above and Independence Day half below; the key is NULL."""
+    from pyspark.sql import types as T
+
+    from salescast.operators import regression as rg
+
+    start = dt.date(2022, 1, 1)
+    level = lambda d: 200.0 * {(12, 25): 1.5, (7, 4): 0.5}.get((d.month, d.day), 1.0)
+    days = [start + dt.timedelta(days=i) for i in range((dt.date(2024, 12, 20) - start).days)]
+    s = spark.createDataFrame([(None, d, level(d)) for d in days], "k string, ds date, y double")
+    ns = ser.numbered_series(s, ["k"])
+    model = rg.seasonal_regression_model([("k", T.StringType())], rg.holiday_calendar(spark, "2022-01-01", "2025-01-31"))
+    out = model(ns, ser.future_origins(ns, ["k"]), ["k"], 14).collect()
+    assert len(out) == 14 and {r.k for r in out} == {None}
+    for r in out:
+        assert math.isclose(r.yhat, level(r.ds), rel_tol=0.06)
+
+
 def test_null_keys_gaps_and_short_series(spark):
     from salescast.operators import quality as ql
 

@@ -25,9 +25,9 @@ def test_end_to_end_single_series(spark, tmp_path):
     run_ts = dt.datetime(2001, 8, 2, 6)
     out = run_forecast(spark, m["fct_daily_sales"], [], horizon=14, n_folds=8, run_ts=run_ts, table_prefix="e2e_")
     metrics = spark.table("e2e_model_metrics").collect()
-    assert {r.model for r in metrics} == {"baseline", "trend_weekday"}
+    assert {r.model for r in metrics} == {"baseline", "trend_weekday", "seasonal_regression"}
     assert spark.table("e2e_forecast_daily_sales").count() == 14
-    assert spark.table("e2e_backtest_predictions").count() == 2 * 8 * 14
+    assert spark.table("e2e_backtest_predictions").count() == 3 * 8 * 14
     views = serve_views(spark, m["fct_daily_sales"], [], "e2e_", publish_root=str(tmp_path / "pub"))
     fva = views["forecast_vs_actuals"]
     assert fva.count() == m["fct_daily_sales"].count() + 14  # L6: no fan-out
