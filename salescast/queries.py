@@ -678,8 +678,7 @@ def q_stream_today(spark, sf):
     stream = spark.readStream.schema(LANDING_ORDERS).parquet(root)
 
     def upsert(batch, _epoch):
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        batch.write.mode("overwrite").partitionBy("business_date").parquet(out)
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("business_date").parquet(out)
 
     q = (sb.today_so_far(stream).writeStream.outputMode("update").foreachBatch(upsert)
          .option("checkpointLocation", sinks.stage_dir(spark, "ckpt")).trigger(availableNow=True).start())
