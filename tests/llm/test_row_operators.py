@@ -2,7 +2,10 @@
 
 import base64
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -125,6 +128,11 @@ def test_secret_base_and_field(make_docs):
     assert all(ten[s["s"] : s["e"]] != "plain" for s in found)
 
 
+def test_plain_tokens_take_linear_time():
+    code = "from salescast.llm.secrets import plain; assert not any(plain(x) for x in ('a' * 200 + '1', 'a' * 200 + '_', '//www.example.com/' + 'some-long-' * 20 + '2023', '.' * 200 + '7')); assert plain('a' * 200 + '-b!?')"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], timeout=60, check=True)
+
+
 def test_viterbi_is_brute_force():
     from itertools import product
 
