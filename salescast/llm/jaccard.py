@@ -12,8 +12,9 @@ A document is its set of distinct word shingles (64-bit hashes). Equal sets form
    traversal runs over exact sets; pairs that are already connected are skipped. Blocks are joined along a ring first, and
    only blocks that hold more than one group after that meet pairwise.
 
-Nothing of a text is cut, no partner is dropped: a key that very many classes share in one task is replaced by one of
-them plus unpruned edges to the others, which can only enlarge a cluster. Cases: null or empty texts and texts without
+Nothing of a text is cut, no partner is dropped: of very many classes that share a key in one task, one keeps the key and
+the others get unpruned edges to it. The key travels marked as hot, and all classes that meet on it, from any task, are
+connected by unpruned edges too, so a cluster holds all of the key's classes. Cases: null or empty texts and texts without
 words have empty sets and link with nothing; a text of fewer words than a shingle is one shingle; repeated rows and
 copies fall in one class; a null doc_id never becomes a group's id unless all are null; an empty table gives no rows;
 other columns are not read. A group's id is its smallest doc_id.
@@ -261,7 +262,7 @@ def class_rows(docs: DataFrame, params: Params) -> DataFrame:
 
 
 def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
-    """(gid, node, peer): classes that share a key have one gid; where peer is set, it is an unpruned edge instead."""
+    """(gid, node, peer): classes that share a key have one gid; where peer is set, it is an unpruned edge of a hot key."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, sent = Shingler(params), set()
@@ -286,25 +287,27 @@ def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
                 begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, int)
                 size = np.diff(np.append(begin, len(key)))
                 hot = {}
-                drop = np.zeros(len(key), bool)
+                drop, flag = np.zeros(len(key), bool), np.zeros(len(key), bool)
+                flag[begin[size > HOT_KEY]] = True
                 for s0, n in zip(begin[size > HOT_KEY], size[size > HOT_KEY], strict=True):
                     drop[s0 + 1 : s0 + n] = True
                     hot.update({(int(w), int(who[s0])): None for w in who[s0 + 1 : s0 + n]})
-                key, who = key[~drop], who[~drop]
+                key, who, flag = key[~drop], who[~drop], flag[~drop]
                 bucket = (key % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
-                key, who, bucket = key[order], who[order], bucket[order]
+                key, who, flag, bucket = key[order], who[order], flag[order], bucket[order]
                 cut = np.searchsorted(bucket, np.arange(buckets + 1))
                 raw = np.frombuffer(b"".join(nodes), "V16")
                 rows: list[tuple] = []
                 for i in np.flatnonzero(cut[1:] > cut[:-1]):
                     used, local = np.unique(who[cut[i] : cut[i + 1]], return_inverse=True)
-                    rows.append((int(i), key[cut[i] : cut[i + 1]].tobytes(), local.astype(np.uint32).tobytes(), raw[used].tobytes(), None, None))
+                    mine = key[cut[i] : cut[i + 1]]
+                    rows.append((int(i), mine.tobytes(), local.astype(np.uint32).tobytes(), raw[used].tobytes(), mine[flag[cut[i] : cut[i + 1]]].tobytes(), None, None))
                 for u, v in hot:
-                    rows.append((int.from_bytes(nodes[u][:4], "little") % buckets, b"", b"", b"", nodes[u], nodes[v]))
-                kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+                    rows.append((int.from_bytes(nodes[u][:4], "little") % buckets, b"", b"", b"", b"", nodes[u], nodes[v]))
+                kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
                 for c in range(0, len(rows), 2000):
-                    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows[c : c + 2000], strict=True), kinds, strict=True)], names=["bucket", "keys", "who", "nodes", "u", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows[c : c + 2000], strict=True), kinds, strict=True)], names=["bucket", "keys", "who", "nodes", "hot", "u", "v"])
         del shingler, sent
         hand_back()
 
@@ -314,7 +317,7 @@ def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
 
         for table in runs_of(batches, 1):
             of = np.array(table.column("bucket").to_pylist())
-            rows = table.select(["keys", "who", "nodes", "u", "v"]).to_pylist()
+            rows = table.select(["keys", "who", "nodes", "hot", "u", "v"]).to_pylist()
             edges = [(r["u"], r["v"]) for r in rows if r["u"] is not None]
             if edges:
                 yield out(np.zeros(len(edges), np.int64), [e[0] for e in edges], [e[1] for e in edges])
@@ -334,7 +337,18 @@ def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
                 key, who = key[first], who[first]
                 begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
                 size = np.diff(np.append(begin, len(key)))
-                many = np.repeat(size > 1, size)
+                if not (size > 1).any():
+                    continue
+                raw = [x.tobytes() for x in nodes]
+                # a hot key's holder stands for classes that aren't here: nothing that meets it may be pruned
+                hot = np.isin(key[begin], np.concatenate([np.frombuffer(r["hot"], np.uint64) for r in mine]))
+                star = np.repeat(hot & (size > 1), size)
+                pair = np.unique(np.stack((np.repeat(who[begin], size)[star], who[star])), axis=1)
+                pair = pair[:, pair[0] != pair[1]]
+                for c in range(0, pair.shape[1], 100_000):
+                    u, v = pair[:, c : c + 100_000]
+                    yield out(np.zeros(len(u), np.int64), [raw[i] for i in u], [raw[i] for i in v])
+                many = np.repeat((size > 1) & ~hot, size)
                 if not many.any():
                     continue
                 ids = mix(nodes["a"].astype(np.uint64) ^ mix(nodes["b"].astype(np.uint64)))
@@ -345,11 +359,10 @@ def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
                 gid, who = gid[order], who[order]
                 first = np.concatenate(([True], (gid[1:] != gid[:-1]) | (who[1:] != who[:-1])))
                 gid, who = gid[first], who[first]
-                raw = [x.tobytes() for x in nodes]
                 for c in range(0, len(gid), 100_000):
                     yield out(gid[c : c + 100_000], [raw[i] for i in who[c : c + 100_000]], [None] * len(gid[c : c + 100_000]))
 
-    sent = texts(docs).mapInArrow(send, "bucket int, keys binary, who binary, nodes binary, u binary, v binary")
+    sent = texts(docs).mapInArrow(send, "bucket int, keys binary, who binary, nodes binary, hot binary, u binary, v binary")
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "gid long, node binary, peer binary")
 
 

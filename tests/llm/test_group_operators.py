@@ -62,6 +62,17 @@ def test_jaccard_is_brute_force(make_docs, monkeypatch, params, block):
     assert sorted(got, key=key) == sorted(components(rows, params.words, params.percent), key=key)
 
 
+@pytest.mark.parametrize("hot", [20, 2])
+def test_jaccard_hot_keys_across_tasks(make_docs, monkeypatch, hot):
+    monkeypatch.setattr(jaccard, "HOT_KEY", hot)
+    fixed = " ".join(f"fixed{i}" for i in range(12))
+    many = [(i, f"id{i} {fixed}") for i in range(60)] + [(100 + i, f"id{100 + i} {fixed} extra{i}") for i in range(12)]
+    few = [(200 + i, f"id{100 + i} {fixed}") for i in range(12)]
+    docs = make_docs(many).coalesce(1).union(make_docs(few).coalesce(2))
+    got = [tuple(r) for r in jaccard.jaccard_groups(docs).collect()]
+    assert sorted(got) == sorted(components(many + few, 4, 85))
+
+
 def test_jaccard_keys_are_shared():
     rng = np.random.default_rng(5)
     params = jaccard.Params()
