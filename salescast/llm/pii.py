@@ -109,7 +109,8 @@ def bootstrap(mentions: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         .groupBy("kind", "m", "pattern").agg(F.max(F.col("seed").cast("int")).alias("seed")),
         "pii-edges",
     )
-    known = edges.groupBy("kind", "m").agg(F.max("seed").cast("double").alias("confidence")).where("confidence > 0")
+    seeds = edges.where("seed = 1").select("kind", "m", F.lit(1.0).alias("confidence"), F.lit(True).alias("given")).distinct()
+    known = seeds
     for k in range(rounds):
         weighed = edges.join(known, ["kind", "m"], "left")
         patterns = (
@@ -123,9 +124,8 @@ def bootstrap(mentions: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .agg(F.max("seed").alias("seed"), (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("c") * 0.95, F.lit(1e-9)))))).alias("score"), F.count(F.lit(1)).alias("votes"))
             .where((F.col("seed") == 0) & (F.col("votes") >= MIN_PATTERNS) & (F.col("score") >= MIN_INSTANCE))
         )
-        seeds = edges.where("seed = 1").select("kind", "m", F.lit(1.0).alias("confidence")).distinct()
-        known = stage(seeds.union(voted.select("kind", "m", "score")), f"pii-known-{k}")
-    return known.where("confidence < 1")
+        known = stage(seeds.union(voted.select("kind", "m", "score", F.lit(False))), f"pii-known-{k}")
+    return known.where("not given").drop("given")  # many votes make a confidence of 1.0 too
 
 
 def find_pii(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:

@@ -57,6 +57,13 @@ def test_pii_bootstrap_finds_unseen(make_docs):
     assert spans[100] == "email:21:35" and spans[101] == ""
 
 
+def test_pii_bootstrap_keeps_what_many_patterns_support(make_docs):
+    text = lambda c, x: f"about{c} near{c} {x} after{c} that"
+    seen = [(100 * k + i, text(c, f"u{i}@mail{i}.example.org")) for k, c in enumerate("abcdefghijklmno") for i in range(12)]
+    rows = pii.pii_query(make_docs(seen + [(5000 + k, text(c, "root@localhost")) for k, c in enumerate("abcdefghijklmno")])).collect()
+    assert [r["spans"] for r in rows if r["doc_id"] >= 5000] == ["email:13:27"] * 15  # 30 patterns vote
+
+
 def test_bpe_is_tiktoken_and_round_trips(make_docs):
     import tiktoken
 
