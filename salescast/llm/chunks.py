@@ -21,12 +21,12 @@ SLICE_CHARS = 2_000_000
 
 
 class Codes(dict):
-    """Numbers strings as they are first looked up, and lists those of the last look-ups."""
+    """Numbers chunks as they are first looked up, and lists those of the last look-ups."""
 
     def __init__(self):
-        self.new: list[str] = []
+        self.new: list[str | tuple[str]] = []
 
-    def __missing__(self, key: str) -> int:
+    def __missing__(self, key: str | tuple[str]) -> int:
         code = self[key] = len(self)
         self.new.append(key)
         return code
@@ -65,17 +65,19 @@ class ChunkCoder:
     def _look_up(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(codes of all chunks in a row, number of chunks of each text); new chunks are encoded."""
         for p in pieces:
-            p[0] = "\0" + p[0]  # a first chunk has no space before it; the mark keeps it apart from a spaced one
+            p[0] = (p[0],)  # a first chunk has no space before it; as a tuple it is apart from every spaced one
         counts = np.array([len(p) for p in pieces], dtype=np.int64)
         found = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(pieces)), dtype=np.int64, count=int(counts.sum()))
         new, self.codes.new = self.codes.new, []
         for a in range(0, len(new), 20_000):
             part = new[a : a + 20_000]
-            for x, ids in zip(part, self.encode([x[1:] if x[:1] == "\0" else " " + x for x in part]), strict=True):
+            for x, ids in zip(part, self.encode([x[0] if type(x) is tuple else " " + x for x in part]), strict=True):
                 self.starts.append(len(self.flat))
                 self.lens.append(len(ids))
                 self.flat.extend(ids)
-                self.unclean.append(x in ("", "\0") or x[-1].isspace() or x[0].isspace())
+                first = type(x) is tuple
+                x = x[0] if first else x
+                self.unclean.append(not x or x[-1].isspace() or (not first and x[0].isspace()))
         return found, counts
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -123,6 +123,27 @@ def test_chunks_keep_white_space():
     assert [bytes(ids[e - n : e].tolist()).decode() for e, n in zip(ends, counts, strict=True)] == texts
 
 
+NULS = ["a \0b", " \0b", "\0b", "\0 b", "b", "a b", "a \0", "\0", "a \0\0 \0 b \0b\0"]
+
+
+def test_chunks_keep_nuls():
+    coder = ChunkCoder(lambda xs: [list(x.encode()) for x in xs])
+    ids, counts = coder.texts(NULS)
+    ends = np.cumsum(counts)
+    assert [bytes(ids[e - n : e].tolist()).decode() for e, n in zip(ends, counts, strict=True)] == NULS
+
+
+def test_tokens_of_nuls(make_docs):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path(token_store.DEFAULT_TOKENIZER))
+    docs = make_docs(list(enumerate(NULS)))
+    want = {i: [*t.encode(x, add_special_tokens=False).ids, 0] for i, x in enumerate(NULS)}
+    got = token_store.token_query(docs).collect()
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in got} == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
+    assert {r["doc_id"]: r["decoded_sha256"] for r in bpe.bpe_query(docs).collect()} == {i: sha(x) for i, x in enumerate(NULS)}
+
+
 def test_secret_base_and_field(make_docs):
     rows = HARD + [(100 + i, f"words here token = \"{sha(str(i))[:40]}\" more words AKIA{sha(str(i))[:16].upper()} end") for i in range(40)]
     docs = make_docs(rows)
