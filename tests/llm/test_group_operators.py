@@ -134,6 +134,20 @@ def test_decontamination_is_brute_force(make_docs, spark):
     assert decontam.decontam_query(make_docs([]), items).count() == 0
 
 
+def test_decontamination_by_items_without_id(make_docs, spark):
+    items = spark.createDataFrame([(None, PHRASE), (7, "short item")], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontam.decontaminate(make_docs([(1, "x y " + PHRASE), (2, "a short item"), (3, "clean")]), items).collect()}
+    assert [(got[i]["n_hit"], got[i]["items"], got[i]["contaminated"]) for i in (1, 2, 3)] == [(20, [], True), (2, ["7"], True), (0, [], False)]
+
+
+def test_proximity_is_within_length_and_slop(make_docs, spark):
+    wins = decontam.windows(spark.createDataFrame([(1, "red green blue")], "item_id long, text string"))
+    docs = make_docs([(1, "red x x green x x blue"), (2, "red x green x blue"), (3, "red x x green blue"), (4, "blue blue x red x green green")])
+    rows, runs = decontam.build_index(docs, wins, slop=2)
+    hit = decontam.proximity_matches(wins, runs, 2).select("rid").distinct().join(rows, "rid")
+    assert sorted(r["doc_id"] for r in hit.collect()) == [2, 3, 4]
+
+
 def test_proximity(make_docs, spark):
     wins = decontam.windows(spark.createDataFrame([(1, "red green blue")], "item_id long, text string"))
     _, runs = decontam.build_index(make_docs([(1, "blue x red y green z"), (2, "red a b c d e green blue")]), wins, slop=3)
