@@ -1,9 +1,10 @@
 """Chat formatting by quotation linking.
 
 A message's lines carry quote levels (leading '>' marks). Lines of level 0 are its own text; every run of quoted lines of
-one level is a passage. Passages and the messages' own texts, paragraphs and lines are normalised and hashed; a passage
-joins the first message of its conversation that holds it unquoted, or else the first message of any conversation. The
-latest message that a level-1 passage comes from (level 2 and more, if there is none) is the parent. A conversation in
+one level is a passage. Passages and the messages' own texts, paragraphs and lines are normalised and hashed, and so are
+runs of a message's lines or paragraphs that begin with the first two of some passage and are as long as it. A passage
+joins the first message of its conversation that holds it unquoted, or else the first message of any other conversation.
+A part of a line, or lines wrapped anew that aren't whole paragraphs, are not found. The latest message that a level-1 passage comes from (level 2 and more, if there is none) is the parent. A conversation in
 reply order is its messages by (root_turn, depth, turn): each reply stands after what it answers. Own texts are rendered
 without quotes. DataFrame functions only; a conversation is never gathered: first occurrences are grouped minima, and
 roots and depths come from pointer doubling on (conv_id, turn). Cases: a null or empty text has an empty body; a null
@@ -16,8 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.common import stage
+from salescast.llm.common import small_side, stage
 
+#: What a passage may be a run of, and what parts them.
+UNITS = {"lines": "\n", "paragraphs": r"\n[ \t]*\n"}
 MARKS = r"^(?:[ \t]{0,3}>[ \t]?)+"
 
 
@@ -44,6 +47,30 @@ def passages(lines: Column) -> Column:
     return F.aggregate(lines, none, add)
 
 
+def _units(text: Column, pattern: str) -> Column:
+    """The normalised parts of a text that hold a word."""
+    return F.filter(F.transform(F.split(text, pattern), normalised), lambda x: x != "")
+
+
+def _head(units: Column, i: Column) -> Column:
+    """Hash of the two units from the 0-based place i."""
+    return F.md5(F.concat(F.get(units, i), F.lit("\n"), F.get(units, i + 1)))
+
+
+def _said_runs(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """(conv_id, turn, hash) of the runs of two or more lines or paragraphs that begin and are as long as a passage."""
+    out = None
+    for unit, pattern in UNITS.items():
+        heads = asked.select(F.col(unit)["head"].alias("head"), F.col(unit)["n"].alias("n")).where("n > 1").distinct()
+        heads = small_side(stage(heads, f"quotes-heads-{unit}"))
+        own = rows.select("rid", "conv_id", "turn", _units(F.col("body"), pattern).alias("units"))
+        starts = F.transform(F.sequence(F.lit(0), F.size("units") - 2), lambda i: _head(F.col("units"), i))
+        at = own.where("size(units) > 1").select("rid", F.posexplode(starts).alias("i", "head")).join(heads, "head").select("rid", "i", "n")
+        runs = own.join(small_side(stage(at, f"quotes-starts-{unit}")), "rid").where("i + n <= size(units)").select("conv_id", "turn", F.md5(F.array_join(F.slice("units", F.col("i") + 1, F.col("n")), " ")).alias("hash"))
+        out = runs if out is None else out.union(runs)
+    return out
+
+
 def _threads(parents: DataFrame) -> DataFrame:
     """(conv_id, turn, root_turn, depth) of the messages that have a parent, by pointer doubling."""
     now, total = stage(parents.select("conv_id", "turn", F.col("parent_turn").alias("top"), F.lit(1).cast("long").alias("depth")), "quotes-0"), -1
@@ -63,17 +90,23 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     lines = levels(text)
     base = messages.select(F.monotonically_increasing_id().alias("rid"), F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), passages(lines).alias("runs"))
     own = F.array_join(F.transform(F.filter("runs", lambda x: x["level"] == 0), lambda x: x["line"]), "\n")
-    quoted = F.transform(F.filter("runs", lambda x: x["level"] > 0), lambda x: F.struct(x["level"].alias("level"), normalised(x["line"]).alias("norm")))
-    quoted = F.transform(F.filter(quoted, lambda x: x["norm"] != ""), lambda x: F.struct(x["level"].alias("level"), F.md5(x["norm"]).alias("hash")))
+    quoted = F.transform(F.filter("runs", lambda x: x["level"] > 0), lambda x: F.struct(x["level"].alias("level"), normalised(x["line"]).alias("norm"), *(_units(x["line"], p).alias(u) for u, p in UNITS.items())))
+    run = lambda x: F.struct(F.size(x).alias("n"), _head(x, F.lit(0)).alias("head"))
+    quoted = F.transform(F.filter(quoted, lambda x: x["norm"] != ""), lambda x: F.struct(x["level"].alias("level"), F.md5(x["norm"]).alias("hash"), *(run(x[u]).alias(u) for u in UNITS)))
     rows = stage(base.select("rid", "conv_id", "turn", "role", F.regexp_replace(own, r"^\s+|\s+$", "").alias("body"), quoted.alias("quotes")), "quotes-rows")
     units = F.concat(F.array("body"), F.split("body", r"\n[ \t]*\n"), F.split("body", "\n"))
     hashes = F.array_distinct(F.transform(F.filter(F.transform(units, normalised), lambda x: x != ""), F.md5))
-    asked = rows.where("size(quotes) > 0").select("rid", "conv_id", "turn", F.explode("quotes").alias("q")).select("rid", "conv_id", "turn", "q.level", "q.hash")
-    said = rows.where("conv_id is not null and turn is not null").select("conv_id", "turn", F.explode(hashes).alias("hash")).join(asked.select("hash").distinct(), "hash", "left_semi")
+    asked = rows.where("size(quotes) > 0").select("rid", "conv_id", "turn", F.explode("quotes").alias("q")).select("rid", "conv_id", "turn", "q.*")
+    placed = rows.where("conv_id is not null and turn is not null")
+    said = placed.select("conv_id", "turn", F.explode(hashes).alias("hash")).union(_said_runs(placed, asked)).join(asked.select("hash").distinct(), "hash", "left_semi")
     local = said.groupBy("conv_id", "hash").agg(F.min("turn").alias("t1"))
-    first = said.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("f"))
+    local = stage(local, "quotes-said")
+    holder = F.min(F.struct("conv_id", F.col("t1").alias("turn")))
+    first = local.groupBy("hash").agg(holder.alias("f1"))
+    second = local.join(first, "hash").where(F.col("conv_id") != F.col("f1.conv_id")).groupBy("hash").agg(holder.alias("f2"))
+    outside = F.when(F.col("f1.conv_id") != F.col("conv_id"), F.col("f1")).when(F.col("f1.conv_id") == F.col("conv_id"), F.col("f2"))
     near = asked.join(local, ["conv_id", "hash"], "left").withColumn("t1", F.when(F.col("t1") < F.col("turn"), F.col("t1")))
-    far = near.join(first, "hash", "left").select("rid", "conv_id", "turn", "level", "t1", F.when(F.col("t1").isNull() & (F.col("f.conv_id") != F.col("conv_id")), F.col("f")).alias("f"))
+    far = near.join(first, "hash", "left").join(second, "hash", "left").select("rid", "conv_id", "turn", "level", "t1", F.when(F.col("t1").isNull(), outside).alias("f"))
     linked = stage(
         far.groupBy("rid").agg(
             F.first("conv_id").alias("c"), F.first("turn").alias("t"),

@@ -194,6 +194,20 @@ def test_quotes(spark):
     assert quotes.link_quotes(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_quotes_of_parts(spark):
+    rows = [
+        (1, 0, "user", "line one\nline two\nline three\n\nsecond\nparagraph\n\nthird paragraph"),
+        (1, 1, "assistant", "> line one\n> line two\nreply between\n> line three"),  # lines of a paragraph
+        (1, 2, "user", "> second paragraph\n>\n> Third\n> paragraph\nwrapped anew"),  # two of three paragraphs
+        (1, 3, "user", "> line three\n> second\nlines across paragraphs"), (1, 4, "user", "> line one\n> line three\nnot a run"),
+        (5, 0, "user", "> said elsewhere\nasks before its own conversation says it"), (5, 1, "user", "said elsewhere"), (9, 4, "user", "said elsewhere"),
+    ]
+    got = {(r["conv_id"], r["turn"]): r for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert len(got) == len(rows)
+    assert [(got[1, t]["parent_turn"], got[1, t]["n_quotes"], got[1, t]["n_linked"]) for t in (1, 2, 3, 4)] == [(0, 2, 2), (0, 1, 1), (0, 1, 1), (None, 1, 0)]
+    assert (got[5, 0]["parent_conv"], got[5, 0]["parent_turn"]) == (9, 4)
+
+
 def test_pipeline_stages(spark):
     d = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{d}/documents.parquet")
