@@ -75,6 +75,11 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def finite(vector: str) -> Column:
+    """Whether the array column is there and all its entries are finite numbers."""
+    return F.coalesce(F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < F.lit(float("inf")), F.lit(False))), F.lit(False))
+
+
 def regex_spans(text: Column, pattern: str, group: int | None = None) -> Column:
     """array<struct<s:int,e:int,m:string,g:string>> of the leftmost non-overlapping matches, in code points.
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import bpe, decontam, jaccard, licenses, pii, quotes, secrets, token_store, topk, toxicity
+from salescast.llm import annsearch, bpe, decontam, jaccard, lexical, licenses, pii, quotes, secrets, token_store, topk, toxicity, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +26,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_topk": lambda s, d: topk.topk_query(table(s, d, "embeddings")),
         "op9_jaccard": lambda s, d: jaccard.jaccard_groups(docs(s, d)),
         "op10_decontamination": lambda s, d: decontam.decontam_query(docs(s, d), table(s, d, "benchmark")),
+        "op11_whitening": lambda s, d: whitening.whitening_query(table(s, d, "embeddings")),
+        "op12_lexical": lambda s, d: lexical.rank_documents(docs(s, d), table(s, d, "benchmark")),
+        "op13_ann": lambda s, d: annsearch.ann_query(table(s, d, "embeddings")),
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {"op7_licenses": licenses.SQL, "op8_topk": topk.SQL}
+    return {"op7_licenses": licenses.SQL, "op8_topk": topk.SQL, "op12_lexical": lexical.SQL}
