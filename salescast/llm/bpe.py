@@ -1,8 +1,8 @@
 """Byte-level BPE by merge replay over the distinct words of a block of the corpus.
 
 A task takes its block's texts, finds the distinct words, and replays the merges on all of them at once: an inverted
-index from each rank to the positions of its pairs, visited in rank order, where a merge touches only its two
-neighbours. Words never merge with each other, so blocks are independent and the result is that of the whole corpus;
+index from token pairs, by their rank, to positions in all words, visited in rank order, where a merge touches only its
+two neighbours. Words never merge with each other, so blocks are independent and the result is that of the whole corpus;
 nothing is shuffled and a lost block is simply done again. Cases: a null text is empty (no ids, empty bytes); null
 doc_ids and repeated rows are kept; an empty table gives no rows; `encode` keeps all other columns.
 """
@@ -10,8 +10,10 @@ doc_ids and repeated rows are kept; an empty table gives no rows; `encode` keeps
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescast.llm.chunks import ChunkCoder, gather, slices
-from salescast.llm.common import fresh, hand_back
+from salescast.llm.chunks import CACHE_CHARS, ChunkCoder, gather, slices, strings
+from salescast.llm.common import fresh, hand_back, lean
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Sizes at which a worker's caches start anew; results don't depend on them.
-CHUNK_ENTRIES, WORD_ENTRIES, PAIR_ENTRIES = 400_000, 120_000, 300_000
+CHUNK_ENTRIES, WORD_ENTRIES = 300_000, 150_000
+#: Places of a rank from which they are merged at once.
+MANY = 24
 
 
 def ranks_path() -> str:
@@ -35,16 +39,65 @@ def ranks_path() -> str:
     return public_tokenizers.path(DEFAULT_RANKS)
 
 
+class PairTable:
+    """Rank of a pair of token ids, for arrays of pairs: an open-addressing table of all pairs that make a token."""
+
+    EMPTY = np.int64(-1)
+
+    def __init__(self, ranks: dict[bytes, int]):
+        found: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    found[a << 32 | b] = rank
+        self.found = found
+        size = 1 << max(10, (4 * len(found)).bit_length())
+        self.mask = size - 1
+        self.keys, self.ranks = np.full(size, self.EMPTY), np.full(size, -1, dtype=np.int32)
+        keys, values = np.array(list(found), dtype=np.int64), np.array(list(found.values()), dtype=np.int32)
+        at, left = self._slot(keys), np.arange(len(keys))
+        while len(left):  # each round, one key takes each free slot; the others go on
+            free = self.keys[at[left]] == self.EMPTY
+            slots, first = np.unique(at[left[free]], return_index=True)
+            taken = left[free][first]
+            self.keys[slots], self.ranks[slots] = keys[taken], values[taken]
+            left = np.setdiff1d(left, taken, assume_unique=True)
+            at[left] = (at[left] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((h >> np.uint64(32)) & np.uint64(self.mask)).astype(np.int64)
+
+    def of(self, a: np.ndarray | int, b: np.ndarray | int) -> np.ndarray:
+        """Ranks of the pairs, -1 where they make no token or an id is negative."""
+        keys = np.left_shift(a, 32, dtype=np.int64) | np.asarray(b, dtype=np.int64)
+        keys[(np.asarray(a) < 0) | (np.asarray(b) < 0)] = -2  # no pair, and no empty slot
+        at = self._slot(keys)
+        seen = self.keys[at]
+        out = np.where(seen == keys, self.ranks[at], np.int32(-1))
+        left = np.flatnonzero((seen != keys) & (seen != self.EMPTY))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & self.mask
+            seen = self.keys[at]
+            hit = seen == keys[left]
+            out[left[hit]] = self.ranks[at[hit]]
+            go = ~hit & (seen != self.EMPTY)
+            left, at = left[go], at[go]
+        return out
+
+
 class MergeReplay:
     """Ranks of a vocabulary and the replay of its merges on many words."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {r: b for b, r in ranks.items()}
-        self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
-        self.byte_pairs = np.array([ranks.get(bytes([i, j]), -1) for i in range(256) for j in range(256)], dtype=np.int64)
-        self.pair: dict[int, int] = {}
+        self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
+        self.table = PairTable(ranks)
         self.words: dict[str, list[int]] = {}
+        self.word_chars = 0
         self.coder = ChunkCoder(self.chunks, CHUNK_ENTRIES)
         flat = b"".join(self.bytes_of[r] for r in sorted(self.bytes_of))
         size = max(self.bytes_of) + 1
@@ -56,91 +109,117 @@ class MergeReplay:
         """Drop the caches: the worker lives on and serves other stages."""
         self.coder.clear()
         self.words.clear()
-        self.pair.clear()
-
-    def rank(self, a: int, b: int) -> int:
-        """Rank of the pair's merged token, or -1."""
-        key = a << 32 | b
-        got = self.pair.get(key)
-        if got is None:
-            if len(self.pair) > PAIR_ENTRIES:
-                self.pair.clear()
-            got = self.pair[key] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
-        return got
+        self.word_chars = 0
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of each word."""
+        """Token ids of each word.
+
+        The index holds, by the rank of a pair, the positions where the pair stands in any of the words. Ranks are
+        applied in order: all places of a rank at once where there are many, else one by one; a merge looks only at its
+        two neighbours, whose new pairs go into the index.
+        """
         if not words:
             return []
         raw = np.frombuffer(b"\0".join(words) + b"\0", dtype=np.uint8)
         ends = np.cumsum([len(w) + 1 for w in words]) - 1
-        begin = np.concatenate(([0], ends[:-1] + 1)).tolist()
-        ids, first = self.byte_id[raw], np.full(len(raw), -1, dtype=np.int64)
-        ids[ends] = -1  # a word's end: no pair reaches over it
-        first[:-1] = self.byte_pairs[raw[:-1].astype(np.int64) << 8 | raw[1:]]
-        first[ends] = first[ends - 1] = -1
+        begin = np.concatenate(([0], ends[:-1] + 1))
+        n = len(raw)
+        symbols, following, before = array("i", bytes(4 * n)), array("i", bytes(4 * n)), array("i", bytes(4 * n))
+        sym, nxt, prv = (np.frombuffer(x, dtype=np.int32) for x in (symbols, following, before))
+        sym[:] = self.byte_id[raw]
+        sym[ends] = -1  # a word's end: no pair reaches over it
+        nxt[:], prv[:] = np.arange(1, n + 1), np.arange(-1, n - 1)
+        nxt[-1] = n - 1
+        prv[0] = 0  # the first place has none before it
+        mark = np.zeros(n, dtype=np.int8)
+        first = self.table.of(sym[:-1], sym[1:])
         at = np.flatnonzero(first >= 0)
         at = at[np.argsort(first[at], kind="stable")]
         ranks, cut = np.unique(first[at], return_index=True)
-        index = {r: p.tolist() for r, p in zip(ranks.tolist(), np.split(at, cut[1:]), strict=False)} if len(at) else {}
-        sym, nxt, prv = ids.tolist(), list(range(1, len(raw) + 1)), list(range(-1, len(raw) - 1))
-        rank, known = self.rank, self.pair.get
+        index: dict[int, list[int]] = {r: p.tolist() for r, p in zip(ranks.tolist(), np.split(at, cut[1:]), strict=False)} if len(at) else {}
         heap = list(index)
         heapq.heapify(heap)
+        known = self.table.found.get
+
+        def post(rank: int, place: int) -> None:
+            got = index.get(rank)
+            if got is None:
+                index[rank] = [place]
+                heapq.heappush(heap, rank)
+            else:
+                got.append(place)
+
         while heap:
             r = heapq.heappop(heap)
             places = index.pop(r, None)
             if places is None:
                 continue
-            if len(places) > 1:
-                places.sort()
+            if len(places) >= MANY and self._merge_many(r, places, sym, nxt, prv, mark, post):
+                continue
+            places.sort()
             for k, p in enumerate(places):
-                q = nxt[p]
-                a, b = sym[p], sym[q]
-                if a < 0 or b < 0:
-                    continue
-                x = known(a << 32 | b)
-                if (rank(a, b) if x is None else x) != r:
+                q = following[p]
+                a, b = symbols[p], symbols[q]
+                if a < 0 or b < 0 or known(a << 32 | b) != r:
                     continue  # a neighbour has been merged since
-                sym[p], sym[q] = r, -2
-                after = nxt[q]
-                nxt[p], prv[after] = after, p
+                symbols[p], symbols[q] = r, -2
+                after, left = following[q], before[p]
+                following[p], before[after] = after, p
                 lower = False
-                before = prv[p]
-                for left, right in ((before, p), (p, after)):
-                    if left < 0 or (a := sym[left]) < 0 or (b := sym[right]) < 0:
-                        continue
-                    x = known(a << 32 | b)
-                    if x is None:
-                        x = rank(a, b)
-                    if x >= 0:
-                        got = index.get(x)
-                        if got is None:
-                            index[x] = [left]
-                            heapq.heappush(heap, x)
-                        else:
-                            got.append(left)
-                        if x < r:
-                            lower = True
+                if left != p and symbols[left] >= 0 and (x := known(symbols[left] << 32 | r)) is not None:
+                    post(x, left)
+                    lower = x < r
+                if symbols[after] >= 0 and (x := known(r << 32 | symbols[after])) is not None:
+                    post(x, p)
+                    lower = lower or x < r
                 if lower and k + 1 < len(places):  # a merge of lower rank comes first; this rank goes on after it
                     index.setdefault(r, []).extend(places[k + 1 :])
                     heapq.heappush(heap, r)
                     break
-        out = []
-        for p in begin:
-            ids = []
-            while sym[p] != -1:
-                ids.append(sym[p])
-                p = nxt[p]
-            out.append(ids)
-        return out
+        alive = np.flatnonzero(sym >= 0)
+        ids, cuts = sym[alive], np.searchsorted(alive, np.append(begin, n))
+        flat = ids.tolist()
+        return [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+    def _merge_many(self, r: int, places: list[int], sym: np.ndarray, nxt: np.ndarray, prv: np.ndarray, mark: np.ndarray, post: Callable[[int, int], None]) -> bool:
+        """Apply rank r at all its places; False, with nothing done, if a merge makes a pair of lower rank."""
+        p = np.array(places, dtype=np.int32)
+        p.sort()
+        p = p[np.concatenate(([True], p[1:] != p[:-1]))]
+        q = nxt[p]
+        fit = self.table.of(sym[p], sym[q]) == r
+        p, q = p[fit], q[fit]
+        if not len(p):
+            return True
+        chained = np.concatenate(([False], q[:-1] == p[1:]))  # as in a run of one symbol: every other place, from the left
+        if chained.any():
+            start = np.maximum.accumulate(np.where(chained, 0, np.arange(len(p))))
+            p = p[(np.arange(len(p)) - start) % 2 == 0]
+            q = nxt[p]
+        after, left = nxt[q], prv[p]
+        # what stands beside each place once all are merged
+        mark[q], mark[p] = 1, 2
+        lefts, rights = np.where(mark[left] == 1, r, sym[left]), np.where(mark[after] == 2, r, sym[after])
+        lefts[left == p] = -1
+        mark[q] = mark[p] = 0
+        x, y = self.table.of(lefts, r), self.table.of(r, rights)
+        if ((x >= 0) & (x < r)).any() or ((y >= 0) & (y < r)).any():
+            return False
+        sym[p], sym[q] = r, -2
+        nxt[p], prv[after] = after, p
+        for rank, place in zip(x[x >= 0].tolist(), prv[p][x >= 0].tolist(), strict=True):
+            post(rank, place)
+        for rank, place in zip(y[y >= 0].tolist(), p[y >= 0].tolist(), strict=True):
+            post(rank, place)
+        return True
 
     def chunks(self, chunks: list[str]) -> list[list[int]]:
         """Token ids of each string, each match of the pattern apart."""
         found = [self.pattern.findall(c) for c in chunks]
         words = self.words
-        if len(words) > WORD_ENTRIES:
+        if len(words) > WORD_ENTRIES or self.word_chars > CACHE_CHARS:
             words.clear()
+            self.word_chars = 0
         new = list(dict.fromkeys(w for f in found for w in f if w not in words))
         raw = [w.encode() for w in new]
         whole = [self.ranks.get(b) for b in raw]
@@ -148,6 +227,7 @@ class MergeReplay:
         replayed = iter(self.replay(rest))
         for w, r in zip(new, whole, strict=True):
             words[w] = [r] if r is not None else next(replayed)
+        self.word_chars += sum(map(len, new))
         return [[i for w in f for i in words[w]] for f in found]
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,26 +260,36 @@ def _binary(raw: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, _offsets(sizes).buffers()[1], pa.py_buffer(raw.tobytes())])
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None, decoded: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None, decoded: str | None = None, digest: str | None = None) -> DataFrame:
     """docs with the array<int> column `ids` in place of the text.
 
     decoded: and the binary column of that name, what those ids decode to, in the same pass: a `decode` after it would
-    keep a second worker a task, with a vocabulary of its own.
+    keep a second worker a task, with a vocabulary of its own. digest: and the SHA-256 of those bytes, in lowercase hex,
+    without the bytes leaving the worker.
     """
     path, pattern, hold = path or ranks_path(), _pattern(), fresh(docs, "__text")
     src = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != text), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias(hold))
     schema = T.StructType([f for f in src.schema.fields if f.name != hold] + [T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
     if decoded:
         schema.add(decoded, T.BinaryType())
+    if digest:
+        schema.add(digest, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         replay = load(path, pattern)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(hold)).to_pylist()
-            for a, b in slices([len(t) for t in texts]):
-                flat, counts = replay.coder.texts(texts[a:b])
+            for a, b, words in strings(batch.column(batch.schema.get_field_index(hold))):
+                flat, counts = replay.coder.texts(words)
                 kept = [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)]
-                back = [_binary(*replay.decode(flat, counts))] if decoded else []
+                back: list[pa.Array] = []
+                if decoded or digest:
+                    raw, sizes = replay.decode(flat, counts)
+                    if decoded:
+                        back.append(_binary(raw, sizes))
+                    if digest:
+                        view, cuts = memoryview(raw), np.concatenate(([0], np.cumsum(sizes))).tolist()
+                        back.append(pa.array([hashlib.sha256(view[x:y]).hexdigest() for x, y in zip(cuts[:-1], cuts[1:], strict=True)], pa.string()))
                 yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(_offsets(counts), pa.array(flat)), *back], names=schema.names)
         replay.clear()
         hand_back()
@@ -232,6 +322,6 @@ def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", path: str | Non
 
 def bpe_query(docs: DataFrame) -> DataFrame:
     """The contract's digest columns: ids by `encode`, and the bytes that they decode to."""
-    both = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), decoded="decoded")
+    both = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), digest="decoded_sha256")
     listed = F.to_json("ids")
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.substring(listed, F.lit(2), F.length(listed) - 2), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.substring(listed, F.lit(2), F.length(listed) - 2), 256).alias("ids_sha256"), "decoded_sha256")

@@ -12,12 +12,18 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Entries after which a task's dictionary starts anew; results don't depend on it.
 DICTIONARY_ENTRIES = 1_000_000
+#: Characters of its keys after which a cache starts anew: long tokens count by their length.
+CACHE_CHARS = 16_000_000
 #: Text characters that are worked on at a time.
 SLICE_CHARS = 2_000_000
+#: New chunks that are encoded at a time.
+AT_ONCE = 100_000
 
 
 class Codes(dict):
@@ -44,6 +50,12 @@ def slices(lengths: list[int], limit: int = SLICE_CHARS) -> Iterator[tuple[int,
         yield start, len(lengths)
 
 
+def strings(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int, list[str]]]:
+    """(first row, row after the last, texts) of a string column, about `limit` bytes at a time."""
+    for a, b in slices(pc.binary_length(column).to_pylist(), limit):
+        yield a, b, column.slice(a, b - a).to_pylist()
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The stretches flat[starts[i] : starts[i] + lens[i]], one after the other."""
     ends = np.cumsum(lens)
@@ -60,6 +72,7 @@ class ChunkCoder:
     def clear(self) -> None:
         self.codes = Codes()
         self.starts, self.lens, self.flat = array("q"), array("q"), array("i")
+        self.chars = 0
         self.unclean = bytearray()  # by code: the space next to such a chunk may not be a cut
 
     def _look_up(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -69,20 +82,22 @@ class ChunkCoder:
         counts = np.array([len(p) for p in pieces], dtype=np.int64)
         found = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(pieces)), dtype=np.int64, count=int(counts.sum()))
         new, self.codes.new = self.codes.new, []
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
-            for x, ids in zip(part, self.encode([x[0] if type(x) is tuple else " " + x for x in part]), strict=True):
-                self.starts.append(len(self.flat))
-                self.lens.append(len(ids))
-                self.flat.extend(ids)
-                first = type(x) is tuple
-                x = x[0] if first else x
-                self.unclean.append(not x or x[-1].isspace() or (not first and x[0].isspace()))
+        for a in range(0, len(new), AT_ONCE):
+            part = new[a : a + AT_ONCE]
+            first = [type(x) is tuple for x in part]
+            words = [x[0] if f else x for x, f in zip(part, first, strict=True)]
+            ids = self.encode([x if f else " " + x for x, f in zip(words, first, strict=True)])
+            lens = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            self.starts.frombytes((len(self.flat) + np.cumsum(lens) - lens).tobytes())
+            self.lens.frombytes(lens.tobytes())
+            self.flat.extend(chain.from_iterable(ids))
+            self.chars += sum(map(len, words))
+            self.unclean.extend(not x or len(x.rstrip() if f else x.strip()) != len(x) for x, f in zip(words, first, strict=True))
         return found, counts
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each text)."""
-        if len(self.codes) > self.entries:
+        if len(self.codes) > self.entries or self.chars > CACHE_CHARS:
             self.clear()
         found, counts = self._look_up([t.split(" ") for t in texts])
         bad = np.frombuffer(self.unclean, dtype=np.uint8)[found] if len(found) else found
