@@ -22,8 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescast.llm.chunks import ChunkCoder, slices
-from salescast.llm.common import stage, texts
+from salescast.llm.chunks import ChunkCoder, strings
+from salescast.llm.common import hand_back, lean, stage, texts
 
 MAGIC, BLOCK = b"DAC1", 512
 SEGMENT_CHARS = 2_000_000
@@ -92,8 +92,8 @@ def coder(path: str) -> ChunkCoder:
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return ChunkCoder(lambda chunks: [e.ids for e in t.encode_batch(chunks, add_special_tokens=False)])
+    # ids only: no offsets are kept
+    return ChunkCoder(lambda chunks: [e.ids for e in t.encode_batch_fast(chunks, add_special_tokens=False)])
 
 
 def write_tokens(docs: DataFrame, name: str = "tokens", path: str | None = None, end_id: int = 0) -> DataFrame:
@@ -104,6 +104,7 @@ def write_tokens(docs: DataFrame, name: str = "tokens", path: str | None = None,
         path = public_tokenizers.path(DEFAULT_TOKENIZER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         shard, segment, first, enc = TaskContext.get().partitionId(), 0, 0, coder(path)
         held: list[tuple[list, np.ndarray, np.ndarray]] = []
         size = 0
@@ -118,17 +119,17 @@ def write_tokens(docs: DataFrame, name: str = "tokens", path: str | None = None,
             return pa.RecordBatch.from_arrays([pa.array(v, type=k) for v, k in zip(row, kinds, strict=True)], names=["shard", "segment", "first", "n", "doc_ids", "lens", "payload"])
 
         for batch in batches:
-            doc_ids, words = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices([len(t) for t in words], SEGMENT_CHARS):
-                flat, counts = enc.texts(words[a:b])
-                ends = np.cumsum(counts)
-                ids = np.insert(flat, ends, end_id)
-                held.append((doc_ids[a:b], ids, counts + 1))
-                size += sum(map(len, words[a:b]))
+            for a, b, words in strings(batch.column(1), SEGMENT_CHARS):
+                flat, counts = enc.texts(words)
+                ids = np.insert(flat, np.cumsum(counts), end_id)
+                held.append((batch.column(0).slice(a, b - a).to_pylist(), ids, counts + 1))
+                size += sum(map(len, words))
                 if size >= SEGMENT_CHARS:
                     yield flush()
         if held:
             yield flush()
+        enc.clear()
+        hand_back()
 
     ordered = texts(docs).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     return stage(ordered.mapInArrow(run, "shard int, segment int, first long, n long, doc_ids array<long>, lens array<int>, payload binary"), name)
