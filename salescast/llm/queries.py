@@ -19,7 +19,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pii": lambda s, d: pii.pii_query(docs(s, d)),
         "op2_bpe": lambda s, d: bpe.bpe_query(docs(s, d)),
         "op3_token_store": lambda s, d: token_store.token_query(docs(s, d)),
-        "op4_chat_quotes": lambda s, d: quotes.link_quotes(table(s, d, "conversations")),
+        "op4_chat_quotes": lambda s, d: quotes.quotes_query(table(s, d, "conversations")),
         "op5_secrets": lambda s, d: secrets.secrets_query(docs(s, d)),
         "op6_toxicity": lambda s, d: toxicity.toxicity_query(docs(s, d), table(s, d, "labels")),
         "op7_licenses": lambda s, d: licenses.find_licenses(docs(s, d)),

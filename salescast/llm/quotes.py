@@ -5,8 +5,8 @@ one level is a passage. Passages and the messages' own texts, paragraphs and lin
 runs of a message's lines or paragraphs that begin with the first two of some passage and are as long as it. A passage
 joins the first message of its conversation that holds it unquoted, or else the first message of any other conversation.
 A part of a line, or lines wrapped anew that aren't whole paragraphs, are not found. The latest message that a level-1 passage comes from (level 2 and more, if there is none) is the parent. A conversation in
-reply order is its messages by (root_turn, depth, turn): each reply stands after what it answers. Own texts are rendered
-without quotes. DataFrame functions only; a conversation is never gathered: first occurrences are grouped minima, and
+reply order is its messages by place (see reply_order): each reply stands after what it answers, before what is said next.
+Own texts are rendered without quotes. DataFrame functions only; a conversation is never gathered: first occurrences are grouped minima, and
 roots and depths come from pointer doubling on (conv_id, turn). Cases: a null or empty text has an empty body; a null
 conv_id or turn links with nothing and is its own root; rows that repeat a turn are all kept and share its place; an empty
 table gives no rows; other columns are not read.
@@ -14,14 +14,14 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescast.llm.common import small_side, stage
+from salescast.llm.common import let, small_side, stage
 
 #: What a passage may be a run of, and what parts them.
 UNITS = {"lines": "\n", "paragraphs": r"\n[ \t]*\n"}
-MARKS = r"^(?:[ \t]{0,3}>[ \t]?)+"
+MARKS = r"^(?:[ \t]{0,3}+>[ \t]?+)++"  # possessive: a loop, however many marks
 
 
 def levels(text: Column) -> Column:
@@ -37,14 +37,21 @@ def normalised(text: Column) -> Column:
 
 def passages(lines: Column) -> Column:
     """array<struct<level:int,line:string>>: runs of lines of one level, joined by newlines; level 0 runs too."""
-    none = F.expr("cast(array() as array<struct<level:int,line:string>>)")
 
-    def add(a: Column, x: Column) -> Column:
-        last = F.element_at(a, -1)
-        joined = F.struct(last["level"].alias("level"), F.concat(last["line"], F.lit("\n"), x["line"]).alias("line"))
-        return F.when((F.size(a) > 0) & (F.try_element_at(a, F.lit(-1))["level"] == x["level"]), F.concat(F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(a, F.array(x)))
+    def runs(own: Column, starts: Column) -> Column:
+        def run(i: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(starts, k + 1), F.size(own))
+            return F.struct(F.get(own, i)["level"].alias("level"), F.array_join(F.transform(F.slice(own, i + 1, end - i), lambda x: x["line"]), "\n").alias("line"))
 
-    return F.aggregate(lines, none, add)
+        return F.transform(starts, run)
+
+    begins = lambda own: F.filter(F.sequence(F.lit(0), F.size(own) - 1), lambda i: (i == 0) | (F.get(own, i)["level"] != F.get(own, i - 1)["level"]))
+    return let(lines, lambda own: let(begins(own), lambda starts: runs(own, starts)))
+
+
+def _trimmed(text: Column) -> Column:
+    """The text without white space at its ends; each run of blanks is looked at once."""
+    return F.regexp_replace(F.regexp_replace(text, r"^\s++", ""), r"(?<!\s)\s++\z", "")
 
 
 def _units(text: Column, pattern: str) -> Column:
@@ -93,7 +100,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     quoted = F.transform(F.filter("runs", lambda x: x["level"] > 0), lambda x: F.struct(x["level"].alias("level"), normalised(x["line"]).alias("norm"), *(_units(x["line"], p).alias(u) for u, p in UNITS.items())))
     run = lambda x: F.struct(F.size(x).alias("n"), _head(x, F.lit(0)).alias("head"))
     quoted = F.transform(F.filter(quoted, lambda x: x["norm"] != ""), lambda x: F.struct(x["level"].alias("level"), F.md5(x["norm"]).alias("hash"), *(run(x[u]).alias(u) for u in UNITS)))
-    rows = stage(base.select("rid", "conv_id", "turn", "role", F.regexp_replace(own, r"^\s+|\s+$", "").alias("body"), quoted.alias("quotes")), "quotes-rows")
+    rows = stage(base.select("rid", "conv_id", "turn", "role", _trimmed(own).alias("body"), quoted.alias("quotes")), "quotes-rows")
     units = F.concat(F.array("body"), F.split("body", r"\n[ \t]*\n"), F.split("body", "\n"))
     hashes = F.array_distinct(F.transform(F.filter(F.transform(units, normalised), lambda x: x != ""), F.md5))
     asked = rows.where("size(quotes) > 0").select("rid", "conv_id", "turn", F.explode("quotes").alias("q")).select("rid", "conv_id", "turn", "q.*")
@@ -129,6 +136,67 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     )
 
 
-def reply_ordered(linked: DataFrame) -> DataFrame:
-    """The messages of link_quotes in reply order within each conversation."""
-    return linked.orderBy("conv_id", "root_turn", "depth", "turn")
+def _resolved(rows: DataFrame, name: str, add: bool) -> DataFrame:
+    """rows(conv_id, turn, to, done[, steps]) -> (conv_id, turn, done[, steps]) by pointer doubling: a row without `done` takes
+    that of the row which `to` names, in the end; with `add`, the steps on the way are summed. Rows with neither stay null."""
+    now, left = stage(rows, f"{name}-0"), -1
+    while True:
+        open_ = now.where("done is null and to is not null").count()
+        if open_ == 0 or open_ == left and not add:
+            return now
+        left = open_
+        up = now.select(F.col("conv_id").alias("c2"), F.col("turn").alias("t2"), F.col("to").alias("to2"), F.col("done").alias("done2"), *([F.col("steps").alias("s2")] if add else []))
+        step = now.join(up, (F.col("conv_id") == F.col("c2")) & (F.col("to") == F.col("t2")) & F.col("done").isNull(), "left")
+        open_now = F.col("done").isNull() & F.col("c2").isNotNull()
+        now = stage(step.select(
+            "conv_id", "turn", F.when(open_now, F.col("to2")).otherwise(F.col("to")).alias("to"), F.coalesce("done", "done2").alias("done"),
+            *([F.when(open_now, F.col("steps") + F.col("s2")).otherwise(F.col("steps")).alias("steps")] if add else [])), f"{name}-step")
+
+
+#: Turns that one sorted run of siblings spans.
+RUN_TURNS = 1024
+
+
+def _siblings(tree: DataFrame) -> DataFrame:
+    """tree(conv_id, turn, parent) with `sibling`, the next turn of the same parent (of no parent, for those without).
+
+    Found in runs of RUN_TURNS turns; the last of a run takes the first of the parent's next run that has any."""
+    runs = tree.withColumn("run", F.floor(F.col("turn") / RUN_TURNS))
+    near = Window.partitionBy("conv_id", "parent", "run").orderBy("turn")
+    placed = runs.withColumn("near", F.lead("turn").over(near))
+    heads = runs.groupBy("conv_id", "parent", "run").agg(F.min("turn").alias("head"))
+    far = heads.withColumn("far", F.lead("head").over(Window.partitionBy("conv_id", "parent").orderBy("run")))
+    far = stage(far.select(F.col("conv_id").alias("c2"), F.col("parent").alias("p2"), F.col("run").alias("r2"), "far"), "order-runs")
+    both = placed.join(far, (F.col("conv_id") == F.col("c2")) & F.col("parent").eqNullSafe(F.col("p2")) & (F.col("run") == F.col("r2")))
+    return both.select("conv_id", "turn", "parent", F.coalesce("near", "far").alias("sibling"))
+
+
+def reply_order(linked: DataFrame) -> DataFrame:
+    """(conv_id, turn, place): the place of each turn in its conversation's reply order, from 1.
+
+    A conversation is read from its first turn; after a turn come its replies, each followed by its own replies, in the
+    order of their turns. That is a walk of the tree: after a turn comes its first reply, or else the next sibling of
+    itself or of the nearest turn above it that has one. Both "nearest above" and the place in the walk are pointer
+    doubling over (conv_id, turn); a conversation, or the replies to one turn, are never gathered.
+    """
+    tree = linked.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(
+        F.max(F.when(F.col("parent_conv") == F.col("conv_id"), F.col("parent_turn"))).alias("parent"))
+    tree = stage(tree, "order-tree")
+    up = _resolved(_siblings(tree).select("conv_id", "turn", F.col("parent").alias("to"), F.col("sibling").alias("done")), "order-up", False)
+    first = tree.where("parent is not null").groupBy("conv_id", F.col("parent").alias("turn")).agg(F.min("turn").alias("reply"))
+    walk = up.select("conv_id", "turn", F.col("done").alias("above")).join(first, ["conv_id", "turn"], "left")
+    walk = walk.select("conv_id", "turn", F.coalesce("reply", "above").alias("to"), F.lit(None).cast("long").alias("done"), F.lit(1).cast("long").alias("steps"))
+    # the last turn of the walk has no next: all others count the steps to it
+    ranked = _resolved(walk.withColumn("done", F.when(F.col("to").isNull(), F.col("turn"))), "order-walk", True)
+    total = stage(ranked.groupBy("conv_id").agg(F.max("steps").alias("length")), "order-lengths")
+    return ranked.join(total, "conv_id").select("conv_id", "turn", (F.col("length") - F.col("steps") + 1).alias("place"))
+
+
+def conversations(linked: DataFrame) -> DataFrame:
+    """link_quotes' rows with `place`; null where a conversation or turn has no number, shared by rows that repeat a turn."""
+    return linked.join(reply_order(linked), ["conv_id", "turn"], "left")
+
+
+def quotes_query(messages: DataFrame) -> DataFrame:
+    """The messages with their links and their place in the reply-ordered conversation."""
+    return conversations(stage(link_quotes(messages), "quotes-messages"))
