@@ -39,6 +39,24 @@ TEXTS: dict[str, list[str]] = {
     "ISC": [_ISC, "ISC License\n" + _ISC],
     "MIT": [_MIT, "MIT License\n" + _MIT, "The MIT License (MIT)\n" + _MIT],
 }
+# Digests of the canonical published texts of longer licences (see canonical_text), with their terms, as
+# distributions carry them in /usr/share/common-licenses.
+LONG_TEXTS: dict[str, list[str]] = {
+    "Apache-2.0": ["65b0f68c514949c962fd2109fe3df5781ff4b306ffd0c293b4b6d2bd90bfca0d"],
+    "Artistic-1.0-Perl": ["66e644aafc5ff1de25be918be7e71d1d851bab015f750bc67c5b245e5f33ff39"],
+    "BSD-3-Clause": ["21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651"],
+    "CC0-1.0": ["96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"],
+    "GFDL-1.2": ["e340fdbffa8aad1a91ad3d07603ae56e4f976876fde20a8f60ddc2324aaafbf2"],
+    "GFDL-1.3": ["24a1eee50a8a03726d0c9df2bda3fc0c810ea16c6cf6bffc69d49fd4c54a6e12"],
+    "GPL-1.0": ["8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"],
+    "GPL-2.0": ["b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"],
+    "GPL-3.0": ["72835a70e36b7216a23d7ad0423b16c131559708d367edec60d93ad91144bc26"],
+    "LGPL-2.0": ["9b0b3105b96203f9d9e4b72d4b77951152156c88139302b5aedf6295e3ceaaa3"],
+    "LGPL-2.1": ["cb225061bb71741fe8b31a2092e22fe05b1130438158ae5d16c48fd50186e345"],
+    "LGPL-3.0": ["aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"],
+    "MPL-1.1": ["9d7f5da9da4a5426e31b30321eb6baaf4958703cb0e358333cbf6370c4bedafc"],
+    "MPL-2.0": ["f598b914e0d99024e8b911059f8b851a9af933ec753ba2996bdf842ebcb1db49"],
+}
 #: Notices, as one line of a document.
 _NAMES = {
     "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0 License"],
@@ -58,9 +76,10 @@ _NAMES = {
 _LEADS = ("Licensed under", "This work is licensed under", "Released under", "This software is licensed under", "Distributed under", "SPDX-License-Identifier:")
 NOTICES: dict[str, list[str]] = {k: [f"{lead} {the}{name}" for lead in _LEADS[:-1] for the in ("", "the ", "a ") for name in names] + [f"{_LEADS[-1]} {k}"] for k, names in _NAMES.items()}
 
-#: (pattern, replacement) in this order; both engines' regular expressions read them alike.
+#: (pattern, replacement) in this order. Possessive where a run could be split in many ways; without that, which RE2 doesn't
+#: know and doesn't need, they match the same.
 RULES = (
-    (r"(?:^|\n)[ \t]*(?:\*|#|//)*[ \t]*(?:copyright|\(c\)|©)[^\n]*", "\n"),  # copyright lines
+    (r"(?:^|\n)[ \t]*+(?:/?\*|#|//)*+[ \t]*+(?:copyright|\(c\)|©|all rights reserved)[^\n]*", "\n"),  # copyright lines
     (r"licence", "license"),
     (r"sub-licens", "sublicens"),
     (r"non-infring", "noninfring"),
@@ -89,6 +108,9 @@ def canonical(text: Column) -> Column:
 def registry() -> list[tuple[str, str, str]]:
     """(unit, digest, ids): one row per known digest."""
     found: dict[tuple[str, str], set[str]] = {}
+    for name, digests in LONG_TEXTS.items():
+        for digest in digests:
+            found.setdefault(("text", digest), set()).add(name)
     for unit, known in (("text", TEXTS), ("line", NOTICES)):
         for name, forms in known.items():
             for form in forms:
@@ -119,6 +141,7 @@ def _sql() -> str:
     def canon(x: str) -> str:
         x = f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
         for pattern, to in RULES:
+            pattern = pattern.replace("*+", "*")
             x = f"regexp_replace({x}, '{pattern}', {'chr(10)' if to == chr(10) else chr(39) + to + chr(39)}, 'g')"
         return x
 
