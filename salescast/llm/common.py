@@ -7,6 +7,7 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean() -> None:
+    """Let Arrow in this worker take its memory from malloc, which `hand_back` can trim."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def hand_back() -> None:
     """Give a worker's freed memory back to the system at a task's end: workers idle on between stages and hold it."""
     pa.default_memory_pool().release_unused()
@@ -80,11 +86,21 @@ def finite(vector: str) -> Column:
     return F.coalesce(F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < F.lit(float("inf")), F.lit(False))), F.lit(False))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is computed once however often `use` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Matches that are placed by one running sum; see regex_spans.
+SPANS_AT_ONCE = 128
+
+
 def regex_spans(text: Column, pattern: str, group: int | None = None) -> Column:
     """array<struct<s:int,e:int,m:string,g:string>> of the leftmost non-overlapping matches, in code points.
 
     s and e bound the match m (e exclusive); g is the named group's text, or the match. Built from the pieces
-    between the matches, since Spark has no function that returns positions.
+    between the matches, since Spark has no function that returns positions. An array that grows match by match is
+    copied each time; so matches are placed in groups of SPANS_AT_ONCE, which are then shifted by the lengths before them.
     """
     lit = F.lit(pattern)
     found = F.arrays_zip(
@@ -92,17 +108,29 @@ def regex_spans(text: Column, pattern: str, group: int | None = None) -> Column:
         F.regexp_extract_all(text, lit, F.lit(group or 0)).alias("g"),
         F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
     )
-    pairs = F.filter(found, lambda x: x["m"].isNotNull())
     empty = F.expr("cast(array() as array<struct<s:int,e:int,m:string,g:string>>)")
-    return F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + F.length(x["m"])).alias("at"),
-            F.concat(a["out"], F.array(F.struct((a["at"] + x["gap"]).alias("s"), (a["at"] + x["gap"] + F.length(x["m"])).alias("e"), x["m"].alias("m"), x["g"].alias("g")))).alias("out"),
-        ),
-        lambda a: a["out"],
-    )
+
+    def place(pairs: Column) -> Column:
+        return F.aggregate(
+            pairs,
+            F.struct(F.lit(0).alias("at"), empty.alias("out")),
+            lambda a, x: F.struct(
+                (a["at"] + x["gap"] + F.length(x["m"])).alias("at"),
+                F.concat(a["out"], F.array(F.struct((a["at"] + x["gap"]).alias("s"), (a["at"] + x["gap"] + F.length(x["m"])).alias("e"), x["m"].alias("m"), x["g"].alias("g")))).alias("out"),
+            ),
+        )
+
+    def shifted(parts: Column) -> Column:
+        ends = F.aggregate(parts, F.array(F.lit(0)), lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + p["at"])))
+        move = lambda p, at: F.transform(p["out"], lambda x: F.struct((x["s"] + at).alias("s"), (x["e"] + at).alias("e"), x["m"].alias("m"), x["g"].alias("g")))
+        return let(ends, lambda e: F.flatten(F.transform(parts, lambda p, i: move(p, F.get(e, i)))))
+
+    def spans(pairs: Column) -> Column:
+        groups = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / SPANS_AT_ONCE).cast("int"))
+        many = let(F.transform(groups, lambda i: place(F.slice(pairs, i * SPANS_AT_ONCE + 1, F.lit(SPANS_AT_ONCE)))), shifted)
+        return F.when(F.size(pairs) == 0, empty).when(F.size(pairs) <= SPANS_AT_ONCE, place(pairs)["out"]).otherwise(many)
+
+    return let(F.filter(found, lambda x: x["m"].isNotNull()), spans)
 
 
 def guarded_spans(text: Column, quick: Column, pattern: str, group: int | None = None) -> Column:
@@ -118,13 +146,15 @@ def span_text(spans: Column) -> Column:
 def connected(edges: DataFrame, name: str) -> DataFrame:
     """Components of an undirected graph: edges(u, v) -> (node, root), root the smallest node of the component.
 
-    Alternating large-star and small-star steps; every step is a grouped minimum and a join, and is staged.
-    A node with very many neighbours is pre-aggregated by the minimum and never gathered in one task.
+    Alternating large-star and small-star steps; every step is a grouped minimum and a join, and is staged. The minimum
+    of a node with very many neighbours is pre-aggregated, and the minima are a staged table of their own: it is
+    broadcast within the bound of `small_side`, and beyond it the join's two sides are plain shuffles, of which
+    adaptive execution splits the large partitions. So no task need hold all neighbours of such a node.
     """
 
     def step(pairs: DataFrame, large: bool, k: int) -> DataFrame:
-        least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        joined = pairs.join(least, "u")
+        least = stage(pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{name}-least-{k}")
+        joined = pairs.join(small_side(least), "u")
         if large:
             out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:

@@ -33,12 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescast.llm.chunks import slices
-from salescast.llm.common import connected, hand_back, small_side, stage, texts
+from salescast.llm.chunks import CACHE_CHARS, strings
+from salescast.llm.common import connected, fresh, hand_back, lean, small_side, stage, texts
 
 K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 #: Classes of one key in one task beyond which one stands for the others by unpruned edges.
 HOT_KEY = 64
+#: Classes of one key, from all tasks, beyond which its unpruned edges are a star and no tree is built.
+HOT_MEETING = 2048
 #: Classes of a cluster that one task verifies against each other.
 BLOCK = 1000
 #: Keys that one co-location task is dealt, about.
@@ -107,7 +109,7 @@ class Shingler:
     """Sets of texts; the dictionary of word hashes is a cache and starts anew when large."""
 
     def __init__(self, params: Params):
-        self.n, self.words = params.words, {}
+        self.n, self.words, self.held = params.words, {}, 0
         self.factors = mix(np.arange(params.words, dtype=np.uint64) * K[1] + K[3]) | np.uint64(1)
 
     def set_of(self, text: str) -> np.ndarray:
@@ -118,10 +120,12 @@ class Shingler:
         if len(words) < self.n:
             return np.array([xxhash.xxh3_64_intdigest(b"%d " % len(words) + b" ".join(words))], np.uint64)
         known = self.words
-        if len(known) > 300_000:
+        if len(known) > 300_000 or self.held > CACHE_CHARS:
             known.clear()
+            self.held = 0
         for w in set(words).difference(known):
             known[w] = xxhash.xxh3_64_intdigest(w)
+            self.held += len(w)
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         n = len(h) - self.n + 1
         s = h[:n] * self.factors[0]
@@ -241,36 +245,39 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def text_hash(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+def hashed(docs: DataFrame) -> DataFrame:
+    """doc_id, hash of the text, text."""
+    return texts(docs).select("doc_id", F.xxhash64("text").alias("hash"), "text")
 
 
 def class_rows(docs: DataFrame, params: Params) -> DataFrame:
     """doc_id, n_shingles, node (the class, null for an empty set), its bitmap and the text's hash, staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         shingler = Shingler(params)
         for batch in batches:
-            sets = [shingler.set_of(t) for t in batch.column(1).to_pylist()]
-            nodes = [digest(s) if len(s) else None for s in sets]
-            sigs = [signature(s, bits_for(len(s))).tobytes() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary()), pa.array([text_hash(t) for t in batch.column(1).to_pylist()], pa.int64())], names=["doc_id", "n_shingles", "node", "sig", "hash"])
+            for a, b, words in strings(batch.column(2), 8_000_000):
+                sets = [shingler.set_of(t) for t in words]
+                nodes = [digest(s) if len(s) else None for s in sets]
+                sigs = [signature(s, bits_for(len(s))).tobytes() if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary()), batch.column(1).slice(a, b - a)], names=["doc_id", "n_shingles", "node", "sig", "hash"])
         del shingler
         hand_back()
 
-    return stage(texts(docs).mapInArrow(run, "doc_id long, n_shingles long, node binary, sig binary, hash long"), "jaccard-rows")
+    return stage(hashed(docs).mapInArrow(run, "doc_id long, n_shingles long, node binary, sig binary, hash long"), "jaccard-rows")
 
 
 def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
     """(gid, node, peer): classes that share a key have one gid; where peer is set, it is an unpruned edge of a hot key."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         shingler, sent = Shingler(params), set()
         for batch in batches:
-            words = batch.column(1).to_pylist()
-            for a, b in slices([len(t) for t in words], 8_000_000):
+            for _, _, words in strings(batch.column(1), 8_000_000):
                 nodes, keys = [], []
-                for t in words[a:b]:
+                for t in words:
                     s = shingler.set_of(t)
                     node = digest(s) if len(s) else b""
                     if node and node not in sent:
@@ -340,8 +347,9 @@ def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
                 if not (size > 1).any():
                     continue
                 raw = [x.tobytes() for x in nodes]
-                # a hot key's holder stands for classes that aren't here: nothing that meets it may be pruned
-                hot = np.isin(key[begin], np.concatenate([np.frombuffer(r["hot"], np.uint64) for r in mine]))
+                # a hot key's holder stands for classes that aren't here: nothing that meets it may be pruned; and a key
+                # that very many classes bring from many tasks is hot too, since one tree would hold them all
+                hot = np.isin(key[begin], np.concatenate([np.frombuffer(r["hot"], np.uint64) for r in mine])) | (size > HOT_MEETING)
                 star = np.repeat(hot & (size > 1), size)
                 pair = np.unique(np.stack((np.repeat(who[begin], size)[star], who[star])), axis=1)
                 pair = pair[:, pair[0] != pair[1]]
@@ -436,7 +444,7 @@ def verified_edges(cells: DataFrame, params: Params) -> DataFrame:
 
 def link_classes(docs: DataFrame, rows: DataFrame, params: Params) -> DataFrame:
     """(node, root): connected classes, for classes that are linked with another one."""
-    classes = stage(rows.where("node is not null").groupBy("node").agg(F.min("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "jaccard-classes")
+    classes = stage(rows.where("node is not null").groupBy("node").agg(F.min("n_shingles").alias("n"), F.min(F.struct("doc_id", "hash")).alias("held_by"), F.first("sig").alias("sig")), "jaccard-classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(16, 1 << int(total * 2 * (100 - params.percent) / 100 // KEYS_A_BUCKET).bit_length())
     meet = stage(meetings(docs, params, buckets), "jaccard-meet")
@@ -444,13 +452,14 @@ def link_classes(docs: DataFrame, rows: DataFrame, params: Params) -> DataFrame:
     members = clusters.union(clusters.select(F.col("root").alias("node"), "root")).distinct()
     sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = stage(
-        members.join(sizes, "root").join(classes.select("node", "doc_id"), "node")
-        .select("node", F.col("root").alias("cluster"), "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "doc_id"),
+        members.join(sizes, "root").join(classes.select("node", "held_by"), "node")
+        .select("node", F.col("root").alias("cluster"), "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.col("held_by.doc_id").alias("d2"), F.col("held_by.hash").alias("h2")),
         "jaccard-placed",
     )
-    source = texts(docs)
-    near = small_side(placed)
-    held = stage(source.join(near, source["doc_id"].eqNullSafe(near["doc_id"])).select("node", "cluster", "blocks", "block", "text"), "jaccard-texts")
+    # by id and text: rows that share an id, or have none, don't meet each other's classes
+    held = stage(hashed(docs).join(small_side(placed), F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("hash") == F.col("h2"))).select("node", "cluster", "blocks", "block", "text"), "jaccard-texts")
+    if held.count() > placed.count():  # rows that repeat in full
+        held = stage(held.groupBy("node", "cluster", "blocks", "block").agg(F.first("text").alias("text")), "jaccard-texts-once")
     name = lambda i, j: F.concat_ws(":", F.hex("cluster"), i, j)
     ring = F.array_distinct(F.array(F.col("block"), F.pmod(F.col("block") - 1, F.col("blocks"))))
     around = held.select("node", "text", F.lit(None).cast("binary").alias("label"), "cluster", F.explode(ring).alias("c")).withColumn("cell", name(F.col("c"), F.lit("r")))
@@ -497,21 +506,13 @@ def keep_first(docs: DataFrame, params: Params | None = None) -> DataFrame:
     placed = rows.join(names, rows["node"] == names["n2"]).select("root", F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")
     first = placed.groupBy("root").agg(F.min(F.struct("no_id", "doc_id", "hash")).alias("f"))
     repeated = placed.groupBy("root", "no_id", "doc_id", "hash").agg(F.count(F.lit(1)).alias("copies"))
-    state = repeated.join(first, "root").select(F.col("doc_id").alias("__d"), F.col("hash").alias("__h"), (F.struct("no_id", "doc_id", "hash") == F.col("f")).alias("__kept"), "copies")
+    state = repeated.join(first, "root").select(F.col("doc_id").alias("d2"), F.col("hash").alias("h2"), (F.struct("no_id", "doc_id", "hash") == F.col("f")).alias("stays"), "copies")
+    d2, h2, stays, hold = (fresh(docs, f"__{c}") for c in ("d2", "h2", "stays", "hash"))
     # What goes, and the kept rows that repeat in full: few next to the documents.
-    odd = stage(state.where("not __kept or copies > 1").select("__d", "__h", "__kept"), "jaccard-odd")
-    hold = "__jaccard_hash"
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = batch.column(at).to_pylist()
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns)), pa.array([text_hash(t or "") for t in words], pa.int64())], names=[*batch.schema.names, hold])
-
-    at = docs.columns.index("text")
-    side = small_side(odd)
-    marked = docs.mapInArrow(hashed, T.StructType([*docs.schema.fields, T.StructField(hold, T.LongType())]))
-    marked = marked.join(side, marked["doc_id"].cast("long").eqNullSafe(side["__d"]) & (marked[hold] == side["__h"]), "left")
-    single = marked.where("__kept is null").select(*docs.columns)
-    if odd.where("__kept").isEmpty():
+    odd = stage(state.where("not stays or copies > 1").select(F.col("d2").alias(d2), F.col("h2").alias(h2), F.col("stays").alias(stays)), "jaccard-odd")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    marked = docs.withColumn(hold, F.xxhash64(text)).join(small_side(odd), F.col("doc_id").cast("long").eqNullSafe(F.col(d2)) & (F.col(hold) == F.col(h2)), "left")
+    single = marked.where(F.col(stays).isNull()).select(*docs.columns)
+    if odd.where(stays).isEmpty():
         return single
-    return single.unionByName(marked.where("__kept").dropDuplicates(["doc_id", hold]).select(*docs.columns))
+    return single.unionByName(marked.where(stays).dropDuplicates(["doc_id", hold]).select(*docs.columns))
