@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescast.llm.common import fresh, guarded_spans, hand_back, span_text
+from salescast.llm.chunks import CACHE_CHARS, strings
+from salescast.llm.common import fresh, guarded_spans, hand_back, lean, let, span_text
 
 KINDS = ("assign", "access", "hex", "field")
 NAMES = "password|passwd|secret|token|api_?key"
@@ -249,15 +250,19 @@ def find_secrets(docs: DataFrame, field: Field, text: str = "text", to: str = "s
     whole = not field.closed()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         seen: set[str] = set()
         odd: set[str] = set()
+        held = 0
         kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
         for batch in batches:
             out = []
-            for t in batch.column(batch.num_columns - 1).to_pylist():
+            for t in (t for _, _, words in strings(batch.column(batch.num_columns - 1)) for t in words):
                 pieces = set(t.split())
-                odd.update(p for p in pieces - seen if any(not plain(x[2]) for x in tokens_of(p)))
-                seen |= pieces
+                new = pieces - seen
+                odd.update(p for p in new if any(not plain(x[2]) for x in tokens_of(p)))
+                held += sum(map(len, new))
+                seen |= new
                 found: list[dict] = []
                 if whole or not odd.isdisjoint(pieces):
                     tokens = tokens_of(t)
@@ -271,8 +276,8 @@ def find_secrets(docs: DataFrame, field: Field, text: str = "text", to: str = "s
                             elif tag == 2:
                                 found[-1]["e"] = tokens[i][1]
                 out.append(found)
-                if len(seen) > 300_000:
-                    seen, odd = set(), set()
+                if len(seen) > 300_000 or held > CACHE_CHARS:
+                    seen, odd, held = set(), set(), 0
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(out, kind)], names=schema.names)
         seen.clear()
         odd.clear()
@@ -287,14 +292,19 @@ def find_secrets(docs: DataFrame, field: Field, text: str = "text", to: str = "s
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with each stretch that spans cover replaced by the mark; overlapping spans give one mark."""
-    empty = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    none = F.expr("cast(array() as array<struct<s:int,e:int>>)")
 
-    def step(a: Column, x: Column) -> Column:
-        gap = F.substring(text, a["at"] + 1, F.greatest(x["s"] - a["at"], F.lit(0)))
-        return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(x["s"] >= a["at"], F.concat(a["out"], gap, F.lit(mark))).otherwise(a["out"]).alias("out"))
+    def cover(a: Column, x: Column) -> Column:
+        last = F.element_at(a, -1)
+        wider = F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(last["s"].alias("s"), F.greatest(last["e"], x["e"]).alias("e"))))
+        return F.when((F.size(a) > 0) & (F.try_element_at(a, F.lit(-1))["e"] > x["s"]), wider).otherwise(F.concat(a, F.array(F.struct(x["s"].alias("s"), x["e"].alias("e")))))
 
-    done = F.aggregate(spans, empty, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    def joined(parts: Column) -> Column:
+        begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(parts, i - 1)["e"])
+        gaps = F.transform(parts, lambda x, i: F.concat(F.substring(text, begin(i) + 1, x["s"] - begin(i)), F.lit(mark)))
+        return F.concat(F.array_join(gaps, ""), F.substring(text, F.element_at(parts, -1)["e"] + 1, F.length(text)))
+
+    return F.when(F.size(spans) > 0, let(F.aggregate(spans, none, cover), joined)).otherwise(text)
 
 
 def secrets_query(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescast.llm.common import fresh, hand_back
+from salescast.llm.chunks import CACHE_CHARS, strings
+from salescast.llm.common import fresh, hand_back, lean
 
 WORD = re.compile(r"[^\W\d_]+")
 THRESHOLD = 0.3
@@ -116,7 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample | None = None) -> Mod
     unl = first(ids.where(~held_out(F.col("doc_id"))), sample.unlabelled).withColumn("p", F.lit(0))
     chosen = pos.union(unl).groupBy("doc_id").agg(F.max("p").alias("p"), (F.min("p") == 0).cast("int").alias("u"))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = text.join(F.broadcast(chosen), "doc_id").select("p", "u", "text")  # at most positives + unlabelled ids
+    rows = text.join(F.broadcast(chosen), "doc_id")  # at most positives + unlabelled ids
+    once = rows.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("h"))  # of rows that share an id, one text
+    rows = rows.join(F.broadcast(once), "doc_id").where(F.xxhash64("text") == F.col("h")).select("p", "u", "text")
     buckets = sample.buckets
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,22 +152,24 @@ def score(docs: DataFrame, model: Model, to: str = "score", text: str = "text")
     schema = T.StructType([*docs.schema.fields, T.StructField(to, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = model.weights
+        lean()
+        weights, held = model.weights, 0
         seen: set[str] = set()
         useful: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             out = []
-            for t in batch.column(batch.num_columns - 1).to_pylist():
+            for t in (t for _, _, words in strings(batch.column(batch.num_columns - 1)) for t in words):
                 pieces = set(t.lower().split())
                 for piece in pieces - seen:
+                    held += len(piece)
                     hit = tuple({b for w in parts(set(WORD.findall(piece))) if (b := bucket(w, model.buckets)) in weights})
                     if hit:
                         useful[piece] = hit
                 seen |= pieces
                 hits = {b for piece in pieces & useful.keys() for b in useful[piece]}
                 out.append(1 / (1 + np.exp(-np.clip(model.bias + sum(weights[b] for b in sorted(hits)), -30, 30))))
-                if len(seen) > 300_000:
-                    seen, useful = set(), {}
+                if len(seen) > 300_000 or held > CACHE_CHARS:
+                    seen, useful, held = set(), {}, 0
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(out, pa.float64())], names=schema.names)
         seen.clear()
         useful.clear()

@@ -73,6 +73,37 @@ def test_jaccard_hot_keys_across_tasks(make_docs, monkeypatch, hot):
     assert sorted(got) == sorted(components(many + few, 4, 85))
 
 
+def test_jaccard_of_many_classes_on_one_key(make_docs, monkeypatch):
+    """One key that 5,000 classes of many slices bring: links stay whole, and no tree is built over it."""
+    monkeypatch.setattr(jaccard, "HOT_KEY", 8)
+    monkeypatch.setattr(jaccard, "HOT_MEETING", 40)
+    fixed = " ".join(f"fixed{i}" for i in range(12))
+    rows = [(i, f"id{i // 2} {fixed}" + (" more" if i % 2 else "")) for i in range(1200)]
+    got = [tuple(r) for r in jaccard.jaccard_groups(make_docs(rows).repartition(24)).collect()]
+    assert sorted(got) == sorted(components(rows, 4, 85))
+
+
+def test_jaccard_of_rows_without_id(make_docs):
+    """Rows that share an id, or have none, don't multiply; rows that repeat in full are one text."""
+    rows = [(None, f"word{i % 700} " + " ".join(f"w{(i % 700) * 3 + k}" for k in range(12))) for i in range(2000)] + [(7, f"x{i} y{i} z{i} u{i} v{i} " * 3) for i in range(50)]
+    got = [tuple(r) for r in jaccard.jaccard_groups(make_docs(rows)).collect()]
+    assert sorted(got, key=str) == sorted(components(rows, 4, 85), key=str)
+
+
+def test_keep_first_beside_its_own_names(make_docs):
+    docs = make_docs(near_texts(groups=3)).selectExpr("*", "1 as __stays", "2 as __d2", "3 as __hash", "4 as n", "5 as root")
+    kept = jaccard.keep_first(docs)
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+
+
+def test_components_of_a_hub(spark):
+    from salescast.llm.common import connected
+
+    edges = spark.range(1, 5001).selectExpr("0L as u", "id as v").union(spark.range(6000, 6050).selectExpr("id as u", "id + 1 as v"))
+    got = {r["node"]: r["root"] for r in connected(edges, "hub").collect()}
+    assert got == {**{i: 0 for i in range(1, 5001)}, **{i: 6000 for i in range(6001, 6051)}}
+
+
 def test_jaccard_keys_are_shared():
     rng = np.random.default_rng(5)
     params = jaccard.Params()
@@ -168,6 +199,34 @@ def test_topk_is_brute_force(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_topk_of_odd_tables(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert topk.topk_query(frame([])).count() == 0
+    big = [(i, [float(2**28 + i * 3), float(-(2**27) - i)]) for i in range(200)]  # scores beyond 2^53
+    want = sorted((-sum(int(64 * a) * int(64 * b) for a, b in zip(big[20][1], v, strict=True)), i) for i, v in big if i != 20)[:20]
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in topk.topk_query(frame(big)).collect() if r["query_id"] == 20)
+    assert got == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
+    with pytest.raises(Exception, match="64 bits"):
+        topk.topk_query(frame([(i, [1e15]) for i in range(3)])).collect()
+
+
+@pytest.mark.parametrize("depths", [(0.125, 0.5, 1.0), (0.01, 0.9), (1.0,)])
+def test_topk_over_many_cells(spark, monkeypatch, depths):
+    for name, value in (("CANDIDATES_A_BLOCK", 400), ("QUERIES_A_BLOCK", 30), ("DEPTHS", depths)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(8)
+    codes = rng.integers(-90, 90, (3000, 6))
+    codes[1000:1300] = codes[7]
+    rows = [(i, [float(c) / 64 for c in v]) for i, v in enumerate(codes)]
+    got = sorted(tuple(r) for r in topk.topk_query(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    want = []
+    for q in range(0, 3000, 20):
+        scores = codes @ codes[q]
+        order = [i for i in np.lexsort((np.arange(3000), -scores)) if i != q][:20]
+        want += [(q, k + 1, int(i), int(scores[i])) for k, i in enumerate(order)]
+    assert got == sorted(want)
+
+
 def test_toxicity_learns_and_holds_out(make_docs, spark):
     rng = random.Random(4)
     vocab = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(300)]
@@ -208,6 +267,65 @@ def test_quotes_of_parts(spark):
     assert (got[5, 0]["parent_conv"], got[5, 0]["parent_turn"]) == (9, 4)
 
 
+def test_reply_order_is_a_walk_of_the_tree(spark, monkeypatch):
+    """Against a plain recursive walk over random reply trees, a long chain and a turn of very many replies."""
+    monkeypatch.setattr(quotes, "RUN_TURNS", 4)
+    rng = random.Random(9)
+    rows = []
+    for conv, n in ((1, 40), (2, 1), (3, 25)):
+        rows += [(conv, 2 * t, conv if t and rng.random() < 0.7 else None, 2 * rng.randrange(t) if t else None) for t in range(n)]
+    rows = [(c, t, p, q if p else None) for c, t, p, q in rows]
+    rows += [(4, t, 4 if t else None, t - 1 if t else None) for t in range(60)] + [(5, t, 5 if t else None, 0 if t else None) for t in range(60)]
+    rows += [(6, 0, None, None), (6, 1, 1, 4), (6, 1, 1, 4), (None, 0, None, None), (6, None, None, None)]  # a link to another conversation, a repeated turn
+    table = spark.createDataFrame(rows, "conv_id long, turn long, parent_conv long, parent_turn long")
+    got = {}
+    for r in quotes.reply_order(table).collect():
+        got.setdefault(r["conv_id"], []).append((r["place"], r["turn"]))
+    for conv in (1, 2, 3, 4, 5, 6):
+        own = {(t, q if p == conv else None) for c, t, p, q in rows if c == conv and t is not None}
+
+        def walk(turn):
+            return [turn, *(x for t, q in sorted(own, key=lambda y: y[0]) if q == turn for x in walk(t))]
+
+        order = [x for t, q in sorted(own, key=lambda y: y[0]) if q is None for x in walk(t)]
+        assert sorted(got[conv]) == list(enumerate(order, 1))
+    assert set(got) == {1, 2, 3, 4, 5, 6}
+
+
+def test_conversations_keep_every_message(spark):
+    rows = [(1, 0, "user", "first words here"), (1, 1, "assistant", "> first words here\nanswer one"), (1, 2, "user", "another thing said"), (1, 3, "assistant", "> answer one\nmore on one"), (1, 3, "assistant", "> answer one\nmore on one"), (None, 1, "user", "x"), (2, 0, None, None)]
+    got = sorted(((r["conv_id"] or 0, r["turn"], r["place"]) for r in quotes.quotes_query(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()), key=str)
+    assert got == sorted([(1, 0, 1), (1, 1, 2), (1, 3, 3), (1, 3, 3), (1, 2, 4), (0, 1, None), (2, 0, 1)], key=str)
+
+
+def test_near_items_of_a_query(make_docs, spark):
+    items = spark.createDataFrame([(1, PHRASE), (2, "short little item"), (None, "no id")], "item_id long, text string")
+    swapped = PHRASE.split()
+    swapped[3], swapped[9] = swapped[9], swapped[3]
+    docs = make_docs([(1, "x " + PHRASE), (2, " ".join(swapped)), (3, "item little short"), (4, "clean words"), (5, "short item"), (6, None), (7, "no id")])
+    got = {r["doc_id"]: (r["n_items"], r["n_near"], r["near_items"]) for r in decontam.decontam_query(docs, items).collect()}
+    assert got == {1: (1, 1, "1"), 2: (0, 1, "1"), 3: (0, 1, "2"), 4: (0, 0, ""), 5: (0, 0, ""), 6: (0, 0, ""), 7: (0, 0, "")}
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Null ids and texts, repeated rows, clashing columns and an empty table go through all stages."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long, score double, spans string, ids string, n_tokens int, decoded_sha256 string, contaminated boolean, rid string, __stays string"
+    rows = [(i, t, "en", "s", len(t or ""), 0.5, "x", "y", 7, "z", False, "r", "k") for i, t in [(1, None), (None, None), (2, ""), (3, "one two three four five six"), (3, "one two three four five six"), (4, "token = abcdef123456 here"), (None, "one two three four five six")]]
+    for name, table in (("some", spark.createDataFrame(rows, kind)), ("none", spark.createDataFrame([], kind))):
+        d = str(tmp_path / name)
+        table.write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+        spark.createDataFrame([(1, PHRASE)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+        got = corpus_pipeline.run(spark, d).collect()
+        if name == "none":
+            assert got == []
+            continue
+        assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == [(False, 1), (False, 2), (False, 3), (False, 4), (True, 0)]
+        assert {(r["ids"], r["n_tokens"], r["decoded_sha256"], r["__stays"]) for r in got} == {("y", 7, "z", "k")}
+        clean = {r["doc_id"]: r["decoded_sha256_"] for r in got}
+        assert clean[3] == sha("one two three four five six") and clean[4] == sha("[SECRET] here") and clean[1] == clean[2] == sha("")
+
+
 def test_pipeline_stages(spark):
     d = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{d}/documents.parquet")
