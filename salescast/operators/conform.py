@@ -3,9 +3,10 @@
 1. Footer scan: the archive's file list is a DataFrame (``binaryFile`` with
    the content column pruned), and ``mapInPandas`` reads each Parquet footer
    on the executors -> (path, business_date, signature, drifted columns).
-2. Every file of a day with a drifted one is read on the executors and cast
-   to the pinned schema on its own (a lossy conversion raises), so that mixed
-   files of a day never meet in one reader and no row of the day is left out.
+2. The files of days with a drifted one are grouped by stored schema; each
+   group is one splittable read, cast to the pinned schema (a lossy conversion
+   raises), so that mixed files of a day never meet in one reader and no row of
+   the day is left out.
 3. The repaired days are staged, then swapped in by dynamic partition
    overwrite (never read and overwrite one path in a single plan).
 Idempotent: a conforming archive reports and rewrites nothing.
@@ -13,26 +14,28 @@ Idempotent: a conforming archive reports and rewrites nothing.
 
 from __future__ import annotations
 
-import io
 import re
+from functools import reduce
 
 import pandas as pd
-import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from salescast.schemas import LANDING_ORDERS
 from salescast.sources import sinks
 
 _ARROW = {"int64": "bigint", "double": "double", "string": "string", "large_string": "string", "bool": "boolean",
-          "int32": "int", "float": "float", "null": "void"}
+          "int32": "int", "int16": "smallint", "int8": "tinyint", "float": "float", "null": "void", "date32[day]": "date",
+          "large_binary": "binary"}
 
 
 def _spark_type(arrow_type: str) -> str:
-    return _ARROW.get(arrow_type, arrow_type)
+    """The Spark type that reads a stored type; others by their own name."""
+    if arrow_type.startswith("timestamp["):
+        return "timestamp" if "tz=" in arrow_type else "timestamp_ntz"
+    return re.sub(r"^decimal128\((\d+), (-?\d+)\)$", r"decimal(\1,\2)", _ARROW.get(arrow_type, arrow_type))
 
 
 def footer_report(spark: SparkSession, root: str, schema: T.StructType = LANDING_ORDERS) -> DataFrame:
@@ -81,40 +84,35 @@ def conform_frame(df: DataFrame, schema: T.StructType = LANDING_ORDERS) -> DataF
     return df.select([safe_cast(F.col(f.name), have[f.name], f.dataType, f.name) for f in schema.fields])
 
 
-def conform_file(raw: bytes, day: int, schema: T.StructType) -> pa.Table:
-    """One Parquet file's rows with the pinned names and types; raises KeyError
-    for a missing column and ArrowInvalid where a value would change."""
-    table = pq.ParquetFile(io.BytesIO(raw)).read()
-    target = to_arrow_schema(schema)
-    cols = []
-    for f in target:
-        if f.name in table.column_names:
-            cols.append(table.column(f.name).cast(f.type, safe=True).combine_chunks())
-        elif f.name == "business_date":
-            cols.append(pa.array([day] * table.num_rows, f.type))
-        else:
-            raise KeyError(f"missing column: {f.name}")
-    return pa.Table.from_arrays(cols, schema=target)
-
-
 def conform_archive(spark: SparkSession, root: str, schema: T.StructType = LANDING_ORDERS) -> list[int]:
     """Rewrite every day that has a drifted file, with the rows of all its
-    files; returns the rewritten days. Files are read as Spark reads them
-    (bytes per file, on the executors) and each is conformed on its own, so the
-    driver holds the day list only, which the calendar bounds."""
-    drifted = footer_report(spark, root, schema).where(F.col("drifted") != "").select("business_date").distinct()
-    days = sorted(r["business_date"] for r in drifted.collect())
-    if not days:
+    files; returns the rewritten days.
+
+    Files of one signature are one read: Spark's own reader splits them by row
+    groups, so a file of any size takes no more memory than a batch, and types
+    that no one reader can mix are cast apart before they meet. The driver holds
+    the paths of the drifted days' files, as any file listing does."""
+    report = footer_report(spark, root, schema)
+    drifted = report.where(F.col("drifted") != "").select("business_date").distinct()
+    rows = report.join(drifted, "business_date", "left_semi").select("business_date", "signature", "path").collect()
+    if not rows:
         return []
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load([f"{root.rstrip('/')}/business_date={d}" for d in days])
-
-    def fix(batches):
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                day = int(re.search(r"business_date=(\d+)", path).group(1))
-                yield from conform_file(content.as_py(), day, schema).to_batches()
-
+    by_signature: dict[str, list[str]] = {}
+    for r in rows:
+        by_signature.setdefault(r["signature"], []).append(r["path"])
+    parts = [conform_frame(read_signature(spark, root, signature, sorted(paths), schema), schema) for signature, paths in sorted(by_signature.items())]
     stage = sinks.stage_dir(spark, "conform")
-    files.select("path", "content").mapInArrow(fix, schema).write.mode("overwrite").parquet(stage)
+    reduce(DataFrame.unionByName, parts).write.parquet(stage)
     sinks.write_partitions(spark.read.schema(schema).parquet(stage), root, schema, mode="overwrite")
-    return days
+    return sorted({r["business_date"] for r in rows})
+
+
+def read_signature(spark: SparkSession, root: str, signature: str, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Files that share a stored schema, read with it. A column whose stored type
+    is null throughout is not read but filled; the folder names the day."""
+    stored = dict(part.split(":", 1) for part in signature.split(";"))
+    void = [c for c, t in stored.items() if t == "void"]
+    fields = [T.StructField(c, T._parse_datatype_string(t)) for c, t in stored.items() if c not in void and c != "business_date"]
+    fields.append(schema["business_date"])
+    df = spark.read.schema(T.StructType(fields)).option("basePath", root).parquet(*paths)
+    return df.withColumns({c: F.lit(None) for c in void})

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescast.operators.series import targets
+from salescast.operators.series import join_on, targets
 
 # Weekly season length and the two-sided 80 % normal quantile.
 SEASON = 7
@@ -34,7 +34,7 @@ def seasonal_naive(ns: DataFrame, origins: DataFrame, keys: list[str], horizon:
     src = F.when(F.col("cutoff") >= season, F.col("cutoff") - season + 1 + hm).otherwise(1 + hm % F.col("cutoff"))
     t = t.withColumn("src", src)
     y = ns.select(*keys, F.col("rn").alias("src"), F.col("y").alias("yhat"))
-    return t.join(y, [*keys, "src"], "left").select(
+    return join_on(t, y, [*keys, "src"], "left").select(
         *keys, "fold", "ds", "yhat", F.lit(None).cast("double").alias("yhat_lower"), F.lit(None).cast("double").alias("yhat_upper")
     )
 
@@ -65,7 +65,7 @@ def trend_weekday(ns: DataFrame, origins: DataFrame, keys: list[str], horizon: i
         F.count(F.lit(1)).over(w_wd).alias("n_w"), F.sum(t).over(w_wd).alias("St_w"), F.sum("y").over(w_wd).alias("Sy_w"),
     )
     c = F.col("cutoff").cast("double")
-    fit = origins.join(stats.withColumnRenamed("rn", "cutoff"), [*keys, "cutoff"]).select(
+    fit = join_on(origins, stats.withColumnRenamed("rn", "cutoff"), [*keys, "cutoff"], "inner").select(
         *keys, "fold", "cutoff", "St", "Sy", "Stt", "Sty", "Syy"
     )
     den = c * F.col("Stt") - F.col("St") * F.col("St")
@@ -78,11 +78,11 @@ def trend_weekday(ns: DataFrame, origins: DataFrame, keys: list[str], horizon: i
     # that row is one of the 7 positions cutoff-6 .. cutoff (dense calendar).
     last7 = origins.select(*keys, "fold", "cutoff", F.explode(F.sequence(F.lit(0), F.lit(SEASON - 1))).alias("d"))
     last7 = last7.withColumn("rn", F.col("cutoff") - F.col("d")).where(F.col("rn") >= 1)
-    wd = last7.join(stats.select(*keys, "rn", "wd", "n_w", "St_w", "Sy_w"), [*keys, "rn"]).select(
+    wd = join_on(last7, stats.select(*keys, "rn", "wd", "n_w", "St_w", "Sy_w"), [*keys, "rn"], "inner").select(
         *keys, "fold", "wd", "n_w", "St_w", "Sy_w"
     )
     tg = targets(origins, keys, horizon).withColumn("wd", F.weekday("ds"))
-    j = tg.join(fit, [*keys, "fold", "cutoff"]).join(wd, [*keys, "fold", "wd"], "left")
+    j = join_on(join_on(tg, fit, [*keys, "fold", "cutoff"], "inner"), wd, [*keys, "fold", "wd"], "left")
     idx_den = F.col("a") * F.col("n_w") + F.col("b") * F.col("St_w")
     index = F.when(idx_den > 0, F.col("Sy_w") / idx_den).otherwise(F.lit(1.0))
     yhat = (F.col("a") + F.col("b") * F.col("rn").cast("double")) * index

@@ -8,12 +8,15 @@ ever small enough to matter, and even it stays distributed.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescast.functions.dates import date_to_yyyymmdd, yyyymmdd_to_date
+from salescast.schemas import LANDING_ORDERS
+from salescast.session import cut_lineage, session_conf
 
 
 def day_counts(df: DataFrame, name: str = "n") -> DataFrame:
@@ -21,11 +24,23 @@ def day_counts(df: DataFrame, name: str = "n") -> DataFrame:
     return df.groupBy(F.col("business_date").cast("bigint").alias("business_date")).agg(F.count(F.lit(1)).alias(name))
 
 
-def landing_day_counts(landing: DataFrame) -> DataFrame:
-    """D3: rows per day on disk. Selecting only the partition column makes the
-    scan read no data columns (row counts come from the row-group metadata
-    path of the reader), so this is the Spark form of a footer-only count."""
-    return day_counts(landing.select("business_date"))
+#: Reads Parquet by the reader that answers counts from file footers.
+FOOTERS = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_counts(spark: SparkSession, root: str) -> DataFrame:
+    """The plan of D3; it is pushed down only while FOOTERS hold."""
+    return day_counts(spark.read.schema(LANDING_ORDERS).parquet(root))
+
+
+def landing_day_counts(spark: SparkSession, root: str) -> DataFrame:
+    """D3: rows per day on disk, from file footers alone: the count by partition
+    folder is pushed into the scan, which reads no column chunk. The result, one
+    row a day, is computed here, while the settings hold."""
+    with contextlib.ExitStack() as held:
+        for name, value in FOOTERS.items():
+            held.enter_context(session_conf(spark, name, value))
+        return cut_lineage(footer_counts(spark, root))
 
 
 def days_needing_load(disk: DataFrame, bronze: DataFrame, window: int = 0) -> DataFrame:
@@ -54,21 +69,13 @@ def missing_days(candidates: DataFrame, present: DataFrame) -> DataFrame:
     return candidates.select("business_date").join(present.select("business_date"), "business_date", "left_anti")
 
 
-def refresh_slice(landing: DataFrame, today: dt.date, days: int | None, through_today: bool = False) -> DataFrame:
-    """The landing rows that a refresh on ``today`` covers. ``days`` whole
+def refresh_bounds(today: dt.date, days: int | None, through_today: bool = False) -> tuple[dt.date, dt.date]:
+    """First and last day that a refresh on ``today`` covers. ``days`` whole
     days up to yesterday (or today); None is single-day mode, today alone."""
     if days is not None and days < 1:
         raise ValueError(f"a refresh covers at least one day, not {days}")
     newest = today if days is None or through_today else today - dt.timedelta(days=1)
-    return trailing_window(landing, newest - dt.timedelta(days=(days or 1) - 1), newest)
-
-
-def require_rows(window: DataFrame, days: int | None) -> DataFrame:
-    """The slice itself, once it is known to hold a row; a day that has
-    only just begun (single-day mode) may be empty."""
-    if days is not None and window.isEmpty():
-        raise RuntimeError(f"no landed rows in a refresh of {days} days")
-    return window
+    return newest - dt.timedelta(days=(days or 1) - 1), newest
 
 
 def trailing_window(df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -78,13 +85,6 @@ def trailing_window(df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return df.where(F.col("business_date").between(F.lit(lo), F.lit(hi)))
 
 
-def trailing_window_expr(df: DataFrame, end_key, n_days: int) -> DataFrame:
-    """B7 with a column-valued end day (e.g. a scalar subquery over the data)."""
-    end = yyyymmdd_to_date(end_key)
-    lo = date_to_yyyymmdd(F.date_sub(end, n_days - 1))
-    return df.where(F.col("business_date").between(lo, date_to_yyyymmdd(end)))
-
-
 def history_bounds(days: DataFrame, today_key, max_lookback_days: int | None = None) -> DataFrame:
     """Earliest and latest day with data, and counts; with
     ``max_lookback_days``, none further back than that before today. One aggregate; the reference's

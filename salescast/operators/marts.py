@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salescast.functions.dates import BUSINESS_TZ, parse_iso_utc, utc_to_local
 from salescast.functions.money import money_sum, rounded
+from salescast.operators.series import join_on
 from salescast.schemas import BRONZE_ORDERS
 
 
@@ -99,8 +100,7 @@ def intraday_today(raw: DataFrame, forecast: DataFrame, today, tz: str = BUSINES
     )
     so_far = F.coalesce(F.col("net_sales_so_far"), F.lit(0.0))
     return (
-        anchor.join(o, on, "left")
-        .join(f, on, "left")
+        join_on(join_on(anchor, o, on, "left"), f, on, "left")
         .select(
             *keys,
             "business_date",

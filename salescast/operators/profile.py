@@ -1,45 +1,72 @@
-"""Whole-corpus JSON path/type profile.
+"""Whole-corpus JSON path/type profile, in one pass.
 
-The reference walks the first document only; here every document is parsed
-to a VARIANT and walked level by level with ``variant_explode``
-(objects add ``.key``, arrays add ``[]``) until no container is left, so any
-depth is covered; the values seen per (path, type) are counted level by level.
+The reference walks the first document only; here every document is walked to
+any depth. A task keeps a sketch of what it has seen, (path, type) -> (values,
+least and greatest list length), whose size is that of the corpus' shape, not of
+its rows; sketches add up, by one aggregation over them.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescast.session import cut_lineage
+SKETCH = "path string, type string, n long, min_length int, max_length int"
 
-_TYPE = """CASE
-  WHEN v IS NULL OR schema_of_variant(v) = 'VOID' THEN 'NoneType'
-  WHEN schema_of_variant(v) LIKE 'OBJECT%' THEN 'dict'
-  WHEN schema_of_variant(v) LIKE 'ARRAY%' THEN 'list'
-  WHEN schema_of_variant(v) IN ('BIGINT', 'INT', 'SMALLINT', 'TINYINT') THEN 'int'
-  WHEN schema_of_variant(v) = 'BOOLEAN' THEN 'bool'
-  WHEN schema_of_variant(v) = 'STRING' THEN 'str'
-  ELSE 'float' END"""
+
+class PathSketch:
+    """(path, type) -> [values, least list length, greatest list length]."""
+
+    def __init__(self):
+        self.seen: dict[tuple[str, str], list] = {}
+
+    def add(self, path: str, kind: str, length: int | None = None) -> None:
+        got = self.seen.setdefault((path, kind), [0, length, length])
+        got[0] += 1
+        if length is not None:
+            got[1], got[2] = min(got[1], length), max(got[2], length)
+
+    def walk(self, document: object) -> None:
+        """Objects add ".key", arrays add "[]"; the document itself has no path."""
+        todo = [("", document)]  # no recursion: any depth
+        while todo:
+            path, value = todo.pop()
+            if path:
+                self.add(path, type(value).__name__, len(value) if isinstance(value, list) else None)
+            if isinstance(value, dict):
+                todo += [(f"{path}.{k}" if path else k, v) for k, v in value.items()]
+            elif isinstance(value, list):
+                todo += [(f"{path}[]", v) for v in value]
+
+    def batch(self) -> pa.RecordBatch:
+        cols = zip(*[(p, k, *v) for (p, k), v in self.seen.items()], strict=True) if self.seen else [[]] * 5
+        types = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=["path", "type", "n", "min_length", "max_length"])
 
 
 def json_profile(df: DataFrame, col: str) -> DataFrame:
-    """[path, type, n] over all documents in ``df[col]`` (JSON text)."""
-    level = df.select(F.lit("").alias("path"), F.parse_json(F.col(col)).alias("v")).selectExpr("path", "v", f"{_TYPE} AS type")
-    counts = []
-    while True:
-        # each level is computed once: the next one and the counts read it back
-        level = cut_lineage(level)
-        counts.append(level.where(F.col("path") != "").groupBy("path", "type").agg(F.count(F.lit(1)).alias("n")))
-        nested = level.where(F.col("type").isin("dict", "list"))
-        if nested.isEmpty():
-            break
-        inner = nested.alias("l").lateralJoin(df.sparkSession.tvf.variant_explode(F.col("l.v").outer()).alias("e"))
-        level = inner.selectExpr(
-            """CASE WHEN l.type = 'list' THEN concat(l.path, '[]')
-                    WHEN l.path = '' THEN e.key ELSE concat(l.path, '.', e.key) END AS path""",
-            "e.value AS v",
-        ).selectExpr("path", "v", f"{_TYPE} AS type")
-    return reduce(DataFrame.unionByName, counts).groupBy("path", "type").agg(F.sum("n").alias("n"))
+    """[path, type, n, min_length, max_length] over all documents in ``df[col]``
+    (JSON text). Lengths are those of lists, NULL for other types; a text that
+    is no JSON counts under the empty path as "malformed", a NULL as "missing"."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = PathSketch()
+        for batch in batches:
+            for text in batch.column(0):
+                if not text.is_valid:
+                    found.add("", "missing")
+                    continue
+                try:
+                    document = json.loads(text.as_py())
+                except (ValueError, RecursionError):
+                    found.add("", "malformed")
+                    continue
+                found.walk(document)
+        yield found.batch()
+
+    parts = df.select(F.col(col).cast("string")).mapInArrow(sketch, SKETCH)
+    return parts.groupBy("path", "type").agg(F.sum("n").alias("n"), F.min("min_length").alias("min_length"), F.max("max_length").alias("max_length"))

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salescast.operators.series import outer_on
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y), frames)
@@ -32,8 +34,7 @@ def unique_summary(checks: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
     that occur more than once (0 = pass). Keys are pre-aggregated per task."""
     frames = []
     for model, df, cols in checks:
-        dup = df.groupBy(*cols).count().where(F.col("count") > 1)
-        frames.append(dup.agg(F.count(F.lit(1)).alias("failures")).select(
+        frames.append(duplicate_keys(df, cols).agg(F.count(F.lit(1)).alias("failures")).select(
             F.lit(model).alias("model"), F.lit(",".join(cols)).alias("column"), "failures"))
     return _union(frames)
 
@@ -53,7 +54,7 @@ def no_fanout(serving: DataFrame, mart: DataFrame, horizon: int, keys: list[str]
     on = keys or ["_all"]  # without keys both sides are one group
     s = serving.withColumn("_all", F.lit(0)).groupBy(*on).agg(F.count(F.lit(1)).alias("serving_rows"))
     m = mart.withColumn("_all", F.lit(0)).groupBy(*on).agg(F.count(F.lit(1)).alias("mart_rows"))
-    return s.join(m, on, "full_outer").select(
+    return outer_on(s, m, on).select(
         *keys, F.coalesce("serving_rows", F.lit(0)).alias("serving_rows"), F.coalesce("mart_rows", F.lit(0)).alias("mart_rows"),
         (F.coalesce("serving_rows", F.lit(0)) == F.coalesce("mart_rows", F.lit(0)) + horizon).alias("ok"),
     )
@@ -76,7 +77,7 @@ def parity_by_day(left: DataFrame, right: DataFrame, value: str = "net", keys: l
     on = [*keys, "business_date"]
     lft = left.select(*on, F.col(value).alias("left_value"))
     rgt = right.select(*on, F.col(value).alias("right_value"))
-    j = lft.join(rgt, on, "full_outer")
+    j = outer_on(lft, rgt, on)
     diff = F.round(F.coalesce("left_value", F.lit(0.0)) - F.coalesce("right_value", F.lit(0.0)), 2)
     return j.select(*on, "left_value", "right_value", diff.alias("diff")).where(
         F.col("left_value").isNull() | F.col("right_value").isNull() | (F.col("diff") != 0)

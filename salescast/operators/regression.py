@@ -1,14 +1,14 @@
 """E5 family: multiplicative seasonal regression with a prediction band.
 
-Features are Spark columns (weekday, yearly Fourier terms, US holidays); only
-the small per-series solve runs in numpy inside ``applyInPandas`` (one group
-per series key, bounded by the calendar), and every fold of a series is
-solved inside that one group.
+Features are Spark columns (weekday, yearly Fourier terms, a bit mask of US
+holidays); the fits run in numpy, one ``applyInPandas`` group per series
+(bounded by the calendar) that holds all of its origins. The rows between two
+cutoffs are summed up once; a fold is the sum of its slices and one solve.
 
 Model, per origin (cutoff c) over rows rn <= c:
   trend      g(t) = a + b t                        (least squares)
   effects    y ~ g(t) * (X(t) . beta)              (ridge, X = [1, weekday dummies,
-                                                    Fourier terms when >= 2 years, holiday])
+                                                    Fourier terms if ``yearly``, holidays])
   band       yhat -/+ z * sigma(residuals), then E6 clip at 0.
 It is linear in beta yet multiplicative in effect, and tolerates zero days.
 """
@@ -16,6 +16,7 @@ It is linear in beta yet multiplicative in effect, and tolerates zero days.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -99,61 +100,98 @@ def holiday_calendar(spark, start, end) -> DataFrame:
     return out.where(F.year("ds") <= F.col("last")).select("ds", "holiday")
 
 
-#: Every name that holiday_calendar gives: one effect each.
+#: Every name that holiday_calendar gives: one effect each, one bit of a day's mask.
 HOLIDAYS = [n for name, *_ in FIXED_HOLIDAYS for n in (name, f"{name} (observed)")] + [name for name, *_ in NTH_WEEKDAY_HOLIDAYS]
 
 
 def feature_frame(ns: DataFrame, keys: list[str], horizon: int, holidays: DataFrame) -> DataFrame:
     """Series rows plus ``horizon`` future days per key, with feature columns;
-    ``hol`` lists the names of the holidays on the day."""
+    ``hol`` has a bit for each holiday on the day, in the order of HOLIDAYS."""
     heads = ns.groupBy(*keys).agg(F.first("n").alias("n"), F.first("ds0").alias("ds0")) if keys else ns.select("n", "ds0").limit(1)
     cal = heads.select(*keys, "n", F.posexplode(day_range(F.col("ds0"), F.date_add("ds0", (F.col("n") + horizon - 1).cast("int")))).alias("pos", "ds"))
     cal = cal.select(*keys, (F.col("pos") + 1).alias("rn"), "ds")
     ys = ns.select(*keys, "rn", "y")
-    hol = holidays.groupBy("ds").agg(F.collect_set("holiday").alias("hol"))
-    none = F.expr("cast(array() as array<string>)")
+    place = F.array_position(F.lit(HOLIDAYS), F.col("holiday")).cast("int")  # 1-based, 0 for a name that has no effect
+    bit = F.when(F.col("place") > 0, F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place") - 1))
+    hol = holidays.select("ds", place.alias("place")).groupBy("ds").agg(F.bit_or(bit).alias("hol"))
     return (
         join_on(cal, ys, [*keys, "rn"], "left").join(hol, "ds", "left")
-        .select(*keys, "rn", "ds", "y", F.weekday("ds").alias("wd"), F.coalesce("hol", none).alias("hol"), *fourier_terms("ds"))
+        .select(*keys, "rn", "ds", "y", F.weekday("ds").alias("wd"), F.coalesce("hol", F.lit(0).cast("long")).alias("hol"), *fourier_terms("ds"))
     )
 
 
-def _design(pdf: pd.DataFrame, yearly: bool) -> np.ndarray:
-    cols = [np.ones(len(pdf))] + [(pdf["wd"].to_numpy() == w).astype(float) for w in range(1, 7)]
+def design(rows: pd.DataFrame, yearly: bool) -> np.ndarray:
+    """The effects' columns: level, weekdays, yearly terms, holidays."""
+    wd, hol = rows["wd"].to_numpy(), rows["hol"].to_numpy(np.int64)
+    cols = [np.ones((len(rows), 1)), (wd[:, None] == np.arange(1, 7)).astype(float)]
     if yearly:
-        cols += [pdf[f"{f}{k}"].to_numpy() for k in range(1, FOURIER_ORDER + 1) for f in ("sin", "cos")]
-    cols += [np.array([name in h for h in pdf["hol"]], dtype=float) for name in HOLIDAYS]
-    return np.column_stack(cols)
-
-
-def fit_predict(train: pd.DataFrame, future: pd.DataFrame, z: float = Z80, ridge: float = RIDGE, yearly: bool = True) -> pd.DataFrame:
-    """One origin: fit on ``train`` rows, predict ``future`` rows (numpy). A
-    holiday that the training rows never see has no effect (ridge)."""
-    t, y = train["rn"].to_numpy(float), train["y"].to_numpy(float)
-    if len(t) > 1 and np.ptp(t) > 0:
-        b, a = np.polyfit(t, y, 1)
-    else:
-        a, b = (float(y.mean()) if len(y) else 0.0), 0.0
-    Xtr = _design(train, yearly) * (a + b * t)[:, None]
-    p = Xtr.shape[1]
-    gram = Xtr.T @ Xtr
-    lam = ridge * (np.trace(gram) / p if p else 0.0) + 1e-12
-    beta = np.linalg.solve(gram + lam * np.eye(p), Xtr.T @ y)
-    resid = y - Xtr @ beta
-    sigma = float(np.sqrt(np.mean(resid * resid))) if len(resid) else 0.0
-    tf = future["rn"].to_numpy(float)
-    yhat = (_design(future, yearly) * (a + b * tf)[:, None]) @ beta
-    return pd.DataFrame({
-        "ds": future["ds"].to_numpy(),
-        "yhat": np.maximum(yhat, 0.0),
-        "yhat_lower": np.maximum(yhat - z * sigma, 0.0),
-        "yhat_upper": np.maximum(yhat + z * sigma, 0.0),
-    })
+        cols.append(rows[[f"{f}{k}" for k in range(1, FOURIER_ORDER + 1) for f in ("sin", "cos")]].to_numpy(float))
+    cols.append(((hol[:, None] >> np.arange(len(HOLIDAYS))) & 1).astype(float))
+    return np.hstack(cols)
+
+
+@dataclass
+class Sums:
+    """What a fit needs of some rows, in sums that add up: those of a fold are its earlier slices' sums plus its own.
+
+    The trend g = a + b t weighs every row and is another one in every fold; but its powers are polynomials in t, so
+    the weighted Gram matrix of any fold comes from three unweighted ones: sum x x', sum t x x' and sum t^2 x x'.
+    """
+
+    line: np.ndarray  # n, t, t^2, y, t y, y^2
+    gram: np.ndarray  # 3 x p x p
+    cross: np.ndarray  # sum x y, sum t x y
+
+    @classmethod
+    def of(cls, t: np.ndarray, x: np.ndarray, y: np.ndarray) -> Sums:
+        line = np.array([len(t), t.sum(), t @ t, y.sum(), t @ y, y @ y])
+        return cls(line, np.stack([(x * (t**k)[:, None]).T @ x for k in range(3)]), np.stack([x.T @ y, x.T @ (t * y)]))
+
+    def __add__(self, other: Sums) -> Sums:
+        return Sums(self.line + other.line, self.gram + other.gram, self.cross + other.cross)
+
+    def solve(self, ridge: float) -> tuple[float, float, np.ndarray, float]:
+        """(a, b) of the trend, the effects, and the deviation of the residuals."""
+        n, t, tt, y, ty, yy = self.line
+        den = n * tt - t * t
+        b = (n * ty - t * y) / den if n > 1 and den > 0 else 0.0
+        a = (y - b * t) / n
+        gram = a * a * self.gram[0] + 2 * a * b * self.gram[1] + b * b * self.gram[2]
+        cross = a * self.cross[0] + b * self.cross[1]
+        p = len(gram)
+        effects = np.linalg.solve(gram + (ridge * np.trace(gram) / p + 1e-12) * np.eye(p), cross)
+        rest = yy - 2 * effects @ cross + effects @ gram @ effects
+        return a, b, effects, float(np.sqrt(max(rest, 0.0) / n))
+
+
+def predict_folds(rows: pd.DataFrame, folds: pd.DataFrame, horizon: int, z: float = Z80, ridge: float = RIDGE, yearly: bool = True) -> pd.DataFrame:
+    """Every origin of one series in one pass over its rows: [fold, ds, yhat, yhat_lower, yhat_upper]. A holiday that
+    the training rows never see has no effect (ridge)."""
+    rows = rows.sort_values("rn", ignore_index=True)
+    rn, ds = rows["rn"].to_numpy(), rows["ds"].to_numpy()
+    t, y, x = rn / rn[-1], rows["y"].fillna(0.0).to_numpy(float), design(rows, yearly)
+    out, held, at = [], None, 0
+    for cutoff, same in folds.sort_values("cutoff").groupby("cutoff"):
+        end = int(np.searchsorted(rn, cutoff, "right"))
+        if end > at:
+            part = Sums.of(t[at:end], x[at:end], y[at:end])
+            held, at = part if held is None else held + part, end
+        to = int(np.searchsorted(rn, cutoff + horizon, "right"))
+        if held is None or to == end:
+            continue
+        a, b, effects, sigma = held.solve(ridge)
+        yhat = (a + b * t[end:to]) * (x[end:to] @ effects)
+        for fold in same["fold"]:
+            out.append(pd.DataFrame({
+                "fold": int(fold), "ds": ds[end:to], "yhat": np.maximum(yhat, 0.0),
+                "yhat_lower": np.maximum(yhat - z * sigma, 0.0), "yhat_upper": np.maximum(yhat + z * sigma, 0.0),
+            }))
+    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({c: pd.Series(dtype="object") for c in ("fold", "ds", "yhat", "yhat_lower", "yhat_upper")})
 
 
 def seasonal_regression_model(keys_schema: list[tuple[str, T.DataType]], holidays: DataFrame, yearly: bool = True):
     """E5 as a DataFrame model (same signature as operators.forecasters): one
-    group per series and fold, so that folds of one series run side by side."""
+    group per series, met with the series' origins; no row is copied per fold."""
     knames = [k for k, _ in keys_schema]
     cols = [*knames, "fold", "ds", "yhat", "yhat_lower", "yhat_upper"]
     schema = T.StructType([T.StructField(k, t) for k, t in keys_schema] + [
@@ -161,22 +199,19 @@ def seasonal_regression_model(keys_schema: list[tuple[str, T.DataType]], holiday
         T.StructField("yhat_lower", T.DoubleType()), T.StructField("yhat_upper", T.DoubleType())])
 
     def model(ns: DataFrame, origins: DataFrame, keys: list[str], horizon: int) -> DataFrame:
-        feats = feature_frame(ns, keys, horizon, holidays).withColumn("_one", F.lit(1))
-        orig = origins.select(*keys, "fold", "cutoff", F.lit(1).alias("_one"))
-        rows = join_on(feats, orig, [*keys, "_one"], "inner").where(F.col("rn") <= F.col("cutoff") + horizon)
-
-        def per_fold(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("rn")
-            known = pdf["rn"] <= pdf["cutoff"]
-            train, future = pdf[known], pdf[~known]
-            if train.empty or future.empty:
+        one = F.lit(0).alias("_all")  # a run without keys is one group
+        feats = feature_frame(ns, keys, horizon, holidays).select("*", one)
+        folds = origins.select(*[F.col(k).alias(f"{k}__o") for k in keys], "fold", "cutoff", F.lit(0).alias("_all__o"))
+
+        def per_series(rows: pd.DataFrame, folds: pd.DataFrame) -> pd.DataFrame:
+            if rows.empty or folds.empty:
                 return pd.DataFrame({c: pd.Series(dtype="object") for c in cols})
-            res = fit_predict(train.assign(y=train["y"].fillna(0.0)), future, yearly=yearly)
-            for k in [*knames, "fold"]:
-                res[k] = pdf[k].iloc[0]
+            res = predict_folds(rows, folds, horizon, yearly=yearly)
+            for k in knames:
+                res[k] = rows[k].iloc[0]
             return res[cols]
 
-        return rows.groupBy(*keys, "fold").applyInPandas(per_fold, schema)
+        return feats.groupBy("_all", *keys).cogroup(folds.groupBy("_all__o", *[f"{k}__o" for k in keys])).applyInPandas(per_series, schema)
 
     return model
 
@@ -191,7 +226,7 @@ def weekday_index(ns: DataFrame, keys: list[str]) -> DataFrame:
     """avg(y) / avg(trend) per weekday (Monday = 0) over the whole series."""
     fit = trend_fit(ns, keys)
     if keys:
-        j = ns.join(fit.drop("n"), keys)
+        j = join_on(ns, fit.drop("n"), keys, "inner")
     else:  # one-row fit joined on a constant key
         j = ns.withColumn("_k", F.lit(0)).join(F.broadcast(fit.drop("n").withColumn("_k", F.lit(0))), "_k")
     trend = F.col("intercept") + F.col("slope") * F.col("rn")

@@ -25,6 +25,14 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> Dat
     return left.join(other, cond, how).drop(*[f"{k}__r" for k in keys])
 
 
+def outer_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer join on equal keys where NULL equals NULL; each key comes from the side that has the row."""
+    other = right.withColumnsRenamed({k: f"{k}__r" for k in keys})
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(other[f"{k}__r"]) for k in keys])
+    both = left.join(other, cond, "full_outer")
+    return both.withColumns({k: F.coalesce(left[k], other[f"{k}__r"]) for k in keys}).drop(*[f"{k}__r" for k in keys])
+
+
 def to_series(daily: DataFrame, keys: list[str], date_col: str = "business_date", value_col: str = "net_sales") -> DataFrame:
     """Mart rows -> [*keys, ds DATE, y DOUBLE]."""
     return daily.select(*keys, yyyymmdd_to_date(date_col).alias("ds"), F.col(value_col).cast("double").alias("y"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescast.functions.dates import yyyymmdd_to_date
+from salescast.operators.series import join_on, outer_on
 
 
 def winner(forecast: DataFrame, keys: list[str]) -> DataFrame:
@@ -18,7 +19,7 @@ def winner(forecast: DataFrame, keys: list[str]) -> DataFrame:
 def champion_backtest(backtest: DataFrame, forecast: DataFrame, keys: list[str]) -> DataFrame:
     """Back-test rows of the winning model only (one row per date and key).
     The winner frame has one row per key, so the planner broadcasts it."""
-    return backtest.join(winner(forecast, keys), [*keys, "model"]).select(
+    return join_on(backtest, winner(forecast, keys), [*keys, "model"], "inner").select(
         *keys, F.col("forecast_date").alias("business_date"), "yhat"
     )
 
@@ -34,7 +35,7 @@ def forecast_vs_actuals(actuals: DataFrame, forecast: DataFrame, backtest: DataF
     f = forecast.select(*keys, F.col("forecast_date").alias("business_date"), F.col("yhat").alias("_fy"), "yhat_lower", "yhat_upper",
                         "model", "run_ts", F.lit(True).alias("_f"))
     b = champion_backtest(backtest, forecast, keys).select(*keys, "business_date", F.col("yhat").alias("_by"))
-    j = a.join(f, on, "full_outer").join(b, on, "left")
+    j = join_on(outer_on(a, f, on), b, on, "left")
     return j.select(
         *keys, "business_date", yyyymmdd_to_date("business_date").alias("date_day"), "net_sales_actual",
         F.coalesce("_fy", "_by").alias("yhat"), "yhat_lower", "yhat_upper", "model", "run_ts",

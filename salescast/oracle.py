@@ -114,11 +114,10 @@ SQL["date_keys"] = with_flat(
   FROM fct"""
 )
 SQL["local_business_day"] = with_flat(
-    """SELECT order_guid,
-  CAST(opened_date AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS opened_at_utc,
-  CAST(opened_date AS TIMESTAMPTZ) AT TIME ZONE 'America/Chicago' AS opened_at_local,
-  CAST(strftime(CAST(opened_date AS TIMESTAMPTZ) AT TIME ZONE 'America/Chicago', '%Y%m%d') AS BIGINT) AS local_business_date
-  FROM landing"""
+    """, t AS (SELECT order_guid, (CAST(opened_date AS TIMESTAMPTZ) AT TIME ZONE 'UTC') + to_hours(CAST(CAST(order_guid AS BIGINT) % 24 - 12 AS INTEGER)) AS u FROM landing)
+SELECT order_guid, u AS opened_at_utc, (u AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago' AS opened_at_local,
+  CAST(strftime((u AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago', '%Y%m%d') AS BIGINT) AS local_business_date
+  FROM t"""
 )
 
 
@@ -161,6 +160,18 @@ SQL["trailing_window"] = with_flat(
     CAST(strftime(CAST(strptime(CAST((SELECT max(business_date) FROM landing) AS VARCHAR), '%Y%m%d') AS DATE) - 7, '%Y%m%d') AS BIGINT)
     AND CAST(strftime(CAST(strptime(CAST((SELECT max(business_date) FROM landing) AS VARCHAR), '%Y%m%d') AS DATE) - 1, '%Y%m%d') AS BIGINT)"""
 )
+SQL["refresh_landing"] = with_flat(
+    """SELECT business_date, order_guid, opened_date, closed_date, source, dining_option_guid, num_guests, num_checks, net_amount, total_amount,
+  tax_amount, CASE WHEN business_date >= CAST(strftime(CAST(strptime(CAST((SELECT max(business_date) FROM landing) AS VARCHAR), '%Y%m%d') AS DATE) - 6, '%Y%m%d') AS BIGINT)
+    THEN tip_amount ELSE 0.0 END AS tip_amount, deferred_amount, voided, deleted FROM landing"""
+)
+SQL["rescue_good"] = with_flat(
+    f"SELECT {LANDING_COLS} FROM landing WHERE CAST(order_guid AS BIGINT) % 37 <> 0 AND CAST(order_guid AS BIGINT) % 41 <> 0 AND CAST(order_guid AS BIGINT) % 43 <> 0"
+)
+SQL["rescue_quarantine"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS message_key,
+       CASE WHEN o_orderkey % 37 = 0 THEN 'malformed' WHEN o_orderkey % 41 = 0 THEN 'mistyped' ELSE 'missing' END AS reason
+FROM orders WHERE o_orderkey % 37 = 0 OR o_orderkey % 41 = 0 OR o_orderkey % 43 = 0"""
 SQL["history_bounds"] = with_flat(
     """, b AS (
   SELECT DISTINCT business_date FROM landing
@@ -178,7 +189,7 @@ K = "c_mktsegment, n_regionkey"
 
 
 def _kj(a: str, b: str) -> str:
-    return f"{a}.c_mktsegment = {b}.c_mktsegment AND {a}.n_regionkey = {b}.n_regionkey"
+    return f"{a}.c_mktsegment IS NOT DISTINCT FROM {b}.c_mktsegment AND {a}.n_regionkey IS NOT DISTINCT FROM {b}.n_regionkey"
 
 
 SERIES = FLAT + f""",
@@ -280,15 +291,25 @@ cfc AS (
 )"""
 
 
-def with_series(select: str, history_before_today: bool = False) -> str:
+ONE_SERIES = "SELECT CAST(o.o_orderkey AS VARCHAR) AS order_guid, 'all' AS c_mktsegment, 0 AS n_regionkey\n  FROM orders o"
+
+
+def with_series(select: str, history_before_today: bool = False, one: bool = False, unnamed: str = "") -> str:
     """Bridge + keyed series CTEs; optionally only history before 'today'
-    (the latest landed business day), as a nightly forecast would see it."""
+    (the latest landed business day), as a nightly forecast would see it; all
+    orders as one series; or one market segment without a name."""
     body = SERIES
+    if one:
+        start, end = body.index("  SELECT CAST(o.o_orderkey AS VARCHAR) AS order_guid, c.c_mktsegment"), body.index("),\nkstg AS")
+        body = body[:start] + "  " + ONE_SERIES + "\n" + body[end:]
+    if unnamed:
+        body = body.replace("AS order_guid, c.c_mktsegment,", f"AS order_guid, nullif(c.c_mktsegment, '{unnamed}') AS c_mktsegment,")
     if history_before_today:
         body = body.replace("/*HIST*/", "AND business_date < (SELECT max(business_date) FROM landing)")
     return "WITH " + body + ("" if select.lstrip().startswith(",") else "\n") + select
 
 
+SQL["load_daily_series"] = with_series("SELECT ds, y FROM dense", one=True)
 SQL["densify_daily"] = with_series(f"SELECT {K}, ds, y FROM dense")
 SQL["last_season"] = with_series(f"SELECT {K}, ds, y FROM dense WHERE rn > n - 7")
 SQL["seasonal_naive"] = with_series(f"SELECT {K}, ds, yhat FROM naive WHERE fold = -1")
@@ -393,21 +414,37 @@ WHERE abs(f.net_sales - s.net_sales) > 0.01"""
 )
 
 
-def _cell_num(c: str) -> str:
-    return f"coalesce(CAST(CAST(round({c}, 4) AS DECIMAL(38,4)) AS VARCHAR), '')"
-
-
+SQL["serve_views"] = SQL["forecast_vs_actuals"]
 SQL["publish_serving"] = with_series(
-    SERVING + f"""
-SELECT coalesce(CAST(c_mktsegment AS VARCHAR), '') AS c_mktsegment, coalesce(CAST(n_regionkey AS VARCHAR), '') AS n_regionkey,
-       coalesce(CAST(business_date AS VARCHAR), '') AS business_date, coalesce(strftime(date_day, '%Y-%m-%d'), '') AS date_day,
-       {_cell_num('net_sales_actual')} AS net_sales_actual, {_cell_num('yhat')} AS yhat,
-       {_cell_num('yhat_lower')} AS yhat_lower, {_cell_num('yhat_upper')} AS yhat_upper,
-       coalesce(model, '') AS model, coalesce(strftime(run_ts, '%Y-%m-%d %H:%M:%S'), '') AS run_ts,
-       CASE WHEN is_forecast THEN 'True' WHEN NOT is_forecast THEN 'False' ELSE '' END AS is_forecast,
-       coalesce(yhat_source, '') AS yhat_source
+    SERVING + """
+SELECT coalesce(c_mktsegment, '') AS c_mktsegment, n_regionkey, business_date, coalesce(strftime(date_day, '%Y-%m-%d'), '') AS date_day,
+       net_sales_actual, yhat, yhat_lower, yhat_upper, coalesce(model, '') AS model, coalesce(strftime(run_ts, '%Y-%m-%d %H:%M:%S'), '') AS run_ts,
+       CASE WHEN is_forecast THEN 'True' WHEN NOT is_forecast THEN 'False' ELSE '' END AS is_forecast, coalesce(yhat_source, '') AS yhat_source
 FROM fva"""
 )
+SQL["published_counts"] = with_series(
+    SERVING + "\nSELECT 'forecast_vs_actuals' AS target, count(*) AS n FROM fva UNION ALL SELECT 'model_metrics', count(*) FROM metrics"
+)
+SQL["null_key_serving"] = with_series(SERVING + "\nSELECT * FROM fva", unnamed="BUILDING")
+SQL["intraday_plan"] = with_series(
+    INTRADAY + """
+SELECT business_date, order_count, guest_count, net_sales_so_far, last_order_opened_at, forecast_total, yhat_lower, yhat_upper, pct_of_forecast
+FROM intraday""", history_before_today=True, one=True
+)
+SQL["build_marts"] = with_flat(
+    """, src AS (
+  SELECT business_date, CAST(round(sum(CAST(net_amount AS DECIMAL(18,4))) - sum(CAST(deferred_amount AS DECIMAL(18,4))), 2) AS DOUBLE) AS net_sales
+  FROM landing WHERE NOT voided GROUP BY business_date
+)
+SELECT 'stg_orders' AS model, 'order_guid' AS "column", 'not_null' AS test, count(*) FILTER (WHERE order_guid IS NULL) AS failures FROM stg
+UNION ALL SELECT 'stg_orders', 'business_date', 'not_null', count(*) FILTER (WHERE business_date IS NULL) FROM stg
+UNION ALL SELECT 'fct_daily_sales', 'business_date', 'not_null', count(*) FILTER (WHERE business_date IS NULL) FROM fct
+UNION ALL SELECT 'fct_daily_sales', 'order_count', 'not_null', count(*) FILTER (WHERE order_count IS NULL) FROM fct
+UNION ALL SELECT 'stg_orders', 'order_guid', 'unique', count(*) FROM (SELECT order_guid FROM stg GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'fct_daily_sales', 'business_date', 'unique', count(*) FROM (SELECT business_date FROM fct GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'fct_daily_sales', 'net_sales', 'non_negative', count(*) FROM fct WHERE net_sales < 0
+UNION ALL SELECT 'fct_daily_sales', 'net_sales', 'reconcile', count(*) FROM fct f JOIN src s ON f.business_date = s.business_date WHERE abs(f.net_sales - s.net_sales) > 0.01"""
+)
 SQL["dq_not_null"] = with_series(
     SERVING + """
 SELECT 'stg_orders' AS model, 'order_guid' AS "column", CAST(count(*) FILTER (WHERE order_guid IS NULL) AS BIGINT) AS failures FROM stg
@@ -554,5 +591,38 @@ FROM landing WHERE NOT voided AND NOT deleted GROUP BY business_date"""
 SQL["clip_nonnegative"] = SQL["trend_weekday_forecast"]
 SQL["write_latest"] = SQL["forecast_rows"]
 SQL["write_backtest"] = SQL["backtest_rows"]
-SQL["append_history"] = with_series("SELECT * FROM metrics UNION ALL SELECT * FROM metrics")
+SQL["append_history"] = with_series(
+    "SELECT * FROM metrics UNION ALL SELECT * REPLACE (run_ts + INTERVAL 1 DAY AS run_ts) FROM metrics"
+)
 SQL["export_csv"] = with_series("SELECT * FROM metrics")
+
+# -- B8: what the documents of the bridge hold, counted from the tables ---------------
+# (path, type, number of values in terms of the counts below, least and greatest list length)
+_DOCUMENT = [
+    ("guid", "str", "orders"), ("businessDate", "int", "orders"), ("numberOfGuests", "int", "guests"), ("openedDate", "str", "orders"),
+    ("closedDate", "str", "closed"), ("source", "str", "sources"), ("voided", "bool", "orders"), ("deleted", "bool", "orders"),
+    ("diningOption", "dict", "dining"), ("diningOption.guid", "str", "dining"), ("diningOption.entityType", "str", "dining"),
+    ("deliveryInfo", "dict", "orders"), ("deliveryInfo.address1", "str", "orders"), ("deliveryInfo.city", "str", "orders"),
+    ("deliveryInfo.zipCode", "str", "orders"), ("checks", "list", "with_checks", "least_checks", "most_checks"), ("checks[]", "dict", "lines"),
+    *[(f"checks[].{k}", t, "lines") for k, t in [("guid", "str"), ("amount", "float"), ("totalAmount", "float"), ("taxAmount", "float"),
+                                                 ("voided", "bool"), ("deleted", "bool"), ("customer", "dict")]],
+    *[(f"checks[].customer.{k}", "str", "lines") for k in ("guid", "email", "firstName", "lastName", "phone")],
+    ("checks[].payments", "list", "lines", "1", "1"), ("checks[].payments[]", "dict", "lines"), ("checks[].payments[].tipAmount", "float", "tips"),
+    *[(f"checks[].payments[].{k}", t, "lines") for k, t in [("guid", "str"), ("amount", "float"), ("type", "str"), ("last4Digits", "str")]],
+    ("checks[].selections", "list", "lines", "2", "2"), ("checks[].selections[]", "dict", "2 * lines"),
+    *[(f"checks[].selections[].{k}", t, "2 * lines") for k, t in [("guid", "str"), ("displayName", "str"), ("quantity", "float"), ("price", "float"),
+                                                                  ("deferred", "bool"), ("voided", "bool")]],
+]
+SQL["json_profile"] = """
+WITH o AS (
+  SELECT count(*) AS orders, count(*) FILTER (WHERE o_orderkey % 10 <> 0) AS guests, count(*) FILTER (WHERE o_orderstatus <> 'O') AS closed,
+         count(o_orderpriority) AS sources, count(*) FILTER (WHERE o_custkey % 10 <> 0) AS dining FROM orders
+), per AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY 1),
+l AS (SELECT count(*) AS lines, count(*) FILTER (WHERE l_quantity >= 5) AS tips FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)),
+p AS (SELECT count(*) AS with_checks, min(n) AS least_checks, max(n) AS most_checks FROM per),
+c AS (SELECT * FROM o, l, p)
+""" + " UNION ALL ".join(
+    f"SELECT '{path}' AS path, '{kind}' AS type, CAST({n} AS BIGINT) AS n, CAST({lengths[0] if lengths else 'NULL'} AS INTEGER) AS min_length, "
+    f"CAST({lengths[1] if lengths else 'NULL'} AS INTEGER) AS max_length FROM c WHERE {n} > 0"
+    for path, kind, n, *lengths in _DOCUMENT
+)

@@ -38,9 +38,10 @@ def default_models(ns: DataFrame, keys: list[str], horizon: int, yearly: bool =
 
 def run_forecast(spark: SparkSession, daily: DataFrame, keys: list[str], key_types: list[tuple[str, T.DataType]] | None = None,
                  horizon: int = 14, n_folds: int = 8, min_train: int = 60, models: dict | None = None,
-                 run_ts: dt.datetime | None = None, write: bool = True, table_prefix: str = "") -> dict[str, DataFrame]:
+                 run_ts: dt.datetime | None = None, write: bool = True, table_prefix: str = "", round_to: int | None = None) -> dict[str, DataFrame]:
     """``daily``: [*keys, business_date, net_sales]. step is pinned to the
-    horizon so each date has one back-test prediction per model."""
+    horizon so each date has one back-test prediction per model. ``round_to``
+    rounds what is stored of forecasts and predictions; scores never are."""
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     ns = cut_lineage(ser.numbered_series(ser.to_series(daily, keys), keys))
     models = models or default_models(ns, keys, horizon)
@@ -49,11 +50,12 @@ def run_forecast(spark: SparkSession, daily: DataFrame, keys: list[str], key_typ
     metrics = bt.model_metrics(b, keys, horizon, n_folds, run_ts)
     winners = bt.with_unscored(ns, bt.champion(metrics, keys), keys)
     forecast = bt.champion_forecast(ns, keys, models, winners, horizon)
-    f_rows = bt.forecast_rows(forecast, keys, run_ts)
-    b_rows = bt.backtest_rows(b, keys, run_ts)
+    stored = (lambda df: fc.round_forecast(df, round_to)) if round_to is not None else (lambda df: df)
+    f_rows = bt.forecast_rows(stored(forecast), keys, run_ts)
+    b_rows = bt.backtest_rows(stored(b), keys, run_ts)
     out = {"series": ns, "backtest": b, "metrics": metrics, "champion": winners, "champion_forecast": forecast, "forecast": f_rows, "backtest_rows": b_rows}
     if write:
-        kt = key_types or []
+        kt = key_types or [(k, ns.schema[k].dataType) for k in keys]
         p = table_prefix
         sinks.write_latest(f_rows, p + schemas.FORECAST_TABLE, schemas.with_keys(schemas.FORECAST, kt))
         sinks.append_history(metrics, p + schemas.METRICS_TABLE, schemas.with_keys(schemas.METRICS, kt))

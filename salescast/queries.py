@@ -7,6 +7,8 @@ holds the matching DuckDB SQL for every SQL-expressible key.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,7 +115,9 @@ def q_date_keys(spark, sf):
 
 @register("local_business_day")
 def q_local_business_day(spark, sf):
-    opened = parse_iso_utc("opened_date")
+    """Orders moved to hours around the clock, so that UTC and local day differ for a part of them."""
+    around = F.make_interval(hours=(F.col("order_guid").cast("bigint") % 24 - 12).cast("int"))
+    opened = parse_iso_utc("opened_date") + around
     return bridge.landing_orders(spark, sf).select(
         "order_guid",
         opened.alias("opened_at_utc"),
@@ -124,7 +128,7 @@ def q_local_business_day(spark, sf):
 
 # ------------------------------------------------------------------ M2 load
 from salescast.operators import load as ld  # noqa: E402
-from salescast.plans.load import ensure_bronze, run_load  # noqa: E402
+from salescast.plans.load import ensure_bronze, run_load, run_refresh  # noqa: E402
 from salescast.schemas import LANDING_ORDERS  # noqa: E402
 from salescast.sources import readers, sinks  # noqa: E402
 
@@ -168,7 +172,7 @@ def q_day_counts(spark, sf):
 
 @register("landing_day_counts")
 def q_landing_day_counts(spark, sf):
-    return ld.landing_day_counts(readers.scan_raw_orders(spark, landed(spark, sf)))
+    return ld.landing_day_counts(spark, landed(spark, sf))
 
 
 @register("scan_raw_orders")
@@ -199,11 +203,64 @@ def q_recent_days(spark, sf):
     return ld.recent_days(ld.day_counts(bridge.landing_orders(spark, sf)), LOAD_WINDOW)
 
 
+def latest_day(landing: DataFrame) -> _dt.date:
+    """'Today' as a literal: the latest landed day."""
+    return _dt.datetime.strptime(str(landing.agg(F.max("business_date")).first()[0]), "%Y%m%d").date()
+
+
 @register("trailing_window")
 def q_trailing_window(spark, sf):
-    landing = bridge.landing_orders(spark, sf)
-    end = date_to_yyyymmdd(F.date_sub(yyyymmdd_to_date(today_key(landing)), 1))  # window ends yesterday
-    return ld.trailing_window_expr(landing, end, TRAILING_DAYS)
+    """B7 over landed folders: the bounds are literals, which prune them."""
+    landing = readers.scan_raw_orders(spark, landed(spark, sf))
+    return ld.trailing_window(landing, *ld.refresh_bounds(latest_day(landing), TRAILING_DAYS))
+
+
+@register("refresh_landing")
+def q_refresh_landing(spark, sf):
+    """A landing dataset whose every day is an older state (no tips yet) is refreshed
+    for the trailing days through today; the days before keep the older state."""
+    source = readers.scan_raw_orders(spark, landed(spark, sf))
+    root = sinks.stage_dir(spark, "refreshed")
+    sinks.write_partitions(source.withColumn("tip_amount", F.lit(0.0)), root, LANDING_ORDERS)
+    run_refresh(source, root, latest_day(source), TRAILING_DAYS, through_today=True)
+    return readers.scan_raw_orders(spark, root)
+
+
+# Of the message column of order documents, every how manyth is cut
+# off in the middle, has a text for a number, or has no text.
+CUT_EVERY, TYPED_EVERY, MISSING_EVERY = 37, 41, 43
+
+
+def messages(spark, sf):
+    """Order documents as a column of JSON text beside the message's key, some of them bad."""
+    docs = bridge.nested_orders(spark, sf).select(F.col("guid").alias("message_key"), F.to_json(F.struct("*")).alias("value"))
+    n = F.col("message_key").cast("bigint")
+    mistyped = F.regexp_replace("value", '"businessDate":[0-9]+', '"businessDate":"soon"')
+    value = F.when(n % CUT_EVERY == 0, F.expr("left(value, length(value) div 2)")).when(n % TYPED_EVERY == 0, mistyped) \
+        .when(n % MISSING_EVERY != 0, F.col("value"))
+    return docs.withColumn("value", value)
+
+
+@register("rescue_good")
+def q_rescue_good(spark, sf):
+    good, _ = readers.rescue_documents(messages(spark, sf))
+    return fl.flatten_orders(good)
+
+
+@register("rescue_quarantine")
+def q_rescue_quarantine(spark, sf):
+    _, quarantine = readers.rescue_documents(messages(spark, sf))
+    return quarantine.select("message_key", "reason")
+
+
+@register("load_daily_series")
+def q_load_daily_series(spark, sf):
+    """A4: the mart published in a second database of the session catalog, read back by its configured name."""
+    warehouse = readers.Warehouse(schema=f"sales_{uuid.uuid4().hex[:12]}")
+    spark.sql(f"CREATE DATABASE {warehouse.catalog}.{warehouse.schema}_marts LOCATION '{sinks.stage_dir(spark, 'marts')}'")
+    mart = fct(spark, sf)
+    sinks.publish(mart, warehouse.mart(), mart.schema)
+    return readers.load_daily_series(spark, warehouse)
 
 
 @register("history_bounds")
@@ -215,8 +272,6 @@ def q_history_bounds(spark, sf):
 @register("replace_days")
 def q_replace_days(spark, sf):
     root = landed(spark, sf)
-    import uuid
-
     table = f"bronze_{uuid.uuid4().hex[:12]}"
     ensure_bronze(spark, table, sinks.stage_dir(spark, "bronze"))
     sinks.replace_days(stale_bronze(spark, sf), table)
@@ -225,8 +280,6 @@ def q_replace_days(spark, sf):
 
 
 # ------------------------------------------------------------------ M3 forecasting
-import datetime as _dt  # noqa: E402
-
 from salescast.operators import backtest as bt  # noqa: E402
 from salescast.operators import forecasters as fc  # noqa: E402
 from salescast.operators import series as ser  # noqa: E402
@@ -374,7 +427,10 @@ def q_backtest_trend_weekday(spark, sf):
 
 # ------------------------------------------------------------------ M4 serving + quality
 from salescast.operators import quality as dq  # noqa: E402
+from salescast import schemas as _sc  # noqa: E402
 from salescast.operators import serve  # noqa: E402
+from salescast.plans.marts import build_marts, check_summary  # noqa: E402
+from salescast.plans.serve import intraday as plan_intraday, serve_views  # noqa: E402
 from salescast.operators.series import future_origins, series_heads  # noqa: E402
 
 
@@ -440,9 +496,69 @@ def q_reconcile(spark, sf):
     return marts.reconcile(fct(spark, sf), readers.read_seed(spark, path))
 
 
+def served(spark, sf):
+    """Forecast tables written, views over them, cells published."""
+    prefix, root = f"run_{uuid.uuid4().hex[:12]}_", sinks.stage_dir(spark, "published")
+    daily = daily_by_key(spark, sf)
+    run = run_forecast(spark, daily, KEYS, horizon=HORIZON, n_folds=N_FOLDS, min_train=MIN_TRAIN, models=sql_models(), run_ts=RUN_TS, table_prefix=prefix, round_to=2)
+    return run, serve_views(spark, daily, KEYS, prefix, root), root
+
+
+@register("serve_views")
+def q_serve_views(spark, sf):
+    return served(spark, sf)[1]["forecast_vs_actuals"]
+
+
 @register("publish_serving")
 def q_publish_serving(spark, sf):
-    return sinks.serving_cells(fva(spark, sf))
+    """The published cells of forecast_vs_actuals, read back."""
+    _, views, root = served(spark, sf)
+    return sinks.read_cells(spark, f"{root}/forecast_vs_actuals", sinks.serving_cells(views["forecast_vs_actuals"]).schema)
+
+
+@register("published_counts")
+def q_published_counts(spark, sf):
+    return served(spark, sf)[1]["published"]
+
+
+@register("run_forecast")
+def q_run_forecast(spark, sf):
+    """P3 with its default models: the seasonal regression competes for every series."""
+    prefix = f"run_{uuid.uuid4().hex[:12]}_"
+    run_forecast(spark, daily_by_key(spark, sf), KEYS, horizon=HORIZON, n_folds=N_FOLDS, min_train=MIN_TRAIN, run_ts=RUN_TS, table_prefix=prefix, round_to=2)
+    return spark.table(prefix + _sc.FORECAST_TABLE)
+
+
+@register("intraday_plan")
+def q_intraday_plan(spark, sf):
+    """P5 over the landing folder and the nightly forecast table of the one series."""
+    root, prefix = landed(spark, sf), f"run_{uuid.uuid4().hex[:12]}_"
+    today = int(latest_day(readers.scan_raw_orders(spark, root)).strftime("%Y%m%d"))
+    history = marts.fct_daily_sales(stg(spark, sf).where(F.col("business_date") < today))
+    run_forecast(spark, history, [], horizon=HORIZON, n_folds=N_FOLDS, min_train=MIN_TRAIN, models=sql_models(), run_ts=RUN_TS, table_prefix=prefix, round_to=2)
+    return plan_intraday(spark, root, today, table_prefix=prefix)
+
+
+@register("build_marts")
+def q_build_marts(spark, sf):
+    """P2 from a bronze table: the mart is published, each declared test gives a row."""
+    bronze_table, mart_table = _table("bronze"), _table("fct_daily_sales")
+    ensure_bronze(spark, bronze_table)
+    sinks.replace_days(bronze(spark, sf), bronze_table)
+    return check_summary(build_marts(spark, bronze_table, mart_table, source_report(spark, sf)))
+
+
+# Fixed value: the market segment whose series have no name in the query over NULL keys.
+UNNAMED_SEGMENT = "BUILDING"
+
+
+@register("null_key_serving")
+def q_null_key_serving(spark, sf):
+    """Forecast and serving with series whose key is NULL in a part."""
+    unnamed = keyed_stg(spark, sf).withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit(UNNAMED_SEGMENT)))
+    daily = cut_lineage(marts.fct_daily_sales(unnamed, KEYS))
+    _, b, _, f = _champion_fc(spark, sf, daily)
+    return serve.forecast_vs_actuals(daily, bt.forecast_rows(f, KEYS, RUN_TS), bt.backtest_rows(_r(b), KEYS, RUN_TS), KEYS)
 
 
 @register("dq_not_null")
@@ -634,8 +750,6 @@ def q_json_profile(spark, sf):
 def q_stream_bronze(spark, sf):
     """ST1+ST2: two landings of order documents (all orders, then the edited
     versions) streamed into a versioned bronze table; returns the table."""
-    import uuid
-
     from salescast.streaming import bronze as sb
 
     docs_dir = sinks.stage_dir(spark, "docs")
@@ -644,14 +758,12 @@ def q_stream_bronze(spark, sf):
     table = f"vbronze_{uuid.uuid4().hex[:12]}"
     sb.ensure_versioned_bronze(spark, table, sinks.stage_dir(spark, "vbronze"))
     ck = sinks.stage_dir(spark, "ckpt")
-    q = sb.start_bronze_stream(spark, f"{docs_dir}/v1", table, ck)
-    q.awaitTermination()
+    sb.catch_up(spark, f"{docs_dir}/v1", table, ck)
     # second landing: only the edited orders, one tip raised on the first live check
     edits = nested.where(F.col("guid").cast("bigint") % EDIT_EVERY == 0)
     edits = edits.withColumn("checks", _edit_first_live_tip(F.col("checks")))
     edits.withColumn("version", F.lit(2).cast("bigint")).write.json(f"{docs_dir}/v2")
-    q = sb.start_bronze_stream(spark, f"{docs_dir}/v2", table, sinks.stage_dir(spark, "ckpt"))
-    q.awaitTermination()
+    sb.catch_up(spark, f"{docs_dir}/v2", table, sinks.stage_dir(spark, "ckpt"))
     return spark.table(table)
 
 
@@ -689,16 +801,13 @@ def q_stream_today(spark, sf):
 
 
 # ------------------------------------------------------------------ E6 and table writers
-import uuid as _uuid  # noqa: E402
-
-from salescast import schemas as _sc  # noqa: E402
 from pyspark.sql import types as _T  # noqa: E402
 
 KEY_FIELDS = [("c_mktsegment", _T.StringType()), ("n_regionkey", _T.IntegerType())]
 
 
 def _table(prefix: str) -> str:
-    return f"{prefix}_{_uuid.uuid4().hex[:12]}"
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
 
 @register("clip_nonnegative")
@@ -732,12 +841,14 @@ def q_write_backtest(spark, sf):
 
 @register("append_history")
 def q_append_history(spark, sf):
-    """Metrics appended by two runs (append-only archive)."""
-    m = _metrics(spark, sf)
+    """Metrics of two runs, the second of them retried (each run is there once)."""
+    m = cut_lineage(_metrics(spark, sf))
     t = _table("model_metrics")
     schema = _sc.with_keys(_sc.METRICS, KEY_FIELDS)
+    second = m.withColumn("run_ts", F.lit(RUN_TS + _dt.timedelta(days=1)).cast("timestamp_ntz"))
     sinks.append_history(m, t, schema)
-    sinks.append_history(m, t, schema)
+    sinks.append_history(second, t, schema)
+    sinks.append_history(second, t, schema)
     return spark.table(t)
 
 

@@ -129,7 +129,7 @@ NESTED_ORDER = T.StructType(
     ]
 )
 
-# Tokens that identify personal or card data in a column name.
+# Words that identify personal or card data in a column name.
 PII_TOKENS = ["email", "phone", "name", "address", "city", "zip", "last4", "card", "customer", "delivery", "first", "last", "digits", "payment"]
 
 # Forecast and serving tables.
@@ -176,13 +176,18 @@ METRICS_TABLE = "model_metrics"
 BACKTEST_TABLE = "backtest_predictions"
 
 
+#: The tables that a forecast run writes; the archives keep every run.
+FORECAST_TABLES = {FORECAST_TABLE: FORECAST, HISTORY_TABLE: FORECAST, METRICS_TABLE: METRICS, BACKTEST_TABLE: BACKTEST}
+ARCHIVES = (HISTORY_TABLE, METRICS_TABLE)
+
+
 def with_keys(schema: T.StructType, keys: list[tuple[str, T.DataType]]) -> T.StructType:
     """Prefix a table schema with series-key columns (multi-series tables)."""
     return T.StructType([T.StructField(k, t) for k, t in keys] + list(schema.fields))
 
 
-def ddl(table: str, schema: T.StructType, partitioned_by: list[str] | None = None, fmt: str = "parquet") -> str:
+def ddl(table: str, schema: T.StructType, partitioned_by: list[str] | None = None, fmt: str = "parquet", location: str | None = None) -> str:
     """CREATE TABLE IF NOT EXISTS text for a pinned schema (A10)."""
     cols = ",\n  ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in schema.fields)
     part = f"\nPARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
-    return f"CREATE TABLE IF NOT EXISTS {table} (\n  {cols}\n) USING {fmt}{part}"
+    return f"CREATE TABLE IF NOT EXISTS {table} (\n  {cols}\n) USING {fmt}{part}" + (f"\nLOCATION '{location}'" if location else "")

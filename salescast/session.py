@@ -67,16 +67,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 @contextlib.contextmanager
-def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Table inserts inside replace only the partitions they write; the
-    caller's own setting comes back afterwards."""
-    name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "dynamic")
+def session_conf(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting inside; the caller's own comes back afterwards."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def dynamic_overwrite(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Table inserts inside replace only the partitions they write."""
+    return session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

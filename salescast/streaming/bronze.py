@@ -1,9 +1,10 @@
 """ST1-ST3: Structured Streaming over landed order documents.
 
-ST1  documents (JSON files) -> flatten -> foreachBatch: merge the batch into
-     bronze by keyed latest-wins per order_guid and replace exactly the days
-     the batch touches (dynamic partition overwrite), idempotently.
-ST2  late edits: a later version of an order re-lands its day; the merge keeps
+ST1  documents (JSON files) -> flatten -> keyed state per order_guid (latest
+     version, its day) -> the days that orders enter or leave -> foreachBatch:
+     replace exactly those days (dynamic partition overwrite), idempotently.
+     Only the touched days' folders are read; the table as a whole never is.
+ST2  late edits: a later version of an order re-lands its day; the state keeps
      the highest version, so post-close refunds/tips are applied.
 ST3  today-so-far: running state per business_date (update mode); equals the
      batch D4 aggregate. No watermark: late rows always count, and the state
@@ -12,18 +13,18 @@ ST3  today-so-far: running state per business_date (update mode); equals the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from salescast.functions.dates import BUSINESS_TZ, parse_iso_utc, utc_to_local
 from salescast.functions.money import money_sum, rounded
-from salescast.operators.edits import latest_per_key
 from salescast.operators.flatten import flatten_orders
 from salescast.operators.marts import cast_projection, live_orders
-from salescast.plans.load import staged_days
 from salescast.schemas import BRONZE_ORDERS, NESTED_ORDER
-from salescast.session import cut_lineage, dynamic_overwrite
+from salescast.session import cut_lineage, dynamic_overwrite, session_conf
+from salescast.sources.sinks import create_table
 
 # Documents carry a version (e.g. the source's modification counter).
 VERSIONED_ORDER = T.StructType(list(NESTED_ORDER.fields) + [T.StructField("version", T.LongType())])
@@ -36,46 +37,110 @@ def read_order_stream(spark: SparkSession, path: str, max_files: int | None = No
     return r.json(path)
 
 
-def merge_batch(batch: DataFrame, table: str) -> int:
-    """foreachBatch body (ST1/ST2): latest version per order wins, across the
-    batch and what bronze already holds of its orders. The days replaced are
-    those of the batch and those where its orders stood before, so that an
-    order that moves to another day leaves the old one; a day that loses its
-    last order is dropped. Re-running a batch gives the same table."""
-    spark = batch.sparkSession
-    docs = batch.withColumn("version", F.coalesce("version", F.lit(0)).cast("bigint"))
-    flat = flatten_orders(docs, carry=("version",))
-    incoming = cast_projection(flat, keep=("version",))
-    held = spark.table(table).select("order_guid", "business_date").join(incoming.select("order_guid").distinct(), "order_guid", "left_semi")
-    days = staged_days(incoming.select("business_date").union(held.select("business_date")).distinct())
-    existing = spark.table(table).join(days, "business_date", "left_semi")
-    if "version" not in existing.columns:
-        existing = existing.withColumn("version", F.lit(-1).cast("bigint"))
-    merged = latest_per_key(incoming.unionByName(existing.select(*incoming.columns)), "order_guid", "version")
-    merged = cut_lineage(merged)  # bronze is read above and overwritten below
-    target = spark.table(table).columns
-    out = merged.select(*target).hint("rebalance", "business_date")
+#: What stays of each order between batches: the version held, a hash that decides between equal versions, the day it stands on.
+HELD = "version bigint, mark bigint, business_date bigint"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class OrderVersions(StatefulProcessor):
+    """Keyed state of one order. Of a batch's rows the latest is kept, and only if it is later than the one held;
+    it is given out as "enter", and, if the order stood on another day, that day as "leave"."""
+
+    def __init__(self, columns: list[str]):
+        self.columns = columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("held", HELD)
+
+    def handleInputRows(self, key, rows, timerValues):
+        last = max(rows, key=lambda r: (r["version"], r["mark"]))
+        held = self.held.get() if self.held.exists() else None
+        if held is None or (held[0], held[1]) < (last["version"], last["mark"]):
+            self.held.update((last["version"], last["mark"], last["business_date"]))
+            yield Row(change="enter", **{c: last[c] for c in self.columns})
+            if held is not None and held[2] != last["business_date"]:
+                yield Row(change="leave", **{c: {"order_guid": key[0], "business_date": held[2]}.get(c) for c in self.columns})
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.held.update((initialState["version"], initialState["mark"], initialState["business_date"]))
+
+
+def marked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """rows with the hash that decides between equal versions, whatever the order of tasks."""
+    return rows.withColumn("mark", F.xxhash64(*[F.col(c) for c in columns if c != "order_guid"]))
+
+
+def order_changes(docs: DataFrame, table: str) -> DataFrame:
+    """ST1/ST2 as keyed state: versioned documents -> (change, the table's columns).
+
+    What the table holds when the stream first starts is its initial state, read once; after that no batch looks the
+    orders up in the table. Running a batch again gives the same changes.
+    """
+    spark = docs.sparkSession
+    spark.catalog.refreshTable(table)  # another stream may have written it
+    incoming = cast_projection(flatten_orders(docs.withColumn("version", F.coalesce("version", F.lit(0)).cast("bigint")), carry=("version",)), keep=("version",))
+    columns = incoming.columns
+    held = spark.table(table).select(*columns).withColumn("version", F.coalesce("version", F.lit(-1)).cast("bigint"))
+    schema = T.StructType([T.StructField("change", T.StringType()), *incoming.schema.fields])
+    start = marked(held, columns).select("order_guid", "version", "mark", "business_date").groupBy("order_guid")
+    return marked(incoming, columns).groupBy("order_guid").transformWithState(
+        statefulProcessor=OrderVersions(columns), outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]),
+        outputMode="Update", timeMode="None", initialState=start)
+
+
+def touched(table: DataFrame, days: list[int | None]) -> DataFrame:
+    """The table's rows of the named days: literals, so that only these folders are listed and read."""
+    known = [d for d in days if d is not None]
+    cond = F.col("business_date").isin(known) if known else F.lit(False)
+    return table.where(cond | F.col("business_date").isNull() if None in days else cond)
+
+
+def rewritten_days(changes: DataFrame, table: str, days: list[int | None]) -> DataFrame:
+    """The rows that the touched days hold after the changes."""
+    held = touched(changes.sparkSession.table(table), days)
+    moved = changes.select(F.col("order_guid").alias("moved")).distinct()
+    stay = held.join(moved, F.col("order_guid").eqNullSafe(F.col("moved")), "left_anti")
+    return stay.unionByName(changes.where("change = 'enter'").select(*held.columns))
+
+
+def merge_batch(changes: DataFrame, table: str) -> None:
+    """foreachBatch body: rewrite the days that the batch's orders enter or leave, and only those.
+
+    The batch is staged once, so that its state is computed once; a day that loses its last order is dropped. Doing a
+    batch again gives the same table."""
+    spark = changes.sparkSession
+    spark.catalog.refreshTable(table)
+    changes = cut_lineage(changes)
+    days = [r[0] for r in changes.select("business_date").distinct().collect()]  # bounded by the calendar
+    if not days:
+        return
+    out = cut_lineage(rewritten_days(changes, table, days))  # bronze is read above and overwritten below
     with dynamic_overwrite(spark):
-        out.write.insertInto(table, overwrite=True)
-    for row in days.join(merged, "business_date", "left_anti").collect():  # days, bounded by the calendar
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (business_date = {row['business_date']})")
-    return merged.count()
+        out.select(*spark.table(table).columns).hint("rebalance", "business_date").write.insertInto(table, overwrite=True)
+    left = {r[0] for r in out.select("business_date").distinct().collect()}
+    for day in (d for d in days if d not in left and d is not None):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (business_date = {day})")
 
 
 def ensure_versioned_bronze(spark: SparkSession, table: str, location: str | None = None) -> None:
     cols = [f for f in BRONZE_ORDERS.fields if f.name != "business_date"] + [T.StructField("version", T.LongType()),
                                                                              BRONZE_ORDERS["business_date"]]
-    body = ",\n  ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in cols)
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (\n  {body}\n) USING parquet PARTITIONED BY (business_date){loc}")
+    create_table(spark, table, T.StructType(cols), ["business_date"], location)
 
 
 def start_bronze_stream(spark: SparkSession, docs_path: str, table: str, checkpoint: str, available_now: bool = True):
-    """ST1: returns the StreamingQuery (availableNow for scheduled catch-up)."""
-    stream = read_order_stream(spark, docs_path)
-    w = stream.writeStream.foreachBatch(lambda df, _epoch: merge_batch(df, table)).option("checkpointLocation", checkpoint)
+    """ST1: returns the StreamingQuery (availableNow for scheduled catch-up). The state lives in RocksDB, beside memory."""
+    changes = order_changes(read_order_stream(spark, docs_path), table)
+    w = changes.writeStream.outputMode("update").foreachBatch(lambda df, _epoch: merge_batch(df, table)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="15 minutes")
-    return w.start()
+    with session_conf(spark, "spark.sql.streaming.stateStore.providerClass", ROCKS_DB):
+        return w.start()
+
+
+def catch_up(spark: SparkSession, docs_path: str, table: str, checkpoint: str) -> None:
+    """Take in what has landed and end; the caller's session then sees the table as it is now."""
+    start_bronze_stream(spark, docs_path, table, checkpoint).awaitTermination()
+    spark.catalog.refreshTable(table)
 
 
 def today_so_far(flat_stream: DataFrame, tz: str = BUSINESS_TZ) -> DataFrame:

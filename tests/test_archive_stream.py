@@ -59,20 +59,51 @@ def test_safe_cast_raises_on_loss(spark):
         df.select(cf.safe_cast(F.col("num_guests"), T.DoubleType(), T.LongType(), "num_guests")).collect()
 
 
+def test_large_files_are_split(spark, tmp_path):
+    """A drifted file of many row groups is read in pieces."""
+    day = tmp_path / "raw" / "business_date=20260625"
+    day.mkdir(parents=True)
+    pq.write_table(pa.concat_tables([_legacy_table(20260625)] * 20_000), day / "a.parquet", row_group_size=500, use_dictionary=False, compression="none")
+    (row,) = cf.footer_report(spark, str(tmp_path / "raw")).collect()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        df = cf.read_signature(spark, str(tmp_path / "raw"), row.signature, [row.path], LANDING_ORDERS)
+        assert df.rdd.getNumPartitions() > 5
+        assert cf.conform_archive(spark, str(tmp_path / "raw")) == [20260625]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert spark.read.schema(LANDING_ORDERS).parquet(str(tmp_path / "raw")).where("num_guests = 2 and dining_option_guid is null").count() == 20_000
+
+
+def test_lossy_and_missing_columns_stop_the_repair(spark, tmp_path):
+    day = tmp_path / "raw" / "business_date=20260625"
+    day.mkdir(parents=True)
+    lossy = _legacy_table(20260625)
+    lossy = lossy.set_column(lossy.column_names.index("num_guests"), "num_guests", pa.array([2.5]))
+    pq.write_table(lossy, day / "a.parquet")
+    with pytest.raises(Exception, match="lossy"):
+        cf.conform_archive(spark, str(tmp_path / "raw"))
+    assert pq.ParquetFile(day / "a.parquet").read().column("num_guests").to_pylist() == [2.5]  # as it was
+    pq.write_table(_legacy_table(20260625).drop_columns(["tip_amount"]).append_column("extra", pa.array([1])), day / "a.parquet")
+    with pytest.raises(KeyError, match="tip_amount"):
+        cf.conform_archive(spark, str(tmp_path / "raw"))
+
+
 def test_json_profile_whole_corpus(spark):
-    docs = spark.createDataFrame([('{"a": 1, "b": [{"c": "x"}, {"c": null}]}',), ('{"a": 2.5}',)], "doc string")
-    got = {(r.path, r.type): r.n for r in json_profile(docs, "doc").collect()}
-    assert got[("a", "int")] == 1 and got[("a", "float")] == 1
-    assert got[("b", "list")] == 1 and got[("b[]", "dict")] == 2
-    assert got[("b[].c", "str")] == 1 and got[("b[].c", "NoneType")] == 1
+    docs = spark.createDataFrame([('{"a": 1, "b": [{"c": "x"}, {"c": null}]}',), ('{"a": 2.5, "b": []}',), ("{",), (None,)], "doc string").repartition(3)
+    got = {(r.path, r.type): (r.n, r.min_length, r.max_length) for r in json_profile(docs, "doc").collect()}
+    assert got == {("a", "int"): (1, None, None), ("a", "float"): (1, None, None), ("b", "list"): (2, 0, 2), ("b[]", "dict"): (2, None, None),
+                   ("b[].c", "str"): (1, None, None), ("b[].c", "NoneType"): (1, None, None), ("", "malformed"): (1, None, None), ("", "missing"): (1, None, None)}
+    assert json_profile(docs.limit(0), "doc").count() == 0
 
 
 def test_json_profile_any_depth(spark):
     text = "1"
-    for k in reversed(range(12)):
+    for k in reversed(range(120)):
         text = f'{{"k{k}": {text}}}'
     got = {(r.path, r.type): r.n for r in json_profile(spark.createDataFrame([(text,)], "doc string"), "doc").collect()}
-    assert len(got) == 12 and got[(".".join(f"k{k}" for k in range(12)), "int")] == 1
+    assert len(got) == 120 and got[(".".join(f"k{k}" for k in range(120)), "int")] == 1
 
 
 def test_holiday_calendar_rules(spark):
@@ -89,7 +120,7 @@ def test_holiday_calendar_rules(spark):
 
 
 def test_stream_today_equals_batch(spark, tmp_path):
-    from conftest import SF001
+    from tests_support import SF001
 
     from salescast.operators import marts
     from salescast.sources import bridge, sinks
@@ -118,8 +149,55 @@ def test_stream_bronze_latest_version_wins(spark, tmp_path):
     d.mkdir()
     (d / "a.json").write_text(doc("o1", 20260626, 10.0, 1) + "\n" + doc("o2", 20260626, 5.0, 1) + "\n")
     sb.ensure_versioned_bronze(spark, "vb_t", str(tmp_path / "vb"))
-    sb.start_bronze_stream(spark, str(d), "vb_t", str(tmp_path / "ck")).awaitTermination()
+    sb.catch_up(spark, str(d), "vb_t", str(tmp_path / "ck"))
     (d / "b.json").write_text(doc("o1", 20260626, 12.0, 2) + "\n" + doc("o1", 20260626, 99.0, 0) + "\n")
-    sb.start_bronze_stream(spark, str(d), "vb_t", str(tmp_path / "ck")).awaitTermination()
+    sb.catch_up(spark, str(d), "vb_t", str(tmp_path / "ck"))
     got = {r.order_guid: r.net_amount for r in spark.table("vb_t").collect()}
     assert got == {"o1": 12.0, "o2": 5.0}
+
+
+def test_stream_state_moves_orders_between_days(spark, tmp_path):
+    """An order that changes its day leaves the old one, an emptied day goes, what the table held before the stream counts,
+    and a batch done again changes nothing."""
+    from salescast.streaming import bronze as sb
+    from tests_support import doc
+
+    d = tmp_path / "docs"
+    d.mkdir()
+    sb.ensure_versioned_bronze(spark, "vb_m", str(tmp_path / "vb"))
+    (d / "a.json").write_text("\n".join([doc("o1", 20260626, 10.0, 1), doc("o2", 20260626, 5.0, 1), doc("o3", 20260627, 7.0, 3)]))
+    sb.catch_up(spark, str(d), "vb_m", str(tmp_path / "ck"))
+
+    def rows():
+        return sorted((r.order_guid, r.business_date, r.net_amount, r.version) for r in spark.table("vb_m").collect())
+
+    later = tmp_path / "later"
+    later.mkdir()
+    (later / "b.json").write_text("\n".join([doc("o3", 20260628, 8.0, 4), doc("o3", 20260629, 8.5, 2), doc("o1", 20260626, 10.0, 1), doc("o4", 20260628, 1.0, 1)]))
+    sb.catch_up(spark, str(later), "vb_m", str(tmp_path / "ck2"))  # its state begins with the table
+    want = [("o1", 20260626, 10.0, 1), ("o2", 20260626, 5.0, 1), ("o3", 20260628, 8.0, 4), ("o4", 20260628, 1.0, 1)]
+    assert rows() == want
+    assert {r[0] for r in spark.sql("SHOW PARTITIONS vb_m").collect()} == {"business_date=20260626", "business_date=20260628"}
+    (later / "c.json").write_text(doc("o3", 20260626, 9.0, 5) + "\n" + doc("o4", 20260626, 2.0, 0))
+    sb.catch_up(spark, str(later), "vb_m", str(tmp_path / "ck2"))
+    assert rows() == [*want[:2], ("o3", 20260626, 9.0, 5), want[3]]
+    again = spark.table("vb_m").where("order_guid = 'o3'").withColumn("change", F.lit("enter"))
+    sb.merge_batch(again, "vb_m")
+    spark.catalog.refreshTable("vb_m")
+    assert rows() == [*want[:2], ("o3", 20260626, 9.0, 5), want[3]]
+
+
+def test_batch_reads_only_the_touched_days(spark, tmp_path):
+    from salescast.streaming import bronze as sb
+
+    sb.ensure_versioned_bronze(spark, "vb_p", str(tmp_path / "vb"))
+    cols = spark.table("vb_p").columns
+    rows = spark.range(60).selectExpr("cast(id as string) as order_guid", "20260601 + id % 20 as business_date", "1L as version")
+    rows = spark.createDataFrame([], spark.table("vb_p").schema).unionByName(rows, allowMissingColumns=True)
+    rows.select(*cols).write.mode("overwrite").insertInto("vb_p")
+    changes = spark.table("vb_p").where("order_guid = '3'").withColumn("change", F.lit("enter")).checkpoint()
+    out = sb.rewritten_days(changes, "vb_p", [20260604])
+    plan = out._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(business_date" in plan and "20260604" in plan
+    held = sb.touched(spark.table("vb_p"), [20260604]).select(F.input_file_name()).distinct().collect()
+    assert held and all("business_date=20260604" in r[0] for r in held) and out.count() == 3

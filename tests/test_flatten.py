@@ -68,7 +68,7 @@ def test_allowlist_exact_and_no_pii(spark):
 
 def test_flatten_equals_aggregation_path(spark):
     """The nested-document path and the mergeable-aggregate path agree on every row."""
-    from conftest import SF001
+    from tests_support import SF001
 
     from salescast.sources import bridge
 

@@ -213,3 +213,73 @@ def test_null_keys_gaps_and_short_series(spark):
 def test_near_tie_is_decided_unrounded(spark):
     m = spark.createDataFrame([("k", "baseline", 10.00004), ("k", "trend_weekday", 10.00001)], "k string, model string, wape double")
     assert bt.champion(m, ["k"]).first().model == "trend_weekday"
+
+
+def _plain_fit(rows, cutoff, horizon):
+    """One origin by the textbook: polyfit, weighted rows, normal equations."""
+    import numpy as np
+
+    from salescast.operators import regression as rg
+
+    rn, y = rows["rn"].to_numpy(float), rows["y"].to_numpy(float)
+    known, ahead = rn <= cutoff, (rn > cutoff) & (rn <= cutoff + horizon)
+    names = [[n for b, n in enumerate(rg.HOLIDAYS) if h >> b & 1] for h in rows["hol"]]
+    x = np.column_stack([np.ones(len(rn))] + [(rows["wd"] == w).to_numpy(float) for w in range(1, 7)]
+                        + [rows[f"{f}{k}"].to_numpy() for k in (1, 2, 3) for f in ("sin", "cos")]
+                        + [np.array([float(n in own) for own in names]) for n in rg.HOLIDAYS])
+    b, a = np.polyfit(rn[known], y[known], 1)
+    w = x * (a + b * rn)[:, None]
+    gram = w[known].T @ w[known]
+    beta = np.linalg.solve(gram + (rg.RIDGE * np.trace(gram) / len(gram) + 1e-12) * np.eye(len(gram)), w[known].T @ y[known])
+    sigma = np.sqrt(np.mean((y[known] - w[known] @ beta) ** 2))
+    return (w @ beta)[ahead], sigma
+
+
+def test_fold_sums_give_the_plain_fit(spark):
+    import numpy as np
+
+    from salescast.operators import regression as rg
+
+    rng = np.random.default_rng(5)
+    start = dt.date(2023, 1, 1)
+    rows = [("k", start + dt.timedelta(days=i), float(500 + i / 2 + 90 * math.sin(i / 58) + 40 * (i % 7) + rng.normal() * 30)) for i in range(900)]
+    ns = ser.numbered_series(spark.createDataFrame(rows, "k string, ds date, y double"), ["k"])
+    feats = rg.feature_frame(ns, ["k"], 14, rg.holiday_calendar(spark, "2023-01-01", "2025-12-31")).toPandas().sort_values("rn", ignore_index=True)
+    folds = ser.backtest_origins(ns, ["k"], 14, 8, 14, 60).unionByName(ser.future_origins(ns, ["k"])).toPandas()
+    got = rg.predict_folds(feats, folds, 14)
+    feats["y"] = feats["y"].fillna(0.0)
+    for _, o in folds.iterrows():
+        yhat, sigma = _plain_fit(feats, o["cutoff"], 14)
+        mine = got[got["fold"] == o["fold"]].sort_values("ds")
+        assert len(mine) == 14
+        assert np.allclose(mine["yhat"], yhat, rtol=1e-6) and np.allclose(mine["yhat_upper"] - mine["yhat"], fc.Z80 * sigma, rtol=1e-6)
+
+
+def test_run_forecast_with_null_keys_and_all_models(spark, tmp_path):
+    """A series without a key is forecast, scored, served and seen today like any other; the regression competes."""
+    from salescast.operators import marts, quality as ql, serve
+    from salescast.plans.forecast import run_forecast
+
+    start = dt.date(2024, 1, 1)
+    days = [start + dt.timedelta(days=i) for i in range(200)]
+    num = lambda d: int(d.strftime("%Y%m%d"))
+    daily = spark.createDataFrame([(k, num(d), 100.0 + 10 * d.weekday() + i / 10) for k in ("a", None) for i, d in enumerate(days)], "k string, business_date long, net_sales double")
+    ts = dt.datetime(2024, 8, 1)
+    out = run_forecast(spark, daily, ["k"], run_ts=ts, write=False)
+    metrics = out["metrics"].collect()
+    assert {(r.k, r.model) for r in metrics} == {(k, m) for k in ("a", None) for m in ("baseline", "trend_weekday", "seasonal_regression")}
+    assert len({(r.model, round(r.wape, 9)) for r in metrics}) == 3  # both series are the same
+    best = min(metrics, key=lambda r: r.wape)
+    winners = {(r.k, r.model) for r in out["champion"].collect()}
+    assert winners == {("a", best.model), (None, best.model)}
+    forecast = out["forecast"]
+    assert sorted((str(r.k), r["count"]) for r in forecast.groupBy("k").count().collect()) == [("None", 14), ("a", 14)]
+    assert out["backtest_rows"].where("yhat is null").count() == 0
+    fva = serve.forecast_vs_actuals(daily, forecast, out["backtest_rows"], ["k"])
+    per = {r.k: (r.n, r.scored) for r in fva.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count("yhat").alias("scored")).collect()}
+    assert per["a"] == per[None] == (214, 126)
+    assert [r.ok for r in ql.no_fanout(fva, daily, 14, ["k"]).collect()] == [True, True]
+    raw = spark.createDataFrame([(k, num(days[-1] + dt.timedelta(days=1)), "2024-07-19T17:00:00.000+0000", 2, 50.0, 0.0, False, False) for k in ("a", None)],
+                                "k string, business_date long, opened_date string, num_guests int, net_amount double, deferred_amount double, voided boolean, deleted boolean")
+    today = marts.intraday_today(raw, forecast, num(days[-1] + dt.timedelta(days=1)), keys=["k"], anchor_keys=daily).collect()
+    assert {(r.k, r.order_count, r.forecast_total is not None) for r in today} == {("a", 1, True), (None, 1, True)}

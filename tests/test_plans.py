@@ -13,7 +13,7 @@ from salescast.sources import bridge, sinks
 
 
 def test_end_to_end_single_series(spark, tmp_path):
-    from conftest import SF001
+    from tests_support import SF001
 
     root = str(tmp_path / "raw")
     land = bridge.landing_orders(spark, SF001)

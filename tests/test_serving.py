@@ -91,7 +91,18 @@ def test_serving_cells(spark):
     df = spark.createDataFrame([(1, float("nan"), None, True, dt.date(2026, 1, 2)), (2, 12345678.5, "x", None, None)],
                                "a int, b double, c string, d boolean, e date")
     rows = [tuple(r) for r in sinks.serving_cells(df, ["a"]).collect()]
-    assert rows == [("1", "", "", "True", "2026-01-02"), ("2", "12345678.5000", "x", "", "")]
+    assert rows == [(1, None, "", "True", "2026-01-02"), (2, 12345678.5, "x", "", "")]
+
+
+def test_publish_keeps_order_numbers_and_counts(spark, tmp_path):
+    df = spark.range(1000).selectExpr("cast(id * 7919 % 1000 as int) as n", "if(id % 3 = 0, double('NaN'), id / 8) as y", "if(id % 5 = 0, null, 'x,\"y\"') as s", "id % 2 = 0 as b").repartition(7)
+    counts = sinks.publish_serving({"t": df, "none": df.where("n < 0")}, str(tmp_path), {"t": ["n"]})
+    assert counts == {"t": 1000, "none": 0}
+    lines = [x for f in sorted((tmp_path / "t").glob("part-*")) for x in f.read_text().splitlines()[1:]]
+    assert [int(x.split(",")[0]) for x in lines] == list(range(1000))
+    back = sinks.read_cells(spark, str(tmp_path / "t"), sinks.serving_cells(df).schema)
+    assert back.dtypes == [("n", "int"), ("y", "double"), ("s", "string"), ("b", "string")]
+    assert back.exceptAll(sinks.serving_cells(df)).count() == 0 and back.count() == 1000
 
 
 def test_hourly_cumulative(spark):
