@@ -128,8 +128,7 @@ def write_tokens(docs: DataFrame, name: str = "tokens", path: str | None = None,
                     yield flush()
         if held:
             yield flush()
-        enc.clear()
-        hand_back()
+        hand_back()  # the dictionary stays, within its bounds: the worker's next task knows most of its chunks
 
     ordered = texts(docs).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     return stage(ordered.mapInArrow(run, "shard int, segment int, first long, n long, doc_ids array<long>, lens array<int>, payload binary"), name)
