@@ -1,7 +1,8 @@
 """Secret scans: base patterns, then a linear-chain conditional random field over tokens, decoded by Viterbi.
 
 The field tags tokens as begin (B), inside (I) or outside (O) of a secret from their own shape, the neighbouring words
-and the file. It is trained by maximum likelihood on a bounded sample whose tags come from the base patterns. Decoding
+and the file. It is trained by maximum likelihood on a bounded sample whose tags come from the base patterns; each secret is also shown with
+another value and without its name (see `disguised`). Decoding
 is over whole texts: a plain token among plain tokens is O on every best path (checked from the weights, see `closed`),
 so only the stretches around other tokens need the recursion; where the check fails, all tokens are decoded. Cases: a
 null text is empty; null doc_ids and repeated rows are kept; an empty table gives no rows; `find_secrets` keeps all other
@@ -10,7 +11,9 @@ columns. Spans are ordered by start, then kind as listed.
 
 from __future__ import annotations
 
+import random
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -227,6 +230,32 @@ def _tagged(text: str, spans: list[tuple[int, int]]) -> list[tuple[list[tuple[st
     return out
 
 
+#: Letters of made-up secrets.
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+ASSIGNED = re.compile(rf"""(?i:{NAMES})["']?\x20*[:=]\x20*["']?""")
+
+
+def disguised(text: str, spans: list[tuple[int, int]], named: bool) -> tuple[str, list[tuple[int, int]]]:
+    """The text with each secret's value replaced by another one of the same length, and its spans; if not `named`, without the
+    name that gives it away. So the field learns what a secret looks like beyond the forms that the base patterns know.
+    """
+    out, new, at, size = [], [], 0, 0
+    for s, e in spans:
+        if s < at:
+            continue
+        lead = ASSIGNED.match(text, s, e)
+        begin = lead.end() if lead else s
+        rng = random.Random(zlib.crc32(text[begin:e].encode()) + named)
+        value = "".join(rng.choices(LETTERS, k=max(e - begin, 16)))
+        before = text[at:s] + (text[s:begin] if named else "")
+        out += [before, value]
+        start = size + len(before) - (begin - s if named and lead else 0)
+        size += len(before) + len(value)
+        new.append((start, size))
+        at = e
+    return "".join(out) + text[at:], new
+
+
 def train(docs: DataFrame, positive: int = POSITIVE_DOCS, other: int = OTHER_DOCS) -> Field:
     """Fit on at most `positive` documents with a base secret and `other` without one, the first in a hash order."""
     t = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -236,8 +265,12 @@ def train(docs: DataFrame, positive: int = POSITIVE_DOCS, other: int = OTHER_DOC
     short = t.where(F.length("text") <= 20_000).distinct()
     some = short.where(quick).orderBy(*order).limit(positive).union(short.where(~quick & F.col("text").rlike("[0-9]")).orderBy(*order).limit(other))
     rows = some.select("text", base_spans(F.col("text")).alias("spans")).collect()  # bounded by the two parameters
-    seqs = [s for r in rows for s in _tagged(r["text"], [(x["s"], x["e"]) for x in r["spans"]])]
-    return fit_field(seqs)
+    return fit_field(sequences([(r["text"], [(x["s"], x["e"]) for x in r["spans"]]) for r in rows]))
+
+
+def sequences(known: list[tuple[str, list[tuple[int, int]]]]) -> list[tuple[list[tuple[str, ...]], list[int]]]:
+    """Training sequences of texts with their secrets, as they are and disguised."""
+    return [s for text, spans in known for form in ((text, spans), *([disguised(text, spans, n) for n in (True, False)] if spans else [])) for s in _tagged(*form)]
 
 
 def find_secrets(docs: DataFrame, field: Field, text: str = "text", to: str = "spans") -> DataFrame:

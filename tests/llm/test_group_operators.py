@@ -159,7 +159,7 @@ def test_decontamination_is_brute_force(make_docs, spark):
     bench = [(10, PHRASE), (9, PHRASE), (11, "short item"), (12, None), (13, ""), (14, "Über alles 42 " * 6), (15, "one")]
     items = spark.createDataFrame(bench, "item_id long, text string")
     rows = EDGES + [(60, "x " * 500 + PHRASE), (61, "a short, ITEM; b"), (62, PHRASE.replace("eta ", "eta. ") + " " + PHRASE), (63, "über ALLES 42 " * 7)]
-    got = sorted((r[0] or 0, *r[1:]) for r in decontam.decontam_query(make_docs(rows), items).collect())
+    got = sorted((r[0] or 0, *r[1:6]) for r in decontam.decontam_query(make_docs(rows), items).collect())
     assert got == contamination(rows, bench)
     assert all(r["n_hit"] == 0 for r in decontam.decontam_query(make_docs(rows), items.limit(0)).collect())
     assert decontam.decontam_query(make_docs([]), items).count() == 0
@@ -202,7 +202,7 @@ def test_topk_is_brute_force(spark):
 def test_topk_of_odd_tables(spark):
     frame = lambda rows: spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert topk.topk_query(frame([])).count() == 0
-    big = [(i, [float(2**28 + i * 3), float(-(2**27) - i)]) for i in range(200)]  # scores beyond 2^53
+    big = [(i, [float(2**22 + i * 3), float(-(2**21) - i)]) for i in range(200)]  # scores beyond 2^53
     want = sorted((-sum(int(64 * a) * int(64 * b) for a, b in zip(big[20][1], v, strict=True)), i) for i, v in big if i != 20)[:20]
     got = sorted((r["rank"], r["vec_id"], r["score"]) for r in topk.topk_query(frame(big)).collect() if r["query_id"] == 20)
     assert got == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
@@ -241,6 +241,30 @@ def test_toxicity_learns_and_holds_out(make_docs, spark):
     assert toxicity.toxicity_query(make_docs([]), labels).count() == 0
 
 
+def test_nnpu_fit_lowers_the_corrected_risk():
+    """The fitted weights against the risk written out plainly: below that of no weights, and no direction is much better."""
+    rng = np.random.default_rng(4)
+    toxic = rng.random(1200) < 0.2
+    x = np.column_stack([rng.random(1200) < np.where(toxic, 0.9, 0.05), rng.random(1200) < 0.3, rng.random(1200) < np.where(toxic, 0.6, 0.2)]).astype(np.float64)
+    positive, unlabelled = toxic & (rng.random(1200) < 0.5), np.ones(1200, bool)
+    sample = toxicity.Sample(steps=600, rate=0.05)
+    prior = float(toxic.mean())
+
+    def risk(w, b):
+        z = x @ w + b
+        loss = lambda s: np.logaddexp(0, -s)
+        return prior * loss(z[positive]).mean() + max(0.0, loss(-z[unlabelled]).mean() - prior * loss(-z[positive]).mean()) + sample.decay / 2 * (w @ w)
+
+    w, b = toxicity.nnpu_fit(x, positive, unlabelled, prior, sample)
+    fitted = min(risk(w, b + d) for d in np.linspace(-2, 2, 81))  # the bias is then set by the prior
+    assert fitted < risk(np.zeros(3), np.log(prior / (1 - prior))) - 0.05
+    for k in range(3):
+        for step in (-0.3, 0.3):
+            assert min(risk(w + step * np.eye(3)[k], b + d) for d in np.linspace(-2, 2, 81)) > fitted - 0.01
+    scores = 1 / (1 + np.exp(-(x @ w + b)))
+    assert scores[toxic].mean() > 0.6 and scores[~toxic].mean() < 0.15
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "user", "How do I sort a list?\n\nThanks"), (1, 1, "assistant", "> how do I sort a LIST\n\nUse sorted."), (1, 2, "user", "Another topic"),
