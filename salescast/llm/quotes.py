@@ -171,25 +171,45 @@ def _siblings(tree: DataFrame) -> DataFrame:
     return both.select("conv_id", "turn", "parent", F.coalesce("near", "far").alias("sibling"))
 
 
+def _before(trees: DataFrame) -> DataFrame:
+    """trees(conv_id, root, end, length) with `before`: the lengths of the conversation's trees of earlier roots together.
+
+    Summed in runs of RUN_TURNS turns, then over the runs."""
+    runs = stage(trees.withColumn("run", F.floor(F.col("root") / RUN_TURNS)), "order-trees")
+    earlier = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    sums = runs.groupBy("conv_id", "run").agg(F.sum("length").alias("total"))
+    sums = sums.select(F.col("conv_id").alias("c2"), F.col("run").alias("r2"), F.coalesce(F.sum("total").over(earlier("conv_id").orderBy("run")), F.lit(0)).alias("far"))
+    near = runs.withColumn("near", F.coalesce(F.sum("length").over(earlier("conv_id", "run").orderBy("root")), F.lit(0)))
+    both = near.join(stage(sums, "order-sums"), (F.col("conv_id") == F.col("c2")) & (F.col("run") == F.col("r2")))
+    return both.select("conv_id", "root", "end", "length", (F.col("near") + F.col("far")).alias("before"))
+
+
 def reply_order(linked: DataFrame) -> DataFrame:
     """(conv_id, turn, place): the place of each turn in its conversation's reply order, from 1.
 
-    A conversation is read from its first turn; after a turn come its replies, each followed by its own replies, in the
-    order of their turns. That is a walk of the tree: after a turn comes its first reply, or else the next sibling of
-    itself or of the nearest turn above it that has one. Both "nearest above" and the place in the walk are pointer
-    doubling over (conv_id, turn); a conversation, or the replies to one turn, are never gathered.
+    A conversation is its trees, by the turns of their roots; in a tree, after a turn come its replies, each followed by
+    its own replies, in the order of their turns. So after a turn comes its first reply, or else the next sibling of
+    itself or of the nearest turn above it that has one. Both "nearest above" and the place in that walk are pointer
+    doubling over the turns that have a parent or a reply; a conversation, or the replies to one turn, are never gathered.
     """
     tree = linked.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(
         F.max(F.when(F.col("parent_conv") == F.col("conv_id"), F.col("parent_turn"))).alias("parent"))
-    tree = stage(tree, "order-tree")
-    up = _resolved(_siblings(tree).select("conv_id", "turn", F.col("parent").alias("to"), F.col("sibling").alias("done")), "order-up", False)
+    tree = stage(tree, "order-turns")
     first = tree.where("parent is not null").groupBy("conv_id", F.col("parent").alias("turn")).agg(F.min("turn").alias("reply"))
-    walk = up.select("conv_id", "turn", F.col("done").alias("above")).join(first, ["conv_id", "turn"], "left")
-    walk = walk.select("conv_id", "turn", F.coalesce("reply", "above").alias("to"), F.lit(None).cast("long").alias("done"), F.lit(1).cast("long").alias("steps"))
-    # the last turn of the walk has no next: all others count the steps to it
-    ranked = _resolved(walk.withColumn("done", F.when(F.col("to").isNull(), F.col("turn"))), "order-walk", True)
-    total = stage(ranked.groupBy("conv_id").agg(F.max("steps").alias("length")), "order-lengths")
-    return ranked.join(total, "conv_id").select("conv_id", "turn", (F.col("length") - F.col("steps") + 1).alias("place"))
+    tree = stage(tree.join(first, ["conv_id", "turn"], "left"), "order-tree")
+    alone, many = tree.where("parent is null and reply is null"), tree.where("parent is not null or reply is not null")
+    nothing = F.lit(None).cast("long")
+    ups = _siblings(many.where("parent is not null").select("conv_id", "turn", "parent")).select("conv_id", "turn", F.col("parent").alias("to"), F.col("sibling").alias("done"))
+    up = _resolved(ups.union(many.where("parent is null").select("conv_id", "turn", nothing, nothing)), "order-up", False)
+    walk = many.select("conv_id", "turn", "reply").join(up.select("conv_id", "turn", "done"), ["conv_id", "turn"])
+    walk = walk.select("conv_id", "turn", F.coalesce("reply", "done").alias("to"), F.lit(1).cast("long").alias("steps"))
+    # a tree's last turn has no next: it names the tree, and all others count the steps to it
+    ranked = _resolved(walk.select("conv_id", "turn", "to", F.when(F.col("to").isNull(), F.col("turn")).alias("done"), "steps"), "order-walk", True)
+    trees = ranked.groupBy("conv_id", F.col("done").alias("end")).agg(F.max_by("turn", "steps").alias("root"), F.max("steps").alias("length"))
+    trees = stage(_before(trees.select("conv_id", "root", "end", "length").union(alone.select("conv_id", F.col("turn").alias("root"), nothing.alias("end"), F.lit(1).cast("long").alias("length")))), "order-before")
+    inner = ranked.select("conv_id", "turn", F.col("done").alias("end"), "steps").join(trees.where("end is not null"), ["conv_id", "end"])
+    return trees.where("end is null").select("conv_id", F.col("root").alias("turn"), (F.col("before") + 1).alias("place")).union(
+        inner.select("conv_id", "turn", (F.col("before") + F.col("length") - F.col("steps") + 1).alias("place")))
 
 
 def conversations(linked: DataFrame) -> DataFrame:
