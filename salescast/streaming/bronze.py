@@ -42,27 +42,30 @@ HELD = "version bigint, mark bigint, business_date bigint"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class OrderVersions(StatefulProcessor):
+def order_versions(columns: list[str]) -> StatefulProcessor:
     """Keyed state of one order. Of a batch's rows the latest is kept, and only if it is later than the one held;
-    it is given out as "enter", and, if the order stood on another day, that day as "leave"."""
+    it is given out as "enter", and, if the order stood on another day, that day as "leave".
 
-    def __init__(self, columns: list[str]):
-        self.columns = columns
+    The class is made here so that it travels as it is: the process that sets the state up imports no package of ours."""
+    held_type = HELD
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("held", HELD)
+    class OrderVersions(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.held = handle.getValueState("held", held_type)
 
-    def handleInputRows(self, key, rows, timerValues):
-        last = max(rows, key=lambda r: (r["version"], r["mark"]))
-        held = self.held.get() if self.held.exists() else None
-        if held is None or (held[0], held[1]) < (last["version"], last["mark"]):
-            self.held.update((last["version"], last["mark"], last["business_date"]))
-            yield Row(change="enter", **{c: last[c] for c in self.columns})
-            if held is not None and held[2] != last["business_date"]:
-                yield Row(change="leave", **{c: {"order_guid": key[0], "business_date": held[2]}.get(c) for c in self.columns})
+        def handleInputRows(self, key, rows, timerValues):
+            last = max(rows, key=lambda r: (r["version"], r["mark"]))
+            held = self.held.get()
+            if held is None or (held[0], held[1]) < (last["version"], last["mark"]):
+                self.held.update((last["version"], last["mark"], last["business_date"]))
+                yield Row(change="enter", **{c: last[c] for c in columns})
+                if held is not None and held[2] != last["business_date"]:
+                    yield Row(change="leave", **{c: {"order_guid": key[0], "business_date": held[2]}.get(c) for c in columns})
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.held.update((initialState["version"], initialState["mark"], initialState["business_date"]))
+        def handleInitialState(self, key, initialState, timerValues) -> None:
+            self.held.update((initialState["version"], initialState["mark"], initialState["business_date"]))
+
+    return OrderVersions()
 
 
 def marked(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -84,7 +87,7 @@ def order_changes(docs: DataFrame, table: str) -> DataFrame:
     schema = T.StructType([T.StructField("change", T.StringType()), *incoming.schema.fields])
     start = marked(held, columns).select("order_guid", "version", "mark", "business_date").groupBy("order_guid")
     return marked(incoming, columns).groupBy("order_guid").transformWithState(
-        statefulProcessor=OrderVersions(columns), outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]),
+        statefulProcessor=order_versions(columns), outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]),
         outputMode="Update", timeMode="None", initialState=start)
 
 
