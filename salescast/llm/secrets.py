@@ -230,13 +230,14 @@ def _tagged(text: str, spans: list[tuple[int, int]]) -> list[tuple[list[tuple[st
     return out
 
 
-#: Letters of made-up secrets.
+#: Letters and lengths of made-up secrets.
+LENGTHS = (16, 49)
 LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 ASSIGNED = re.compile(rf"""(?i:{NAMES})["']?\x20*[:=]\x20*["']?""")
 
 
 def disguised(text: str, spans: list[tuple[int, int]], named: bool) -> tuple[str, list[tuple[int, int]]]:
-    """The text with each secret's value replaced by another one of the same length, and its spans; if not `named`, without the
+    """The text with each secret's value replaced by a made-up one, and its spans; if not `named`, without the
     name that gives it away. So the field learns what a secret looks like beyond the forms that the base patterns know.
     """
     out, new, at, size = [], [], 0, 0
@@ -246,7 +247,7 @@ def disguised(text: str, spans: list[tuple[int, int]], named: bool) -> tuple[str
         lead = ASSIGNED.match(text, s, e)
         begin = lead.end() if lead else s
         rng = random.Random(zlib.crc32(text[begin:e].encode()) + named)
-        value = "".join(rng.choices(LETTERS, k=max(e - begin, 16)))
+        value = "".join(rng.choices(LETTERS, k=rng.randrange(*LENGTHS)))
         before = text[at:s] + (text[s:begin] if named else "")
         out += [before, value]
         start = size + len(before) - (begin - s if named and lead else 0)
