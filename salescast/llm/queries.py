@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from salescast.llm import annsearch, bpe, decontam, jaccard, lexical, licenses, pii, quotes, secrets, token_store, topk, toxicity, whitening
 
 
+#: Rows of an Arrow batch between the JVM and a worker: texts are long, and a batch is held several times over.
+BATCH_ROWS = 2_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An input table; the session's batches to workers are kept small from here on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -117,9 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample | None = None) -> Mod
     unl = first(ids.where(~held_out(F.col("doc_id"))), sample.unlabelled).withColumn("p", F.lit(0))
     chosen = pos.union(unl).groupBy("doc_id").agg(F.max("p").alias("p"), (F.min("p") == 0).cast("int").alias("u"))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = text.join(F.broadcast(chosen), "doc_id")  # at most positives + unlabelled ids
-    once = rows.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("h"))  # of rows that share an id, one text
-    rows = rows.join(F.broadcast(once), "doc_id").where(F.xxhash64("text") == F.col("h")).select("p", "u", "text")
+    rows = text.join(F.broadcast(chosen), "doc_id")  # at most positives + unlabelled ids; of rows that share one, one text
+    rows = rows.groupBy("doc_id").agg(F.max("p").alias("p"), F.max("u").alias("u"), F.min_by("text", F.xxhash64("text")).alias("text")).select("p", "u", "text")
     buckets = sample.buckets
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
