@@ -189,24 +189,25 @@ def test_secret_base_and_field(make_docs):
     assert [ten[s["s"] : s["e"]] for s in found] == ["Zq81xTr09bLm44vWc7Yh"]
 
 
-def test_field_finds_planted_secrets(make_docs):
-    """Secrets that no base pattern takes: 9 of 10 are found, clean documents are left alone."""
+def test_field_finds_planted_secrets(spark, make_docs):
+    """Secrets that no base pattern takes, planted in given documents: 9 of 10 are found, the documents themselves are left alone."""
     import random
 
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    field = secrets.train(docs)
     rng = random.Random(5)
-    vocab = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9))) for _ in range(400)]
-    prose = lambda n: " ".join(rng.choices(vocab, k=n)).capitalize() + rng.choice((".", ", 12 of 30.", " (2021)."))
     key = lambda: "".join(rng.choices(secrets.LETTERS, k=rng.choice((20, 24, 32, 40))))
-    known = [(i, f"{prose(150)} token = \"{sha(str(i))[:40]}\" {prose(60)}" if i % 2 else f"{prose(100)} AKIA{sha(str(i))[:16].upper()} {prose(99)}") for i in range(150)]
-    clean = [(1000 + i, f"{prose(150)} user{i}@mail.example.org, +1 555 010 {1000 + i} or https://www.example.org/page/{i} {prose(60)}" if i % 2 else f"{prose(90)} Mac0S iPhone12 {prose(90)}") for i in range(1200)]
-    forms = ("the value is %s now", "credential %s for the job", "auth: %s next", "private key '%s' kept", "bearer %s")
-    planted = {3000 + i: key() for i in range(100)}
-    rows = known + clean + [(i, f"{prose(150)} {forms[i % 5] % k} {prose(60)}") for i, k in planted.items()]
-    assert not any(secret_base(t) for i, t in rows if i >= 1000)
-    docs = make_docs(rows)
-    got = {r["doc_id"]: [r["text"][s["s"] : s["e"]] for s in r["spans"] if s["kind"] == "field"] for r in secrets.find_secrets(docs.select("doc_id", "text"), secrets.train(make_docs(known + clean))).collect()}
-    assert sum(k in got[i] for i, k in planted.items()) >= 90
-    assert sum(bool(got[i]) for i, _ in clean) <= 6
+    clean = [r["text"] for r in docs.where("length(text) between 1000 and 9000").orderBy("doc_id").limit(300).collect()]
+    clean = [t for t in clean if not secret_base(t)]
+    forms = ("the value is %s now", "credential %s for the job", "auth: %s next", "private key '%s' kept", "bearer %s sent")
+    keys = [key() for _ in clean]
+    words = [t.split(" ") for t in clean]
+    planted = [" ".join([*w[:60], forms[i % 5] % k, *w[60:]]) for i, (w, k) in enumerate(zip(words, keys, strict=True))]
+    assert not any(secret_base(t) for t in planted)
+    rows = secrets.find_secrets(make_docs(list(enumerate(clean + planted))).select("doc_id", "text"), field).collect()
+    got = {r["doc_id"]: {r["text"][s["s"] : s["e"]] for s in r["spans"]} for r in rows}
+    assert sum(any(k in x for x in got[len(clean) + i]) for i, k in enumerate(keys)) >= 0.9 * len(keys)  # with its name, as base spans have it
+    assert sum(bool(got[i]) for i in range(len(clean))) <= 0.01 * len(clean)
 
 
 def test_disguised_values():
