@@ -183,7 +183,7 @@ def q_scan_raw_orders(spark, sf):
 @register("read_nested_orders")
 def q_read_nested_orders(spark, sf):
     path = sinks.stage_dir(spark, "orders-json")
-    bridge.nested_orders(spark, sf).write.mode("overwrite").json(path)
+    sinks.write_documents(bridge.nested_orders(spark, sf), path)
     return fl.flatten_orders(readers.read_nested_orders(spark, path))
 
 

@@ -100,67 +100,83 @@ def order_header(orders: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def _check_struct() -> Column:
-    key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+def _line_struct() -> Column:
+    """What tells the checks of one order apart, in the order in which the document's checks are sorted."""
     return F.struct(
         F.col("l_linenumber").alias("n"),
+        F.col("amount").cast("double").alias("amount"),
+        F.col("total").cast("double").alias("total"),
+        F.col("tax").cast("double").alias("tax"),
+        "check_voided",
+        "check_deleted",
+        F.col("tip").cast("double").alias("tip"),
+        "l_quantity",
+        "sel_deferred",
+        "sel_voided",
+    )
+
+
+def _check(orderkey: Column, line: Column) -> Column:
+    """One check of the document from its compact line."""
+    order = orderkey.cast("string")
+    key = F.concat(order, F.lit("-"), line["n"].cast("string"))
+    return F.struct(
+        key.alias("guid"),
+        line["amount"].alias("amount"),
+        line["total"].alias("totalAmount"),
+        line["tax"].alias("taxAmount"),
+        line["check_voided"].alias("voided"),
+        line["check_deleted"].alias("deleted"),
         F.struct(
-            key.alias("guid"),
-            F.col("amount").cast("double").alias("amount"),
-            F.col("total").cast("double").alias("totalAmount"),
-            F.col("tax").cast("double").alias("taxAmount"),
-            F.col("check_voided").alias("voided"),
-            F.col("check_deleted").alias("deleted"),
+            F.concat(F.lit("c-"), key).alias("guid"),
+            F.concat(F.lit("guest"), order, F.lit("@example.com")).alias("email"),
+            F.lit("Pat").alias("firstName"),
+            F.concat(F.lit("Guest"), order).alias("lastName"),
+            F.lit("555-0100").alias("phone"),
+        ).alias("customer"),
+        F.array(
+            F.struct(
+                F.concat(F.lit("p-"), key).alias("guid"),
+                line["total"].alias("amount"),
+                line["tip"].alias("tipAmount"),
+                F.lit("CREDIT").alias("type"),
+                F.lpad((orderkey % 10000).cast("string"), 4, "0").alias("last4Digits"),
+            )
+        ).alias("payments"),
+        F.array(
             F.struct(
-                F.concat(F.lit("c-"), key).alias("guid"),
-                F.concat(F.lit("guest"), F.col("l_orderkey").cast("string"), F.lit("@example.com")).alias("email"),
-                F.lit("Pat").alias("firstName"),
-                F.concat(F.lit("Guest"), F.col("l_orderkey").cast("string")).alias("lastName"),
-                F.lit("555-0100").alias("phone"),
-            ).alias("customer"),
-            F.array(
-                F.struct(
-                    F.concat(F.lit("p-"), key).alias("guid"),
-                    F.col("total").cast("double").alias("amount"),
-                    F.col("tip").cast("double").alias("tipAmount"),
-                    F.lit("CREDIT").alias("type"),
-                    F.lpad((F.col("l_orderkey") % 10000).cast("string"), 4, "0").alias("last4Digits"),
-                )
-            ).alias("payments"),
-            F.array(
-                F.struct(
-                    F.concat(F.lit("s0-"), key).alias("guid"),
-                    F.lit("Entree").alias("displayName"),
-                    F.col("l_quantity").alias("quantity"),
-                    F.col("amount").cast("double").alias("price"),
-                    F.lit(False).alias("deferred"),
-                    F.lit(False).alias("voided"),
-                ),
-                F.struct(
-                    F.concat(F.lit("s1-"), key).alias("guid"),
-                    F.lit("Gift Card").alias("displayName"),
-                    F.lit(1.0).alias("quantity"),
-                    F.lit(DEFERRED_PRICE).alias("price"),
-                    F.col("sel_deferred").alias("deferred"),
-                    F.col("sel_voided").alias("voided"),
-                ),
-            ).alias("selections"),
-        ).alias("check"),
+                F.concat(F.lit("s0-"), key).alias("guid"),
+                F.lit("Entree").alias("displayName"),
+                line["l_quantity"].alias("quantity"),
+                line["amount"].alias("price"),
+                F.lit(False).alias("deferred"),
+                F.lit(False).alias("voided"),
+            ),
+            F.struct(
+                F.concat(F.lit("s1-"), key).alias("guid"),
+                F.lit("Gift Card").alias("displayName"),
+                F.lit(1.0).alias("quantity"),
+                F.lit(DEFERRED_PRICE).alias("price"),
+                line["sel_deferred"].alias("deferred"),
+                line["sel_voided"].alias("voided"),
+            ),
+        ).alias("selections"),
     )
 
 
 def nested_orders_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """One nested document per order; orders without line items get NULL checks."""
-    checks = (
-        check_lines(lineitem)
-        .groupBy("l_orderkey")
-        .agg(F.sort_array(F.collect_list(_check_struct())).alias("_checks"))
-        .select(F.col("l_orderkey"), F.transform("_checks", lambda c: c["check"]).alias("checks"))
-    )
+    """One nested document per order; orders without line items get NULL checks.
+
+    Only compact lines are shuffled and sorted; the documents' texts are built after the join, so that a document's
+    size is that of the output and of nothing before it."""
+    lines = check_lines(lineitem).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(_line_struct())).alias("_lines"))
     head = order_header(orders)
-    return head.join(checks, head["o_orderkey"] == checks["l_orderkey"], "left").select(
+    # merged, never broadcast: the documents are built where the lines are, by as many tasks as the lines have
+    docs = head.join(lines.hint("merge"), head["o_orderkey"] == lines["l_orderkey"], "left")
+    return docs.select(
         "guid", "businessDate", "numberOfGuests", "openedDate", "closedDate", "source",
-        "voided", "deleted", "diningOption", "deliveryInfo", "checks",
+        "voided", "deleted", "diningOption", "deliveryInfo",
+        F.transform("_lines", lambda x: _check(F.col("l_orderkey"), x)).alias("checks"),
     )
 
 

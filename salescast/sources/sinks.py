@@ -61,6 +61,16 @@ def write_partitions(df: DataFrame, root: str, schema: T.StructType, mode: str =
     )
 
 
+#: Documents of a file: a compressed file is read by one task.
+DOCUMENTS_PER_FILE = 100_000
+
+
+def write_documents(df: DataFrame, path: str) -> None:
+    """Documents as compressed JSON lines: their field names, repeated in each, take many times the values' space.
+    Files are bounded, so that they are read in parallel without being split."""
+    df.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", DOCUMENTS_PER_FILE).json(path)
+
+
 def table_root(spark: SparkSession, table: str) -> str:
     """Where a table's files go if its caller names no folder: beside the shared
     stage folders, since the default warehouse may be one machine's disk."""

@@ -213,3 +213,25 @@ def test_bad_documents_go_to_quarantine(spark):
     assert [r.net_amount for r in flatten_orders(good).collect()] == [3.0]
     got = {r["at"]: (r.value, r.reason) for r in bad.collect()}
     assert got == {i: (v, {2: "malformed", 7: "malformed", 3: "missing", 4: "missing"}.get(i, "mistyped")) for i, v in rows if i > 1}
+
+
+def test_documents_are_built_after_the_join(spark):
+    """No text of a document is shuffled: only the lines' numbers and flags are."""
+    from tests_support import SF001
+
+    from salescast.sources import bridge
+
+    plan = bridge.nested_orders(spark, SF001)._jdf.queryExecution().sparkPlan().toString()
+    assert "@example.com" not in plan[plan.index("SortMergeJoin"):] and "BroadcastHashJoin" not in plan
+
+
+def test_landed_documents_are_compressed(spark, tmp_path):
+    from salescast.sources import sinks
+
+    docs = spark.range(2_000).selectExpr("cast(id as string) guid", "array(named_struct('amount', 1.5D)) checks")
+    sinks.write_documents(docs, str(tmp_path / "docs"))
+    plain = sum(len(r[0]) + 1 for r in docs.select(F.to_json(F.struct("*"))).collect())
+    assert sum(p.stat().st_size for p in (tmp_path / "docs").glob("part-*")) < plain / 2
+    from salescast.sources.readers import read_nested_orders
+
+    assert read_nested_orders(spark, str(tmp_path / "docs")).where("checks[0].amount = 1.5").count() == 2_000
