@@ -106,6 +106,21 @@ def test_json_profile_any_depth(spark):
     assert len(got) == 120 and got[(".".join(f"k{k}" for k in range(120)), "int")] == 1
 
 
+def test_json_profile_remembers_a_bounded_number_of_shapes(spark, monkeypatch):
+    """Every document has a key of its own; shapes are summed up and forgotten on the way, and nothing is counted twice."""
+    from salescast.operators import profile
+
+    monkeypatch.setattr(profile, "SHAPES", 7)
+    found = profile.PathSketch()
+    for k in range(50):
+        found.walk({"a": k, "": {"b": [[1], {}, "x"]}, f"k{k}": None, "a.b": True})
+        assert len(found.shapes) <= 7
+    found.sum_up()
+    plain = {("a", "int"): 50, ("b", "list"): 50, ("b[]", "list"): 50, ("b[][]", "int"): 50, ("b[]", "dict"): 50, ("b[]", "str"): 50, ("a.b", "bool"): 50}
+    got = {k: v[0] for k, v in found.seen.items()}
+    assert got == plain | {(f"k{k}", "NoneType"): 1 for k in range(50)}
+
+
 def test_holiday_calendar_rules(spark):
     got = {(r.holiday, r.ds) for r in holiday_calendar(spark, "2026-01-01", "2026-12-31").collect()}
     assert ("Thanksgiving", dt.date(2026, 11, 26)) in got
