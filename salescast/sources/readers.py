@@ -37,7 +37,8 @@ def rescue_documents(df: DataFrame, col: str = "value") -> tuple[DataFrame, Data
     or no text at all, goes to quarantine with its row as it came and a reason
     ("malformed", "mistyped" or "missing"), never silently into nulls."""
     schema = T.StructType([*NESTED_ORDER.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = df.withColumn("_doc", F.from_json(F.col(col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    # as a generator's output a document is parsed once: a plain column would be parsed again for the filter
+    parsed = df.select(*df.columns, F.explode(F.array(F.from_json(F.col(col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))).alias("_doc"))
     bad = F.col("_doc").isNull() | F.col(f"_doc.{CORRUPT}").isNotNull()
     reason = F.when(F.col(col).isNull() | (F.trim(F.col(col)) == ""), F.lit("missing")) \
         .when(F.try_parse_json(F.col(col)).isNull(), F.lit("malformed")).otherwise(F.lit("mistyped"))

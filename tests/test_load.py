@@ -215,6 +215,14 @@ def test_bad_documents_go_to_quarantine(spark):
     assert got == {i: (v, {2: "malformed", 7: "malformed", 3: "missing", 4: "missing"}.get(i, "mistyped")) for i, v in rows if i > 1}
 
 
+def test_documents_are_parsed_once(spark):
+    from salescast.sources.readers import rescue_documents
+
+    good, _ = rescue_documents(spark.createDataFrame([(1, '{"guid":"a"}')], "at long, value string"))
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
 def test_documents_are_built_after_the_join(spark):
     """No text of a document is shuffled: only the lines' numbers and flags are."""
     from tests_support import SF001
