@@ -243,3 +243,12 @@ def test_landed_documents_are_compressed(spark, tmp_path):
     from salescast.sources.readers import read_nested_orders
 
     assert read_nested_orders(spark, str(tmp_path / "docs")).where("checks[0].amount = 1.5").count() == 2_000
+
+
+def test_audit_parses_each_document_once(spark):
+    from tests_support import SF001
+
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["drift_audit"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("json_tuple(") == 1 and "get_json_object" not in plan
