@@ -755,7 +755,7 @@ def q_stream_bronze(spark, sf):
 
     docs_dir = sinks.stage_dir(spark, "docs")
     nested = bridge.nested_orders(spark, sf)
-    nested.withColumn("version", F.lit(1).cast("bigint")).write.json(f"{docs_dir}/v1")
+    sinks.write_documents(nested.withColumn("version", F.lit(1).cast("bigint")), f"{docs_dir}/v1")
     table = f"vbronze_{uuid.uuid4().hex[:12]}"
     sb.ensure_versioned_bronze(spark, table, sinks.stage_dir(spark, "vbronze"))
     ck = sinks.stage_dir(spark, "ckpt")
@@ -763,7 +763,7 @@ def q_stream_bronze(spark, sf):
     # second landing: only the edited orders, one tip raised on the first live check
     edits = nested.where(F.col("guid").cast("bigint") % EDIT_EVERY == 0)
     edits = edits.withColumn("checks", _edit_first_live_tip(F.col("checks")))
-    edits.withColumn("version", F.lit(2).cast("bigint")).write.json(f"{docs_dir}/v2")
+    sinks.write_documents(edits.withColumn("version", F.lit(2).cast("bigint")), f"{docs_dir}/v2")
     sb.catch_up(spark, f"{docs_dir}/v2", table, sinks.stage_dir(spark, "ckpt"))
     return spark.table(table)
 

@@ -13,10 +13,9 @@ ST3  today-so-far: running state per business_date (update mode); equals the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from salescast.functions.dates import BUSINESS_TZ, parse_iso_utc, utc_to_local
 from salescast.functions.money import money_sum, rounded
@@ -37,58 +36,41 @@ def read_order_stream(spark: SparkSession, path: str, max_files: int | None = No
     return r.json(path)
 
 
-#: What stays of each order between batches: the version held, a hash that decides between equal versions, the day it stands on.
-HELD = "version bigint, mark bigint, business_date bigint"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def order_versions(columns: list[str]) -> StatefulProcessor:
-    """Keyed state of one order. Of a batch's rows the latest is kept, and only if it is later than the one held;
-    it is given out as "enter", and, if the order stood on another day, that day as "leave".
-
-    The class is made here so that it travels as it is: the process that sets the state up imports no package of ours."""
-    held_type = HELD
-
-    class OrderVersions(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.held = handle.getValueState("held", held_type)
-
-        def handleInputRows(self, key, rows, timerValues):
-            last = max(rows, key=lambda r: (r["version"], r["mark"]))
-            held = self.held.get()
-            if held is None or (held[0], held[1]) < (last["version"], last["mark"]):
-                self.held.update((last["version"], last["mark"], last["business_date"]))
-                yield Row(change="enter", **{c: last[c] for c in columns})
-                if held is not None and held[2] != last["business_date"]:
-                    yield Row(change="leave", **{c: {"order_guid": key[0], "business_date": held[2]}.get(c) for c in columns})
-
-        def handleInitialState(self, key, initialState, timerValues) -> None:
-            self.held.update((initialState["version"], initialState["mark"], initialState["business_date"]))
-
-    return OrderVersions()
-
-
 def marked(rows: DataFrame, columns: list[str]) -> DataFrame:
     """rows with the hash that decides between equal versions, whatever the order of tasks."""
     return rows.withColumn("mark", F.xxhash64(*[F.col(c) for c in columns if c != "order_guid"]))
 
 
-def order_changes(docs: DataFrame, table: str) -> DataFrame:
+def held_rows(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """What the table holds when the stream first starts, as a stream of its own: written to path once, for all restarts."""
+    spark.catalog.refreshTable(table)  # another stream may have written it
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        spark.table(table).withColumn("version", F.coalesce("version", F.lit(-1)).cast("bigint")).write.mode("overwrite").parquet(path)
+    return spark.readStream.schema(spark.table(table).schema).parquet(path)
+
+
+def order_changes(docs: DataFrame, held: DataFrame) -> DataFrame:
     """ST1/ST2 as keyed state: versioned documents -> (change, the table's columns).
 
-    What the table holds when the stream first starts is its initial state, read once; after that no batch looks the
-    orders up in the table. Running a batch again gives the same changes.
+    The state is a grouped maximum, kept by Spark's own aggregation: each order's latest row, with the batch it came in,
+    and the days that it has stood on. An order whose latest row came in this batch is given out as "enter", and each
+    other day of its as "leave". held, read in the first batch, is the beginning and is never given out. After that no
+    batch looks the orders up in the table. Running a batch again gives the same changes.
     """
-    spark = docs.sparkSession
-    spark.catalog.refreshTable(table)  # another stream may have written it
     incoming = cast_projection(flatten_orders(docs.withColumn("version", F.coalesce("version", F.lit(0)).cast("bigint")), carry=("version",)), keep=("version",))
     columns = incoming.columns
-    held = spark.table(table).select(*columns).withColumn("version", F.coalesce("version", F.lit(-1)).cast("bigint"))
-    schema = T.StructType([T.StructField("change", T.StringType()), *incoming.schema.fields])
-    start = marked(held, columns).select("order_guid", "version", "mark", "business_date").groupBy("order_guid")
-    return marked(incoming, columns).groupBy("order_guid").transformWithState(
-        statefulProcessor=order_versions(columns), outputStructType=T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]),
-        outputMode="Update", timeMode="None", initialState=start)
+    now = F.unix_micros(F.current_timestamp())  # one value a batch, also if the batch is done again
+    rows = marked(incoming, columns).withColumn("age", -now).unionByName(marked(held.select(*columns), columns).withColumn("age", F.lit(0).cast("bigint")))
+    latest = F.max(F.struct("version", "mark", "age", *[c for c in columns if c not in ("order_guid", "version")]))  # equal rows: the first to come
+    state = rows.groupBy("order_guid").agg(latest.alias("last"), F.collect_set(F.struct("business_date")).alias("days"))
+    fresh = state.where(F.col("last.age") == -now).select("order_guid", "last", F.explode("days.business_date").alias("day"))
+    stands = F.col("day").eqNullSafe(F.col("last.business_date"))
+    given = {"order_guid": F.col("order_guid"), "business_date": F.col("day")}
+    return fresh.select(F.when(stands, "enter").otherwise("leave").alias("change"), *[given.get(c, F.when(stands, F.col(f"last.{c}"))).alias(c) for c in columns])
 
 
 def touched(table: DataFrame, days: list[int | None]) -> DataFrame:
@@ -132,8 +114,9 @@ def ensure_versioned_bronze(spark: SparkSession, table: str, location: str | Non
 
 
 def start_bronze_stream(spark: SparkSession, docs_path: str, table: str, checkpoint: str, available_now: bool = True):
-    """ST1: returns the StreamingQuery (availableNow for scheduled catch-up). The state lives in RocksDB, beside memory."""
-    changes = order_changes(read_order_stream(spark, docs_path), table)
+    """ST1: returns the StreamingQuery (availableNow for scheduled catch-up). The state lives in RocksDB, beside memory;
+    the table's rows at the first start are kept beside the checkpoint."""
+    changes = order_changes(read_order_stream(spark, docs_path), held_rows(spark, table, f"{checkpoint.rstrip('/')}-held"))
     w = changes.writeStream.outputMode("update").foreachBatch(lambda df, _epoch: merge_batch(df, table)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="15 minutes")
     with session_conf(spark, "spark.sql.streaming.stateStore.providerClass", ROCKS_DB):

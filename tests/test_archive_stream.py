@@ -121,6 +121,27 @@ def test_json_profile_remembers_a_bounded_number_of_shapes(spark, monkeypatch):
     assert got == plain | {(f"k{k}", "NoneType"): 1 for k in range(50)}
 
 
+def test_stream_state_is_kept_by_spark(spark, tmp_path):
+    """No Python process per key; what the table held, and a document that comes again, are not given out."""
+    from salescast.streaming import bronze as sb
+    from tests_support import doc
+
+    d = tmp_path / "docs"
+    d.mkdir()
+    sb.ensure_versioned_bronze(spark, "vb_k", str(tmp_path / "vb"))
+    (d / "a.json").write_text("\n".join([doc("o1", 20260626, 10.0, 1), doc("o2", 20260627, 5.0, 2)]))
+    sb.catch_up(spark, str(d), "vb_k", str(tmp_path / "ck"))
+    later = tmp_path / "later"
+    later.mkdir()
+    (later / "b.json").write_text("\n".join([doc("o2", 20260627, 5.0, 2), doc("o1", 20260628, 10.0, 2), doc("o1", 20260629, 1.0, 0)]))
+    seen = []
+    changes = sb.order_changes(sb.read_order_stream(spark, str(later)), sb.held_rows(spark, "vb_k", str(tmp_path / "held")))
+    assert "Python" not in changes._jdf.queryExecution().analyzed().toString()
+    q = changes.writeStream.outputMode("update").foreachBatch(lambda df, _: seen.extend(df.collect())).option("checkpointLocation", str(tmp_path / "ck2")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert {(r.change, r.order_guid, r.business_date) for r in seen} == {("enter", "o1", 20260628), ("leave", "o1", 20260626), ("leave", "o1", 20260629)}
+
+
 def test_holiday_calendar_rules(spark):
     got = {(r.holiday, r.ds) for r in holiday_calendar(spark, "2026-01-01", "2026-12-31").collect()}
     assert ("Thanksgiving", dt.date(2026, 11, 26)) in got
