@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.common import BROADCAST_ROWS, regex_spans, stage
+from salescast.llm.common import BROADCAST_ROWS, let, regex_spans, small_side, stage
 
 WINDOW = 13
 #: Words that may stand between a window's terms in a proximity match.
@@ -40,37 +40,79 @@ def _bucket(word: Column, flags: int) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(flags)).cast("int")
 
 
-def build_index(docs: DataFrame, wins: DataFrame, slop: int = 0, keep: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(rows, runs): one row per document with rid and n_words; and the index's document runs.
+def anchors(wins: DataFrame) -> DataFrame:
+    """(wid, n, window, item, term, terms): of each window the term in the fewest items, of those the longest, and how many
+    distinct terms it has. Any term would do: a rare one has few places."""
+    held = wins.select("item", F.explode("window").alias("term")).groupBy("term").agg(F.count_distinct("item").alias("df"))
+    least = wins.select("wid", F.explode("window").alias("term")).distinct().join(held, "term").groupBy("wid").agg(F.min(F.struct("df", -F.length("term"), "term"))["term"].alias("term"))
+    return wins.join(least, "wid").select("wid", "n", "window", "item", "term", F.size(F.array_distinct("window")).alias("terms"))
 
-    Only stretches of at least n consecutive test terms can hold a window of n words, so only those are posted:
-    a row (rid, at, run) for every stretch, at its first word's position. The flags that mark test terms are hash
-    buckets of bounded number; a word of another meaning in the same bucket only makes a stretch longer. slop: so many
-    other words in a row may interrupt a stretch, for proximity matches. One pass over the texts.
-    """
-    spark = docs.sparkSession
-    sizes = sorted(r["n"] for r in wins.select("n").distinct().collect())  # at most WINDOW
+
+def _marks(terms: DataFrame, flags: int) -> list[int]:
+    """By bucket, the bits that terms(bit, term) has in it."""
+    marks = [0] * flags
+    for r in terms.select("bit", _bucket(F.col("term"), flags).alias("b")).distinct().toLocalIterator():
+        marks[r["b"]] |= 1 << r["bit"]
+    return marks
+
+
+def _scan(docs: DataFrame, wins: DataFrame, slop: int = 0, keep: bool = False, anchored: DataFrame | None = None, near: int = 0) -> DataFrame:
+    """The staged rows of build_index, with their runs; anchored: and `around`, for every word in the bucket of an anchor
+    the stretch of all words that a place with it can hold. One pass over the texts."""
+    sizes = {r["n"]: r["terms"] for r in wins.groupBy("n").agg(F.min(F.size(F.array_distinct("window"))).alias("terms")).collect()}  # at most WINDOW
     terms = wins.select("n", F.explode("window").alias("term")).distinct()
     flags = min(MAX_FLAGS, max(MIN_FLAGS, 1 << (16 * max(1, terms.count())).bit_length()))
-    marks = {n: ["0"] * flags for n in sizes}
-    for r in terms.select("n", _bucket(F.col("term"), flags).alias("b")).distinct().toLocalIterator():
-        marks[r["n"]][r["b"]] = "1"
+    # a bit for each size's terms, and above them one for its anchors: each word is looked up once for all of them
+    order = sorted(sizes)
+    bit = lambda n, above=0: F.array_position(F.array(*map(F.lit, order)), n).cast("int") - 1 + above
+    marked = terms.select(bit(F.col("n")).alias("bit"), "term")
+    if anchored is not None:
+        marked = marked.union(anchored.select(bit(F.col("n"), len(order)), "term"))
+    marks = F.split(F.lit(",".join(map(str, _marks(marked, flags) if order else [0]))), ",").cast("array<int>")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if keep else F.lit(None)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text").cast("string")).alias("w"), row.cast(docs.schema if keep else "int").alias("row"))
+    rows = rows.withColumn("marks", F.transform("w", lambda x: F.get(marks, _bucket(x, flags) if order else F.lit(0))))
     none = F.expr("cast(array() as array<struct<at:int,run:array<string>>>)")
 
+    def spans(at: int, pattern: str) -> Column:
+        flagged = F.array_join(F.transform("marks", lambda m: F.when(m.bitwiseAND(1 << at) > 0, "1").otherwise("0")), "")
+        return let(flagged, lambda t: regex_spans(t, pattern))
+
     def runs(n: int) -> Column:
-        row = F.split(F.lit("".join(marks[n])), "")
-        flagged = F.array_join(F.transform("w", lambda x: F.get(row, _bucket(x, flags))), "")
-        inner = f"1(?:0{{0,{slop}}}1){{{n - 1},}}+" if slop else f"1{{{n},}}+"
-        found = regex_spans(flagged, inner)
+        # a window's repeated terms need stand but once in a proximity match, and leave room for other words
+        few, gap = (sizes[n], n + slop - sizes[n]) if slop else (n, 0)
+        found = spans(order.index(n), f"1(?:0{{0,{gap}}}1){{{few - 1},}}+" if slop else f"1{{{n},}}+")
         return F.transform(found, lambda x: F.struct(x["s"].alias("at"), F.slice("w", x["s"] + 1, x["e"] - x["s"]).alias("run")))
 
-    held = F.array_distinct(reduce(F.concat, [runs(n) for n in sizes], none))
-    held = F.when(F.size("w") >= (sizes[0] if sizes else 1), held).otherwise(none)
-    rows = stage(rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.size("w").cast("long").alias("n_words"), held.alias("runs"), *(["row"] if keep else [])), "decontam-rows")
-    every = rows.where("size(runs) > 0").select("rid", F.explode("runs").alias("r")).select("rid", "r.at", "r.run")
-    return rows.drop("runs"), every
+    def around(n: int) -> Column:
+        reach = n + near - 1
+        return F.transform(spans(len(order) + order.index(n), "1"), lambda x: F.struct(
+            F.greatest(x["s"] - reach, F.lit(0)).alias("at"),
+            F.slice("w", F.greatest(x["s"] - reach, F.lit(0)) + 1, F.least(x["s"], F.lit(reach)) + reach + 1).alias("run"),
+            F.element_at("w", x["s"] + 1).alias("term"), F.least(x["s"], F.lit(reach)).alias("k"), F.lit(n).alias("n")))
+
+    held = F.array_distinct(reduce(F.concat, [runs(n) for n in order], none))
+    held = F.when(F.size("w") >= (order[0] if order and not slop else 1), held).otherwise(none)
+    more = ["row"] if keep else []
+    if anchored is not None:
+        more.append(reduce(F.concat, map(around, order), F.expr("cast(array() as array<struct<at:int,run:array<string>,term:string,k:int,n:int>>)")).alias("around"))
+    return stage(rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.size("w").cast("long").alias("n_words"), held.alias("runs"), *more), "decontam-rows")
+
+
+def _runs(rows: DataFrame) -> DataFrame:
+    return rows.where("size(runs) > 0").select("rid", F.explode("runs").alias("r")).select("rid", "r.at", "r.run")
+
+
+def build_index(docs: DataFrame, wins: DataFrame, slop: int = 0, keep: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, runs): one row per document with rid and n_words; and the index's document runs.
+
+    Only stretches of at least n consecutive test terms can hold a window of n words, so only those are posted:
+    a row (rid, at, run) for every stretch, at its first word's position. The flags that mark test terms are hash
+    buckets of bounded number; a word of another meaning in the same bucket only makes a stretch longer. slop: so many
+    more words than the window's may a proximity match take, and other words may interrupt a stretch.
+    """
+    rows = _scan(docs, wins, slop, keep)
+    return rows.drop("runs"), _runs(rows)
 
 
 def postings(runs: DataFrame) -> DataFrame:
@@ -114,7 +156,11 @@ def proximity_matches(wins: DataFrame, runs: DataFrame, slop: int) -> DataFrame:
     distinct = wins.select("wid", "n", "window", "item")
     freq = posted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     rare = distinct.select("wid", F.explode("window").alias("term")).join(freq, "term").groupBy("wid").agg(F.min(F.struct("df", "term"))["term"].alias("term"))
-    at = posted.join(distinct.join(rare, "wid"), "term").join(runs, ["rid", "at"])
+    return _places(posted.join(distinct.join(rare, "wid"), "term").join(runs, ["rid", "at"]), slop)
+
+
+def _places(at: DataFrame, slop: int) -> DataFrame:
+    """Of (rid, at, run, k, a window's columns), its term at k of the run, those with all of the window's terms near it."""
     starts = F.sequence(F.greatest(F.col("k") - F.col("n") - slop + 2, F.lit(1)), F.col("k") + 1)
     near = F.exists(starts, lambda s: F.size(F.array_except("window", F.slice("run", s, F.col("n") + slop))) == 0)
     return at.where(near).select("rid", "item", "wid", (F.col("at") + F.col("k")).alias("start")).distinct()
@@ -124,10 +170,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: bool = False, nea
     """doc_id, n_words, n_hit, items, contaminated, in one row per input row; keep: and `row`, all columns of docs.
 
     near: and `near_items`, the items that have all terms of a window, in any order, within its length plus `near`
-    words of a stretch of test terms; those of exact occurrences among them. It changes no other column.
+    words of the text, whatever words stand between; those of exact occurrences among them. It changes no other column.
     """
     wins = stage(windows(benchmark), "decontam-windows")
-    rows, runs = build_index(docs, wins, keep=keep)
+    anchored = None if near is None else stage(anchors(wins), "decontam-anchors")
+    scanned = _scan(docs, wins, keep=keep, anchored=anchored, near=near or 0)
+    rows, runs = scanned.drop("runs", "around"), _runs(scanned)
     found = phrase_matches(wins, runs)
     span = F.transform("places", lambda p: F.sequence(p["start"], p["start"] + p["n"] - 1))
     hits = found.groupBy("rid").agg(F.collect_set(F.struct("start", "n")).alias("places"), F.array_sort(F.collect_set("item")).alias("items"))
@@ -136,12 +184,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: bool = False, nea
     hits = F.broadcast(hits) if (hits.agg(F.sum(1 + F.size("items"))).first()[0] or 0) <= BROADCAST_ROWS else hits
     out = rows.join(hits, "rid", "left").select("rid", *(["row"] if keep else []), "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"))
     out = out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-    return out.drop("rid") if near is None else out.join(_near_items(wins, runs, near), "rid", "left").drop("rid").withColumn("near_items", F.coalesce("near_items", F.expr("cast(array() as array<string>)")))
+    return out.drop("rid") if near is None else out.join(_near_items(anchored, scanned, near), "rid", "left").drop("rid").withColumn("near_items", F.coalesce("near_items", F.expr("cast(array() as array<string>)")))
 
 
-def _near_items(wins: DataFrame, runs: DataFrame, slop: int) -> DataFrame:
-    """(rid, near_items): sorted distinct items of each row's proximity matches."""
-    found = proximity_matches(wins, runs, slop).where("item is not null").select("rid", "item").distinct()
+def _near_items(anchored: DataFrame, scanned: DataFrame, slop: int) -> DataFrame:
+    """(rid, near_items): sorted distinct items of each row's proximity matches, looked for around every window's anchor."""
+    around = scanned.where("size(around) > 0").select("rid", F.explode("around").alias("p")).select("rid", "p.*")
+    at = around.join(small_side(anchored.where("item is not null")), ["term", "n"]).where(F.size(F.array_except("window", "run")) == 0)
+    found = _places(at, slop).select("rid", "item").distinct()
     return found.groupBy("rid").agg(F.array_sort(F.collect_list("item")).alias("near_items"))
 
 

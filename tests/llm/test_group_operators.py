@@ -185,6 +185,21 @@ def test_proximity(make_docs, spark):
     assert {r["item"] for r in decontam.proximity_matches(wins, runs, 3).collect()} == {"1"}
 
 
+def test_near_items_are_brute_force(make_docs, spark):
+    """Other words may stand between a window's terms, and a repeated term need stand but once."""
+    bench = [(1, PHRASE), (2, "red green blue red"), (3, "solo"), (None, "null item here")]
+    w = PHRASE.split()
+    rows = [(1, " ".join(w[:6] + ["zzz"] + w[6:12] + ["yyy", w[12]])), (2, " ".join(w[:6] + ["zzz", "yyy", "xxx"] + w[6:13])), (3, " ".join(reversed(w[3:16]))),
+            (4, "q blue q q green q red q"), (5, "red q q q q q green blue"), (6, "green blue red"), (7, "Solo"), (8, "null item here"), (9, None), (9, " ".join(["q"] * 300 + w[:13]))]
+    rows += [(k, " ".join(random.Random(k).choices(["red", "green", "blue", "q", "r", w[0], "solo"] if k % 2 else [*w[:14], "q"], k=30))) for k in range(20, 60)]
+    def near(text):
+        d = low(text)
+        return sorted({str(i) for i, t in bench if i for x in [low(t)] for k in range(max(1, len(x) - 12)) for g in [x[k : k + 13]] for s in range(len(d)) if set(g) <= set(d[s : s + len(g) + decontam.NEAR])})
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = decontam.decontam_query(make_docs(rows), items).select("doc_id", "near_items").collect()
+    assert sorted(map(tuple, got)) == sorted((i, ",".join(near(t))) for i, t in rows)
+
+
 def test_topk_is_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)]
