@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -56,6 +56,12 @@ def strings(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, i
         yield a, b, column.slice(a, b - a).to_pylist()
 
 
+def columns(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int, pa.Array]]:
+    """(first row, row after the last, texts) as `strings`, but as slices of the column: no string is made of a text."""
+    for a, b in slices(pc.binary_length(column).to_pylist(), limit):
+        yield a, b, column.slice(a, b - a)
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The stretches flat[starts[i] : starts[i] + lens[i]], one after the other."""
     ends = np.cumsum(lens)
@@ -63,10 +69,14 @@ def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray
 
 
 class ChunkCoder:
-    """Encodes texts; `encode(list of distinct strings)` gives the ids of each new chunk."""
+    """Encodes texts; `encode(list of distinct strings)` gives the ids of each new chunk.
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], entries: int = DICTIONARY_ENTRIES):
-        self.encode, self.entries = encode, entries
+    bulk: the same for words, to each of which a space belongs before it, without other spaces in or white space around
+    them: (ids of all in a row, number of ids of each). They may be encoded as one text.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], entries: int = DICTIONARY_ENTRIES, bulk: Callable[[list[str]], tuple[np.ndarray, np.ndarray]] | None = None):
+        self.encode, self.entries, self.bulk = encode, entries, bulk
         self.clear()
 
     def clear(self) -> None:
@@ -75,35 +85,69 @@ class ChunkCoder:
         self.chars = 0
         self.unclean = bytearray()  # by code: the space next to such a chunk may not be a cut
 
-    def _look_up(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """(codes of all chunks in a row, number of chunks of each text); new chunks are encoded."""
-        for p in pieces:
-            p[0] = (p[0],)  # a first chunk has no space before it; as a tuple it is apart from every spaced one
-        counts = np.array([len(p) for p in pieces], dtype=np.int64)
-        found = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(pieces)), dtype=np.int64, count=int(counts.sum()))
+    def _look_up(self, words: list[str], first: bool) -> np.ndarray:
+        """Codes of the chunks, all of them first ones of texts or none; new chunks are encoded."""
+        # a first chunk has no space before it; as a tuple it is apart from every spaced one
+        found = np.fromiter(map(self.codes.__getitem__, zip(words) if first else words), dtype=np.int64, count=len(words))  # noqa: B905
         new, self.codes.new = self.codes.new, []
         for a in range(0, len(new), AT_ONCE):
-            part = new[a : a + AT_ONCE]
-            first = [type(x) is tuple for x in part]
-            words = [x[0] if f else x for x, f in zip(part, first, strict=True)]
-            ids = self.encode([x if f else " " + x for x, f in zip(words, first, strict=True)])
-            lens = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            self.starts.frombytes((len(self.flat) + np.cumsum(lens) - lens).tobytes())
+            part = [x for (x,) in new[a : a + AT_ONCE]] if first else new[a : a + AT_ONCE]
+            bad = np.fromiter((not x or len(x.rstrip() if first else x.strip()) != len(x) for x in part), dtype=bool, count=len(part))
+            fit = np.zeros(len(part), bool)
+            if self.bulk and not first:
+                fit = ~bad & ~np.fromiter((" " in x for x in part), dtype=bool, count=len(part))
+            starts, lens = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
+            for where in (np.flatnonzero(fit), np.flatnonzero(~fit)):
+                if not len(where):
+                    continue
+                some = part if len(where) == len(part) else [part[i] for i in where.tolist()]
+                if fit[where[0]]:
+                    ids, n = self.bulk(some)
+                else:
+                    rows = self.encode(some if first else [" " + x for x in some])
+                    n = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+                    ids = np.fromiter(chain.from_iterable(rows), dtype=np.int32, count=int(n.sum()))
+                starts[where], lens[where] = len(self.flat) + np.cumsum(n) - n, n
+                self.flat.frombytes(ids.astype(np.int32, copy=False).tobytes())
+            self.starts.frombytes(starts.tobytes())
             self.lens.frombytes(lens.tobytes())
-            self.flat.extend(chain.from_iterable(ids))
-            self.chars += sum(map(len, words))
-            self.unclean.extend(not x or len(x.rstrip() if f else x.strip()) != len(x) for x, f in zip(words, first, strict=True))
-        return found, counts
-
-    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, number of ids of each text)."""
+            self.chars += sum(map(len, part))
+            self.unclean.extend(bad.tobytes())
+        return found
+
+    def _split(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(codes of all chunks in a row, number of chunks of each text); a chunk is looked up once, however often it stands there."""
+        lists = pc.split_pattern(column, " ")
+        offsets = lists.offsets.to_numpy()
+        flat = lists.flatten()
+        coded = flat.dictionary_encode()
+        at, first = coded.indices.to_numpy(), offsets[:-1] - offsets[0]
+        later = np.ones(len(at), bool)
+        later[first] = False
+        used = np.zeros(len(coded.dictionary), bool)
+        used[at[later]] = True
+        codes = np.zeros(len(used), np.int64)
+        codes[used] = self._look_up(coded.dictionary.filter(pa.array(used)).to_numpy(zero_copy_only=False).tolist(), False)
+        found = codes[at]
+        found[first] = self._look_up(flat.take(pa.array(first)).to_pylist(), True)
+        return found, np.diff(offsets).astype(np.int64)
+
+    def texts(self, texts: Sequence[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each text); no text is null."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if len(self.codes) > self.entries or self.chars > CACHE_CHARS:
             self.clear()
-        found, counts = self._look_up([t.split(" ") for t in texts])
+        found, counts = self._split(column)
         bad = np.frombuffer(self.unclean, dtype=np.uint8)[found] if len(found) else found
         if bad.any():  # these texts have other white space next to a space
-            again = np.unique(np.repeat(np.arange(len(texts)), counts)[bad > 0])
-            codes, sizes = self._look_up([CUT.split(texts[i]) for i in again])
+            again = np.unique(np.repeat(np.arange(len(column)), counts)[bad > 0])
+            pieces = [CUT.split(x) for x in column.take(pa.array(again)).to_pylist()]
+            sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+            codes = np.empty(int(sizes.sum()), np.int64)
+            heads = np.zeros(len(codes), bool)
+            heads[np.cumsum(sizes) - sizes] = True
+            codes[heads] = self._look_up([p[0] for p in pieces], True)
+            codes[~heads] = self._look_up([x for p in pieces for x in p[1:]], False)
             parts = np.split(found, np.cumsum(counts)[:-1])
             for i, part in zip(again, np.split(codes, np.cumsum(sizes)[:-1]), strict=True):
                 parts[i] = part

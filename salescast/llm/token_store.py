@@ -18,16 +18,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescast.llm.chunks import ChunkCoder, strings
+from salescast.llm.chunks import ChunkCoder, columns
 from salescast.llm.common import hand_back, lean, stage, texts
 
 MAGIC, BLOCK = b"DAC1", 512
 SEGMENT_CHARS = 2_000_000
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
+#: New words that are encoded as one text, and such texts at a time: a call for each word costs more than the word.
+WORDS_A_TEXT, TEXTS_AT_ONCE = 250, 20
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -90,10 +93,38 @@ class Segment:
 def coder(path: str) -> ChunkCoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     t = Tokenizer.from_file(path)
-    # ids only: no offsets are kept
-    return ChunkCoder(lambda chunks: [e.ids for e in t.encode_batch_fast(chunks, add_special_tokens=False)])
+
+    def encode(chunks: list[str]) -> list[list[int]]:
+        # ids only: no offsets are kept
+        return [e.ids for e in t.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    if t.normalizer is not None or not isinstance(t.pre_tokenizer, ByteLevel):
+        return ChunkCoder(encode)
+    vocabulary = t.get_vocab()
+    spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+    spaced[[i for x, i in vocabulary.items() if x.startswith("\u0120")]] = True  # a space, as the byte-level alphabet has it
+
+    def bulk(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words as texts of many: in clean words, only the tokens that begin them begin with a space."""
+        ids, lens = [], []
+        for a in range(0, len(words), WORDS_A_TEXT * TEXTS_AT_ONCE):
+            groups = [words[b : b + WORDS_A_TEXT] for b in range(a, min(len(words), a + WORDS_A_TEXT * TEXTS_AT_ONCE), WORDS_A_TEXT)]
+            for group, got in zip(groups, encode([" " + " ".join(g) for g in groups]), strict=True):
+                row = np.array(got, dtype=np.int32)
+                begin = np.flatnonzero(spaced[row])
+                if len(begin) == len(group) and begin[0] == 0:
+                    ids.append(row)
+                    lens.append(np.diff(begin, append=len(row)))
+                else:  # a vocabulary that the rule doesn't hold for
+                    rows = encode([" " + x for x in group])
+                    ids.append(np.array([i for r in rows for i in r], dtype=np.int32))
+                    lens.append(np.array([len(r) for r in rows], dtype=np.int64))
+        return np.concatenate(ids), np.concatenate(lens)
+
+    return ChunkCoder(encode, bulk=bulk)
 
 
 def write_tokens(docs: DataFrame, name: str = "tokens", path: str | None = None, end_id: int = 0) -> DataFrame:
@@ -119,11 +150,11 @@ def write_tokens(docs: DataFrame, name: str = "tokens", path: str | None = None,
             return pa.RecordBatch.from_arrays([pa.array(v, type=k) for v, k in zip(row, kinds, strict=True)], names=["shard", "segment", "first", "n", "doc_ids", "lens", "payload"])
 
         for batch in batches:
-            for a, b, words in strings(batch.column(1), SEGMENT_CHARS):
+            for a, b, words in columns(batch.column(1), SEGMENT_CHARS):
                 flat, counts = enc.texts(words)
                 ids = np.insert(flat, np.cumsum(counts), end_id)
                 held.append((batch.column(0).slice(a, b - a).to_pylist(), ids, counts + 1))
-                size += sum(map(len, words))
+                size += int(pc.sum(pc.utf8_length(words)).as_py())
                 if size >= SEGMENT_CHARS:
                     yield flush()
         if held:

@@ -2,6 +2,7 @@
 
 import base64
 import re
+import tempfile
 import subprocess
 import sys
 import zlib
@@ -332,3 +333,42 @@ def test_empty_tables(make_docs):
     none = make_docs([])
     for query in (pii.pii_query, bpe.bpe_query, token_store.token_query, secrets.secrets_query):
         assert query(none).count() == 0
+
+
+def test_new_words_are_encoded_as_texts_of_many(monkeypatch):
+    """A task's new words go to the tokenizer many at a time, with the ids that whole texts have; words between spaces are looked up once a text."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(token_store.DEFAULT_TOKENIZER)
+    t = Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    words = [*(f"w{i}é\U0001f600"[: 2 + i % 5] + "ab'" * (i % 3) + str(i) for i in range(900)), end, f"a{end}", "'s", "Ġx", "Ġ", "\0b", "a.\nB", "x　y", "x\x85", " "]
+    texts = ["", " ", " ".join(words), " ".join(reversed(words)), "  ".join(words[::7]), f" {end} ".join(words[::5]), "\n ".join(words[::11])]
+    monkeypatch.setattr(token_store, "WORDS_A_TEXT", 7)
+    coder = token_store.coder.__wrapped__(path)
+    calls = []
+    one = coder.encode
+    coder.encode = lambda xs: calls.extend(xs) or one(xs)
+    for _ in range(2):  # new words, then known ones
+        ids, counts = coder.texts(texts)
+        assert np.split(ids, np.cumsum(counts)[:-1])[2].tolist() == t.encode(texts[2], add_special_tokens=False).ids
+        assert ids.tolist() == [i for x in texts for i in t.encode(x, add_special_tokens=False).ids]
+        assert counts.tolist() == [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
+    assert len(calls) < len(words) / 2  # before: each word by itself
+
+
+def test_words_that_no_space_tells_apart():
+    """A byte-level vocabulary whose rule for spaces fails: words are then encoded one by one."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    vocabulary = {c: i for i, c in enumerate(sorted(pre_tokenizers.ByteLevel.alphabet()))}
+    t = Tokenizer(models.BPE(vocabulary, []))
+    t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    t.add_special_tokens(["<x>"])
+    folder = tempfile.mkdtemp(prefix="salescast-tokens-")
+    t.save(f"{folder}/t.json")
+    words = [f"a{i}<x>b" if i % 3 else f"c{i}" for i in range(60)]
+    coder = token_store.coder.__wrapped__(f"{folder}/t.json")
+    ids, lens = coder.bulk(words)
+    want = [t.encode(" " + w, add_special_tokens=False).ids for w in words]
+    assert ids.tolist() == [i for x in want for i in x] and lens.tolist() == [len(x) for x in want]
