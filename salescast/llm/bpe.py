@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescast.llm.chunks import CACHE_CHARS, ChunkCoder, gather, slices, strings
+from salescast.llm.chunks import CACHE_CHARS, ChunkCoder, columns, gather, slices
 from salescast.llm.common import fresh, hand_back, lean
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -279,7 +279,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
         lean()
         replay = load(path, pattern)
         for batch in batches:
-            for a, b, words in strings(batch.column(batch.schema.get_field_index(hold))):
+            for a, b, words in columns(batch.column(batch.schema.get_field_index(hold))):
                 flat, counts = replay.coder.texts(words)
                 kept = [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)]
                 back: list[pa.Array] = []

@@ -21,9 +21,9 @@ DICTIONARY_ENTRIES = 1_000_000
 #: Characters of its keys after which a cache starts anew: long tokens count by their length.
 CACHE_CHARS = 16_000_000
 #: Text characters that are worked on at a time.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 #: New chunks that are encoded at a time.
-AT_ONCE = 100_000
+AT_ONCE = 50_000
 
 
 class Codes(dict):

@@ -322,6 +322,7 @@ def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
         def out(gid: np.ndarray, node: list[bytes], peer: list[bytes | None]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(gid, pa.int64()), pa.array(node, pa.binary()), pa.array(peer, pa.binary())], names=["gid", "node", "peer"])
 
+        lean()
         for table in runs_of(batches, 1):
             of = np.array(table.column("bucket").to_pylist())
             rows = table.select(["keys", "who", "nodes", "hot", "u", "v"]).to_pylist()
@@ -369,6 +370,7 @@ def meetings(docs: DataFrame, params: Params, buckets: int) -> DataFrame:
                 gid, who = gid[first], who[first]
                 for c in range(0, len(gid), 100_000):
                     yield out(gid[c : c + 100_000], [raw[i] for i in who[c : c + 100_000]], [None] * len(gid[c : c + 100_000]))
+        hand_back()
 
     sent = texts(docs).mapInArrow(send, "bucket int, keys binary, who binary, nodes binary, hot binary, u binary, v binary")
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "gid long, node binary, peer binary")
@@ -384,6 +386,7 @@ def possible_edges(meet: DataFrame, classes: DataFrame, params: Params) -> DataF
     """(u, v): what the signature trees of the meeting classes leave, as a forest of each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for table in runs_of(batches, 1):
             gid = table.column("gid").to_numpy()
             cut = np.append(np.flatnonzero(np.concatenate(([True], gid[1:] != gid[:-1]))), len(gid))
@@ -401,6 +404,7 @@ def possible_edges(meet: DataFrame, classes: DataFrame, params: Params) -> DataF
                 u += x
                 v += y
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
+        hand_back()
 
     met = meet.where("peer is null").select("gid", "node").distinct().join(classes.select("node", "n", "sig"), "node")
     tree = met.select("gid", "node", "n", "sig").repartition("gid").sortWithinPartitions("gid").mapInArrow(run, "u binary, v binary")
@@ -411,6 +415,7 @@ def verified_edges(cells: DataFrame, params: Params) -> DataFrame:
     """cells(cell, node, label, text) -> (u, v): a forest of each cell's links between classes of different labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         shingler = Shingler(params)
         for table in runs_of(batches, 1):
             cell = np.array(table.column("cell").to_pylist())
@@ -438,6 +443,8 @@ def verified_edges(cells: DataFrame, params: Params) -> DataFrame:
                 tree_join(sizes, np.stack([signature(s, bits) for s in sets]), params, linked, groups)
                 x, y = _star(groups, nodes)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary())], names=["u", "v"])
+        del shingler
+        hand_back()
 
     return cells.select("cell", "node", "label", "text").repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "u binary, v binary")
 

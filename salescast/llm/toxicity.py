@@ -122,6 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample | None = None) -> Mod
     buckets = sample.buckets
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             found = [np.unique(np.fromiter((bucket(w, buckets) for w in parts(set(WORD.findall(t.lower())))), np.int32)).tobytes() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["p", "u", "f"])

@@ -372,3 +372,24 @@ def test_words_that_no_space_tells_apart():
     ids, lens = coder.bulk(words)
     want = [t.encode(" " + w, add_special_tokens=False).ids for w in words]
     assert ids.tolist() == [i for x in want for i in x] and lens.tolist() == [len(x) for x in want]
+
+
+def test_workers_hold_few_texts_and_new_words_at_a_time():
+    """What a worker holds beside its caches is bounded: a million characters of texts, fifty thousand new words."""
+    import pyarrow as pa
+
+    from salescast.llm.chunks import columns
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(3000)) for i in range(40)] + ["", "y" * 1_500_000, "z"]
+    most, total = 0, 0
+    calls = []
+    coder = ChunkCoder(lambda xs: calls.append(len(xs)) or [list(x.encode()) for x in xs])
+    for a, b, part in columns(pa.array(texts)):
+        assert part.to_pylist() == texts[a:b]
+        most, total = max(most, sum(map(len, texts[a:b])) if b - a > 1 else 0), total + b - a
+        ids, counts = coder.texts(part)
+        assert bytes(ids.tolist()).decode() == "".join(texts[a:b]) and len(counts) == b - a
+    assert total == len(texts) and most <= 1_000_000
+    coder.clear()
+    coder.texts(texts)
+    assert max(calls) <= 50_000 and sum(calls) > 120_000
