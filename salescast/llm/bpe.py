@@ -14,6 +14,7 @@ import hashlib
 import heapq
 from array import array
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -23,14 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescast.llm.chunks import CACHE_CHARS, ChunkCoder, columns, gather, slices
+from salescast.llm.chunks import AT_ONCE, CACHE_CHARS, SLICE_CHARS, ChunkCoder, columns, gather, slices
 from salescast.llm.common import fresh, hand_back, lean
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
-#: Sizes at which a worker's caches start anew; results don't depend on them.
-CHUNK_ENTRIES, WORD_ENTRIES = 300_000, 150_000
 #: Places of a rank from which they are merged at once.
 MANY = 24
+#: Places whose pairs are looked up at a time.
+PLACES = 1 << 16
 
 
 def ranks_path() -> str:
@@ -39,6 +40,23 @@ def ranks_path() -> str:
     return public_tokenizers.path(DEFAULT_RANKS)
 
 
+@dataclass(frozen=True)
+class Bounds:
+    """What a worker holds: entries after which its caches start anew, and the new chunks and the characters that it works on at a time.
+
+    Results don't depend on them.
+    """
+
+    chunks: int = 300_000
+    words: int = 50_000
+    new: int = AT_ONCE
+    chars: int = SLICE_CHARS
+
+
+#: For a job whose earlier stages have filled the executors: half the memory beside the vocabulary, for more time.
+LEAN = Bounds(chunks=100_000, words=20_000, new=25_000, chars=500_000)
+
+
 class PairTable:
     """Rank of a pair of token ids, for arrays of pairs: an open-addressing table of all pairs that make a token."""
 
@@ -91,14 +109,15 @@ class PairTable:
 class MergeReplay:
     """Ranks of a vocabulary and the replay of its merges on many words."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, bounds: Bounds = Bounds()):  # noqa: B008
+        self.bounds, self.ranks, self.pattern = bounds, ranks, regex.compile(pattern)
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         self.table = PairTable(ranks)
+        self.ints = np.array(range(max(ranks.values()) + 1), dtype=object)  # the ids as Python's numbers, one of each
         self.words: dict[str, list[int]] = {}
         self.word_chars = 0
-        self.coder = ChunkCoder(self.chunks, CHUNK_ENTRIES)
+        self.coder = ChunkCoder(self.chunks, bounds.chunks, at_once=bounds.new)
         flat = b"".join(self.bytes_of[r] for r in sorted(self.bytes_of))
         size = max(self.bytes_of) + 1
         self.token_lens = np.array([len(self.bytes_of.get(r, b"")) for r in range(size)], dtype=np.int64)
@@ -128,16 +147,20 @@ class MergeReplay:
         sym, nxt, prv = (np.frombuffer(x, dtype=np.int32) for x in (symbols, following, before))
         sym[:] = self.byte_id[raw]
         sym[ends] = -1  # a word's end: no pair reaches over it
-        nxt[:], prv[:] = np.arange(1, n + 1), np.arange(-1, n - 1)
+        nxt[:], prv[:] = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         nxt[-1] = n - 1
         prv[0] = 0  # the first place has none before it
         mark = np.zeros(n, dtype=np.int8)
-        first = self.table.of(sym[:-1], sym[1:])
-        at = np.flatnonzero(first >= 0)
+        first = np.empty(n - 1, dtype=np.int32)
+        for a in range(0, n - 1, PLACES):
+            first[a : a + PLACES] = self.table.of(sym[a : a + PLACES][: n - 1 - a], sym[a + 1 : a + 1 + PLACES])
+        at = np.flatnonzero(first >= 0).astype(np.int32)
         at = at[np.argsort(first[at], kind="stable")]
         ranks, cut = np.unique(first[at], return_index=True)
-        index: dict[int, list[int]] = {r: p.tolist() for r, p in zip(ranks.tolist(), np.split(at, cut[1:]), strict=False)} if len(at) else {}
-        heap = list(index)
+        cuts = array("q", [*cut.tolist(), len(at)])
+        given = {r: k for k, r in enumerate(ranks.tolist())}  # first places of a rank: at[cuts[k] : cuts[k + 1]], listed when its turn comes
+        index: dict[int, list[int]] = {}
+        heap = list(given)
         heapq.heapify(heap)
         known = self.table.found.get
 
@@ -151,7 +174,9 @@ class MergeReplay:
 
         while heap:
             r = heapq.heappop(heap)
-            places = index.pop(r, None)
+            places, k = index.pop(r, None), given.pop(r, None)
+            if k is not None:
+                places = at[cuts[k] : cuts[k + 1]].tolist() + (places or [])
             if places is None:
                 continue
             if len(places) >= MANY and self._merge_many(r, places, sym, nxt, prv, mark, post):
@@ -178,7 +203,7 @@ class MergeReplay:
                     break
         alive = np.flatnonzero(sym >= 0)
         ids, cuts = sym[alive], np.searchsorted(alive, np.append(begin, n))
-        flat = ids.tolist()
+        flat = self.ints[ids].tolist()
         return [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
     def _merge_many(self, r: int, places: list[int], sym: np.ndarray, nxt: np.ndarray, prv: np.ndarray, mark: np.ndarray, post: Callable[[int, int], None]) -> bool:
@@ -217,7 +242,7 @@ class MergeReplay:
         """Token ids of each string, each match of the pattern apart."""
         found = [self.pattern.findall(c) for c in chunks]
         words = self.words
-        if len(words) > WORD_ENTRIES or self.word_chars > CACHE_CHARS:
+        if len(words) > self.bounds.words or self.word_chars > CACHE_CHARS:
             words.clear()
             self.word_chars = 0
         new = list(dict.fromkeys(w for f in found for w in f if w not in words))
@@ -239,10 +264,10 @@ class MergeReplay:
 
 
 @lru_cache(maxsize=2)
-def load(path: str, pattern: str) -> MergeReplay:
+def load(path: str, pattern: str, bounds: Bounds = Bounds()) -> MergeReplay:  # noqa: B008
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    return MergeReplay(ranks, pattern)
+    return MergeReplay(ranks, pattern, bounds)
 
 
 def _pattern() -> str:
@@ -260,7 +285,7 @@ def _binary(raw: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, _offsets(sizes).buffers()[1], pa.py_buffer(raw.tobytes())])
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None, decoded: str | None = None, digest: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None, decoded: str | None = None, digest: str | None = None, bounds: Bounds = Bounds()) -> DataFrame:  # noqa: B008
     """docs with the array<int> column `ids` in place of the text.
 
     decoded: and the binary column of that name, what those ids decode to, in the same pass: a `decode` after it would
@@ -277,9 +302,9 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
-        replay = load(path, pattern)
+        replay = load(path, pattern, bounds)
         for batch in batches:
-            for a, b, words in columns(batch.column(batch.schema.get_field_index(hold))):
+            for a, b, words in columns(batch.column(batch.schema.get_field_index(hold)), bounds.chars):
                 flat, counts = replay.coder.texts(words)
                 kept = [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)]
                 back: list[pa.Array] = []
@@ -291,6 +316,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
                         view, cuts = memoryview(raw), np.concatenate(([0], np.cumsum(sizes))).tolist()
                         back.append(pa.array([hashlib.sha256(view[x:y]).hexdigest() for x, y in zip(cuts[:-1], cuts[1:], strict=True)], pa.string()))
                 yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(_offsets(counts), pa.array(flat)), *back], names=schema.names)
+            hand_back()  # between batches too: what a batch needed for a while would else stay beside the caches
         replay.clear()
         hand_back()
 

@@ -24,6 +24,8 @@ CACHE_CHARS = 16_000_000
 SLICE_CHARS = 1_000_000
 #: New chunks that are encoded at a time.
 AT_ONCE = 50_000
+#: Stretches that are copied at a time.
+STRETCHES = 1 << 15
 
 
 class Codes(dict):
@@ -65,7 +67,12 @@ def columns(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, i
 def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The stretches flat[starts[i] : starts[i] + lens[i]], one after the other."""
     ends = np.cumsum(lens)
-    return flat[np.repeat(starts - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)]
+    out = np.empty(ends[-1] if len(ends) else 0, flat.dtype)
+    for a in range(0, len(ends), STRETCHES):
+        n, e = lens[a : a + STRETCHES], ends[a : a + STRETCHES]
+        begin, end = e[0] - n[0], e[-1]
+        out[begin:end] = flat[np.repeat(starts[a : a + STRETCHES] - (e - n), n) + np.arange(begin, end)]
+    return out
 
 
 class ChunkCoder:
@@ -75,8 +82,8 @@ class ChunkCoder:
     them: (ids of all in a row, number of ids of each). They may be encoded as one text.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], entries: int = DICTIONARY_ENTRIES, bulk: Callable[[list[str]], tuple[np.ndarray, np.ndarray]] | None = None):
-        self.encode, self.entries, self.bulk = encode, entries, bulk
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], entries: int = DICTIONARY_ENTRIES, bulk: Callable[[list[str]], tuple[np.ndarray, np.ndarray]] | None = None, at_once: int = AT_ONCE):
+        self.encode, self.entries, self.bulk, self.at_once = encode, entries, bulk, at_once
         self.clear()
 
     def clear(self) -> None:
@@ -90,8 +97,8 @@ class ChunkCoder:
         # a first chunk has no space before it; as a tuple it is apart from every spaced one
         found = np.fromiter(map(self.codes.__getitem__, zip(words) if first else words), dtype=np.int64, count=len(words))  # noqa: B905
         new, self.codes.new = self.codes.new, []
-        for a in range(0, len(new), AT_ONCE):
-            part = [x for (x,) in new[a : a + AT_ONCE]] if first else new[a : a + AT_ONCE]
+        for a in range(0, len(new), self.at_once):
+            part = [x for (x,) in new[a : a + self.at_once]] if first else new[a : a + self.at_once]
             bad = np.fromiter((not x or len(x.rstrip() if first else x.strip()) != len(x) for x in part), dtype=bool, count=len(part))
             fit = np.zeros(len(part), bool)
             if self.bulk and not first:

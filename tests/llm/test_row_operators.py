@@ -393,3 +393,39 @@ def test_workers_hold_few_texts_and_new_words_at_a_time():
     coder.clear()
     coder.texts(texts)
     assert max(calls) <= 50_000 and sum(calls) > 120_000
+
+
+def test_token_step_needs_little_beside_its_caches():
+    """Copying token bytes and merging new words take a few times their size; with small bounds a worker holds less, with the same ids."""
+    import tracemalloc
+
+    import public_tokenizers
+
+    from salescast.llm.chunks import gather
+
+    def peak(run):
+        tracemalloc.start()
+        try:
+            out = run()
+            return out, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    flat, starts, lens = np.arange(251, dtype=np.uint8), np.arange(400_000) % 240, np.arange(400_000) % 11
+    got, most = peak(lambda: gather(flat, starts, lens))
+    assert got.tobytes() == b"".join(flat[a : a + n].tobytes() for a, n in zip(starts.tolist(), lens.tolist(), strict=True))
+    assert most < 6 * len(got)
+    assert gather(flat, starts[:0], lens[:0]).tolist() == []
+
+    path = public_tokenizers.path(bpe.DEFAULT_RANKS)
+    whole, small = bpe.load(path, public_tokenizers.PATTERN), bpe.load(path, public_tokenizers.PATTERN, bpe.Bounds(chunks=50, words=20, new=7, chars=100))
+    words = [f" thing{i:x}zebra{i * i:x}".encode() for i in range(20_000)]
+    ids, most = peak(lambda: whole.replay(words))
+    assert b"".join(whole.bytes_of[i] for x in ids for i in x) == b"".join(words)
+    assert most < 50 * sum(map(len, words))
+    texts = [f"alpha{i} beta{i % 9}  gamma, {i}{i} and so on" for i in range(300)]
+    (a, n), (b, m) = whole.coder.texts(texts), small.coder.texts(texts)
+    assert a.tolist() == b.tolist() and n.tolist() == m.tolist()
+    whole.clear()
+    for coder in (whole.coder, small.coder):
+        assert coder.texts(texts)[0].tolist() == a.tolist()
