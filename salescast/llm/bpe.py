@@ -1,8 +1,8 @@
 """Byte-level BPE by merge replay over the distinct words of a block of the corpus.
 
-A task takes its block's texts, finds the distinct words, and replays the merges on all of them at once: an inverted
-index from token pairs, by their rank, to positions in all words, visited in rank order, where a merge touches only its
-two neighbours. Words never merge with each other, so blocks are independent and the result is that of the whole corpus;
+A task takes its block's texts, finds the distinct words, and replays the merges on many of them at once: an inverted
+index from token pairs, by their rank, to positions in all words, visited in rank order, some ranks at a time for short
+words and one at a time for long ones, where a merge touches only its two neighbours. Words never merge with each other, so blocks are independent and the result is that of the whole corpus;
 nothing is shuffled and a lost block is simply done again. Cases: a null text is empty (no ids, empty bytes); null
 doc_ids and repeated rows are kept; an empty table gives no rows; `encode` keeps all other columns.
 """
@@ -16,15 +16,17 @@ from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescast.llm.chunks import AT_ONCE, CACHE_CHARS, SLICE_CHARS, ChunkCoder, columns, gather, slices
+from salescast.llm.chunks import AT_ONCE, CACHE_CHARS, SLICE_CHARS, ChunkCoder, Codes, columns, gather, slices
 from salescast.llm.common import fresh, hand_back, lean
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -32,6 +34,12 @@ DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 MANY = 24
 #: Places whose pairs are looked up at a time.
 PLACES = 1 << 16
+#: Bytes of a word from which its ranks are visited one at a time.
+LONG = 64
+#: Bytes of shorter words that are merged together, and the places whose ranks are visited together.
+TOGETHER, VISITED = 1 << 18, 1 << 14
+#: The rank of no pair.
+NO_RANK = np.int32(2**31 - 1)
 
 
 def ranks_path() -> str:
@@ -106,6 +114,12 @@ class PairTable:
         return out
 
 
+def ascending(places: np.ndarray) -> np.ndarray:
+    """The distinct places in order."""
+    out = np.sort(places)
+    return out[np.diff(out, prepend=-1) > 0]
+
+
 class MergeReplay:
     """Ranks of a vocabulary and the replay of its merges on many words."""
 
@@ -114,10 +128,8 @@ class MergeReplay:
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         self.table = PairTable(ranks)
-        self.ints = np.array(range(max(ranks.values()) + 1), dtype=object)  # the ids as Python's numbers, one of each
-        self.words: dict[str, list[int]] = {}
-        self.word_chars = 0
-        self.coder = ChunkCoder(self.chunks, bounds.chunks, at_once=bounds.new)
+        self.forget()
+        self.coder = ChunkCoder(self.chunks, bounds.chunks, self.spaced, bounds.new)
         flat = b"".join(self.bytes_of[r] for r in sorted(self.bytes_of))
         size = max(self.bytes_of) + 1
         self.token_lens = np.array([len(self.bytes_of.get(r, b"")) for r in range(size)], dtype=np.int64)
@@ -127,18 +139,104 @@ class MergeReplay:
     def clear(self) -> None:
         """Drop the caches: the worker lives on and serves other stages."""
         self.coder.clear()
-        self.words.clear()
-        self.word_chars = 0
+        self.forget()
+
+    def forget(self) -> None:
+        """Start the cache of words anew: their numbers, and by number where their ids stand."""
+        self.words, self.word_chars = Codes(), 0
+        self.starts, self.lens, self.flat = array("q"), array("q"), array("i")
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of each word.
+        """Token ids of each word."""
+        ids, counts = self.merged(words)
+        ends = np.cumsum(counts).tolist()
+        return [ids[b - n : b].tolist() for b, n in zip(ends, counts.tolist(), strict=True)]
+
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in a row, number of ids of each)."""
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        ids, places, counts = [np.zeros(0, np.int32)], [], np.zeros(len(words), np.int64)
+        short = np.flatnonzero(sizes < LONG)
+        parts = np.split(short, np.flatnonzero(np.diff(np.cumsum(sizes[short]) // TOGETHER)) + 1)
+        for merge, where in [(self._merge_short, x) for x in parts] + [(self._merge_long, np.flatnonzero(sizes >= LONG))]:
+            if len(where):
+                got, counts[where] = merge([words[i] for i in where.tolist()])
+                ids.append(got)
+                places.append(where)
+        if len(places) < 2:
+            return ids[-1], counts
+        order = np.concatenate(places)  # the words in the order in which their ids stand
+        starts = np.empty(len(words), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        return gather(np.concatenate(ids), starts, counts), counts
+
+    def _merge_short(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """`merged` for words of few bytes.
+
+        The index lists places by the rank of their pair. Its ranks are visited in order, those of about VISITED places
+        at a time: in each step, every word that has such places merges its lowest, the leftmost of equal ones, and new
+        pairs of these ranks or lower are merged in the next steps; those of higher ranks go into the index. Since words
+        never merge with each other, each goes through its merges in the same order as if alone.
+        """
+        raw = np.frombuffer(b"\0" + b"\0".join(words) + b"\0", dtype=np.uint8)
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        n = len(raw)
+        sym = self.byte_id[raw]
+        sym[np.concatenate(([0], np.cumsum(sizes + 1)))] = -1  # between words: no pair reaches over it
+        word = np.repeat(np.arange(-1, len(words), dtype=np.int32), np.concatenate(([1], sizes + 1)))
+        nxt, prv = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
+        rank = np.full(n, NO_RANK)  # of the pair that begins at a place
+        for a in range(0, n - 1, PLACES):
+            rank[a : a + PLACES][: n - 1 - a] = self._ranks(sym[a : a + PLACES][: n - 1 - a], sym[a + 1 : a + 1 + PLACES])
+        at = np.flatnonzero(rank < NO_RANK).astype(np.int32)
+        at = at[np.argsort(rank[at], kind="stable")]
+        first = rank[at]
+        later = np.zeros(0, np.int32)  # places that merges have brought into the index
+        done = 0
+        while done < len(at) or len(later):
+            high = NO_RANK  # the ranks below are visited
+            if done + VISITED < len(at):
+                high = max(first[done + VISITED], first[done] + np.int32(1))
+            upto = np.searchsorted(first, high)
+            # a place whose pair has changed since stands in the index again, by its new rank
+            soon = rank[later] < high
+            p, later, done = np.concatenate((at[done:upto], later[soon])), later[~soon], upto
+            p = ascending(p[rank[p] < high])
+            posted = [later]
+            while len(p):
+                head = np.flatnonzero(np.diff(word[p], prepend=-2))
+                lowest = np.minimum.reduceat(rank[p].astype(np.int64) << 32 | p, head)
+                r, m = (lowest >> 32).astype(np.int32), (lowest & 0xFFFFFFFF).astype(np.int32)
+                gone, left = nxt[m], prv[m]
+                after = nxt[gone]
+                sym[m], sym[gone], rank[gone] = r, -2, NO_RANK
+                nxt[m], prv[after] = after, m
+                rank[m], rank[left] = self._ranks(r, sym[after]), self._ranks(sym[left], r)
+                both = np.concatenate((m, left))
+                new = rank[both]
+                posted.append(both[(new >= high) & (new < NO_RANK)])
+                p, again = p[rank[p] < high], left[rank[left] < high]
+                if len(again):
+                    p = ascending(np.concatenate((p, again)))
+            later = np.concatenate(posted)
+            if high == NO_RANK:
+                break
+        alive = sym >= 0
+        return sym[alive], np.bincount(word[alive], minlength=len(words))
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs, NO_RANK where they make no token."""
+        found = self.table.of(a, b)
+        found[found < 0] = NO_RANK
+        return found
+
+    def _merge_long(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """`merged`, one rank at a time.
 
         The index holds, by the rank of a pair, the positions where the pair stands in any of the words. Ranks are
         applied in order: all places of a rank at once where there are many, else one by one; a merge looks only at its
         two neighbours, whose new pairs go into the index.
         """
-        if not words:
-            return []
         raw = np.frombuffer(b"\0".join(words) + b"\0", dtype=np.uint8)
         ends = np.cumsum([len(w) + 1 for w in words]) - 1
         begin = np.concatenate(([0], ends[:-1] + 1))
@@ -202,9 +300,7 @@ class MergeReplay:
                     heapq.heappush(heap, r)
                     break
         alive = np.flatnonzero(sym >= 0)
-        ids, cuts = sym[alive], np.searchsorted(alive, np.append(begin, n))
-        flat = self.ints[ids].tolist()
-        return [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        return sym[alive], np.diff(np.searchsorted(alive, np.append(begin, n)))
 
     def _merge_many(self, r: int, places: list[int], sym: np.ndarray, nxt: np.ndarray, prv: np.ndarray, mark: np.ndarray, post: Callable[[int, int], None]) -> bool:
         """Apply rank r at all its places; False, with nothing done, if a merge makes a pair of lower rank."""
@@ -238,22 +334,49 @@ class MergeReplay:
             post(rank, place)
         return True
 
+    def _matches(self, found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all matches of the pattern in a row, number of ids of each, whether it begins with a space)."""
+        if not found:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool)
+        if len(self.words) > self.bounds.words or self.word_chars > CACHE_CHARS:
+            self.forget()
+        coded = pa.array(found, pa.string()).dictionary_encode()
+        at, distinct = coded.indices.to_numpy(), coded.dictionary
+        codes, new = self.words.of(distinct.to_numpy(zero_copy_only=False).tolist())
+        raw = list(map(str.encode, new))
+        known = np.fromiter(map(self.ranks.get, raw, repeat(-1)), dtype=np.int32, count=len(raw))
+        rest = np.flatnonzero(known < 0)
+        ids, counts = self.merged([raw[i] for i in rest.tolist()])
+        lens, starts = np.ones(len(new), np.int64), np.arange(len(new), dtype=np.int64)  # a word that is a token
+        lens[rest], starts[rest] = counts, len(new) + np.cumsum(counts) - counts
+        self.starts.frombytes((starts + len(self.flat)).tobytes())
+        self.lens.frombytes(lens.tobytes())
+        self.flat.frombytes(known.tobytes() + ids.astype(np.int32, copy=False).tobytes())
+        self.word_chars += sum(map(len, new))
+        codes = codes[at]
+        lens, starts = np.frombuffer(self.lens, dtype=np.int64)[codes], np.frombuffer(self.starts, dtype=np.int64)[codes]
+        return gather(np.frombuffer(self.flat, dtype=np.int32), starts, lens), lens, pc.starts_with(distinct, " ").to_numpy(zero_copy_only=False)[at]
+
+    def _apart(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks in a row, number of ids of each), whatever they hold."""
+        found = [self.pattern.findall(c) for c in chunks]
+        ids, lens, _ = self._matches(list(chain.from_iterable(found)))
+        sums, ends = np.concatenate(([0], np.cumsum(lens))), np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
+        return ids, np.diff(sums[ends], prepend=0)
+
     def chunks(self, chunks: list[str]) -> list[list[int]]:
         """Token ids of each string, each match of the pattern apart."""
-        found = [self.pattern.findall(c) for c in chunks]
-        words = self.words
-        if len(words) > self.bounds.words or self.word_chars > CACHE_CHARS:
-            words.clear()
-            self.word_chars = 0
-        new = list(dict.fromkeys(w for f in found for w in f if w not in words))
-        raw = [w.encode() for w in new]
-        whole = [self.ranks.get(b) for b in raw]
-        rest = [b for b, r in zip(raw, whole, strict=True) if r is None]
-        replayed = iter(self.replay(rest))
-        for w, r in zip(new, whole, strict=True):
-            words[w] = [r] if r is not None else next(replayed)
-        self.word_chars += sum(map(len, new))
-        return [[i for w in f for i in words[w]] for f in found]
+        ids, counts = self._apart(chunks)
+        ends = np.cumsum(counts).tolist()
+        return [ids[b - n : b].tolist() for b, n in zip(ends, counts.tolist(), strict=True)]
+
+    def spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all in a row, number of ids of each) of clean words with a space before each, matched as one text."""
+        ids, lens, begins = self._matches(self.pattern.findall(" " + " ".join(words)))
+        head = np.flatnonzero(begins)
+        if len(head) != len(words) or head[0] != 0:  # a pattern that the rule doesn't hold for
+            return self._apart([" " + w for w in words])
+        return ids, np.add.reduceat(lens, head)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all rows, number of bytes of each row)."""

@@ -9,7 +9,8 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, repeat
+from operator import contains
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +30,17 @@ STRETCHES = 1 << 15
 
 
 class Codes(dict):
-    """Numbers chunks as they are first looked up, and lists those of the last look-ups."""
+    """Numbers chunks as they are first looked up."""
 
-    def __init__(self):
-        self.new: list[str | tuple[str]] = []
-
-    def __missing__(self, key: str | tuple[str]) -> int:
-        code = self[key] = len(self)
-        self.new.append(key)
-        return code
+    def of(self, keys: list[str] | list[tuple[str]]) -> tuple[np.ndarray, list[str] | list[tuple[str]]]:
+        """(numbers of the keys, those of them that are new)."""
+        found = np.fromiter(map(self.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
+        at = np.flatnonzero(found < 0)
+        unknown = [keys[i] for i in at.tolist()]
+        new = list(dict.fromkeys(unknown))
+        self.update(zip(new, range(len(self), len(self) + len(new)), strict=True))
+        found[at] = np.fromiter(map(self.__getitem__, unknown), dtype=np.int64, count=len(unknown))
+        return found, new
 
 
 def slices(lengths: list[int], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
@@ -95,14 +98,14 @@ class ChunkCoder:
     def _look_up(self, words: list[str], first: bool) -> np.ndarray:
         """Codes of the chunks, all of them first ones of texts or none; new chunks are encoded."""
         # a first chunk has no space before it; as a tuple it is apart from every spaced one
-        found = np.fromiter(map(self.codes.__getitem__, zip(words) if first else words), dtype=np.int64, count=len(words))  # noqa: B905
-        new, self.codes.new = self.codes.new, []
+        found, new = self.codes.of(list(zip(words)) if first else words)  # noqa: B905
         for a in range(0, len(new), self.at_once):
             part = [x for (x,) in new[a : a + self.at_once]] if first else new[a : a + self.at_once]
-            bad = np.fromiter((not x or len(x.rstrip() if first else x.strip()) != len(x) for x in part), dtype=bool, count=len(part))
+            full = np.fromiter(map(len, part), dtype=np.int64, count=len(part))
+            bad = (full == 0) | (np.fromiter(map(len, map(str.rstrip if first else str.strip, part)), dtype=np.int64, count=len(part)) != full)
             fit = np.zeros(len(part), bool)
             if self.bulk and not first:
-                fit = ~bad & ~np.fromiter((" " in x for x in part), dtype=bool, count=len(part))
+                fit = ~bad & ~np.fromiter(map(contains, part, repeat(" ")), dtype=bool, count=len(part))
             starts, lens = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
             for where in (np.flatnonzero(fit), np.flatnonzero(~fit)):
                 if not len(where):
@@ -118,7 +121,7 @@ class ChunkCoder:
                 self.flat.frombytes(ids.astype(np.int32, copy=False).tobytes())
             self.starts.frombytes(starts.tobytes())
             self.lens.frombytes(lens.tobytes())
-            self.chars += sum(map(len, part))
+            self.chars += int(full.sum())
             self.unclean.extend(bad.tobytes())
         return found
 

@@ -7,6 +7,7 @@ import subprocess
 import sys
 import zlib
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -429,3 +430,63 @@ def test_token_step_needs_little_beside_its_caches():
     whole.clear()
     for coder in (whole.coder, small.coder):
         assert coder.texts(texts)[0].tolist() == a.tolist()
+
+
+def test_bpe_works_on_many_words_at_once():
+    """Calls grow neither with the new chunks nor with the ranks that their words hold; the ids are tiktoken's."""
+    import random
+
+    import tiktoken
+
+    path, calls = public_tokenizers.path(bpe.DEFAULT_RANKS), {"match": 0, "look up": 0}
+
+    def counted(kind, f):
+        def run(*args):
+            calls[kind] += 1
+            return f(*args)
+
+        return run
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    replay, rng = bpe.MergeReplay(ranks, public_tokenizers.PATTERN), random.Random(4)
+    syllables = ["an", "re", "th", "e", "ü", "sch", "ion", "中", "'s", "7", "-", "aa", "a", "q"]
+    word = lambda most: "".join(rng.choices(syllables, k=rng.randrange(1, most)))
+    texts = [" ".join(word(9) for _ in range(200)) for _ in range(100)] + [word(60) + "  " + word(200) + "\n\n" + word(9) for _ in range(50)] + ["a\x1cb \u3000c \x85", "", " ", "b" * 63 + " " + "b" * 64 + " " + "b" * 65]
+    pattern = replay.pattern
+    replay.pattern = SimpleNamespace(findall=counted("match", pattern.findall))
+    replay.table.of = counted("look up", replay.table.of)
+    for clear in (True, False):
+        flat, counts = replay.coder.texts(texts)
+        want = [enc.encode_ordinary(x) for x in texts]
+        assert counts.tolist() == [len(x) for x in want]
+        assert flat.tolist() == [i for x in want for i in x]
+        if clear:
+            assert calls["match"] < 2_000  # 15,000 new chunks and more
+            assert calls["look up"] < 2_000
+            replay.coder.clear()  # now from the cache of words
+    assert replay.chunks(["", " the", "", "a b"]) == [enc.encode_ordinary(x) for x in ("", " the", "", "a b")]
+    assert replay.replay([]) == [] and replay.chunks([]) == []
+
+
+def test_a_word_merges_a_lower_rank_first_wherever_it_arises(monkeypatch):
+    """In a vocabulary whose merges make pairs of lower ranks, and whatever ranks are visited together."""
+    import random
+
+    import tiktoken
+
+    rng = random.Random(5)
+    tokens = list(dict.fromkeys("".join(rng.choices("abcd", k=rng.randrange(2, 6))).encode() for _ in range(400)))
+    rng.shuffle(tokens)
+    ranks = {bytes([i]): i for i in range(256)} | {t: 256 + k for k, t in enumerate(tokens)}
+    enc = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    words = ["".join(rng.choices("abcd", k=rng.randrange(1, bpe.LONG))) for _ in range(1500)]
+    words = [w for w in words if w.encode() not in ranks]  # a token is not replayed
+    want = [enc.encode_ordinary(w) for w in words]
+    replay = bpe.MergeReplay(ranks, r"(?s).+")
+    for visited, together in ((1, 1 << 18), (100, 1 << 12), (1 << 14, 1 << 18), (1 << 14, 1)):
+        monkeypatch.setattr(bpe, "VISITED", visited)
+        monkeypatch.setattr(bpe, "TOGETHER", together)
+        some = slice(0, 150) if together == 1 else slice(None)
+        assert replay.replay([w.encode() for w in words[some]]) == want[some]
