@@ -77,6 +77,15 @@ def session_conf(spark: SparkSession, name: str, value: str) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+@contextlib.contextmanager
+def session_confs(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Several session settings inside; the caller's own come back afterwards."""
+    with contextlib.ExitStack() as held:
+        for name, value in settings.items():
+            held.enter_context(session_conf(spark, name, value))
+        yield
+
+
 def dynamic_overwrite(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
     """Table inserts inside replace only the partitions they write."""
     return session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")

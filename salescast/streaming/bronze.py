@@ -13,6 +13,9 @@ ST3  today-so-far: running state per business_date (update mode); equals the
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +25,8 @@ from salescast.functions.money import money_sum, rounded
 from salescast.operators.flatten import flatten_orders
 from salescast.operators.marts import cast_projection, live_orders
 from salescast.schemas import BRONZE_ORDERS, NESTED_ORDER
-from salescast.session import cut_lineage, dynamic_overwrite, session_conf
-from salescast.sources.sinks import create_table
+from salescast.session import dynamic_overwrite, session_conf, session_confs
+from salescast.sources.sinks import create_table, stage_dir
 
 # Documents carry a version (e.g. the source's modification counter).
 VERSIONED_ORDER = T.StructType(list(NESTED_ORDER.fields) + [T.StructField("version", T.LongType())])
@@ -39,6 +42,16 @@ def read_order_stream(spark: SparkSession, path: str, max_files: int | None = No
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def folder_jobs(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Settings for jobs over the table's day folders: many, most of them small.
+
+    A stream's session has adaptive execution off, and then a rebalance hint is dropped without a word: each task would
+    write a file of its own into each day. Folders are listed, and small files read, many to a task."""
+    listing = max(16, 4 * spark.sparkContext.defaultParallelism)
+    return session_confs(spark, {"spark.sql.adaptive.enabled": "true", "spark.sql.files.openCostInBytes": "64k",
+                                 "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(listing)})
+
+
 def marked(rows: DataFrame, columns: list[str]) -> DataFrame:
     """rows with the hash that decides between equal versions, whatever the order of tasks."""
     return rows.withColumn("mark", F.xxhash64(*[F.col(c) for c in columns if c != "order_guid"]))
@@ -49,7 +62,8 @@ def held_rows(spark: SparkSession, table: str, path: str) -> DataFrame:
     spark.catalog.refreshTable(table)  # another stream may have written it
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
-        spark.table(table).withColumn("version", F.coalesce("version", F.lit(-1)).cast("bigint")).write.mode("overwrite").parquet(path)
+        with folder_jobs(spark):
+            spark.table(table).withColumn("version", F.coalesce("version", F.lit(-1)).cast("bigint")).write.mode("overwrite").parquet(path)
     return spark.readStream.schema(spark.table(table).schema).parquet(path)
 
 
@@ -75,17 +89,48 @@ def order_changes(docs: DataFrame, held: DataFrame) -> DataFrame:
 
 def touched(table: DataFrame, days: list[int | None]) -> DataFrame:
     """The table's rows of the named days: literals, so that only these folders are listed and read."""
-    known = [d for d in days if d is not None]
-    cond = F.col("business_date").isin(known) if known else F.lit(False)
+    known = ", ".join(f"{d}L" for d in days if d is not None)  # as text: a call a literal takes seconds for years of days
+    cond = F.expr(f"business_date IN ({known})") if known else F.lit(False)
     return table.where(cond | F.col("business_date").isNull() if None in days else cond)
 
 
-def rewritten_days(changes: DataFrame, table: str, days: list[int | None]) -> DataFrame:
-    """The rows that the touched days hold after the changes."""
+def staying(changes: DataFrame, table: str, days: list[int | None]) -> DataFrame:
+    """The table's rows of the named days whose orders are not among the changes."""
     held = touched(changes.sparkSession.table(table), days)
     moved = changes.select(F.col("order_guid").alias("moved")).distinct()
-    stay = held.join(moved, F.col("order_guid").eqNullSafe(F.col("moved")), "left_anti")
-    return stay.unionByName(changes.where("change = 'enter'").select(*held.columns))
+    return held.join(moved, F.col("order_guid").eqNullSafe(F.col("moved")), "left_anti")
+
+
+def rewritten_days(changes: DataFrame, table: str, days: list[int | None]) -> DataFrame:
+    """The rows that the touched days hold after the changes."""
+    stay = staying(changes, table, days)
+    return stay.unionByName(changes.where("change = 'enter'").select(*stay.columns))
+
+
+#: Days that a task writes, so that small days are written by many tasks at once; a large day is split among tasks.
+DAYS_PER_TASK = 16
+
+
+def replace_touched(rows: DataFrame, table: str, days: int) -> None:
+    """Write the rows of the touched days, of which there are so many, in place of what these days hold.
+
+    rows may read these days: dynamic overwrite writes into a staging folder, whose days take their place after the last task."""
+    spark = rows.sparkSession
+    tasks = -(-days // DAYS_PER_TASK)
+    with dynamic_overwrite(spark), session_conf(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        rows.select(*spark.table(table).columns).hint("rebalance", tasks, "business_date").write.insertInto(table, overwrite=True)
+
+
+@contextlib.contextmanager
+def staged(rows: DataFrame) -> Iterator[DataFrame]:
+    """rows, computed once into the shared folder; the copy goes when it has been used."""
+    spark = rows.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stage_dir(spark, "batch"))
+    try:
+        rows.write.parquet(path.toString())
+        yield spark.read.schema(rows.schema).parquet(path.toString())
+    finally:
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def merge_batch(changes: DataFrame, table: str) -> None:
@@ -95,15 +140,14 @@ def merge_batch(changes: DataFrame, table: str) -> None:
     batch again gives the same table."""
     spark = changes.sparkSession
     spark.catalog.refreshTable(table)
-    changes = cut_lineage(changes)
-    days = [r[0] for r in changes.select("business_date").distinct().collect()]  # bounded by the calendar
-    if not days:
-        return
-    out = cut_lineage(rewritten_days(changes, table, days))  # bronze is read above and overwritten below
-    with dynamic_overwrite(spark):
-        out.select(*spark.table(table).columns).hint("rebalance", "business_date").write.insertInto(table, overwrite=True)
-    left = {r[0] for r in out.select("business_date").distinct().collect()}
-    for day in (d for d in days if d not in left and d is not None):
+    with staged(changes) as changes, folder_jobs(spark):
+        entered = dict(changes.groupBy("business_date").agg(F.max(F.col("change") == "enter")).collect())  # bounded by the calendar
+        if not entered:
+            return
+        only_left = [d for d, enters in entered.items() if not enters and d is not None]
+        still = {r[0] for r in staying(changes, table, only_left).select("business_date").distinct().collect()} if only_left else set()
+        replace_touched(rewritten_days(changes, table, list(entered)), table, len(entered))
+    for day in (d for d in only_left if d not in still):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (business_date = {day})")
 
 
@@ -124,9 +168,13 @@ def start_bronze_stream(spark: SparkSession, docs_path: str, table: str, checkpo
 
 
 def catch_up(spark: SparkSession, docs_path: str, table: str, checkpoint: str) -> None:
-    """Take in what has landed and end; the caller's session then sees the table as it is now."""
+    """Take in what has landed and end; the caller's session then sees the table as it is now.
+
+    Its folders are listed here, many to a task; Spark keeps the list for the caller's reads, which would give each folder a task."""
     start_bronze_stream(spark, docs_path, table, checkpoint).awaitTermination()
     spark.catalog.refreshTable(table)
+    with folder_jobs(spark):
+        spark.table(table)._jdf.inputFiles()
 
 
 def today_so_far(flat_stream: DataFrame, tz: str = BUSINESS_TZ) -> DataFrame:

@@ -1,6 +1,7 @@
 """B6/L7 archive repair, B8 profile, E5 calendar, ST1-ST3 streaming."""
 
 import datetime as dt
+import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -11,6 +12,7 @@ from salescast.operators import conform as cf
 from salescast.operators.profile import json_profile
 from salescast.operators.regression import holiday_calendar
 from salescast.schemas import LANDING_ORDERS, ORDER_COLUMNS
+from salescast.session import ensure_checkpoint_dir
 
 
 def _legacy_table(day, money_int=True):
@@ -223,6 +225,33 @@ def test_stream_state_moves_orders_between_days(spark, tmp_path):
     assert rows() == [*want[:2], ("o3", 20260626, 9.0, 5), want[3]]
 
 
+def test_batch_writes_each_touched_day_once(spark, tmp_path):
+    """A stream's session has adaptive execution off: rebalance hints must hold all the same, or each task writes into each day.
+    The settings that this takes, and the staged rows of a batch, are gone afterwards."""
+    from salescast.streaming import bronze as sb
+    from tests_support import doc
+
+    d = tmp_path / "docs"
+    d.mkdir()
+    (d / "a.json").write_text("\n".join(doc(f"o{i}", 20260601 + i % 20, float(i), 1) for i in range(600)))
+    sb.ensure_versioned_bronze(spark, "vb_w", str(tmp_path / "vb"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.files.openCostInBytes", "spark.sql.sources.partitionOverwriteMode")}
+    sb.catch_up(spark, str(d), "vb_w", str(tmp_path / "ck"))
+    assert before == {k: spark.conf.get(k) for k in before}
+
+    def files():
+        named = spark.table("vb_w").select("business_date", F.input_file_name().alias("file"))
+        return named.groupBy("business_date").agg(F.countDistinct("file").alias("n"), F.count("*").alias("rows")).collect()
+
+    assert {(r.business_date, r.n, r.rows) for r in files()} == {(20260601 + i, 1, 30) for i in range(20)}
+    (d / "b.json").write_text("\n".join(doc(f"o{i}", 20260601 + i % 20, float(i + 1), 2) for i in range(0, 600, 7)))
+    sb.catch_up(spark, str(d), "vb_w", str(tmp_path / "ck"))
+    assert {(r.business_date, r.n, r.rows) for r in files()} == {(20260601 + i, 1, 30) for i in range(20)}
+    assert {r.order_guid: (r.net_amount, r.version) for r in spark.table("vb_w").collect()} == {f"o{i}": (i + 1.0, 2) if i % 7 == 0 else (float(i), 1) for i in range(600)}
+    stage = ensure_checkpoint_dir(spark).removeprefix("file:") + "/salescast-stage"
+    assert not os.path.isdir(stage) or not [x for x in os.listdir(stage) if x.startswith("batch-")]
+
+
 def test_batch_reads_only_the_touched_days(spark, tmp_path):
     from salescast.streaming import bronze as sb
 
